@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import op1_lengths, op3_decontaminate, op6_token_files, op10_transport_stream
+from . import op1_lengths, op2_language, op3_decontaminate, op4_mixing, op6_token_files, op7_licenses, op9_secrets, op10_transport_stream
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,6 +26,22 @@ def op6_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op6_token_files.token_files(_docs(spark, sf_dir))
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op2_language.identify(_docs(spark, sf_dir))
+
+
+def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op4_mixing.schedule(_docs(spark, sf_dir))
+
+
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op7_licenses.scan(_docs(spark, sf_dir))
+
+
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op9_secrets.digest(op9_secrets.find_secrets(_docs(spark, sf_dir)))
+
+
 def op10_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op10_transport_stream.transport_streams(_docs(spark, sf_dir))
 
@@ -33,6 +49,10 @@ def op10_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_counts": op1_token_counts,
+        "op2_language_id": op2_language_id,
+        "op4_source_mixing": op4_source_mixing,
+        "op7_license_scan": op7_license_scan,
+        "op9_secret_scan": op9_secret_scan,
         "op3_decontamination": op3_decontamination,
         "op6_token_output": op6_token_output,
         "op10_media_columns": op10_media_columns,
