@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import op1_lengths, op2_language, op3_decontaminate, op4_mixing, op6_token_files, op7_licenses, op9_secrets, op10_transport_stream
+from . import op1_lengths, op2_language, op3_decontaminate, op4_mixing, op5_substrings, op6_token_files, op7_licenses, op9_secrets, op10_transport_stream
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,6 +22,10 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op3_decontaminate.digest(op3_decontaminate.verbatim_matches(_docs(spark, sf_dir), bench))
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op5_substrings.dedup_substrings(_docs(spark, sf_dir), keep_text=False).drop("kept")
+
+
 def op6_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op6_token_files.token_files(_docs(spark, sf_dir))
 
@@ -51,6 +55,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_token_counts": op1_token_counts,
         "op2_language_id": op2_language_id,
         "op4_source_mixing": op4_source_mixing,
+        "op5_substring_dedup": op5_substring_dedup,
         "op7_license_scan": op7_license_scan,
         "op9_secret_scan": op9_secret_scan,
         "op3_decontamination": op3_decontamination,
