@@ -163,6 +163,21 @@ def predict(docs: DataFrame, profiles: dict[str, list[str]]) -> DataFrame:
     return pick(docs, "doc_id", "text").mapInArrow(read, "doc_id long, lang_pred string, score double")
 
 
+def keep_identified(docs: DataFrame, profiles: dict[str, list[str]], least_score: float = LEAST_SCORE) -> DataFrame:
+    """The documents, in their columns, in which some language is recognised: not ``und``, and not below ``least_score``."""
+    spark = docs.sparkSession
+    small_batches(spark)
+    sent = spark.sparkContext.broadcast(profiles)
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = Model(sent.value)
+        for b in batches:
+            found = [model.predict(t) for t in b.column("text").to_pylist()]
+            yield b.filter(pa.array([lang != "und" and score >= least_score for lang, score in found], pa.bool_()))
+
+    return docs.mapInArrow(read, docs.schema)
+
+
 def held_out(doc_id: str = "doc_id"):
     """The rows that are never learned from: every fourth by the checksum of the id."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 == 2, F.lit(False))

@@ -164,23 +164,29 @@ def longest(found: np.ndarray) -> tuple[int, int, int]:
     return int(length[k]), int(start[first[k]]), int(item[first[k]])
 
 
-def verbatim_matches(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
-    """Words, hit words, items and longest match of each document against the whole benchmark."""
-    spark = docs.sparkSession
-    small_batches(spark)
+def test_blocks(benchmark: DataFrame, window: int) -> Iterator[TestSuffixes]:
+    """The test suffixes, in blocks of bounded size."""
     bench = pick(benchmark, "item_id", "text")
     _, size = text_size(bench)
     blocks = max(1, -(-size // BLOCK_BYTES))
-    found = []
     for k in range(blocks):
         block = bench.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k) if blocks > 1 else bench
-        items = [(r["item_id"], None if r["text"] is None else r["text"].encode()) for r in block.collect()]
-        sent = spark.sparkContext.broadcast(TestSuffixes(items, window))
-        part = pick(docs, "doc_id", "text").mapInArrow(_searcher(sent), MATCHES)
-        if blocks == 1:
-            return part
-        found.append(written(part, f"matches-{k}"))
-        sent.unpersist()
+        yield TestSuffixes([(r["item_id"], None if r["text"] is None else r["text"].encode()) for r in block.collect()], window)
+
+
+def verbatim_matches(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
+    """Words, hit words, items and longest match of each document against the whole benchmark."""
+    spark = docs.sparkSession
+    small_batches(spark)
+    found: list[DataFrame] = []
+    held = None
+    for suffixes in test_blocks(benchmark, window):
+        if held is not None:
+            found.append(written(held, "matches"))
+        held = pick(docs, "doc_id", "text").mapInArrow(_searcher(spark.sparkContext.broadcast(suffixes)), MATCHES)
+    if not found:
+        return held
+    found.append(written(held, "matches"))
     every = found[0]
     for part in found[1:]:
         every = every.unionByName(part)
@@ -243,9 +249,36 @@ def digest(matches: DataFrame) -> DataFrame:
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
-    """The documents, whole and in their columns, that hold no window of any item."""
-    bad = verbatim_matches(docs, benchmark, window).filter("n_hit > 0").select(F.col("doc_id").alias("_bad"))
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["_bad"]), "left_anti")
+    """The documents, whole and in their columns, that hold no window of any item. Nothing is shuffled."""
+    spark = docs.sparkSession
+    small_batches(spark)
+    for suffixes in test_blocks(benchmark, window):
+        docs = docs.mapInArrow(_cleaner(spark.sparkContext.broadcast(suffixes)), docs.schema)
+    return docs
+
+
+def _cleaner(sent):
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, lists, count = [], [], 0
+
+        def clean():
+            found = shard_rows(sent.value, [None] * len(lists), lists)
+            at = 0
+            for b in held:
+                yield b.filter(pa.array([x[2] == 0 for x in found[at : at + b.num_rows]], pa.bool_()))
+                at += b.num_rows
+
+        for b in batches:
+            held.append(b)
+            lists += map(words, byte_texts(b))
+            count += sum(map(len, lists[-b.num_rows :] if b.num_rows else []))
+            if count >= SHARD_WORDS:
+                yield from clean()
+                held, lists, count = [], [], 0
+        if held:
+            yield from clean()
+
+    return rows
 
 
 def reference(docs: list[tuple], items: list[tuple], window: int = 10) -> list[tuple]:

@@ -146,6 +146,13 @@ def schedule(docs: DataFrame, weights: dict[str, float] | None = None) -> DataFr
     return narrow.select("doc_id", F.col("mix_source").alias("source"), F.col("mix_block").alias("block"), F.col("mix_slot").alias("slot"), F.col("mix_index").alias("place"))
 
 
+def in_mixed_order(docs: DataFrame, weights: dict[str, float] | None = None) -> DataFrame:
+    """All documents, in their columns, as sorted ranges of the mixed order: files written from it keep that order."""
+    names = docs.columns
+    parts = max(2, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return mix(docs, weights).repartitionByRange(parts, "mix_slot", "mix_index").sortWithinPartitions("mix_slot", "mix_index").select(*names)
+
+
 def simulate(slots: dict[str, int]) -> list[str]:
     """One frame by brute force, for tests."""
     frame, done, out = sum(slots.values()), dict.fromkeys(slots, 0), []

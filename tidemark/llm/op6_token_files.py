@@ -105,6 +105,12 @@ def describe(spark: SparkSession, path: str) -> DataFrame:
     return read.join(parts, "part").select("doc_id", (F.col("base") + F.col("offset")).alias("start"), "n_tokens", "ids_crc32")
 
 
+def file_order(docs: DataFrame) -> list:
+    """The order of rows in the files that ``docs`` is read from: the file's number, and the row's in it."""
+    number = F.regexp_extract(docs["_metadata.file_name"], r"part-(\d+)", 1)
+    return [F.when(number != "", number.cast("long")), docs["_metadata.file_name"], docs["_metadata.row_index"]]
+
+
 def token_files(docs: DataFrame, order: list | None = None) -> DataFrame:
     """Write the token files in the shared folder and describe them from a read of their own."""
     spark = docs.sparkSession

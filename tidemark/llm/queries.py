@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import op1_lengths, op2_language, op3_decontaminate, op4_mixing, op5_substrings, op6_token_files, op7_licenses, op9_secrets, op10_transport_stream
+from . import op1_lengths, op2_language, op3_decontaminate, op4_mixing, op5_substrings, op6_token_files, op7_licenses, op8_jaccard, op9_secrets, op10_transport_stream
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,6 +42,10 @@ def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op7_licenses.scan(_docs(spark, sf_dir))
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op8_jaccard.similar(_docs(spark, sf_dir))
+
+
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op9_secrets.digest(op9_secrets.find_secrets(_docs(spark, sf_dir)))
 
@@ -57,6 +61,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_source_mixing": op4_source_mixing,
         "op5_substring_dedup": op5_substring_dedup,
         "op7_license_scan": op7_license_scan,
+        "op8_jaccard_join": op8_jaccard_join,
         "op9_secret_scan": op9_secret_scan,
         "op3_decontamination": op3_decontamination,
         "op6_token_output": op6_token_output,
