@@ -34,7 +34,7 @@ LEAST = {"assign": 6, "access": 20, "hex": 24}
 #: Strings that the models judge: unbroken, of at least this length.
 CANDIDATE = "[A-Za-z0-9+/_=-]{20,}"
 #: Ratio (natural logarithm, a pair of characters) from which a string counts as random.
-THRESHOLD = 0.75
+THRESHOLD = 0.3
 #: Documents that ordinary identifiers are taken from, about.
 SAMPLE = 3000
 #: Random strings of each sort that the random model is trained on.
