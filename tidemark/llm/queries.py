@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import op1_lengths, op2_language, op3_decontaminate, op4_mixing, op5_substrings, op6_token_files, op7_licenses, op8_jaccard, op9_secrets, op10_transport_stream
+from . import op1_lengths, op2_language, op3_decontaminate, op4_mixing, op5_substrings, op6_token_files, op7_licenses, op8_jaccard, op9_secrets, op10_transport_stream, oracles
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,7 +19,8 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     bench = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return op3_decontaminate.digest(op3_decontaminate.verbatim_matches(_docs(spark, sf_dir), bench))
+    found = op3_decontaminate.digest(op3_decontaminate.verbatim_matches(_docs(spark, sf_dir), bench))
+    return found.drop("longest_words", "longest_at", "longest_item")
 
 
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,4 +71,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return oracles.SQL
