@@ -16,12 +16,12 @@ common. Sets that share fewer than t shingles with all others end here.
 
 Candidates with a common signature are verified exactly on their sets:
 
-1. each document against its signatures' pivots (the least document of each),
-   the likeliest first, then those not yet in one component with it;
-2. signatures that still hold several components: all their documents against
-   the pivot, then pairs of different components, except those whose distances
-   to the pivot differ by more than the threshold's distance (the Jaccard
-   distance is a metric, so they cannot link).
+1. each document against its signatures' pivots (of each signature the set of
+   which the largest part occurs in other documents, as a family's original
+   does), the likeliest first, then those not yet in one component with it;
+2. signatures that still hold several components: their documents, gathered by
+   pivot into families, are compared block by block inside tasks, which give
+   the links that join components and no other pair.
 
 So every link is found or joins what is joined already, and copies are never
 expanded into all pairs.
@@ -51,6 +51,8 @@ from .packing import Rolling, Words
 
 #: Documents that a shingle of the rare class occurs in, at most.
 RARE = 64
+#: Documents of a block in a family, about, and shingles that are compared at once.
+FAMILY, COLUMNS = 256, 8192
 #: Prefix shingles for each class of frequent shingles, about.
 PER_CLASS = 4
 
@@ -58,7 +60,9 @@ SETS = "id long, k long, n int, shared binary, signs binary"
 SETS_SCHEMA = pa.schema([("id", pa.int64()), ("k", pa.int64()), ("n", pa.int32()), ("shared", pa.binary()), ("signs", pa.binary())])
 PAIR_SCHEMA = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("votes", pa.int32())])
 DONE_SCHEMA = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("same", pa.int64()), ("total", pa.int64())])
-HOLD_SCHEMA = pa.schema([("sign", pa.int64()), ("id", pa.int64()), ("component", pa.int64()), ("pivot", pa.int64())])
+HOLD_SCHEMA = pa.schema([("pivot", pa.int64()), ("id", pa.int64()), ("component", pa.int64())])
+#: A document as a signature's pivot: the parts in a million of its set that occur in no other document, and its id.
+PIVOT = np.dtype([("own", "<i8"), ("id", "<i8")])
 SPLIT = np.iinfo(np.int64).min  # a signature with several components in one group
 
 
@@ -185,18 +189,31 @@ def _signs(sets: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.concatenate(parts) if parts else np.zeros(0, np.uint64), row, sets.column("id").to_numpy()
 
 
+def _worth(sets: pa.Table) -> np.ndarray:
+    """Parts in a million of each set that occur in no other document: the least are nearest to a family's centre."""
+    common = np.array([len(x) // 8 for x in sets.column("shared").to_pylist()], np.int64)
+    n = sets.column("n").to_numpy().astype(np.int64)
+    return (n - common) * 1_000_000 // np.maximum(n, 1)
+
+
 def _pivot_rows(sets: pa.Table, buckets: int) -> pa.Table:
     signs, row, ids = _signs(sets)
     if not len(signs):
         return packing.SENT_SCHEMA.empty_table()
-    order = np.lexsort((ids[row], signs))
-    signs, own = signs[order], ids[row][order]
+    own = _worth(sets)[row]
+    order = np.lexsort((ids[row], own, signs))
+    signs = signs[order]
     first = np.flatnonzero(np.concatenate([[True], signs[1:] != signs[:-1]]))
-    return packing.sent_rows(sets.column("g")[0].as_py(), signs[first], own[first], buckets)
+    notes = np.empty(len(first), PIVOT)
+    notes["own"], notes["id"] = own[order][first], ids[row][order][first]
+    return packing.sent_rows(sets.column("g")[0].as_py(), signs[first], notes, buckets)
 
 
-def _least(first: np.ndarray, notes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return np.diff(np.append(first, len(notes))) > 1, np.minimum.reduceat(notes, first)
+def _best(first: np.ndarray, notes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Signatures of several groups, and the best pivot of each."""
+    count = np.diff(np.append(first, len(notes)))
+    order = np.lexsort((notes["id"], notes["own"], np.repeat(np.arange(len(first)), count)))
+    return count > 1, notes["id"][order][first]
 
 
 def _with_pivots(sets: pa.Table, answers: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -204,7 +221,7 @@ def _with_pivots(sets: pa.Table, answers: pa.Table) -> tuple[np.ndarray, np.ndar
     signs, row, ids = _signs(sets)
     own = ids[row]
     known, pivots = packing.known_of(answers, np.int64)
-    order = np.lexsort((own, signs))
+    order = np.lexsort((own, _worth(sets)[row], signs))
     signs, own = signs[order], own[order]
     new = np.concatenate([[True], signs[1:] != signs[:-1]]) if len(signs) else np.zeros(0, bool)
     first = np.flatnonzero(new)
@@ -283,8 +300,45 @@ def _holder_rows(sets: pa.Table, side: pa.Table) -> pa.Table:
     divided, _ = packing.known_of(part(0), np.int64)
     signs, own, pivot = _with_pivots(sets, part(1))
     which = divided.find(signs) >= 0
-    ids = own[which]
-    return pa.table([pa.array(signs[which].view(np.int64)), pa.array(ids), pa.array(_labels(ids, part(2))), pa.array(pivot[which])], schema=HOLD_SCHEMA)
+    rows = np.unique(np.stack([pivot[which], own[which]], 1), axis=0)
+    return pa.table([pa.array(rows[:, 0]), pa.array(rows[:, 1]), pa.array(_labels(rows[:, 1], part(2)))], schema=HOLD_SCHEMA)
+
+
+def _family_rows(members: pa.Table, threshold: int) -> pa.Table:
+    """Links between different components among the members of two blocks: a forest of them."""
+    ids, parts = members.column("id").to_pylist(), [packing.unplaned(x) for x in members.column("shared").to_pylist()]
+    n, count = members.column("n").to_numpy().astype(np.int64), len(parts)
+    size = [len(p) for p in parts]
+    row = np.repeat(np.arange(count), size)
+    tokens = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
+    _, token, often = np.unique(tokens, return_inverse=True, return_counts=True)
+    row, token = row[often[token] > 1], token[often[token] > 1]
+    order = np.argsort(token, kind="stable")
+    row, token = row[order], token[order]
+    token = np.cumsum(np.concatenate([[0], token[1:] != token[:-1]])) if len(token) else token
+    same = np.zeros((count, count), np.float32)
+    for low in range(0, int(token[-1]) + 1 if len(token) else 0, COLUMNS):
+        i, j = np.searchsorted(token, [low, low + COLUMNS])
+        part = np.zeros((count, COLUMNS), np.float32)
+        part[row[i:j], token[i:j] - low] = 1
+        same += part @ part.T
+    same = same.astype(np.int64)
+    a, b = np.nonzero(np.triu(same * (100 + threshold) >= threshold * (n[:, None] + n[None, :]), 1))
+    parent = {}
+
+    def root(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x] = parent[parent[x]]
+        return x
+
+    labels, links = members.column("component").to_pylist(), []
+    for i, j in zip(a.tolist(), b.tolist(), strict=True):
+        x, y = root(labels[i]), root(labels[j])
+        if x != y:
+            parent[y] = x
+            links.append((ids[i], ids[j]))
+    x, y = zip(*links, strict=True) if links else ((), ())
+    return pa.table([pa.array(x, pa.int64()), pa.array(y, pa.int64())], names=["a", "b"])
 
 
 class Join:
@@ -304,7 +358,7 @@ class Join:
 
     def pivots(self) -> DataFrame:
         buckets = self.buckets
-        return packing.answered(self.grouped().applyInArrow(lambda t: _pivot_rows(t, buckets), packing.SENT), _least, np.int64, np.int64)
+        return packing.answered(self.grouped().applyInArrow(lambda t: _pivot_rows(t, buckets), packing.SENT), _best, PIVOT, np.int64)
 
     def candidates(self) -> DataFrame:
         return self.grouped().cogroup(self.pivots().groupBy("g")).applyInArrow(_pair_rows, "a long, b long, votes int")
@@ -318,14 +372,27 @@ class Join:
         return written(sets.cogroup(side.groupBy("g")).applyInArrow(_verified_rows, "a long, b long, same long, total long"), name)
 
     def holders(self, labels: DataFrame) -> DataFrame:
-        """(sign, id, component, pivot) of signatures that hold several components."""
+        """(pivot, id, component): the documents of signatures that hold several components, by the signatures' pivots."""
         buckets = self.buckets
         label = labels.withColumn("g", group_of(self.groups, "id"))
         divided = packing.answered(self.grouped().cogroup(label.groupBy("g")).applyInArrow(lambda s, x: _component_rows(s, x, buckets), packing.SENT), _divided, np.int64, np.int64)
         none = {"hashes": F.lit(None).cast("binary"), "notes": F.lit(None).cast("binary")}
         no_label = {"id": F.lit(None).cast("long"), "component": F.lit(None).cast("long")}
         side = divided.withColumns(no_label | {"kind": F.lit(0)}).unionByName(self.pivots().withColumns(no_label | {"kind": F.lit(1)})).unionByName(label.withColumns(none | {"kind": F.lit(2)}))
-        return self.grouped().cogroup(side.groupBy("g")).applyInArrow(_holder_rows, "sign long, id long, component long, pivot long")
+        return self.grouped().cogroup(side.groupBy("g")).applyInArrow(_holder_rows, "pivot long, id long, component long")
+
+    def family_links(self, held: DataFrame, threshold: int) -> DataFrame:
+        """Links (a, b) between different components among the documents of one pivot.
+
+        A family is cut into blocks of bounded size; each task takes two blocks and
+        gives links alone, at most one less than it has documents.
+        """
+        sizes = held.groupBy("pivot").agg(F.ceil(F.count(F.lit(1)) / FAMILY).cast("int").alias("blocks"))
+        rows = held.join(sizes, "pivot").withColumn("i", F.pmod(F.xxhash64("id", "pivot"), "blocks").cast("int"))
+        other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("j")
+        rows = rows.select("pivot", "id", "component", "i", other).select("pivot", "id", "component", F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j"))
+        rows = rows.join(self.sets.select("id", "n", "shared"), "id")
+        return rows.groupBy("pivot", "i", "j").applyInArrow(lambda t: _family_rows(t, threshold), "a long, b long")
 
 
 def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -353,22 +420,8 @@ def linked(sets: DataFrame, threshold: int = 75) -> DataFrame:
     held = written(join.holders(labels), "holders")
     if held.isEmpty():
         return labels
-    third = join.verify(held.filter("id <> pivot").select(F.col("id").alias("a"), F.col("pivot").alias("b")).distinct().join(done, ["a", "b"], "left_anti"), "verified")
-    labels = components(third.filter(link), labels)
-    done = done.unionByName(third)
-    away = done.select(F.col("a").alias("id"), F.col("b").alias("pivot"), (1 - F.col("same") / F.col("total")).alias("away"))
-    held = held.join(away, ["id", "pivot"], "left").select("sign", "id", F.coalesce("away", F.lit(0.0)).alias("away"))
-    # distances to the pivot that differ by the threshold's distance at most fall into one bin or neighbours
-    far = 1 - threshold / 100 + 1e-9
-    held = held.withColumn("bin", F.floor(F.col("away") / far))
-    near = held.select("sign", F.col("id").alias("b"), F.col("away").alias("away_b"), F.explode(F.array(F.col("bin") - 1, "bin", F.col("bin") + 1)).alias("bin"))
-    label = lambda c, n: labels.select(F.col("id").alias(c), F.col("component").alias(n))
-    held = held.withColumnRenamed("id", "a").join(label("a", "ca"), "a", "left").withColumn("ca", F.coalesce("ca", "a"))
-    near = near.join(label("b", "cb"), "b", "left").withColumn("cb", F.coalesce("cb", "b"))
-    rest = held.join(near, ["sign", "bin"]).filter((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & (F.abs(F.col("away") - F.col("away_b")) <= far)).select("a", "b").distinct()
-    known = done.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    fourth = join.verify(rest.join(known, ["a", "b"], "left_anti"), "verified")
-    return components(fourth.filter(link), labels)
+    last = written(join.family_links(held, threshold).distinct(), "families")
+    return components(last, labels)
 
 
 def similar(docs: DataFrame, size: int = 5, threshold: int = 75) -> DataFrame:
