@@ -36,7 +36,7 @@ from .common import byte_texts, pick, small_batches, text_size, written
 #: Bytes of item texts that are sent to the workers at once.
 BLOCK_BYTES = 4_000_000
 #: Words of one suffix array (a longer document has one of its own).
-SHARD_WORDS = 1_000_000
+SHARD_WORDS = 250_000
 #: Leading words by which suffixes are preselected, at most.
 OPENING = 4
 #: Lower-cases A-Z and turns every byte that no word has into a space.
