@@ -34,8 +34,8 @@ from pyspark.sql.window import Window
 FRAME = 1000
 #: Documents of a block.
 BLOCK = 16
-#: Documents of a numbering bucket, about.
-BUCKET = 20_000
+#: Documents of a numbering bucket, about: each source has as many buckets as its size asks for.
+BUCKET = 2_000
 #: Most sources (the plan holds a weight for each).
 MOST_SOURCES = 100
 #: The name under which a null source is mixed.
@@ -68,7 +68,7 @@ def phases(blocks: dict[str, int], weights: dict[str, float], frame: int = FRAME
 
 
 def slot_table(spark: SparkSession, plan: list[tuple[dict[str, int], dict[str, int]]], names: list[str]) -> DataFrame:
-    """(source, phase, nth, in_frame): the slot of each source's nth block in a frame, by earliest deadline first."""
+    """(mix_to_source, mix_to_phase, mix_to_nth, mix_to_slot): the slot of each source's nth block in a frame, by earliest deadline first."""
     number = {s: i for i, s in enumerate(names)}
     rows = []
     for phase, (slots, _) in enumerate(plan):
@@ -85,7 +85,7 @@ def slot_table(spark: SparkSession, plan: list[tuple[dict[str, int], dict[str, i
     found = one.select("phase", F.posexplode(F.expr(ran)).alias("in_frame", "i"))
     nth = F.row_number().over(Window.partitionBy("phase", "i").orderBy("in_frame")) - 1
     source = F.element_at(F.array(*[F.lit(n) for n in names]), F.col("i").cast("int") + 1)
-    return found.select(source.alias("s_source"), F.col("phase").alias("s_phase"), nth.cast("long").alias("s_nth"), F.col("in_frame").cast("long").alias("s_in_frame"))
+    return found.select(source.alias("mix_to_source"), F.col("phase").alias("mix_to_phase"), nth.cast("long").alias("mix_to_nth"), F.col("in_frame").cast("long").alias("mix_to_slot"))
 
 
 def mix(docs: DataFrame, weights: dict[str, float] | None = None, block: int = BLOCK, frame: int = FRAME) -> DataFrame:
@@ -103,15 +103,16 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, block: int = B
         raise ValueError(f"more than {MOST_SOURCES} sources")
     total, names = sum(counts.values()), sorted(counts)
     given = {s: n**0.5 for s, n in counts.items()} if weights is None else {s: weights.get(s, n / total) for s, n in counts.items()}
-    bucket = F.pmod(F.xxhash64(docs["doc_id"]), F.lit(max(1, -(-total // BUCKET)))).cast("int")
+    buckets = F.element_at(F.create_map(*[F.lit(x) for s, n in counts.items() for x in (s, max(1, -(-n // BUCKET)))] or [F.lit(""), F.lit(1)]), name)
+    bucket = F.pmod(F.xxhash64(docs["doc_id"]), buckets).cast("int")
     inside = F.row_number().over(Window.partitionBy("mix_source", "mix_bucket").orderBy(F.xxhash64(docs["doc_id"], F.lit("mix")), docs["doc_id"])) - 1
     rows = docs.withColumns({"mix_source": name, "mix_bucket": bucket}).withColumn("mix_n", inside)
     if not total:
         none = F.lit(None).cast("long")
         return rows.drop("mix_bucket", "mix_n").withColumns({"mix_block": none, "mix_slot": none, "mix_index": none})
-    sizes = docs.groupBy(name.alias("s"), bucket.alias("b")).agg(F.count(F.lit(1)).alias("n"))
-    before = F.coalesce(F.sum("n").over(Window.partitionBy("s").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    rows = rows.join(sizes.select("s", "b", before.alias("mix_before")), (F.col("mix_source") == F.col("s")) & (F.col("mix_bucket") == F.col("b")))
+    sizes = docs.groupBy(name.alias("mix_s"), bucket.alias("mix_b")).agg(F.count(F.lit(1)).alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("mix_s").orderBy("mix_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    rows = rows.join(sizes.select("mix_s", "mix_b", before.alias("mix_before")), (F.col("mix_source") == F.col("mix_s")) & (F.col("mix_bucket") == F.col("mix_b")))
     rows = rows.withColumn("mix_n", F.col("mix_n") + F.col("mix_before")).withColumns({"mix_block": F.floor(F.col("mix_n") / block), "mix_index": F.col("mix_n") % block})
     plan = phases({s: -(-n // block) for s, n in counts.items()}, given, frame)
     mine = F.element_at(F.filter(_phase_column(plan, names), lambda p: (F.col("mix_block") >= p["first"]) & (F.col("mix_block") < p["end"])), 1)
@@ -119,10 +120,10 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, block: int = B
     rows = rows.withColumn("mix_p", mine)
     rows = rows.join(
         F.broadcast(slot_table(spark, plan, names)),
-        (F.col("mix_source") == F.col("s_source")) & (F.col("mix_p.phase") == F.col("s_phase")) & (F.pmod(at, F.col("mix_p.slots")) == F.col("s_nth")),
+        (F.col("mix_source") == F.col("mix_to_source")) & (F.col("mix_p.phase") == F.col("mix_to_phase")) & (F.pmod(at, F.col("mix_p.slots")) == F.col("mix_to_nth")),
     )
-    slot = F.col("mix_p.base") + F.floor(at / F.col("mix_p.slots")) * F.col("mix_p.frame") + F.col("s_in_frame")
-    return rows.withColumn("mix_slot", slot).drop("s", "b", "mix_before", "mix_bucket", "mix_n", "mix_p", "s_source", "s_phase", "s_nth", "s_in_frame")
+    slot = F.col("mix_p.base") + F.floor(at / F.col("mix_p.slots")) * F.col("mix_p.frame") + F.col("mix_to_slot")
+    return rows.withColumn("mix_slot", slot).drop("mix_s", "mix_b", "mix_before", "mix_bucket", "mix_n", "mix_p", "mix_to_source", "mix_to_phase", "mix_to_nth", "mix_to_slot")
 
 
 def _phase_column(plan: list[tuple[dict[str, int], dict[str, int]]], names: list[str]) -> Column:
