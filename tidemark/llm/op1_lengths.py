@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import pick, small_batches
+from .common import pick, small_batches, written
 from .tokens import encoder, pieces, vocabulary_path
 
 #: Lengths of a band in the two-level sums.
@@ -51,7 +51,8 @@ def length_histogram(lengths: DataFrame) -> DataFrame:
     truncated_tokens (all tokens if every document is cut at this limit), quantile
     (share of documents of at most this length).
     """
-    hist = lengths.groupBy("n_tokens").agg(F.count(F.lit(1)).alias("n_docs"))
+    # two sums read the histogram, which is small: written out, the texts are encoded once
+    hist = written(lengths.groupBy("n_tokens").agg(F.count(F.lit(1)).alias("n_docs")), "lengths")
     hist = hist.withColumn("band", F.floor(F.col("n_tokens") / BAND))
     bands = hist.groupBy("band").agg(F.sum("n_docs").alias("d"), F.sum(F.col("n_docs") * F.col("n_tokens")).alias("t"))
     before = Window.orderBy("band").rowsBetween(Window.unboundedPreceding, -1)
