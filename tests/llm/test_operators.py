@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 import zlib
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -139,6 +140,39 @@ def test_op4_places_every_row(spark):
     assert op4_mixing.in_mixed_order(docs).count() == len(rows)
 
 
+def test_op4_stays_at_its_targets_over_many_slots(spark):
+    """Less than one block from the exact target, however long the schedule and whatever the weights."""
+    docs = spark.range(6000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 < 2, "a").otherwise("b").alias("source"))
+    for weights in ({"a": 2, "b": 1}, {"a": 1, "b": 1e-6}):
+        got = op4_mixing.mix(docs, weights, block=1).select("mix_slot", "mix_source").collect()
+        ran, both = [s for _, s in sorted(tuple(r) for r in got)], weights["a"] + weights["b"]
+        assert len({r["mix_slot"] for r in got}) == 6000
+        for t in range(1, 6001):
+            want = min(Fraction(t) * Fraction(weights["b"]) / Fraction(both), 2000) if t * weights["a"] <= 4000 * both else t - 4000
+            assert abs(ran[:t].count("b") - want) < 1
+
+
+def test_op4_targets_follow_sources_that_run_out():
+    rng = random.Random(4)
+    for _ in range(30):
+        blocks = {str(i): rng.randrange(1, 50) for i in range(rng.randrange(1, 8))}
+        weights = {s: Fraction(rng.choice([n**0.5, 1, rng.random(), 1e-6])) for s, n in blocks.items()}
+        ran = dict(sorted((t, s) for s, own in op4_mixing.slots_of(blocks, weights).items() for t in own))
+        assert list(ran) == list(range(sum(blocks.values())))
+        done, target = dict.fromkeys(blocks, 0), dict.fromkeys(blocks, Fraction(0))
+        for s in ran.values():
+            done[s] += 1
+            slot = Fraction(1)
+            while slot:  # the fluid mix, from one source's end to the next
+                left = {s: n - target[s] for s, n in blocks.items() if n > target[s]}
+                rate = sum(weights[s] for s in left)
+                step = min(slot, *(n * rate / weights[s] for s, n in left.items()), slot)
+                for s in left:
+                    target[s] += step * weights[s] / rate
+                slot -= step
+            assert all(abs(done[s] - target[s]) < 1 for s in blocks)
+
+
 @pytest.mark.parametrize("window", [2, 3, 20])
 def test_op5_brute_force(spark, monkeypatch, window):
     monkeypatch.setattr(op5_substrings, "GROUP_BYTES", 500)

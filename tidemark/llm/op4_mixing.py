@@ -1,21 +1,22 @@
-"""Mixing sources to target weights by Pfair scheduling, in DataFrame functions only.
+"""Mixing sources to target weights by Pfair scheduling; documents are placed by DataFrame functions only.
 
 Each source's documents are cut into blocks of equal size. Time runs in slots
 of one block. With weight w, block k of a source is released at floor(k / w)
 and due at ceil((k + 1) / w); in every slot the released block that is due
-earliest runs (ties: the source that sorts first). As the weights add up to 1,
-no block misses its window, so each source is always less than one block away
-from its share.
+earliest runs (ties: the source that sorts first). When a source runs out, the
+others go on with their weights scaled up, and the windows follow: the target
+is the fluid mix, in which all sources run at once, each at its share of the
+weights of those that have blocks left. As the shares always add up to 1, no
+block misses its window, so each source is less than one block away from its
+target at any time, over the whole schedule.
 
-Weights are whole numbers of slots in a frame of ``FRAME`` slots. The schedule
-of a frame repeats, so one frame is planned (by SQL's ``aggregate`` over its
-slots) and every block finds its slot by a join. When a source runs out, the
-others go on in a new frame with their weights scaled up, so every document
-gets a place; there are at most as many such phases as sources.
+Weights are exact fractions: windows are computed in whole numbers of any size.
 
 Scale: documents are numbered within (source, bucket) groups of bounded size,
 then shifted by the buckets' running counts: no source, however large, is
-sorted in one task. The tables joined have a row a bucket, or a row a slot.
+sorted in one task. The driver plans the slots, one step a block in the time of
+a heap's operation, and holds 8 bytes a block (of ``BLOCK`` documents); a
+bucket's slots travel with its row in the table that is joined.
 
 Edge cases: a null source is a source of its own; a source without a weight
 gets its share of the documents; repeated rows each get a place; an empty
@@ -24,25 +25,32 @@ table gives no rows; no column is lost or renamed; null ids are placed too.
 
 from __future__ import annotations
 
+from array import array
+from bisect import bisect_right
 from fractions import Fraction
+from heapq import heappop, heappush
+from math import lcm
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-#: Slots of a frame: weights are multiples of its inverse.
-FRAME = 1000
+from .common import shared_path
+
 #: Documents of a block.
 BLOCK = 16
 #: Documents of a numbering bucket, about: each source has as many buckets as its size asks for.
 BUCKET = 2_000
+#: Slots of the plan in one write, about.
+PIECE = 1_000_000
 #: Most sources (the plan holds a weight for each).
 MOST_SOURCES = 100
 #: The name under which a null source is mixed.
 NULL_SOURCE = "(null)"
 
 
-def shares(weights: dict[str, float], frame: int = FRAME) -> dict[str, int]:
+def shares(weights: dict[str, float], frame: int) -> dict[str, int]:
     """Whole slots of a frame for each source, by largest remainder, at least one."""
     frame = max(frame, len(weights))
     total = sum(Fraction(w) for w in weights.values())
@@ -55,53 +63,98 @@ def shares(weights: dict[str, float], frame: int = FRAME) -> dict[str, int]:
     return out
 
 
-def phases(blocks: dict[str, int], weights: dict[str, float], frame: int = FRAME) -> list[tuple[dict[str, int], dict[str, int]]]:
-    """Slots of a frame, and blocks that are to be placed, for each phase. A phase ends in the frame in which a source runs out."""
-    left, out = {s: n for s, n in blocks.items() if n}, []
-    while left:
-        slots = shares({s: weights[s] for s in left}, frame)
-        frames = min(-(-n // slots[s]) for s, n in left.items())
-        taken = {s: min(n, frames * slots[s]) for s, n in left.items()}
-        out.append((slots, taken))
-        left = {s: n - taken[s] for s, n in left.items() if n > taken[s]}
-    return out
+class Fluid:
+    """When the fluid mix has passed k blocks of a source.
+
+    At level v each source has passed min(n, w * v) blocks. Between the levels n / w
+    at which sources run out, the slots passed are ``done`` + ``rate`` * v, with whole
+    numbers of blocks of those that ran out and weights of those that are left.
+    """
+
+    def __init__(self, blocks: list[int], weights: list[int]):
+        self.blocks, self.weights = blocks, weights
+        self.order = sorted(range(len(blocks)), key=lambda i: Fraction(blocks[i], weights[i]))
+        self.levels = [blocks[i] / weights[i] for i in self.order]
+        self.done, self.rate = [0], [sum(weights)]
+        for i in self.order:
+            self.done.append(self.done[-1] + blocks[i])
+            self.rate.append(self.rate[-1] - weights[i])
+
+    def at(self, i: int, k: int) -> tuple[int, int]:
+        """The slots passed at block k of source i, rounded down and up."""
+        w = self.weights[i]
+        j = bisect_right(self.levels, k / w)  # nearly: the levels are compared exactly from there
+        while j < len(self.order) and self.blocks[self.order[j]] * w < k * self.weights[self.order[j]]:
+            j += 1
+        while j and self.blocks[self.order[j - 1]] * w >= k * self.weights[self.order[j - 1]]:
+            j -= 1
+        slots, part = divmod(self.rate[j] * k, w)
+        return self.done[j] + slots, self.done[j] + slots + (part > 0)
+
+
+def slots_of(blocks: dict[str, int], weights: dict[str, float | Fraction]) -> dict[str, array]:
+    """The slot of each block of each source, by earliest deadline first against the fluid mix."""
+    names = sorted(s for s, n in blocks.items() if n)
+    exact = [Fraction(weights[s]) for s in names]
+    if any(w <= 0 for w in exact):
+        raise ValueError("weights must be positive")
+    unit = lcm(*[w.denominator for w in exact])
+    count = [blocks[s] for s in names]
+    fluid = Fluid(count, [w.numerator * (unit // w.denominator) for w in exact])
+    out = [array("q") for _ in names]
+    ready: list[tuple[int, int]] = []
+    waiting: list[tuple[int, int, int]] = []
+    for i in range(len(names)):
+        heappush(ready, (fluid.at(i, 1)[1], i))
+    for t in range(sum(count)):
+        while waiting and waiting[0][0] <= t:
+            heappush(ready, heappop(waiting)[1:])
+        _, i = heappop(ready)
+        out[i].append(t)
+        k = len(out[i])
+        if k < count[i]:
+            heappush(waiting, (fluid.at(i, k)[0], fluid.at(i, k + 1)[1], i))
+    return dict(zip(names, out, strict=True))
 
 
 def slot_table(spark: SparkSession, plan: list[tuple[dict[str, int], dict[str, int]]], names: list[str]) -> DataFrame:
-    """(mix_to_source, mix_to_phase, mix_to_nth, mix_to_slot): the slot of each source's nth block in a frame, by earliest deadline first."""
-    number = {s: i for i, s in enumerate(names)}
-    rows = []
-    for phase, (slots, _) in enumerate(plan):
-        jobs = [F.struct(F.lit(number[s]).cast("long").alias("i"), F.lit(slots[s]).cast("long").alias("w"), F.lit(0).cast("long").alias("k")) for s in sorted(slots)]
-        rows.append(F.struct(F.lit(phase).alias("phase"), F.lit(sum(slots.values())).cast("long").alias("frame"), F.array(*jobs).alias("jobs")))
-    one = spark.range(1).select(F.explode(F.array(*rows)).alias("p")).select("p.*")
-    ready = "x.k < x.w AND x.k * frame div x.w <= t"
-    due = "((x.k + 1) * frame + x.w - 1) div x.w"
-    first = f"array_min(transform(s.jobs, x -> IF({ready}, named_struct('due', {due}, 'i', x.i), NULL))).i"
-    step = f"""transform(array({first}), j -> named_struct(
-        'jobs', transform(s.jobs, x -> IF(x.i = j, named_struct('i', x.i, 'w', x.w, 'k', x.k + 1L), x)),
-        'ran', s.ran || array(j)))[0]"""
-    ran = f"aggregate(sequence(0L, frame - 1L), named_struct('jobs', jobs, 'ran', cast(array() AS array<bigint>)), (s, t) -> {step}, s -> s.ran)"
-    found = one.select("phase", F.posexplode(F.expr(ran)).alias("in_frame", "i"))
-    nth = F.row_number().over(Window.partitionBy("phase", "i").orderBy("in_frame")) - 1
-    source = F.element_at(F.array(*[F.lit(n) for n in names]), F.col("i").cast("int") + 1)
-    return found.select(source.alias("mix_to_source"), F.col("phase").alias("mix_to_phase"), nth.cast("long").alias("mix_to_nth"), F.col("in_frame").cast("long").alias("mix_to_slot"))
-
-
-def mix(docs: DataFrame, weights: dict[str, float] | None = None, block: int = BLOCK, frame: int = FRAME) -> DataFrame:
+    """(mix_to_source, mix_to_phase, mix_to_nth, mix_to_slot): the slot of each source's nth block, for mixes of (weights, blocks)."""
+    rows = [(s, phase, nth, slot) for phase, (weights, blocks) in enumerate(plan) for s, own in slots_of(blocks, weights).items() for nth, slot in enumerate(own) if s in names]
+    return spark.createDataFrame(rows, "mix_to_source string, mix_to_phase int, mix_to_nth long, mix_to_slot long")
+
+
+def bucket_plan(spark: SparkSession, sizes: list[tuple[str, int, int]], slots: dict[str, array], block: int) -> DataFrame:
+    """(mix_s, mix_b, mix_before, mix_slots): documents of the source before each bucket, and the slots of the blocks that it meets."""
+    kinds = pa.schema([("mix_s", pa.string()), ("mix_b", pa.int32()), ("mix_before", pa.int64()), ("mix_slots", pa.list_(pa.int64()))])
+    path, rows, held, before, last = shared_path(spark, "mix"), [], 0, 0, None
+    sizes = sorted(sizes)
+    for at, (s, b, n) in enumerate(sizes):
+        before = before if s == last else 0
+        own = slots[s][before // block : (before + n - 1) // block + 1]
+        rows.append({"mix_s": s, "mix_b": b, "mix_before": before, "mix_slots": own})
+        held, before, last = held + len(own), before + n, s
+        if held >= PIECE or at == len(sizes) - 1:
+            df = spark.createDataFrame(pa.Table.from_pylist(rows, kinds))
+            df.write.mode("append").parquet(path)
+            rows, held = [], 0
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def mix(docs: DataFrame, weights: dict[str, float] | None = None, block: int = BLOCK, frame: int | None = None) -> DataFrame:
     """The documents with ``mix_source``, ``mix_block`` (of its source), ``mix_slot`` and ``mix_index`` (in its block).
 
     The mixed order is that of (mix_slot, mix_index); within a source documents
     are in hashed order. ``weights``: a positive target for each source; those
     not named get their share of the documents. Unset: the square root of each
-    source's number of documents, which flattens the sizes.
+    source's number of documents, which flattens the sizes. ``frame``: weights
+    are first rounded to whole slots of so many (unset: they are exact).
     """
     spark = docs.sparkSession
     name = F.coalesce(docs["source"].cast("string"), F.lit(NULL_SOURCE))
     counts = {r["s"]: r["n"] for r in docs.groupBy(name.alias("s")).agg(F.count(F.lit(1)).alias("n")).limit(MOST_SOURCES + 1).collect()}
     if len(counts) > MOST_SOURCES:
         raise ValueError(f"more than {MOST_SOURCES} sources")
-    total, names = sum(counts.values()), sorted(counts)
+    total = sum(counts.values())
     given = {s: n**0.5 for s, n in counts.items()} if weights is None else {s: weights.get(s, n / total) for s, n in counts.items()}
     buckets = F.element_at(F.create_map(*[F.lit(x) for s, n in counts.items() for x in (s, max(1, -(-n // BUCKET)))] or [F.lit(""), F.lit(1)]), name)
     bucket = F.pmod(F.xxhash64(docs["doc_id"]), buckets).cast("int")
@@ -111,34 +164,12 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, block: int = B
         none = F.lit(None).cast("long")
         return rows.drop("mix_bucket", "mix_n").withColumns({"mix_block": none, "mix_slot": none, "mix_index": none})
     sizes = docs.groupBy(name.alias("mix_s"), bucket.alias("mix_b")).agg(F.count(F.lit(1)).alias("n"))
-    before = F.coalesce(F.sum("n").over(Window.partitionBy("mix_s").orderBy("mix_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    rows = rows.join(sizes.select("mix_s", "mix_b", before.alias("mix_before")), (F.col("mix_source") == F.col("mix_s")) & (F.col("mix_bucket") == F.col("mix_b")))
+    slots = slots_of({s: -(-n // block) for s, n in counts.items()}, shares(given, frame) if frame else given)
+    plan = bucket_plan(spark, [tuple(r) for r in sizes.collect()], slots, block)
+    rows = rows.join(plan, (F.col("mix_source") == F.col("mix_s")) & (F.col("mix_bucket") == F.col("mix_b")))
     rows = rows.withColumn("mix_n", F.col("mix_n") + F.col("mix_before")).withColumns({"mix_block": F.floor(F.col("mix_n") / block), "mix_index": F.col("mix_n") % block})
-    plan = phases({s: -(-n // block) for s, n in counts.items()}, given, frame)
-    mine = F.element_at(F.filter(_phase_column(plan, names), lambda p: (F.col("mix_block") >= p["first"]) & (F.col("mix_block") < p["end"])), 1)
-    at = F.col("mix_block") - F.col("mix_p.first")
-    rows = rows.withColumn("mix_p", mine)
-    rows = rows.join(
-        F.broadcast(slot_table(spark, plan, names)),
-        (F.col("mix_source") == F.col("mix_to_source")) & (F.col("mix_p.phase") == F.col("mix_to_phase")) & (F.pmod(at, F.col("mix_p.slots")) == F.col("mix_to_nth")),
-    )
-    slot = F.col("mix_p.base") + F.floor(at / F.col("mix_p.slots")) * F.col("mix_p.frame") + F.col("mix_to_slot")
-    return rows.withColumn("mix_slot", slot).drop("mix_s", "mix_b", "mix_before", "mix_bucket", "mix_n", "mix_p", "mix_to_source", "mix_to_phase", "mix_to_nth", "mix_to_slot")
-
-
-def _phase_column(plan: list[tuple[dict[str, int], dict[str, int]]], names: list[str]) -> Column:
-    """For a row's source, its phases: the blocks they place (first, end), their slots, frame and base."""
-    lists: dict[str, list] = {s: [] for s in names}
-    placed, base = dict.fromkeys(names, 0), 0
-    for phase, (slots, taken) in enumerate(plan):
-        size, frames = sum(slots.values()), max(-(-n // slots[s]) for s, n in taken.items())
-        for s, n in taken.items():
-            fields = {"phase": F.lit(phase), "first": placed[s], "end": placed[s] + n, "slots": slots[s], "frame": size, "base": base}
-            lists[s].append(F.struct(*[(F.lit(v).cast("long") if k != "phase" else v).alias(k) for k, v in fields.items()]))
-            placed[s] += n
-        base += frames * size
-    pairs = [x for s in names for x in (F.lit(s), F.array(*lists[s]))]
-    return F.element_at(F.create_map(*pairs), F.col("mix_source"))
+    slot = F.element_at("mix_slots", (F.col("mix_block") - F.floor(F.col("mix_before") / block) + 1).cast("int"))
+    return rows.withColumn("mix_slot", slot).drop("mix_s", "mix_b", "mix_before", "mix_bucket", "mix_n", "mix_slots")
 
 
 def schedule(docs: DataFrame, weights: dict[str, float] | None = None) -> DataFrame:
