@@ -152,6 +152,17 @@ def test_op4_stays_at_its_targets_over_many_slots(spark):
             assert abs(ran[:t].count("b") - want) < 1
 
 
+def test_op4_any_number_of_sources(spark, monkeypatch):
+    monkeypatch.setattr(op4_mixing, "BUCKET", 20)
+    monkeypatch.setattr(op4_mixing, "PIECE", 500)
+    docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, F.concat(F.lit("site"), F.col("id"))).otherwise(F.concat(F.lit("many"), F.col("id") % 7)).alias("source"))
+    got = op4_mixing.schedule(docs).collect()
+    assert len(got) == 3000 and len({r["source"] for r in got}) == 1007
+    blocks = {(r["source"], r["block"]): r["slot"] for r in got}
+    assert sorted(blocks.values()) == list(range(len(blocks)))
+    assert len({(r["slot"], r["place"]) for r in got}) == 3000
+
+
 def test_op4_targets_follow_sources_that_run_out():
     rng = random.Random(4)
     for _ in range(30):

@@ -15,8 +15,10 @@ Weights are exact fractions: windows are computed in whole numbers of any size.
 Scale: documents are numbered within (source, bucket) groups of bounded size,
 then shifted by the buckets' running counts: no source, however large, is
 sorted in one task. The driver plans the slots, one step a block in the time of
-a heap's operation, and holds 8 bytes a block (of ``BLOCK`` documents); a
-bucket's slots travel with its row in the table that is joined.
+a heap's operation, and holds 8 bytes a block (of ``BLOCK`` documents) and a
+row a source and a bucket; a bucket's slots travel with its row in the table
+that is joined. There may be any number of sources: only those of more than
+``BUCKET`` documents, at most one in so many documents, are sent to every task.
 
 Edge cases: a null source is a source of its own; a source without a weight
 gets its share of the documents; repeated rows each get a place; an empty
@@ -42,10 +44,8 @@ from .common import shared_path
 BLOCK = 16
 #: Documents of a numbering bucket, about: each source has as many buckets as its size asks for.
 BUCKET = 2_000
-#: Slots of the plan in one write, about.
-PIECE = 1_000_000
-#: Most sources (the plan holds a weight for each).
-MOST_SOURCES = 100
+#: Slots and buckets of the plan in one write, about.
+PIECE = 250_000
 #: The name under which a null source is mixed.
 NULL_SOURCE = "(null)"
 
@@ -131,15 +131,20 @@ def bucket_plan(spark: SparkSession, sizes: list[tuple[str, int, int]], slots: d
     for at, (s, b, n) in enumerate(sizes):
         before = before if s == last else 0
         own = slots[s][before // block : (before + n - 1) // block + 1]
-        rows.append({"mix_s": s, "mix_b": b, "mix_before": before, "mix_slots": own})
-        held, before, last = held + len(own), before + n, s
+        rows.append((s, b, before, own))
+        held, before, last = held + 1 + len(own), before + n, s
         if held >= PIECE or at == len(sizes) - 1:
-            df = spark.createDataFrame(pa.Table.from_pylist(rows, kinds))
+            df = spark.createDataFrame(pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), kinds, strict=True)], schema=kinds))
             df.write.mode("append").parquet(path)
             rows, held = [], 0
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _rows(df: DataFrame) -> list[tuple]:
+    """The rows of a narrow table, sent as Arrow."""
+    return list(zip(*df.toArrow().to_pydict().values(), strict=True))
+
+
 def mix(docs: DataFrame, weights: dict[str, float] | None = None, block: int = BLOCK, frame: int | None = None) -> DataFrame:
     """The documents with ``mix_source``, ``mix_block`` (of its source), ``mix_slot`` and ``mix_index`` (in its block).
 
@@ -151,21 +156,22 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, block: int = B
     """
     spark = docs.sparkSession
     name = F.coalesce(docs["source"].cast("string"), F.lit(NULL_SOURCE))
-    counts = {r["s"]: r["n"] for r in docs.groupBy(name.alias("s")).agg(F.count(F.lit(1)).alias("n")).limit(MOST_SOURCES + 1).collect()}
-    if len(counts) > MOST_SOURCES:
-        raise ValueError(f"more than {MOST_SOURCES} sources")
+    counts = dict(_rows(docs.groupBy(name.alias("s")).agg(F.count(F.lit(1)).alias("n"))))
     total = sum(counts.values())
     given = {s: n**0.5 for s, n in counts.items()} if weights is None else {s: weights.get(s, n / total) for s, n in counts.items()}
-    buckets = F.element_at(F.create_map(*[F.lit(x) for s, n in counts.items() for x in (s, max(1, -(-n // BUCKET)))] or [F.lit(""), F.lit(1)]), name)
-    bucket = F.pmod(F.xxhash64(docs["doc_id"]), buckets).cast("int")
-    inside = F.row_number().over(Window.partitionBy("mix_source", "mix_bucket").orderBy(F.xxhash64(docs["doc_id"], F.lit("mix")), docs["doc_id"])) - 1
-    rows = docs.withColumns({"mix_source": name, "mix_bucket": bucket}).withColumn("mix_n", inside)
+    large = [(s, -(-n // BUCKET)) for s, n in counts.items() if n > BUCKET]
+    kinds = pa.schema([("mix_large", pa.string()), ("mix_buckets", pa.int32())])
+    large = F.broadcast(spark.createDataFrame(pa.Table.from_pylist([dict(zip(kinds.names, x, strict=True)) for x in large], kinds)))
+    bucket = F.pmod(F.xxhash64("doc_id"), F.coalesce("mix_buckets", F.lit(1))).cast("int")
+    dealt = lambda df: df.withColumn("mix_source", name).join(large, F.col("mix_source") == F.col("mix_large"), "left").withColumn("mix_bucket", bucket).drop("mix_large", "mix_buckets")
+    inside = F.row_number().over(Window.partitionBy("mix_source", "mix_bucket").orderBy(F.xxhash64("doc_id", F.lit("mix")), "doc_id")) - 1
+    rows = dealt(docs).withColumn("mix_n", inside)
     if not total:
         none = F.lit(None).cast("long")
         return rows.drop("mix_bucket", "mix_n").withColumns({"mix_block": none, "mix_slot": none, "mix_index": none})
-    sizes = docs.groupBy(name.alias("mix_s"), bucket.alias("mix_b")).agg(F.count(F.lit(1)).alias("n"))
+    sizes = _rows(dealt(docs.select("doc_id", "source")).groupBy("mix_source", "mix_bucket").agg(F.count(F.lit(1)).alias("n")))
     slots = slots_of({s: -(-n // block) for s, n in counts.items()}, shares(given, frame) if frame else given)
-    plan = bucket_plan(spark, [tuple(r) for r in sizes.collect()], slots, block)
+    plan = bucket_plan(spark, sizes, slots, block)
     rows = rows.join(plan, (F.col("mix_source") == F.col("mix_s")) & (F.col("mix_bucket") == F.col("mix_b")))
     rows = rows.withColumn("mix_n", F.col("mix_n") + F.col("mix_before")).withColumns({"mix_block": F.floor(F.col("mix_n") / block), "mix_index": F.col("mix_n") % block})
     slot = F.element_at("mix_slots", (F.col("mix_block") - F.floor(F.col("mix_before") / block) + 1).cast("int"))
