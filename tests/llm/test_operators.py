@@ -238,6 +238,16 @@ def test_op7_matches(spark):
         op7_licenses.Index({"x": "w " * 3_000_000})
 
 
+def test_op7_repeated_notices(spark):
+    mit, by, nc = (op7_licenses.TEMPLATES[k] for k in ("MIT", "CC-BY-4.0", "CC-BY-NC-4.0"))
+    rows = [(1, f"{mit} {mit}"), (2, f"{by}\n{by}"), (3, f"{by} {nc} {by}"), (4, f"Released under the License. {mit}"), (5, f"x {mit} " * 300)]
+    got = {r["doc_id"]: r["matches"] for r in op7_licenses.scan(docs_of(spark, rows)).collect()}
+    assert [(m["first_word"], m["last_word"]) for m in got[1]] == [(0, 5), (5, 10)]
+    assert [(m["first_word"], m["last_word"]) for m in got[2]] == [(0, 6), (6, 12)]
+    assert [m["license"] for m in got[3]] == ["CC-BY-4.0", "CC-BY-NC-4.0", "CC-BY-4.0"]
+    assert [(m["first_word"], m["matched"]) for m in got[4]] == [(0, 4), (4, 5)] and len(got[5]) == 300
+
+
 def test_op7_finds_all_planted_lines(corpus):
     lines = [t for k, t in op7_licenses.TEMPLATES.items() if k in ("MIT", "Apache-2.0", "GPL-3.0", "CC-BY-NC-4.0")]
     got = {r["doc_id"]: r["n_matches"] for r in op7_licenses.scan(corpus).collect()}

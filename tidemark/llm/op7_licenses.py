@@ -1,26 +1,36 @@
-"""License scans: winnowed fingerprints, then banded alignment.
+"""License scans: rarest words as anchors, then banded alignment.
 
-Templates are cut into words; hashes of ``GRAM`` words are winnowed (the least
-of every ``WINDOW`` in a row) into an inverted index from fingerprint to
-template and place. A document's fingerprints, chosen by the same rule, look
-up candidates (template and diagonal). Each candidate is aligned with the
-document's words around it, within a band of ``BAND`` words, and is reported
-with the matched coverage of the template and its span in the document.
+Templates are cut into words. A match has at least ``COVERAGE`` of a template's
+words in order, so it misses ``slack`` words at most. Of any slack + q places of
+the template it therefore holds q: the places of the template's rarest words
+are its anchors, and wherever q of them agree on a diagonal (within ``BAND``
+words), the document's words there are aligned. Nothing that reaches the
+coverage within the band is passed over, however short the template is.
 
-Scale: row by row over whole texts, no shuffle; the index is a parameter of
-at most ``MOST_BYTES`` and is sent to the workers once.
+Templates of up to ``SHORT`` words are aligned through each anchor by itself,
+so notices side by side are told apart; longer ones on each diagonal. Of
+matches that overlap the one of most words stays (then of the greatest
+coverage, then the tightest), and the others are aligned again in what is left.
+
+Scale: row by row over whole texts, no shuffle; a template is only looked for
+in documents that have enough of its words in any order. The templates are a
+parameter of at most ``MOST_BYTES`` and are sent to the workers once.
 
 Edge cases: null and empty texts have no matches; repeated rows give equal
-rows; of overlapping matches the one of most words stays; a very long text
-is scanned in full, each alignment reads only a band; an empty table gives no
-rows; other columns are ignored. Offsets count words and code points.
+rows; repeated notices are all reported; a very long text is scanned in full,
+each alignment reads only a band; an empty table gives no rows; other columns
+are ignored; templates of one word match that word, templates without a word
+are refused. Offsets count words and code points.
 """
 
 from __future__ import annotations
 
 import re
-from collections import defaultdict
+from bisect import bisect_right, insort
+from collections import Counter, defaultdict
 from collections.abc import Iterator
+from heapq import heapify, heappop, heappush
+from math import ceil
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -28,7 +38,9 @@ from pyspark.sql import functions as F
 
 from .common import pick, small_batches
 
-GRAM, WINDOW, BAND = 3, 2, 6
+BAND = 6
+#: Words of a template whose neighbouring matches a band could mix up.
+SHORT = 16
 #: Least share of a template's words that must match.
 COVERAGE = 0.8
 #: Bytes of all templates, at most.
@@ -55,76 +67,157 @@ def cut(text: str) -> list[tuple[str, int, int]]:
     return [(m.group(), m.start(), m.end()) for m in WORD.finditer(text.lower() if text.isascii() else "".join(c.lower() if c.isascii() else c for c in text))]
 
 
-def winnow(keys: list, window: int = WINDOW) -> Iterator[tuple[object, int]]:
-    """The least hash of every window of hashes, rightmost of equals; each place once."""
-    last = -1
-    for i in range(max(1, len(keys) - window + 1)):
-        part = keys[i : i + window]
-        if not part:
+class Template:
+    """A template's words, and the anchors that any match must have ``votes`` of."""
+
+    def __init__(self, words: list[str], common: Counter):
+        self.words, self.known = words, set(words)
+        self.least = ceil(COVERAGE * len(words))
+        self.slack = len(words) - self.least
+        self.short = len(words) <= SHORT
+        self.votes = 1 if self.short else max(1, len(words) // 4)
+        counts = Counter(words)
+        self.counts = sorted(counts.items(), key=lambda x: (common[x[0]], x[0]))
+        places, held = defaultdict(list), 0
+        for i, w in enumerate(words):
+            places[w].append(i)
+        self.anchors: list[tuple[str, list[int]]] = []
+        for w, n in self.counts:
+            if held >= self.slack + self.votes:
+                break
+            self.anchors.append((w, places[w]))
+            held += n
+
+    def possible(self, counts: Counter) -> bool:
+        """Whether a document has enough of the words, in any order."""
+        missing = 0
+        for w, n in self.counts:
+            have = counts[w]
+            if have < n:
+                missing += n - have
+                if missing > self.slack:
+                    return False
+        return True
+
+    def hits(self, where: dict[str, list[int]], low: int, high: int) -> list[tuple[int, int, int]]:
+        """(diagonal, place in the template, place in the document) of the anchors."""
+        return sorted((j - p, p, j) for w, places in self.anchors for j in where.get(w, ()) if low <= j < high for p in places)
+
+    def align(self, names: list[str], p: int, j: int, low: int, high: int) -> tuple[int, int, int] | None:
+        """The match on the diagonal of (p, j), of a short template through it: words in common, first, last."""
+        a, b = max(low, j - p - BAND), min(high, j - p + len(self.words) + BAND)
+        if sum(w in self.known for w in names[a:b]) < self.least:
+            return None
+        same, first, last = through(self.words, names[a:b], p, j - a) if self.short else align(self.words, names[a:b], j - p - a)
+        return (same, a + first, a + last) if same >= self.least else None
+
+    def find(self, names: list[str], where: dict[str, list[int]]) -> Iterator[tuple[int, int, tuple[int, int, int]]]:
+        """(p, j, match) of anchors."""
+        hits = self.hits(where, 0, len(names))
+        if self.short:
+            for _, p, j in hits:
+                if m := self.align(names, p, j, 0, len(names)):
+                    yield p, j, m
             return
-        low = min(h for h, _ in part)
-        k = max(j for j, (h, _) in enumerate(part, i) if h == low)
-        if k != last:
-            yield keys[k][1], k
-            last = k
+        done: list[tuple[int, int]] = []
+        asked: set[tuple[int, int]] = set()
+        while ranked := [x for x in self.ranked(hits) if x[1:] not in asked]:
+            for _, d, (low, high) in ranked:
+                asked.add((d, (low, high)))
+                p, j = next((p, j) for e, p, j in hits if e == d and low <= j < high)
+                a, b = gap(done, j, len(names))
+                if m := self.align(names, p, j, a, b):
+                    yield p, j, m
+                    insort(done, m[1:])
+                    hits = [x for x in hits if not m[1] <= x[2] < m[2]]
+                    break
+            else:
+                return
+
+    def ranked(self, hits: list[tuple[int, int, int]]) -> list[tuple[int, int, tuple[int, int]]]:
+        """Diagonals that enough anchors agree on, within the band, those of most first."""
+        out, low, high = [], 0, 0
+        for d in sorted({d for d, _, _ in hits}):
+            while hits[low][0] < d - BAND:
+                low += 1
+            while high < len(hits) and hits[high][0] <= d + BAND:
+                high += 1
+            n = high - low >= self.votes and len({p for _, p, _ in hits[low:high]})
+            if n and n >= self.votes:
+                own = [j for e, _, j in hits[low:high] if e == d]
+                out.append((n, d, (min(own), max(own) + 1)))
+        return sorted(out, key=lambda x: (-x[0], x[1]))
 
 
 class Index:
-    """Winnowed fingerprints of all templates."""
+    """All templates, with the rarest words of each as its anchors."""
 
     def __init__(self, templates: dict[str, str]):
         if sum(len(t.encode()) for t in templates.values()) > MOST_BYTES:
             raise ValueError(f"templates of more than {MOST_BYTES} bytes")
         self.names = sorted(templates)
-        self.words = [[w for w, _, _ in cut(templates[n])] for n in self.names]
-        self.vocabulary = {w for ws in self.words for w in ws}
-        self.places: dict[tuple, list[tuple[int, int]]] = defaultdict(list)
-        for t, ws in enumerate(self.words):
-            for gram, at in winnow(grams(ws)):
-                self.places[gram].append((t, at))
-        self.places = dict(self.places)
+        words = [[w for w, _, _ in cut(templates[n])] for n in self.names]
+        if not all(words):
+            raise ValueError("a template without words")
+        common = Counter(w for ws in words for w in ws)
+        self.templates = [Template(ws, common) for ws in words]
 
     def matches(self, text: str | None) -> list[dict]:
         words = cut(text) if text else []
         names = [w for w, _, _ in words]
-        found: dict[int, list[tuple]] = defaultdict(list)
-        for low, high in runs(names, self.vocabulary):
-            for gram, at in winnow(grams(names[low:high])):
-                for t, place in self.places.get(gram, ()):
-                    start = low + at - place
-                    done = found[t]
-                    if any(abs(start - s) <= BAND for s, *_ in done):
-                        continue
-                    done.append((start, *align(self.words[t], names, start)))
-        hits = sorted((-same, -same / len(self.words[t]), first, last, t) for t, own in found.items() for _, same, first, last in own if same >= COVERAGE * len(self.words[t]))
+        counts = Counter(names)
+        asked = [t for t, x in enumerate(self.templates) if x.least <= len(names) and x.possible(counts)]
+        if not asked:
+            return []
+        where: dict[str, list[int]] = defaultdict(list)
+        for j, w in enumerate(names):
+            where[w].append(j)
+        key = lambda m, t, p, j: (-m[0], -m[0] / len(self.templates[t].words), m[2] - m[1], m[1], m[2], t, p, j)
+        heap = [key(m, t, p, j) for t in asked for p, j, m in self.templates[t].find(names, where)]
+        heapify(heap)
         taken: list[tuple[int, int]] = []
         out = []
-        for same, share, first, last, t in hits:  # of matches that overlap, the one of most words stays
-            if all(last <= a or first >= b for a, b in taken):
-                taken.append((first, last))
+        while heap:  # of matches that overlap, the one of most words stays
+            same, share, _, first, last, t, p, j = heappop(heap)
+            low, high = gap(taken, j, len(names))
+            if low <= first and last <= high:
+                insort(taken, (first, last))
                 out.append({"license": self.names[t], "coverage": -share, "matched": -same, "first_word": first, "last_word": last, "start": words[first][1], "stop": words[last - 1][2]})
+            elif low < high and (m := self.templates[t].align(names, p, j, low, high)):
+                heappush(heap, key(m, t, p, j))
         return sorted(out, key=lambda m: m["start"])
 
 
-def grams(words: list[str]) -> list[tuple[int, tuple]]:
-    from zlib import crc32
+def gap(taken: list[tuple[int, int]], j: int, n: int) -> tuple[int, int]:
+    """The words around j that no span has taken; none if one has taken j."""
+    at = bisect_right(taken, (j, n + 1))
+    low, high = taken[at - 1][1] if at else 0, taken[at][0] if at < len(taken) else n
+    return (low, high) if low <= j else (j, j)
 
-    size = min(GRAM, len(words)) or 1
-    return [(crc32(" ".join(g).encode()), g) for g in (tuple(words[i : i + size]) for i in range(len(words) - size + 1)) if g]
+
+def extend(template: list[str], words: list[str], band: int = BAND) -> tuple[int, int]:
+    """Longest common subsequence of a template and the words, within a band of the diagonal: words in common, and the fewest words that hold them."""
+    none = (0, 0)
+    above = [none] * (2 * band + 2)
+    best = none
+    for i, w in enumerate(template):
+        row = [none] * (2 * band + 2)
+        for d in range(max(0, band - i), 2 * band + 1):
+            j = i + d - band
+            here = max(above[d + 1], row[d - 1] if d else none)
+            if j < len(words) and words[j] == w:
+                here = max(here, (above[d][0] + 1, -(j + 1)))
+            row[d] = here
+            best = max(best, here)
+        above = row
+    return best[0], -best[1]
 
 
-def runs(words: list[str], vocabulary: set[str]) -> Iterator[tuple[int, int]]:
-    """Stretches of words that templates know, of a gram at least: no fingerprint of a template lies elsewhere."""
-    start = None
-    for i, w in enumerate(words):
-        if w in vocabulary:
-            start = i if start is None else start
-        elif start is not None:
-            if i - start >= GRAM:
-                yield start, i
-            start = None
-    if start is not None and len(words) - start >= GRAM:
-        yield start, len(words)
+def through(template: list[str], words: list[str], p: int, j: int) -> tuple[int, int, int]:
+    """The best alignment that has template word p at word j: words in common, first, last."""
+    left, before = extend(template[:p][::-1], words[:j][::-1])
+    right, after = extend(template[p + 1 :], words[j + 1 :])
+    return left + 1 + right, j - before, j + 1 + after
 
 
 def align(template: list[str], words: list[str], start: int, band: int = BAND) -> tuple[int, int, int]:
