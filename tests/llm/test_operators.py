@@ -1,6 +1,7 @@
 """Each operator against a brute-force version, with nulls, ties, empty and long texts, repeated rows and clashing columns."""
 
 import hashlib
+import itertools
 import random
 import re
 import zlib
@@ -248,6 +249,22 @@ def test_op7_repeated_notices(spark):
     assert [(m["first_word"], m["matched"]) for m in got[4]] == [(0, 4), (4, 5)] and len(got[5]) == 300
 
 
+def test_op7_every_alignment_at_the_threshold():
+    for name in ("MIT", "CC-BY-4.0", "GPL-3.0", "Apache-2.0", "MPL-2.0"):
+        words = [w for w, _, _ in op7_licenses.cut(op7_licenses.TEMPLATES[name])]
+        least = -(-4 * len(words) // 5)
+        index = op7_licenses.Index({name: op7_licenses.TEMPLATES[name]})
+        for kept in itertools.combinations(range(len(words)), least):
+            for fill in ([], ["zz"]):  # words left out, or replaced
+                text = " ".join(w for i, word in enumerate(words) for w in ([word] if i in kept else fill))
+                assert [m["matched"] for m in index.matches(f"foo {text} bar")] == [least], text
+        assert not index.matches(" ".join(words[: least - 1]))
+    short = op7_licenses.Index({"one": "Proprietary", "two": "Public domain"})
+    assert [m["license"] for m in short.matches("All public domain, not proprietary.")] == ["two", "one"]
+    with pytest.raises(ValueError):
+        op7_licenses.Index({"none": "..."})
+
+
 def test_op7_finds_all_planted_lines(corpus):
     lines = [t for k, t in op7_licenses.TEMPLATES.items() if k in ("MIT", "Apache-2.0", "GPL-3.0", "CC-BY-NC-4.0")]
     got = {r["doc_id"]: r["n_matches"] for r in op7_licenses.scan(corpus).collect()}
