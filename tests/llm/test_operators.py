@@ -265,6 +265,21 @@ def test_op7_every_alignment_at_the_threshold():
         op7_licenses.Index({"none": "..."})
 
 
+def test_op7_whole_texts_and_headers():
+    index = op7_licenses.Index(op7_licenses.TEMPLATES)
+    for name, text in op7_licenses.TEXTS.items():
+        got = index.matches(f"Copyright (c) 2020 A. Person\n\n{text.upper()}\nint main() {{}}")
+        assert [(m["license"], m["coverage"]) for m in got] == [(name, 1.0)]
+    own = {k: op7_licenses.TEXTS[f"{k} text"] for k in ("BSD-2-Clause", "BSD-3-Clause", "BSD-4-Clause", "MIT", "ISC")}
+    for name, text in own.items():
+        words = text.split()
+        words[20:20] = ["really"]
+        del words[40]
+        assert [m["license"] for m in index.matches(" ".join(words))] == [f"{name} text"]
+    assert not index.matches(" ".join(own["BSD-2-Clause"].split()[:22]))  # the conditions are missing
+    assert not index.matches(" ".join(own["MIT"].split()[:19]))
+
+
 def test_op7_finds_all_planted_lines(corpus):
     lines = [t for k, t in op7_licenses.TEMPLATES.items() if k in ("MIT", "Apache-2.0", "GPL-3.0", "CC-BY-NC-4.0")]
     got = {r["doc_id"]: r["n_matches"] for r in op7_licenses.scan(corpus).collect()}

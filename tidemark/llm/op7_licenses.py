@@ -30,6 +30,7 @@ from bisect import bisect_right, insort
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
+from importlib.resources import files
 from math import ceil
 
 import pyarrow as pa
@@ -48,7 +49,7 @@ MOST_BYTES = 4_000_000
 WORD = re.compile("[0-9a-z]+")
 
 #: Notices that name a license: short, fixed public wordings.
-TEMPLATES = {
+NOTICES = {
     "MIT": "Released under the MIT License.",
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
     "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
@@ -58,10 +59,16 @@ TEMPLATES = {
     "LGPL-3.0": "This work is licensed under the GNU Lesser General Public License, version 3.",
     "AGPL-3.0": "This work is licensed under the GNU Affero General Public License, version 3.",
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
-    "BSD-3-Clause": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
-    "MIT-grant": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files",
 }
 
+#: Whole license texts and standard headers, without copyright lines, as ``<license> text`` and ``<license> header``.
+TEXTS = {
+    f"{p.name.removesuffix('.txt').removesuffix('.header')} {'header' if p.name.endswith('.header.txt') else 'text'}": p.read_text("utf-8")
+    for p in sorted((files(__package__) / "licenses").iterdir(), key=lambda p: p.name)
+    if p.name.endswith(".txt")
+}
+TEMPLATES = NOTICES | TEXTS
+
 
 def cut(text: str) -> list[tuple[str, int, int]]:
     return [(m.group(), m.start(), m.end()) for m in WORD.finditer(text.lower() if text.isascii() else "".join(c.lower() if c.isascii() else c for c in text))]
