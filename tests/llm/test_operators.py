@@ -314,6 +314,13 @@ def test_op8_keep_one_and_edges(spark):
     assert op8_jaccard.similar(docs_of(spark, [])).count() == 0
 
 
+def test_op8_keep_one_of_repeated_rows(spark):
+    rows = [(2, "p q r s t u v"), (2, "p q r s t u v"), (4, "p q r s t u v"), (4, "p q r s t u v"), (None, "x y"), (None, "x y"), (None, None), (None, None), (9, ""), (9, ""), (9, "")]
+    kept = op8_jaccard.keep_one(docs_of(spark, rows))
+    assert kept.columns == docs_of(spark, []).columns
+    assert sorted((str(r["doc_id"]), str(r["text"])) for r in kept.collect()) == [("2", "p q r s t u v"), ("9", ""), ("None", "None"), ("None", "x y")]
+
+
 def test_op8_signatures_meet():
     """Sets that link have a signature in common, whatever the frequencies."""
     rng = np.random.default_rng(5)

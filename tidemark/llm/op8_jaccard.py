@@ -43,6 +43,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from . import packing
 from .common import GROUP_BYTES, byte_texts, group_of, partitions, small_batches, text_size, written
@@ -459,9 +460,21 @@ def similar(docs: DataFrame, size: int = 5, threshold: int = 75) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, size: int = 5, threshold: int = 75) -> DataFrame:
-    """The documents, in their columns, that name their component: one of each group of near copies."""
+    """The documents, in their columns, that name their component: one of each group of near copies.
+
+    Of rows repeated with the same doc_id (or none) and the same text one stays. A
+    row without an id is no node: it is not held against other texts, nor are rows
+    that share an id but not a text, which are one node.
+    """
     gone = similar(docs, size, threshold).filter("component_id <> doc_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == F.col("_gone"), "left_anti")
+    kept = docs.join(gone, docs["doc_id"] == F.col("_gone"), "left_anti")
+    again = docs.groupBy(docs["doc_id"].alias("_again")).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("_again")
+    if again.isEmpty():
+        return kept
+    same = kept["doc_id"].eqNullSafe(F.col("_again"))
+    plain = [c for c, kind in docs.dtypes if "map<" not in kind and kind != "variant"]
+    nth = F.row_number().over(Window.partitionBy("doc_id", "text").orderBy(F.xxhash64(*plain)))
+    return kept.join(again, same, "left_anti").unionByName(kept.join(again, same, "left_semi").withColumn("_nth", nth).filter("_nth = 1").drop("_nth"))
 
 
 def reference(docs: list[tuple], size: int = 5, threshold: int = 75) -> list[tuple]:
