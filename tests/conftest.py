@@ -12,6 +12,7 @@ def spark(tmp_path_factory):
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "3g")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.warehouse.dir", f"{base}/warehouse")
         .config("spark.checkpoint.dir", f"{base}/shared")
         .getOrCreate()

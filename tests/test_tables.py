@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import checks, serving
 from tidemark.params import Params
 from tidemark.plans import catalogue, evaluate, pipeline
-from tidemark.sources import landing, star_adapter
+from tidemark.sources import export, generator, landing, star_adapter
 from tidemark.sources.schemas import EVENTS, SEND_SCHEDULE
 from tidemark.streaming import micro_batch
 
@@ -126,6 +126,12 @@ def test_upsert_is_strict_and_numeric(spark, tmp_path):
     with pytest.raises(RuntimeError):
         served.write_back(make([]))
     assert rows(served.read()) == before
+    planned = served.read()  # a reader of the snapshot before the next one is not cut off
+    crashed = serving.Schedule(spark, served.path, lock_hours=0)  # its lock is old enough to be taken
+    assert crashed.write_back(make([schedule_row("c", 4, "v1", 2)])) == (1, 1)
+    assert rows(planned) == before != rows(served.read())
+    served.write_back(make([schedule_row("c", 5, "v1", 3)]))
+    assert sum(n.startswith("current-") for n in served._names()) == 2
 
 
 def test_run_serves_once(spark, tmp_path, adapted):
@@ -171,6 +177,11 @@ def test_evaluation(spark):
     assert evaluate.content_hash(a).collect() == evaluate.content_hash(a.repartition(3)).collect() != evaluate.content_hash(b).collect()
     with pytest.raises(RuntimeError):
         evaluate.require_rows(a.limit(0), "holdout")
+    opens = spark.createDataFrame([("zz", "app_opened", T0, T0)], "user_id string, event_type string, server_upload_time timestamp_ntz, client_event_time_local timestamp_ntz")
+    with pytest.raises(Exception, match="no user has both"):
+        evaluate.holdout(scored, opens, "2024-04-01").collect()
+    with pytest.raises(ValueError, match="too many"):
+        evaluate.seeded_uniforms(spark.range(evaluate.MOST_SEEDED + 1).select(F.col("id").alias("prompt_id")), 1)
 
 
 def test_simulation_prefers_the_reachable_hour(spark):
@@ -201,9 +212,118 @@ def test_catalogue_against_duckdb(spark):
 
     con = duckdb.connect()
     con.execute(f"CREATE VIEW events AS SELECT * FROM '{SMALL}/events.parquet'")
-    for name in ("q_ontime_rate_daily", "q_scores_send_time", "q_retention", "q_send_schedule_upsert", "q_holdout"):
+    new = ("q_checks_cohort_day", "q_checks_error_code", "q_checks_one_label", "q_checks_prompt_cohort", "q_checks_columns", "q_checks_freshness", "q_content_hash", "q_landed_files", "q_dim_file", "q_incremental_tables")
+    for name in ("q_ontime_rate_daily", "q_scores_send_time", "q_retention", "q_send_schedule_upsert", "q_holdout", "q_dedupe_earliest", *new):
         df = catalogue.queries()[name](spark, SMALL)
         names = sorted(df.columns)
         found = con.execute(f"SELECT {', '.join(names)} FROM ({catalogue.oracle_sql()[name]})").fetchall()
         assert sorted(map(str, map(tuple, df.select(*names).collect()))) == sorted(map(str, found)), name
     assert set(catalogue.queries()) == set(catalogue.oracle_sql())
+
+
+def test_incremental_plans_prune_partitions(spark, tmp_path, adapted):
+    """Every scan of an incremental model has a bound on its date, and the horizon of raw reads the partition column alone."""
+    raw, dim = adapted
+    landing.land(spark, raw, f"{tmp_path}/raw")
+    raw = spark.read.parquet(f"{tmp_path}/raw")
+    t = pipeline.refresh(spark, raw, dim, f"{tmp_path}/t")
+    from tidemark.operators import attribution as att
+    from tidemark.operators import staging
+
+    dim.unpersist()
+    for df, bounded in ((staging.stg_events(raw, dim, incremental=True), "upload_date"), (staging.stg_prompts(t.stg_events, incremental=True), "event_date"), (att.attribution(t.stg_prompts, t.stg_events, incremental=True), "_date")):
+        scans = [line for line in df._jdf.queryExecution().executedPlan().toString().splitlines() if "FileScan" in line and str(tmp_path) in line]
+        assert scans and all(f"{bounded}" in s.split("PartitionFilters: [")[1].split("]")[0] and ">= " in s.split("PartitionFilters: [")[1].split("]")[0] for s in scans), scans
+        assert "NestedLoop" not in df._jdf.queryExecution().executedPlan().toString()
+    days = spark.read.parquet(f"{tmp_path}/raw").agg(F.max("upload_date"))._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<>" in days and staging.last_upload(raw) is not None
+
+
+def test_backfill_is_the_union_and_a_second_run_changes_nothing(spark, tmp_path, adapted):
+    raw, dim = adapted
+    for low, high in (("2023-01-01", "2024-01-12"), ("2024-01-12", "2024-01-22"), ("2024-01-22", "2025-01-01")):
+        part = raw.filter((F.to_date("server_upload_time") > F.lit(low).cast("date")) & (F.to_date("server_upload_time") <= F.lit(high).cast("date")))
+        landed = landing.land(spark, part, f"{tmp_path}/raw")
+        pipeline.refresh(spark, landed, dim, f"{tmp_path}/parts", full=True)
+    one = pipeline.build(raw, dim)
+    read = lambda name: spark.read.parquet(f"{tmp_path}/parts/{name}")
+    assert rows(landed.drop("upload_date")) == rows(raw.select(*EVENTS.names))
+    assert rows(read("attribution").select(*one.attribution.columns)) == rows(one.attribution)
+    before = rows(read("attribution"))
+    landing.land(spark, part, f"{tmp_path}/raw")
+    pipeline.refresh(spark, spark.read.parquet(f"{tmp_path}/raw"), dim, f"{tmp_path}/parts")
+    assert rows(read("attribution")) == before
+    one.unpersist()
+
+
+def test_a_session_in_another_zone_builds_the_same(spark, adapted):
+    raw, dim = adapted
+    t = pipeline.build(raw, dim, level=None)
+    utc = rows(t.attribution), rows(t.scores_send_time)
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")  # its clocks change inside the data's months
+        t = pipeline.build(raw, dim, level=None)
+        assert (rows(t.attribution), rows(t.scores_send_time)) == utc
+        march = spark.sql("SELECT TIMESTAMP_NTZ'2024-03-10 01:30:00' AS a, TIMESTAMP_NTZ'2024-03-10 03:30:00' AS b")
+        from tidemark.functions.columns import seconds_between
+
+        assert march.select(seconds_between("a", "b")).first()[0] == 7200
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def profile(**more):
+    knobs = dict(seed=5, users=60, days=8, shards=3, tz_mix={"America/New_York": 0.5, "Asia/Tokyo": 0.5}, tz_change_rate=0.2, cohorts={"c-a": 8, "c-b": 20}, window_minutes=60, upload_fault_rate=0.15, delivery_fault_rate=0.1)
+    knobs |= dict(reachable_width_hours=6, duplicate_rate=0.1, late_arrival_rate=0.1, late_arrival_max_hours=48, clock_skew_rate=0.05, clock_skew_min=30, organic_opens_per_day=1.5)
+    return generator.Profile(**(knobs | more))
+
+
+def test_generator_knobs(spark):
+    g = generator.Generator(spark, profile())
+    assert g.events.schema == EVENTS or [f.name for f in g.events.schema] == EVENTS.names
+    t = pipeline.build(g.events, g.dim_user)
+    assert evaluate.label_accuracy(g.truth_prompts, t.attribution).first()[0] == 1.0  # the cause is what attribution finds
+    assert t.attribution.count() == 480 and g.dim_user.count() > 60
+    for name, failed in checks.all_checks(g.events, g.dim_user, t.stg_events, t.stg_prompts, t.attribution, t.ontime_rate_daily, t.scores_send_time, Params(unattributed_max=0.2)).items():
+        assert failed.isEmpty(), name
+    t.unpersist()
+    assert rows(generator.Generator(spark, profile(shards=1)).events) == rows(g.events)  # shards are partitions, no more
+    assert rows(generator.Generator(spark, profile(seed=6)).events) != rows(g.events)
+    plain = generator.Generator(spark, profile(duplicate_rate=0, late_arrival_rate=0, clock_skew_rate=0, delivery_fault_rate=1, organic_opens_per_day=0, tz_change_rate=0)).events
+    assert plain.count() == 480 == plain.filter("event_type = 'prompt_sent'").count()
+    assert g.events.count() > g.events.select("insert_id").distinct().count()
+    with pytest.raises(ValueError):
+        profile(clock_skew_min=5)
+    with pytest.raises(TypeError):
+        generator.Profile.read('{"seed": 1}')
+
+
+def test_generated_files_round_trip(spark, tmp_path):
+    g = generator.Generator(spark, profile(users=10))
+    files = export.write_events(g.events, f"{tmp_path}/raw")
+    back = landing.read_events(spark, landing.select_files(files))
+    assert rows(back) == rows(g.events)
+    export.write_dim(g.dim_user, f"{tmp_path}/dim")
+    assert rows(landing.read_dim_user(spark, f"{tmp_path}/dim")) == rows(g.dim_user)
+    export.write_truth(g.truth_users, f"{tmp_path}/truth")
+    assert spark.read.json(f"{tmp_path}/truth").count() == 10
+    t = pipeline.build(back, g.dim_user, level=None)
+    text = export.canonical(t.attribution, "prompt_id", "user_id", "cohort_id", "label")
+    assert text.splitlines()[0] == "prompt_id,user_id,cohort_id,label" and len(export.read_canonical(text, "prompt_id", "user_id", "cohort_id", "label")) == 80
+    assert export.canonical(t.attribution.repartition(7), "prompt_id", "user_id", "cohort_id", "label") == text
+    with pytest.raises(ValueError):
+        export.read_canonical(text, "x")
+    assert export.replaced_block("a <!-- t --> old <!-- /t --> b", "t", "new") == "a <!-- t -->\nnew\n<!-- /t --> b"
+    with pytest.raises(ValueError):
+        export.replaced_block("a", "t", "new")
+
+
+def test_experiment_arms(spark):
+    users = spark.range(20_000).select(F.format_string("u-%06d", "id").alias("user_id"), F.lit(T0.date()).alias("prompt_date"))
+    arms = generator.jittered(generator.assigned(users, "s"), "s")
+    n = {r["arm"]: r["count"] for r in arms.groupBy("arm").count().collect()}
+    assert abs(n["treatment"] - 9500) < 300 and abs(n["control"] - 9500) < 300 and abs(n["holdout"] - 1000) < 150
+    moved = arms.filter("jitter_min <> 0")
+    assert moved.filter("arm <> 'treatment' OR abs(jitter_min) > 15").isEmpty() and 700 < moved.count() < 1100
+    with pytest.raises(ValueError):
+        generator.assigned(users, "s", {"treatment": 1})

@@ -14,9 +14,13 @@ def json_value(text: Column | str, key: str) -> Column:
 
 
 def seconds_between(start: Column | str, end: Column | str) -> Column:
-    """Whole-second boundaries crossed from start to end (negative if end is earlier); needs a UTC session."""
-    at = lambda c: F.unix_seconds((F.col(c) if isinstance(c, str) else c).cast("timestamp"))
-    return at(end) - at(start)
+    """Whole-second boundaries crossed from start to end (negative if end is earlier), whatever the session's zone."""
+    return naive_seconds(end) - naive_seconds(start)
+
+
+def naive_seconds(ts: Column | str) -> Column:
+    """Whole seconds of a naive time since 1970, rounded down, from its own calendar fields: no zone is asked."""
+    return F.unix_date(F.to_date(ts)).cast("long") * 86400 + F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
 
 
 def days_between(start: Column | str, end: Column | str) -> Column:

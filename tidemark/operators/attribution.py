@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.columns import seconds_between
 from tidemark.params import Params
 
-from .staging import inside_lookback, upload_horizon
+from .staging import last_upload, since, upload_horizon
 
 FLAGS = ("response_on_time", "captured_in_window_received_late", "has_response", "has_response_in_window", "has_capture_in_window", "has_upload_failed", "has_upload_event")
 
@@ -50,19 +50,24 @@ def label_of(params: Params):
 def attribution(prompts: DataFrame, stg: DataFrame, params: Params | None = None, incremental: bool = False) -> DataFrame:
     """One label a prompt, under the prompt's own cohort; final once its date is ``lookback_days`` behind the uploads.
 
-    Incremental: dates inside the lookback. The day just at its end is final and
+    Incremental: dates inside the lookback, from events dated at most
+    ``source_prune_margin_days`` before it. The day just at its end is final and
     written once more, so every partition is stamped final.
     """
     params = params or Params()
+    known = None
+    if incremental:
+        known = last_upload(stg)
+        prompts = since(prompts, "prompt_date", known, params.lookback_days)
+        stg = since(stg, "event_date", known, params.lookback_days + params.source_prune_margin_days)
     grace = F.col("delivered_at").isNotNull() & (seconds_between("sent_at", "delivered_at") <= 60 * params.delivery_grace_min)
     p = prompts.select(
         "prompt_id", "user_id", F.col("prompt_cohort_id").alias("cohort_id"), "tz", "window_minutes", "sent_at", "sent_at_local",
-        F.to_date("sent_at_local").alias("prompt_date"), "delivered_at", F.coalesce(grace, F.lit(False)).alias("delivered_in_grace"),
+        "prompt_date", "delivered_at", F.coalesce(grace, F.lit(False)).alias("delivered_in_grace"),
     )
     out = p.join(evidence(stg, prompts), "prompt_id", "left")
     out = out.withColumns({"min_upload_delay_seconds": F.coalesce("min_upload_delay_seconds", F.lit(0).cast("long"))} | {k: F.coalesce(k, F.lit(False)) for k in FLAGS})
-    horizon = upload_horizon(stg)
-    out = out.withColumn("label", label_of(params)).crossJoin(F.broadcast(horizon))
+    out = out.withColumn("label", label_of(params))
+    out = out.withColumn("horizon", F.lit(known)) if known else out.crossJoin(F.broadcast(upload_horizon(stg)))
     status = F.when(F.datediff("horizon", "prompt_date") >= params.lookback_days, "final").otherwise("provisional")
-    out = out.withColumn("status", status).drop("horizon")
-    return inside_lookback(out, "prompt_date", horizon, params.lookback_days) if incremental else out
+    return out.withColumn("status", status).drop("horizon")

@@ -67,9 +67,11 @@ def scores_send_time(current: DataFrame, features: DataFrame, prompts: DataFrame
     k, most = float(params.shrinkage_pseudo_count), params.max_user_shift_min / 60.0
     users = current.select("user_id", "cohort_id")
     feats = features.join(users, "user_id")
-    as_of = feats.agg(F.max("last_open_at").alias("computed_as_of"))
-    prior = cohort_prior(feats)
-    moment = cohort_moment(window_mass(feats, cohort_window(prompts)))
+    # at most 24 rows a cohort: all that the cohorts' figures need
+    bins = feats.groupBy("cohort_id", "hour_local").agg(F.sum("n_opens").alias("n_opens"), F.max("last_open_at").alias("last_open_at"))
+    as_of = bins.agg(F.max("last_open_at").alias("computed_as_of"))
+    prior = cohort_prior(bins)
+    moment = cohort_moment(window_mass(bins, cohort_window(prompts)))
     own = circular_sums(feats, "user_id").select("user_id", "n_opens", "ux", "uy")
     cohorts = prior.join(moment, "cohort_id")  # a row a cohort
     zero = F.lit(0.0)

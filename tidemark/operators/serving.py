@@ -30,60 +30,80 @@ def refuse_malformed(rows: DataFrame) -> None:
         raise ValueError(f"model_version must be v<int>: {bad}")
 
 
-def winners(new: DataFrame, stored: DataFrame) -> DataFrame:
-    """Candidates whose (version number, computed_as_of) is strictly above the stored pair, or whose user is new."""
-    old = stored.select(F.col("user_id").alias("_u"), F.struct(version_number(F.col("model_version")), "computed_as_of").alias("_old"))
-    pair = F.struct(version_number(F.col("model_version")), F.col("computed_as_of"))
-    return new.withColumn("_new", pair).join(old, F.col("user_id") == F.col("_u"), "left").filter(F.col("_old").isNull() | (F.col("_new") > F.col("_old"))).drop("_u", "_old", "_new")
+def merged(stored: DataFrame, new: DataFrame) -> DataFrame:
+    """The schedule after the write-back, with ``won`` (whether a row is a candidate's): one full outer join.
+
+    A candidate wins if its (version number, computed_as_of) is strictly above
+    the stored pair, or if its user is new; all others keep their stored row.
+    """
+    rank = lambda row: F.struct(version_number(row["model_version"]), row["computed_as_of"])
+    side = lambda df, name: df.select(F.col("user_id").alias("user"), F.struct(*SEND_SCHEDULE.names).alias(name))
+    both = side(stored, "old").join(side(new, "new"), "user", "full_outer")
+    old, new = F.col("old"), F.col("new")
+    won = F.when(new.isNull(), False).when(old.isNull(), True).otherwise(rank(new) > rank(old))
+    return both.withColumn("won", won).select(F.when(F.col("won"), new).otherwise(old).alias("row"), "won").select("row.*", "won")
 
 
 def upsert(stored: DataFrame, new: DataFrame) -> DataFrame:
     """The schedule after the write-back: users without a winner keep their row."""
-    won = winners(new, stored)
-    return stored.join(won.select("user_id"), "user_id", "left_anti").select(*SEND_SCHEDULE.names).unionByName(won)
+    return merged(stored, new).drop("won")
 
 
 class Schedule:
     """The served table: snapshots in a folder, and a pointer to the current one.
 
     A snapshot is written whole before the pointer moves (a rename), so readers
-    see the old rows or the new ones. One writer at a time holds the lock file.
+    see the old rows or the new ones. The snapshot before the current one stays,
+    for readers that have planned on it; older ones go. One writer at a time holds
+    the lock file; a lock older than ``lock_hours`` was left by a crash and is taken.
     """
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path
+    def __init__(self, spark: SparkSession, path: str, lock_hours: float = 6):
+        self.spark, self.path, self.lock_ms = spark, path, lock_hours * 3_600_000
         jvm = spark._jvm
         self.at = lambda name: jvm.org.apache.hadoop.fs.Path(f"{path}/{name}")
         self.fs = self.at("x").getFileSystem(spark._jsc.hadoopConfiguration())
 
+    def _names(self) -> list[str]:
+        return sorted(s.getPath().getName() for s in self.fs.listStatus(self.at("."))) if self.fs.exists(self.at(".")) else []
+
     def current(self) -> str | None:
-        names = sorted(s.getPath().getName() for s in self.fs.listStatus(self.at("."))) if self.fs.exists(self.at(".")) else []
-        done = [n for n in names if n.startswith("current-")]
+        done = [n for n in self._names() if n.startswith("current-")]
         return done[-1].removeprefix("current-") if done else None
 
+    def _lock(self) -> None:
+        self.fs.mkdirs(self.at("."))
+        if self.fs.createNewFile(self.at("lock")):
+            return
+        age = self.spark._jvm.System.currentTimeMillis() - self.fs.getFileStatus(self.at("lock")).getModificationTime()
+        # of several that see a stale lock, the one whose rename succeeds takes it
+        stale = age >= self.lock_ms and self.fs.rename(self.at("lock"), self.at(f".stale-{uuid.uuid4().hex}"))
+        if not (stale and self.fs.createNewFile(self.at("lock"))):
+            raise RuntimeError(f"{self.path}: another write-back holds the lock")
+
     def read(self) -> DataFrame:
         now = self.current()
         return self.spark.read.schema(SEND_SCHEDULE).parquet(f"{self.path}/{now}") if now else self.spark.createDataFrame([], SEND_SCHEDULE)
 
     def write_back(self, new: DataFrame) -> tuple[int, int]:
         """(candidates, written)."""
-        self.fs.mkdirs(self.at("."))
-        if not self.fs.createNewFile(self.at("lock")):
-            raise RuntimeError(f"{self.path}: another write-back holds the lock")
+        self._lock()
+        new = new.persist()  # checked, counted and written from one computation
         try:
             stored, before = self.read(), self.current()
             refuse_malformed(new)
             refuse_malformed(stored)
-            n, won = new.count(), winners(new, stored).count()
+            n, won = new.count(), merged(stored, new).filter("won").count()
             if won or before is None:
                 number = int(before.split("-")[0]) + 1 if before else 0
                 name = f"{number:012d}-{uuid.uuid4().hex}"
                 upsert(stored, new).write.parquet(f"{self.path}/{name}")
                 self.fs.create(self.at(f".tmp-{os.getpid()}"), True).close()
                 self.fs.rename(self.at(f".tmp-{os.getpid()}"), self.at(f"current-{name}"))
-                if before:
-                    self.fs.delete(self.at(f"current-{before}"), False)
-                    self.fs.delete(self.at(before), True)
+                for old in self._names():
+                    if old.removeprefix("current-").split("-")[0].isdigit() and not old.endswith((name, before or name)):
+                        self.fs.delete(self.at(old), True)
             return n, won
         finally:
+            new.unpersist()
             self.fs.delete(self.at("lock"), False)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -15,9 +17,15 @@ def upload_horizon(events: DataFrame) -> DataFrame:
     return events.agg(F.to_date(F.max("server_upload_time")).alias("horizon"))
 
 
-def inside_lookback(df: DataFrame, day: str, horizon: DataFrame, days: int) -> DataFrame:
-    """Rows whose date is at most so many days before the horizon."""
-    return df.crossJoin(F.broadcast(horizon)).filter(F.datediff("horizon", day) <= days).drop("horizon")
+def last_upload(events: DataFrame) -> date | None:
+    """The last upload date, read once (one row): by the partition column alone where there is one."""
+    row = events.agg(F.max("upload_date").alias("horizon")) if "upload_date" in events.columns else upload_horizon(events)
+    return row.first()["horizon"]
+
+
+def since(df: DataFrame, day: str, horizon: date | None, days: int) -> DataFrame:
+    """Rows whose date is at most so many days before the horizon: a literal bound, which prunes partitions of that date."""
+    return df if horizon is None else df.filter(F.col(day) >= F.lit(horizon - timedelta(days=days)))
 
 
 def dedupe_earliest(raw: DataFrame) -> DataFrame:
@@ -44,9 +52,9 @@ def stg_events(raw: DataFrame, dim: DataFrame, params: Params | None = None, inc
     that cannot matter (lookback and margin) are pruned from the scan.
     """
     params = params or Params()
-    horizon = upload_horizon(raw)
+    horizon = last_upload(raw) if incremental else None
     if incremental and "upload_date" in raw.columns:
-        raw = inside_lookback(raw, "upload_date", horizon, params.lookback_days + params.source_prune_margin_days)
+        raw = since(raw, "upload_date", horizon, params.lookback_days + params.source_prune_margin_days)
     rows = as_of(dedupe_earliest(raw), dim)
     local = to_local("client_event_time", "tz")
     prop = lambda k: json_value("event_properties", k)
@@ -62,7 +70,7 @@ def stg_events(raw: DataFrame, dim: DataFrame, params: Params | None = None, inc
         prop("error_code").alias("error_code"),
         prop("response_id").alias("response_id"),
     )
-    return inside_lookback(out, "event_date", horizon, params.lookback_days) if incremental else out
+    return since(out, "event_date", horizon, params.lookback_days) if incremental else out
 
 
 def first_receipts(stg: DataFrame) -> DataFrame:
@@ -73,13 +81,21 @@ def first_receipts(stg: DataFrame) -> DataFrame:
 
 
 def stg_prompts(stg: DataFrame, params: Params | None = None, incremental: bool = False) -> DataFrame:
-    """One row a prompt; no receipt, no delivery time."""
+    """One row a prompt; no receipt, no delivery time.
+
+    Incremental: prompts dated inside the lookback, and receipts dated at most
+    ``source_prune_margin_days`` before that (a receipt follows its prompt; the
+    margin covers zones and clocks).
+    """
     params = params or Params()
+    if incremental:
+        horizon = last_upload(stg)
+        out = stg_prompts(since(stg, "event_date", horizon, params.lookback_days + params.source_prune_margin_days), params)
+        return since(out, "prompt_date", horizon, params.lookback_days)
     sent = stg.filter("event_type = 'prompt_sent'").select(
         "prompt_id", "user_id", "cohort_id", "prompt_cohort_id", "tz", "window_minutes",
         F.col("client_event_time").alias("sent_at"),
         F.col("client_event_time_local").alias("sent_at_local"),
-        F.to_date("client_event_time_local").alias("prompt_date"),
+        F.col("event_date").alias("prompt_date"),
     )
-    out = sent.join(first_receipts(stg), "prompt_id", "left")
-    return inside_lookback(out, "prompt_date", upload_horizon(stg), params.lookback_days) if incremental else out
+    return sent.join(first_receipts(stg), "prompt_id", "left")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,12 +13,14 @@ from tidemark.operators import attribution as att
 from tidemark.operators import checks, marts, scores, serving, staging
 from tidemark.params import LABELS, Params
 from tidemark.plans import evaluate
-from tidemark.plans.pipeline import Tables, build
+from tidemark.plans.pipeline import Tables, build, refresh
 from tidemark.session import configure
-from tidemark.sources import star_adapter
+from tidemark.sources import export, landing, star_adapter
 from tidemark.sources.landing import conflicting_duplicates, with_upload_date
+from tidemark.sources.scratch import scratch_path
 
 CUT = "2024-01-20"
+NOW = datetime(2024, 2, 2, 12)
 RATES = {"delivery_fault_rate": 0.08, "clock_skew_rate": 0.03, "upload_fault_rate": 0.1}
 
 
@@ -27,12 +30,23 @@ def _raw(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return star_adapter.raw_events(events), star_adapter.dim_user(events)
 
 
-def _stg(spark, sf_dir):
-    return staging.stg_events(*_raw(spark, sf_dir))
+_held: dict[str, list[Tables]] = {}
+
+
+def _built(spark: SparkSession, *inputs: tuple[DataFrame, DataFrame]) -> list[Tables]:
+    """The models of one query. What the session's query before stored is let go, so each pays for its own models."""
+    for t in _held.pop(spark.sparkContext.applicationId, []):
+        t.unpersist()
+    _held.clear()
+    return _held.setdefault(spark.sparkContext.applicationId, [build(raw, dim) for raw, dim in inputs])
 
 
 def _tables(spark: SparkSession, sf_dir: str) -> Tables:
-    return build(*_raw(spark, sf_dir))
+    return _built(spark, _raw(spark, sf_dir))[0]
+
+
+def _stg(spark, sf_dir):
+    return _tables(spark, sf_dir).stg_events
 
 
 def _number(user: str = "user_id"):
@@ -161,8 +175,9 @@ def through_cut(spark, d):
 
 def holdout(spark, d):
     raw, dim = _raw(spark, d)
-    cut = build(with_upload_date(raw).filter(F.col("upload_date") <= F.lit(CUT).cast("date")).drop("upload_date"), dim)
-    out = evaluate.holdout(cut.scores_send_time, staging.stg_events(raw, dim), CUT)
+    early = with_upload_date(raw).filter(F.col("upload_date") <= F.lit(CUT).cast("date")).drop("upload_date")
+    cut, full = _built(spark, (early, dim), (raw, dim))
+    out = evaluate.holdout(cut.scores_send_time, full.stg_events, CUT)
     return out.select("arm", "n_users", "n_opens", F.round("in_window_share", 6).alias("in_window_share"), F.round("mean_nearest_hours", 6).alias("mean_nearest_hours"))
 
 
@@ -235,6 +250,77 @@ def local_round_trip(spark, d):
     return e.select(F.to_date(to_local("client_event_time", F.lit("Asia/Tokyo"))).alias("day")).groupBy("day").agg(F.count(F.lit(1)).alias("n"))
 
 
+def checks_cohort_day(spark, d):
+    daily = _tables(spark, d).ontime_rate_daily
+    return checks.cohort_day_unique(daily.unionByName(daily.filter(F.dayofmonth("prompt_date") % 6 == 0)))
+
+
+def checks_error_code(spark, d):
+    stg = _stg(spark, d)
+    planted = F.when((F.substring("insert_id", 3, 20).cast("long") % 3 == 0) & F.col("event_type").isin("upload_failed", "upload_completed"), "E1")
+    return checks.error_code_only_on_failure(stg.withColumn("error_code", planted))
+
+
+def checks_one_label(spark, d):
+    t = _tables(spark, d)
+    return checks.one_label_per_prompt(t.stg_prompts, t.attribution.filter(~F.col("prompt_id").endswith("1")))
+
+
+def checks_prompt_cohort(spark, d):
+    p = _tables(spark, d).stg_prompts
+    planted = F.when(_number() % 4 == 0, "c-9").when(_number() % 7 != 0, F.col("prompt_cohort_id"))
+    return checks.prompt_cohort_matches_dim(p.withColumn("prompt_cohort_id", planted))
+
+
+def checks_columns(spark, d):
+    stg = _stg(spark, d)
+    nulls = checks.null_values(stg, "insert_id", "prompt_id", "window_minutes").select(F.lit("not_null").alias("test"), F.col("column_name").alias("of"), "n")
+    odd = checks.unaccepted(stg, "event_type", ("app_opened", "prompt_sent", "prompt_delivered")).select(F.lit("accepted").alias("test"), F.col("event_type").alias("of"), "n")
+    again = checks.duplicate_keys(stg.filter("event_type = 'prompt_sent'"), "user_id").select(F.lit("unique").alias("test"), F.col("user_id").alias("of"), "n")
+    return nulls.unionByName(odd).unionByName(again).withColumn("n", F.col("n").cast("long"))
+
+
+def checks_freshness(spark, d):
+    return checks.stale(_raw(spark, d)[0], NOW, 36)
+
+
+def content_hashes(spark, d):
+    daily = _tables(spark, d).ontime_rate_daily
+    a, b = (evaluate.content_hash(x) for x in (daily, daily.repartition(5)))
+    same = a.join(b.withColumnsRenamed({"n_rows": "m_rows", "hash_sum": "other"}), F.col("hash_sum") == F.col("other"), "left")
+    return same.select("n_rows", F.coalesce(F.col("n_rows") == F.col("m_rows"), F.lit(False)).alias("same"))
+
+
+def landed_files(spark, d):
+    """Export files of the events, of which those up to a date are selected, scanned and landed by upload day."""
+    folder = scratch_path(spark, "landing")
+    files = export.write_events(_raw(spark, d)[0], f"{folder}/raw")
+    landed = landing.land(spark, landing.read_events(spark, landing.select_files(files, CUT)), f"{folder}/events")
+    return landed.groupBy("upload_date").agg(
+        F.count(F.lit(1)).alias("n_events"), F.countDistinct("insert_id").alias("n_ids"), F.count(json_value("event_properties", "prompt_id")).alias("n_with_prompt"),
+        F.sum(seconds_between("client_event_time", "server_upload_time")).alias("delay_seconds"),
+    )
+
+
+def dim_file(spark, d):
+    """The dimension through its CSV file."""
+    folder = scratch_path(spark, "dim")
+    export.write_dim(_raw(spark, d)[1], folder)
+    return landing.read_dim_user(spark, folder).select("user_id", "tz", "cohort_id", "valid_from", "valid_to")
+
+
+def incremental_tables(spark, d):
+    """Tables built up to the last upload day but one, then refreshed with the last."""
+    raw, dim = _raw(spark, d)
+    folder = scratch_path(spark, "tables")
+    landing.land(spark, raw, f"{folder}/raw")
+    raw = spark.read.parquet(f"{folder}/raw")
+    last = F.lit(staging.last_upload(raw))
+    refresh(spark, raw.filter(F.col("upload_date") < last), dim, folder)
+    t = refresh(spark, raw, dim, folder)
+    return t.attribution.groupBy("prompt_date", "label", "status").agg(F.count(F.lit(1)).alias("n"))
+
+
 # DuckDB ----------------------------------------------------------------------
 
 ADAPTER = """
@@ -412,6 +498,23 @@ stored AS (SELECT * REPLACE (CASE WHEN {NUM} % 3 = 0 THEN 'v10' ELSE 'v1' END AS
         "other AS (SELECT cohort_id, prompt_date, on_time + CASE WHEN cohort_id = 'c-1' AND day(prompt_date) % 5 = 0 THEN 1 ELSE 0 END AS on_time FROM daily WHERE NOT (cohort_id = 'c-0' AND day(prompt_date) % 2 = 0) UNION ALL SELECT 'c-9', prompt_date, on_time FROM daily WHERE cohort_id = 'c-2')")),
     "q_response_curve": (response_curve, _sql(
         f"SELECT user_id, round(d, 6) AS distance, round(CAST(0.9 AS DOUBLE) * exp(-greatest(CAST(0 AS DOUBLE), d - w / 2)) * least(CAST(1 AS DOUBLE), m / CAST(60 AS DOUBLE)), 6) AS probability FROM (SELECT user_id, {DIST.format(a='CAST(n % 24 AS DOUBLE)', b='CAST(n * 7 % 24 AS DOUBLE)')} AS d, CAST(n % 5 AS DOUBLE) AS w, CAST(n % 90 AS DOUBLE) AS m FROM (SELECT user_id, {NUM} AS n FROM dim WHERE valid_to IS NULL))", base="")),
+    "q_checks_cohort_day": (checks_cohort_day, _sql("SELECT cohort_id, prompt_date FROM (SELECT * FROM daily UNION ALL SELECT * FROM daily WHERE day(prompt_date) % 6 = 0) GROUP BY 1, 2 HAVING count(*) > 1")),
+    "q_checks_error_code": (checks_error_code, _sql(
+        """SELECT insert_id, event_type, error_code FROM (SELECT *, CASE WHEN CAST(substr(insert_id, 3) AS BIGINT) % 3 = 0 AND event_type IN ('upload_failed', 'upload_completed') THEN 'E1' END AS error_code FROM stg)
+WHERE (event_type = 'upload_failed' AND error_code IS NULL) OR (event_type IN ('upload_started', 'upload_completed') AND error_code IS NOT NULL)""")),
+    "q_checks_one_label": (checks_one_label, _sql("SELECT * FROM (SELECT (SELECT count(*) FROM prompts) AS prompts, (SELECT count(*) FROM labelled WHERE prompt_id NOT LIKE '%1') AS labelled, (SELECT count(*) FROM labelled WHERE prompt_id NOT LIKE '%1' AND label IS NULL) AS unlabelled) WHERE prompts <> labelled OR unlabelled <> 0")),
+    "q_checks_prompt_cohort": (checks_prompt_cohort, _sql(f"SELECT prompt_id, cohort_id, c AS prompt_cohort_id FROM (SELECT *, CASE WHEN {NUM} % 4 = 0 THEN 'c-9' WHEN {NUM} % 7 <> 0 THEN prompt_cohort_id END AS c FROM prompts) WHERE c IS NULL OR c <> cohort_id")),
+    "q_checks_columns": (checks_columns, _sql(
+        """SELECT 'not_null' AS test, 'prompt_id' AS of, count(*) AS n FROM stg WHERE prompt_id IS NULL HAVING n > 0 UNION ALL SELECT 'not_null', 'window_minutes', count(*) AS n FROM stg WHERE window_minutes IS NULL HAVING n > 0
+UNION ALL SELECT 'not_null', 'insert_id', count(*) AS n FROM stg WHERE insert_id IS NULL HAVING n > 0
+UNION ALL SELECT 'accepted', event_type, count(*) FROM stg WHERE event_type NOT IN ('app_opened', 'prompt_sent', 'prompt_delivered') GROUP BY event_type
+UNION ALL SELECT 'unique', user_id, count(*) AS n FROM stg WHERE event_type = 'prompt_sent' GROUP BY user_id HAVING n > 1""")),
+    "q_checks_freshness": (checks_freshness, _sql(f"SELECT last_upload FROM (SELECT max(server_upload_time) AS last_upload FROM raw) WHERE last_upload IS NULL OR last_upload < TIMESTAMP '{NOW}' - INTERVAL 36 HOURS", base="")),
+    "q_content_hash": (content_hashes, _sql("SELECT count(*) AS n_rows, true AS same FROM daily")),
+    "q_landed_files": (landed_files, _sql(
+        f"SELECT CAST(server_upload_time AS DATE) AS upload_date, count(*) AS n_events, count(DISTINCT insert_id) AS n_ids, count(json_extract_string(event_properties, '$.prompt_id')) AS n_with_prompt, CAST(sum(epoch(server_upload_time) - epoch(client_event_time)) AS BIGINT) AS delay_seconds FROM raw WHERE CAST(server_upload_time AS DATE) <= DATE '{CUT}' GROUP BY 1", base="")),
+    "q_dim_file": (dim_file, _sql("SELECT user_id, tz, cohort_id, valid_from, valid_to FROM dim", base="")),
+    "q_incremental_tables": (incremental_tables, _sql("SELECT prompt_date, label, status, count(*) AS n FROM labelled GROUP BY 1, 2, 3")),
     "q_local_days": (local_round_trip, _sql("SELECT CAST((client_event_time AT TIME ZONE 'UTC') AT TIME ZONE 'Asia/Tokyo' AS DATE) AS day, count(*) AS n FROM (SELECT DISTINCT insert_id, client_event_time FROM raw) GROUP BY 1", base="")),
 }
 
@@ -429,6 +532,9 @@ DATES = {
     "q_checks_partition": ["prompt_date"],
     "q_golden_diff": ["prompt_date"],
     "q_local_days": ["day"],
+    "q_checks_cohort_day": ["prompt_date"],
+    "q_landed_files": ["upload_date"],
+    "q_incremental_tables": ["prompt_date"],
 }
 
 

@@ -14,6 +14,8 @@ from tidemark.functions.columns import circular_distance, open_probability, rati
 from tidemark.params import LABELS
 
 ARMS = ("baseline", "cohort", "recommended")
+#: Prompts that one seeded stream may be drawn for: its numbers pass through the driver.
+MOST_SEEDED = 1_000_000
 
 
 def served_hour(scores: DataFrame) -> Column:
@@ -39,8 +41,10 @@ def center_quality(truth_users: DataFrame, scores: DataFrame) -> DataFrame:
 
 def seeded_uniforms(prompts: DataFrame, seed: int) -> DataFrame:
     """Four uniforms a prompt from one seeded stream in prompt_id order: for exact reruns of small profiles (the
-    stream is drawn on the driver)."""
+    stream is drawn on the driver, for ``MOST_SEEDED`` prompts at most; larger ones take ``hashed_uniforms``)."""
     spark, n = prompts.sparkSession, prompts.count()
+    if n > MOST_SEEDED:
+        raise ValueError(f"{n} prompts are too many for one stream: use hashed_uniforms")
     rng = Random(seed)
     drawn = spark.createDataFrame([(i + 1, *(rng.random() for _ in range(4))) for i in range(n)], "r long, u0 double, u1 double, u2 double, u3 double")
     return prompts.withColumn("r", F.row_number().over(Window.orderBy("prompt_id")).cast("long")).join(drawn, "r").drop("r")
@@ -85,11 +89,19 @@ def holdout(scores_cut: DataFrame, stg_full: DataFrame, cut: str, window_hours:
     """
     opens = stg_full.filter((F.col("event_type") == "app_opened") & (F.to_date("server_upload_time") > F.lit(cut).cast("date")))
     opens = opens.select("user_id", (F.hour("client_event_time_local") + F.minute("client_event_time_local") / F.lit(60.0)).alias("hour"))
-    served = scores_cut.select("user_id", F.explode(F.array(F.struct(F.lit("recommended").alias("arm"), served_hour(scores_cut).alias("at")), F.struct(F.lit("cohort").alias("arm"), F.col("cohort_hour_local").cast("double").alias("at")))).alias("s"))
-    d = opens.join(served, "user_id").withColumn("d", circular_distance(F.col("s.at"), F.col("hour")))
-    users = d.groupBy(F.col("s.arm").alias("arm"), "user_id").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("d") <= window_hours).alias("hit"), F.min("d").alias("nearest"))
-    out = users.groupBy("arm").agg(F.count(F.lit(1)).alias("n_users"), F.sum("n").alias("n_opens"), ratio(F.sum("hit"), F.sum("n")).alias("in_window_share"), F.avg("nearest").alias("mean_nearest_hours"))
-    return out
+    at = {"recommended": served_hour(scores_cut), "cohort": F.col("cohort_hour_local").cast("double")}
+    served = scores_cut.select("user_id", *[hour.alias(arm) for arm, hour in at.items()])
+    d = opens.join(served, "user_id").select("user_id", *[circular_distance(F.col(arm), F.col("hour")).alias(arm) for arm in at])
+    per_user = [c for arm in at for c in (F.count_if(F.col(arm) <= window_hours).alias(f"hit_{arm}"), F.min(arm).alias(f"near_{arm}"))]
+    users = d.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"), *per_user)
+    sums = [c for arm in at for c in (F.sum(f"hit_{arm}").alias(f"hit_{arm}"), F.avg(f"near_{arm}").alias(f"near_{arm}"))]
+    total = users.agg(F.count(F.lit(1)).alias("users"), F.sum("n").alias("opens"), *sums)  # one row, even of nothing
+    n_users = F.when(F.col("users") > 0, F.col("users")).otherwise(F.raise_error(F.lit("holdout: no user has both a score and a held-out open")).cast("long"))
+    arms = [
+        F.struct(F.lit(arm).alias("arm"), n_users.alias("n_users"), F.col("opens").alias("n_opens"), ratio(F.col(f"hit_{arm}"), F.col("opens")).alias("in_window_share"), F.col(f"near_{arm}").alias("mean_nearest_hours"))
+        for arm in at
+    ]
+    return total.select(F.inline(F.array(*arms)))
 
 
 def require_rows(df: DataFrame, what: str) -> DataFrame:

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import cached_property
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.operators import attribution as att
@@ -13,41 +14,74 @@ from tidemark.session import configure
 from tidemark.sources.landing import _exists
 
 
-@dataclass
 class Tables:
-    stg_events: DataFrame
-    stg_prompts: DataFrame
-    attribution: DataFrame
-    ontime_rate_daily: DataFrame
-    ontime_retention: DataFrame
-    dim_user_current: DataFrame
-    features_user_hour: DataFrame
-    scores_send_time: DataFrame
+    """The models of one input, each built when it is first asked for: a function of raw, dim and params alone.
+
+    ``staged``: staging, prompts and attribution, where they are tables already.
+    Otherwise those that several others read (staging, attribution, features,
+    scores) are stored at ``level`` when they are first computed, until
+    ``unpersist``; with level None nothing is stored.
+    """
+
+    NAMES = ("stg_events", "stg_prompts", "attribution", "ontime_rate_daily", "ontime_retention", "dim_user_current", "features_user_hour", "scores_send_time")
+
+    def __init__(self, raw: DataFrame, dim: DataFrame, params: Params | None = None, level: StorageLevel | None = StorageLevel.MEMORY_AND_DISK, staged: dict[str, DataFrame] | None = None):
+        self.raw, self.dim, self.params, self.level = raw, dim, params or Params(), level
+        self.kept: list[DataFrame] = []
+        vars(self).update(staged or {})
+
+    def _keep(self, df: DataFrame) -> DataFrame:
+        if self.level is None:
+            return df
+        self.kept.append(df.persist(self.level))
+        return self.kept[-1]
+
+    @cached_property
+    def stg_events(self) -> DataFrame:
+        return self._keep(staging.stg_events(self.raw, self.dim, self.params))
+
+    @cached_property
+    def stg_prompts(self) -> DataFrame:
+        return staging.stg_prompts(self.stg_events, self.params)
+
+    @cached_property
+    def attribution(self) -> DataFrame:
+        return self._keep(att.attribution(self.stg_prompts, self.stg_events, self.params))
+
+    @cached_property
+    def ontime_rate_daily(self) -> DataFrame:
+        return marts.ontime_rate_daily(self.attribution)
+
+    @cached_property
+    def ontime_retention(self) -> DataFrame:
+        return marts.ontime_retention(self.attribution, self.stg_events, self.params)
+
+    @cached_property
+    def dim_user_current(self) -> DataFrame:
+        return marts.dim_user_current(self.dim)
+
+    @cached_property
+    def features_user_hour(self) -> DataFrame:
+        return self._keep(scores.features_user_hour(self.stg_events, self.params))
+
+    @cached_property
+    def scores_send_time(self) -> DataFrame:
+        return self._keep(scores.scores_send_time(self.dim_user_current, self.features_user_hour, self.stg_prompts, self.params))
 
     def register(self, prefix: str = "") -> None:
         """Each table as a temporary view."""
-        for name, df in vars(self).items():
-            df.createOrReplaceTempView(prefix + name)
-
+        for name in self.NAMES:
+            getattr(self, name).createOrReplaceTempView(prefix + name)
 
-def _after_attribution(stg, prompts, labelled, dim, params) -> Tables:
-    current = marts.dim_user_current(dim)
-    features = scores.features_user_hour(stg, params)
-    return Tables(
-        stg, prompts, labelled,
-        marts.ontime_rate_daily(labelled),
-        marts.ontime_retention(labelled, stg, params),
-        current, features,
-        scores.scores_send_time(current, features, prompts, params),
-    )
+    def unpersist(self) -> None:
+        """Let go of what was stored."""
+        while self.kept:
+            self.kept.pop().unpersist()
 
 
-def build(raw: DataFrame, dim: DataFrame, params: Params | None = None) -> Tables:
-    """All models as lazy DataFrames: a function of raw, dim and params alone."""
-    params = params or Params()
-    stg = staging.stg_events(raw, dim, params)
-    prompts = staging.stg_prompts(stg, params)
-    return _after_attribution(stg, prompts, att.attribution(prompts, stg, params), dim, params)
+def build(raw: DataFrame, dim: DataFrame, params: Params | None = None, level: StorageLevel | None = StorageLevel.MEMORY_AND_DISK) -> Tables:
+    """All models of an input, in memory."""
+    return Tables(raw, dim, params, level)
 
 
 PARTITIONS = {"stg_events": "event_date", "stg_prompts": "prompt_date", "attribution": "prompt_date"}
@@ -75,7 +109,7 @@ def refresh(spark: SparkSession, raw: DataFrame, dim: DataFrame, root: str, para
     stg = publish("stg_events", staging.stg_events, raw, dim)
     prompts = publish("stg_prompts", staging.stg_prompts, stg)
     labelled = publish("attribution", att.attribution, prompts, stg)
-    return _after_attribution(stg, prompts, labelled, dim, params)
+    return Tables(raw, dim, params, None, {"stg_events": stg, "stg_prompts": prompts, "attribution": labelled})
 
 
 def run(spark: SparkSession, raw: DataFrame, dim: DataFrame, root: str, params: Params | None = None, full: bool = False, check: bool = True) -> tuple[Tables, tuple[int, int]]:

@@ -74,20 +74,17 @@ def with_upload_date(events: DataFrame) -> DataFrame:
 def land(spark: SparkSession, events: DataFrame, path: str) -> DataFrame:
     """Write the days of ``events`` into the raw table, each replacing what that day held.
 
-    Days that are not in the batch stay. The batch is checked together with
-    the days that stay before anything is written: a conflict leaves the table
-    as it was.
+    Days that are not in the batch stay. The batch is checked before anything is
+    written: a conflict leaves the table as it was. Copies conflict only if all
+    their clocks are equal, the upload's too; they are of one upload day, which
+    the batch replaces as a whole, so the days that stay need not be read.
     """
     batch = with_upload_date(events).select(*EVENTS.names, "upload_date")
-    days = [r[0] for r in batch.select("upload_date").distinct().collect()]  # a row a day
-    every = batch
-    if _exists(spark, path):
-        kept = spark.read.parquet(path).filter(~F.col("upload_date").isin(days)) if days else spark.read.parquet(path)
-        every = kept.select(*batch.columns).unionByName(batch)
-    bad = [r[0] for r in conflicting_duplicates(every).select("insert_id").limit(20).collect()]
+    bad = [r[0] for r in conflicting_duplicates(batch).select("insert_id").limit(20).collect()]
     if bad:
         raise ConflictingDuplicates(", ".join(sorted(bad)))
-    batch.repartition("upload_date").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("upload_date").parquet(path)
+    # rows of a day go together, but a large day is split by the adaptive planner
+    batch.hint("rebalance", "upload_date").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("upload_date").parquet(path)
     return spark.read.parquet(path)
 
 

@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.params import Params
 from tidemark.plans.pipeline import refresh
-from tidemark.sources.landing import _exists, land
+from tidemark.sources.landing import _exists, drop, land
 from tidemark.sources.schemas import EVENTS, TIME_FORMAT
 
 
@@ -36,5 +36,6 @@ def start(stream: DataFrame, dim: DataFrame, root: str, checkpoint: str, params:
         df.write.mode("overwrite").parquet(copy)  # the days are overwritten: read them to the end first
         land(spark, spark.read.schema(EVENTS).parquet(copy), path)
         refresh(spark, spark.read.parquet(path), dim, root, params)
+        drop(spark, copy, confirm=True)
 
     return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
