@@ -16,7 +16,7 @@ def test_sql_is_brute_force(name):
     items = con.execute("SELECT item_id, text FROM benchmark").fetchall()
     got = sorted(con.execute(oracles.SQL[name]).fetchall())
     if name.startswith("op3"):
-        some = docs[:40]
+        some = sorted(docs, key=lambda r: len(r[1] or ""))[:160]  # brute force compares all places: long texts take too long
         assert [x for x in got if x[0] in dict(some)] == sorted(op3_decontaminate.reference(some, items))
     else:
         assert got == sorted((op5_substrings if name.startswith("op5") else op8_jaccard).reference(docs))

@@ -2,27 +2,32 @@
 
 Each worker builds a suffix array over a shard of whole documents (a bounded
 number of words) and binary-searches every suffix of the test items in it. A
-suffix that is found yields its places; places on one diagonal of an item join
-into its longest verbatim matches. Only suffixes whose first words also open
-some test suffix enter the array: no others can be found.
+suffix that is found yields its places in the documents. Where test suffixes
+are found at places in a row, the longest verbatim match is searched the other
+way: the document's words in the suffix array of the items, which tells how far
+any item goes on and where. Only suffixes whose first words also open some test
+suffix enter the shard's array: no others can be found.
 
 Scale: one pass over the documents, no shuffle of texts and no group of
-documents anywhere. The items travel in blocks of at most ``BLOCK_BYTES``; if
-there are several, each block takes a pass of its own and the spans of a
-document are merged by its id.
+documents anywhere. A test suffix is searched once, however many items and
+places share it, and a place in a document is noted once for each length of
+window. The items travel in blocks of about ``BLOCK_BYTES``; if there are
+several, each block takes a pass of its own, and what they find meets by the
+document's id and a hash of its text.
 
 Edge cases: null and empty texts have no words and never match; an item
 without words is ignored; an item of fewer words than a window is one window;
 repeated items and rows each count under their own id (an item with null id
-marks words but is not listed); documents with equal ids are kept apart with a
-single block and merged into one row with several; extra columns are ignored.
+marks words but is not listed); each row gives one row, also rows with equal or
+null ids; of longest matches the first in the document counts, then the item
+that sorts first as text (a null id last); extra columns are ignored. One
+item's text is searched as a whole by each task, so it has to fit in memory.
 """
 
 from __future__ import annotations
 
 import hashlib
-from bisect import bisect_left
-from collections import defaultdict
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from itertools import repeat
 
@@ -33,45 +38,86 @@ from pyspark.sql import functions as F
 
 from .common import byte_texts, pick, small_batches, text_size, written
 
-#: Bytes of item texts that are sent to the workers at once.
-BLOCK_BYTES = 4_000_000
+#: Bytes of item texts that are sent to the workers at once, about.
+BLOCK_BYTES = 16_000_000
 #: Words of one suffix array (a longer document has one of its own).
 SHARD_WORDS = 250_000
+#: Documents and bytes of rows that wait for a shard to fill, at most.
+SHARD_ROWS, SHARD_BYTES = 20_000, 64_000_000
 #: Leading words by which suffixes are preselected, at most.
 OPENING = 4
 #: Lower-cases A-Z and turns every byte that no word has into a space.
 FOLD = bytes(b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else b + 32 if 65 <= b <= 90 else 32 for b in range(256))
 ODD = np.uint64(0x9E3779B97F4A7C15)
 
-MATCHES = "doc_id long, n_words long, n_hit long, items array<string>, spans array<struct<first:int,last:int>>, longest int, longest_at int, longest_item string"
+MATCHES = "doc_id long, k long, n_words long, n_hit long, items array<string>, spans array<struct<first:int,last:int>>, longest int, longest_at int, longest_item string"
+SPAN = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())]))
+KINDS = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.string()), SPAN, pa.int32(), pa.int32(), pa.string())
 
 
 def words(text: bytes | None) -> list[bytes]:
     return text.translate(FOLD).split() if text else []
 
 
+def suffix_order(ids: np.ndarray) -> np.ndarray:
+    """The suffixes of a row of numbers in order, by ranks of doubled length."""
+    rank, k = np.unique(ids, return_inverse=True)[1].astype(np.int64), 1
+    while True:
+        ahead = np.concatenate([rank[k:] + 1, np.zeros(min(k, len(rank)), np.int64)])
+        order = np.lexsort((ahead, rank))
+        a, b = rank[order], ahead[order]
+        new = np.cumsum(np.concatenate([[False], (a[1:] != a[:-1]) | (b[1:] != b[:-1])]))
+        rank[order] = new
+        k *= 2
+        if new[-1] == len(rank) - 1 or k > len(rank):
+            return order
+
+
 class TestSuffixes:
-    """The windows at which the suffixes of the test items begin, by their words' numbers."""
+    """The test items as one row of word numbers (a 0 ends each item), its suffix array, and the distinct windows."""
 
     __test__ = False
 
     def __init__(self, items: list[tuple[int | None, bytes | None]], window: int):
         self.window, self.vocabulary = window, {}
-        self.names: list[str | None] = []
-        places = defaultdict(list)  # words' numbers of a window -> (item, place)
-        for name, text in items:
-            ids = [self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in words(text)]
-            if ids:
-                for at in range(max(1, len(ids) - window + 1)):
-                    places[tuple(ids[at : at + window])].append((len(self.names), at))
-                self.names.append(None if name is None else str(name))
-        self.windows = [(np.array(w, ">u4").tobytes(), len(w), np.array(p, np.int64)) for w, p in places.items()]
-        opens = defaultdict(set)
-        for w in places:
-            opens[min(OPENING, len(w))].add(w[:OPENING])
-        self.opens = {q: np.unique(fingerprint(np.array(sorted(w)), q)) for q, w in opens.items()}
-
-    def suffix_array(self, ids: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
+        lists = [(name, ids) for name, text in items if (ids := [self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in words(text)])]
+        names = sorted({str(name) for name, _ in lists if name is not None})
+        #: Items by the order of their names; the last one, without a name, stands for null ids.
+        self.names: list[str | None] = [*names, None]
+        number = {n: i for i, n in enumerate(names)} | {None: len(names)}
+        sizes = np.array([len(ids) for _, ids in lists], np.int64)
+        self.ids = np.zeros(int(sizes.sum()) + len(sizes) + window, np.uint32)
+        begins = np.cumsum(sizes + 1) - sizes - 1
+        for at, (_, ids) in zip(begins.tolist(), lists, strict=True):
+            self.ids[at : at + len(ids)] = ids
+        self.item = np.repeat(np.array([number[None if n is None else str(n)] for n, _ in lists], np.int32), sizes + 1)
+        self.order = suffix_order(self.ids[: len(self.item)]) if len(lists) else np.zeros(0, np.int64)
+        n_windows = np.maximum(1, sizes - window + 1)
+        starts = np.repeat(begins - (np.cumsum(n_windows) - n_windows), n_windows) + np.arange(int(n_windows.sum()))
+        rows = self.ids[starts[:, None] + np.arange(window)]
+        rows[~np.logical_and.accumulate(rows > 0, axis=1)] = 0
+        self.windows, first, own = np.unique(_keys(rows), return_index=True, return_inverse=True)
+        self.sizes = (rows[first] > 0).sum(1) if len(first) else np.zeros(0, np.int64)
+        pairs = np.unique(np.stack([own.ravel(), self.item[starts]], 1), axis=0) if len(starts) else np.zeros((0, 2), np.int64)
+        self.items_at, self.items = np.searchsorted(pairs[:, 0], np.arange(len(self.windows) + 1)), pairs[:, 1]
+        self.opens = {q: np.unique(fingerprint(rows[first][np.minimum(self.sizes, OPENING) == q][:, :q], q)) for q in set(np.minimum(self.sizes, OPENING).tolist())}
+
+    def ends(self) -> np.ndarray:
+        """The highest key that each window opens."""
+        out = np.frombuffer(self.windows.astype(f"S{4 * self.window}").tobytes(), np.uint8).reshape(-1, 4 * self.window).copy()
+        out[np.arange(4 * self.window)[None, :] >= 4 * self.sizes[:, None]] = 0xFF
+        return out.reshape(-1).view(f"S{4 * self.window}")
+
+    def ready(self) -> None:
+        """What every task derives for itself and is not sent."""
+        if not hasattr(self, "high"):
+            self.high, self.listed = self.ends(), self.order.tolist()
+            self.bytes = self.ids.astype(">u4").tobytes()
+
+    def __getstate__(self):
+        return {k: v for k, v in vars(self).items() if k not in ("high", "listed", "bytes")}
+
+    def suffix_array(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Starts of the suffixes that may matter, in order of their words, and those words."""
         n = len(ids)
         padded = np.concatenate([ids, np.zeros(self.window, ids.dtype)])
@@ -82,25 +128,62 @@ class TestSuffixes:
             near = np.minimum(np.searchsorted(known, got), len(known) - 1)
             mask[at[known[near] == got]] = True
         at = np.flatnonzero(mask)
-        if not len(at):
-            return at, []
-        rows = padded[at[:, None] + np.arange(self.window)].astype(">u4")
-        order = np.lexsort(rows.T[::-1])
-        flat, size = rows[order].tobytes(), 4 * self.window
-        return at[order], [flat[k : k + size] for k in range(0, len(flat), size)]
-
-    def search(self, ids: np.ndarray) -> np.ndarray:
-        """Rows (start in the shard, words, item, place in it), for each occurrence of a test window."""
+        keys = _keys(padded[at[:, None] + np.arange(self.window)])
+        order = np.argsort(keys, kind="stable")
+        return at[order], keys[order]
+
+    def search(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Start in the shard and number of the window, for each occurrence of a test window."""
+        self.ready()
         at, keys = self.suffix_array(ids)
-        found = []
-        if keys:
-            for window, size, places in self.windows:
-                low = bisect_left(keys, window)
-                high = bisect_left(keys, window + b"\xff\xff\xff\xff", low) if low < len(keys) else low
-                if low < high:
-                    starts = np.repeat(at[low:high], len(places))
-                    found.append(np.column_stack([starts, np.full(len(starts), size), np.tile(places, (high - low, 1))]))
-        return np.concatenate(found) if found else np.zeros((0, 4), np.int64)
+        if not len(at):
+            return at, at
+        low, high = np.searchsorted(keys, self.windows), np.searchsorted(keys, self.high, "right")
+        found = np.flatnonzero(low < high)
+        n = (high - low)[found]
+        inside = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+        return at[np.repeat(low[found], n) + inside], np.repeat(found, n)
+
+    def longest(self, doc: np.ndarray, start: np.ndarray, window: np.ndarray) -> tuple[int, int, int]:
+        """Words, start and item of the longest match of a document, of whose windows the starts are given."""
+        size = self.sizes[window]
+        whole = np.unique(start[size == self.window])
+        if not len(whole):
+            best = int(size.max())
+            at = int(start[size == best].min())
+            w = int(window[(size == best) & (start == at)][0])
+            return best, at, int(self.items[self.items_at[w]])
+        data, length, place = doc.astype(">u4").tobytes(), self.window - 1, -1
+        last = np.flatnonzero(np.append(np.diff(whole) != 1, True))
+        most = whole[last[np.searchsorted(last, np.arange(len(whole)))]] - whole + self.window  # no match is longer than its row of windows
+        for p, m in zip(whole.tolist(), most.tolist(), strict=True):
+            if m <= length or not self._occurs(data, p, length + 1):
+                continue
+            low, high = length + 1, m
+            while low < high:  # the words from p on occur up to some number
+                middle = (low + high + 1) // 2
+                low, high = (middle, high) if self._occurs(data, p, middle) else (low, middle - 1)
+            length, place = low, p
+        i, j = self._range(data, place, length)
+        return length, place, int(self.item[self.order[i:j]].min())
+
+    def _range(self, data: bytes, p: int, n: int) -> tuple[int, int]:
+        """Where in the items' suffix array the n words from p on stand."""
+        text, head = self.bytes, data[4 * p : 4 * (p + n)]
+        key = lambda x: text[4 * x : 4 * (x + n)]
+        low = bisect_left(self.listed, head, key=key)
+        return low, bisect_right(self.listed, head, low, key=key)
+
+    def _occurs(self, data: bytes, p: int, n: int) -> bool:
+        text, head = self.bytes, data[4 * p : 4 * (p + n)]
+        low = bisect_left(self.listed, head, key=lambda x: text[4 * x : 4 * (x + n)])
+        return low < len(self.listed) and text[4 * self.listed[low] : 4 * (self.listed[low] + n)] == head
+
+
+def _keys(rows: np.ndarray) -> np.ndarray:
+    """Rows of word numbers as byte strings that sort like them."""
+    rows = np.ascontiguousarray(rows.astype(">u4"))
+    return rows.view(f"S{4 * rows.shape[1]}").ravel()
 
 
 def fingerprint(rows: np.ndarray, q: int) -> np.ndarray:
@@ -111,7 +194,7 @@ def fingerprint(rows: np.ndarray, q: int) -> np.ndarray:
     return out
 
 
-def shard_rows(suffixes: TestSuffixes, doc_ids: list, lists: list[list[bytes]]) -> list[tuple]:
+def shard_rows(suffixes: TestSuffixes, doc_ids: list, keys: list, lists: list[list[bytes]], details: bool = True) -> list[tuple]:
     """A result row for each document of a shard."""
     number, sizes = suffixes.vocabulary.get, [len(x) for x in lists]
     ids = np.zeros(sum(sizes) + len(sizes), np.int64)  # a 0 ends each document
@@ -120,26 +203,27 @@ def shard_rows(suffixes: TestSuffixes, doc_ids: list, lists: list[list[bytes]])
         starts.append(k)
         ids[k : k + n] = np.fromiter(map(number, x, repeat(0)), np.int64, n)
         k += n + 1
-    found = suffixes.search(ids)
-    by_doc = defaultdict(list)
-    if len(found):
-        doc = np.searchsorted(np.array(starts), found[:, 0], "right") - 1
-        order = np.argsort(doc, kind="stable")
-        doc, found = doc[order], found[order]
-        cuts = np.flatnonzero(np.diff(doc)) + 1
-        for part, d in zip(np.split(found, cuts), doc[np.concatenate([[0], cuts])], strict=True):
-            by_doc[int(d)] = part
+    start, window = suffixes.search(ids)
+    doc = np.searchsorted(np.array(starts), start, "right") - 1
+    order = np.argsort(doc, kind="stable")
+    doc, start, window = doc[order], start[order], window[order]
+    cuts = np.searchsorted(doc, np.arange(len(lists) + 1))
     out = []
-    for d, (doc_id, n) in enumerate(zip(doc_ids, sizes, strict=True)):
-        if d not in by_doc:
-            out.append((doc_id, n, 0, [], [], 0, None, None))
+    for d, (doc_id, key, n) in enumerate(zip(doc_ids, keys, sizes, strict=True)):
+        i, j = cuts[d], cuts[d + 1]
+        if i == j:
+            out.append((doc_id, key, n, 0, [], [], 0, None, None))
             continue
-        part = by_doc[d]
-        part[:, 0] -= starts[d]
-        first, last = merged(part[:, 0], part[:, 0] + part[:, 1])
-        items = sorted({s for i in np.unique(part[:, 2]) if (s := suffixes.names[i]) is not None})
-        length, at, item = longest(part)
-        out.append((doc_id, n, int((last - first).sum()), items, [{"first": int(a), "last": int(b)} for a, b in zip(first, last, strict=True)], length, at, suffixes.names[item]))
+        if not details:
+            out.append((doc_id, key, n, 1, [], [], 0, None, None))
+            continue
+        at, own = start[i:j] - starts[d], window[i:j]
+        first, last = merged(at, at + suffixes.sizes[own])
+        items = np.unique(np.concatenate([suffixes.items[suffixes.items_at[w] : suffixes.items_at[w + 1]] for w in np.unique(own).tolist()]))
+        named = [s for x in items.tolist() if (s := suffixes.names[x]) is not None]
+        length, place, item = suffixes.longest(ids[starts[d] : starts[d] + n], at, own)
+        spans = [{"first": a, "last": b} for a, b in zip(first.tolist(), last.tolist(), strict=True)]
+        out.append((doc_id, key, n, int((last - first).sum()), named, spans, length, place, suffixes.names[item]))
     return out
 
 
@@ -151,22 +235,9 @@ def merged(first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return first[new], np.maximum.reduceat(last, np.flatnonzero(new))
 
 
-def longest(found: np.ndarray) -> tuple[int, int, int]:
-    """Words, start in the document and item of the longest verbatim match: windows in a row on one diagonal."""
-    start, size, item, place = found.T
-    order = np.lexsort((start, start - place, item))
-    start, size, item, place = found[order].T
-    new = np.concatenate([[True], (np.diff(start) != 1) | (np.diff(start - place) != 0) | (np.diff(item) != 0)])
-    first = np.flatnonzero(new)
-    last = np.append(first[1:], len(start)) - 1
-    length = start[last] + size[last] - start[first]
-    k = int(np.argmax(length))
-    return int(length[k]), int(start[first[k]]), int(item[first[k]])
-
-
 def test_blocks(benchmark: DataFrame, window: int) -> Iterator[TestSuffixes]:
-    """The test suffixes, in blocks of bounded size."""
-    bench = pick(benchmark, "item_id", "text")
+    """The test suffixes, in blocks of bounded size; an item that is repeated whole counts once."""
+    bench = pick(benchmark, "item_id", "text").distinct()
     _, size = text_size(bench)
     blocks = max(1, -(-size // BLOCK_BYTES))
     for k in range(blocks):
@@ -175,59 +246,58 @@ def test_blocks(benchmark: DataFrame, window: int) -> Iterator[TestSuffixes]:
 
 
 def verbatim_matches(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
-    """Words, hit words, items and longest match of each document against the whole benchmark."""
+    """Words, hit words, items and longest match of each document against the whole benchmark: one row for each row."""
     spark = docs.sparkSession
     small_batches(spark)
+    rows = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("k"))
     found: list[DataFrame] = []
     held = None
     for suffixes in test_blocks(benchmark, window):
         if held is not None:
             found.append(written(held, "matches"))
-        held = pick(docs, "doc_id", "text").mapInArrow(_searcher(spark.sparkContext.broadcast(suffixes)), MATCHES)
+        held = rows.mapInArrow(_searcher(spark.sparkContext.broadcast(suffixes)), MATCHES)
     if not found:
-        return held
+        return held.drop("k")
     found.append(written(held, "matches"))
     every = found[0]
     for part in found[1:]:
         every = every.unionByName(part)
-    best = F.max(F.struct("longest", "longest_at", "longest_item"))
     merged_spans = F.aggregate(
         F.array_sort(F.flatten(F.collect_list("spans"))),
         F.struct(F.lit(0).alias("n"), F.lit(0).alias("end")),
         lambda a, x: F.struct((a["n"] + F.greatest(F.lit(0), x["last"] - F.greatest(x["first"], a["end"]))).alias("n"), F.greatest(a["end"], x["last"]).alias("end")),
     )
-    return every.groupBy("doc_id").agg(
-        F.max("n_words").alias("n_words"),
+    # rows with the same id and text find the same: they go through as one, with their number
+    best = F.min(F.struct((-F.col("longest")).alias("n"), F.col("longest_at").alias("at"), F.col("longest_item").isNull().alias("unnamed"), F.col("longest_item").alias("item")))
+    together = every.groupBy("doc_id", "k", "n_words").agg(
+        (F.count(F.lit(1)) / len(found)).cast("int").alias("copies"),
         merged_spans["n"].cast("long").alias("n_hit"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
-        F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"),
-        best["longest"].alias("longest"),
-        best["longest_at"].alias("longest_at"),
-        best["longest_item"].alias("longest_item"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("spans")))).alias("spans"),
+        best.alias("best"),
     )
+    out = together.withColumn("copy", F.explode(F.sequence(F.lit(1), "copies")))
+    return out.select("doc_id", "n_words", "n_hit", "items", "spans", (-F.col("best.n")).alias("longest"), F.col("best.at").alias("longest_at"), F.col("best.item").alias("longest_item"))
 
 
 def _searcher(sent):
-    schema = None
-
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        nonlocal schema
-        span = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())]))
-        schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_hit", pa.int64()), ("items", pa.list_(pa.string())), ("spans", span), ("longest", pa.int32()), ("longest_at", pa.int32()), ("longest_item", pa.string())])
-        suffixes, ids, lists, held = sent.value, [], [], 0
+        names = [x.split(" ")[0] for x in MATCHES.replace("first:int,last", "").split(", ")]
+        ids, keys, lists, held = [], [], [], 0
 
         def result():
-            columns = zip(*shard_rows(suffixes, ids, lists), strict=True)
-            return pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+            columns = zip(*shard_rows(sent.value, ids, keys, lists), strict=True)
+            return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, KINDS, strict=True)], names)
 
         for b in batches:
-            for doc_id, text in zip(b.column("doc_id").to_pylist(), byte_texts(b), strict=True):
+            for doc_id, key, text in zip(b.column("doc_id").to_pylist(), b.column("k").to_pylist(), byte_texts(b), strict=True):
                 ids.append(doc_id)
+                keys.append(key)
                 lists.append(words(text))
                 held += len(lists[-1])
-                if held >= SHARD_WORDS:
+                if held >= SHARD_WORDS or len(ids) >= SHARD_ROWS:
                     yield result()
-                    ids, lists, held = [], [], 0
+                    ids, keys, lists, held = [], [], [], 0
         if ids:
             yield result()
 
@@ -242,14 +312,17 @@ def digest(matches: DataFrame) -> DataFrame:
         F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
-        F.col("longest").alias("longest_words"),
-        F.col("longest_at"),
+        F.col("longest").cast("long").alias("longest_words"),
+        F.col("longest_at").cast("long").alias("longest_at"),
         F.col("longest_item"),
     )
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
-    """The documents, whole and in their columns, that hold no window of any item. Nothing is shuffled."""
+    """The documents, whole and in their columns, that hold no window of any item. Nothing is shuffled.
+
+    Rows without text or words stay, null ids too; an empty table stays empty; columns of any name pass through.
+    """
     spark = docs.sparkSession
     small_batches(spark)
     for suffixes in test_blocks(benchmark, window):
@@ -259,22 +332,24 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> Da
 
 def _cleaner(sent):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, lists, count = [], [], 0
+        held, lists, count, size = [], [], 0, 0
 
         def clean():
-            found = shard_rows(sent.value, [None] * len(lists), lists)
+            blank = [None] * len(lists)
+            found = shard_rows(sent.value, blank, blank, lists, details=False)
             at = 0
             for b in held:
-                yield b.filter(pa.array([x[2] == 0 for x in found[at : at + b.num_rows]], pa.bool_()))
+                yield b.filter(pa.array([x[3] == 0 for x in found[at : at + b.num_rows]], pa.bool_()))
                 at += b.num_rows
 
         for b in batches:
+            own = [words(t) for t in byte_texts(b)]
             held.append(b)
-            lists += map(words, byte_texts(b))
-            count += sum(map(len, lists[-b.num_rows :] if b.num_rows else []))
-            if count >= SHARD_WORDS:
+            lists += own
+            count, size = count + sum(map(len, own)), size + b.nbytes
+            if count >= SHARD_WORDS or len(lists) >= SHARD_ROWS or size >= SHARD_BYTES:
                 yield from clean()
-                held, lists, count = [], [], 0
+                held, lists, count, size = [], [], 0, 0
         if held:
             yield from clean()
 
@@ -282,20 +357,30 @@ def _cleaner(sent):
 
 
 def reference(docs: list[tuple], items: list[tuple], window: int = 10) -> list[tuple]:
-    """Brute force, for tests."""
+    """Brute force, for tests: the query's columns, the longest match from every pair of places."""
     out, tests = [], []
     for name, text in items:
         w = words(None if text is None else text.encode())
-        tests.append((name, {tuple(w[i : i + window]) for i in range(max(1, len(w) - window + 1))} if w else set()))
+        if w:
+            tests.append((None if name is None else str(name), w, {tuple(w[i : i + window]) for i in range(max(1, len(w) - window + 1))}))
     for doc_id, text in docs:
         w = words(None if text is None else text.encode())
-        hit, ids = set(), set()
-        for name, windows in tests:
+        hit, ids, best = set(), set(), None
+        for name, item, windows in tests:
+            least = min(window, len(item))
             for x in windows:
                 for i in range(len(w) - len(x) + 1):
                     if tuple(w[i : i + len(x)]) == x:
                         hit.update(range(i, i + len(x)))
                         ids.add(name)
-        listed = ",".join(sorted(str(i) for i in ids if i is not None))
-        out.append((doc_id, len(w), len(hit), len({i for i in ids if i is not None}), hashlib.sha256(listed.encode()).hexdigest(), bool(hit)))
+            for i in range(len(w)):
+                for j in range(len(item)):
+                    n = 0
+                    while i + n < len(w) and j + n < len(item) and w[i + n] == item[j + n]:
+                        n += 1
+                    if n >= least:
+                        best = min(best or (0, 0, True, ""), (-n, i, name is None, name or ""))
+        named = sorted(i for i in ids if i is not None)
+        found = (0, None, None) if best is None else (-best[0], best[1], None if best[2] else best[3])
+        out.append((doc_id, len(w), len(hit), len(named), hashlib.sha256(",".join(named).encode()).hexdigest(), bool(hit), *found))
     return out

@@ -12,9 +12,15 @@ windows AS (SELECT doc_id, size, i, array_to_string(w[i : i + size - 1], ' ') AS
   FROM (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM d CROSS JOIN sizes WHERE len(w) >= size)),
 hits AS (SELECT doc_id, i, size, item_id FROM windows JOIN tests USING (size, words)),
 places AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + size)) AS p FROM hits) GROUP BY doc_id),
-items AS (SELECT doc_id, count(*) AS n_items, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids FROM (SELECT DISTINCT doc_id, item_id FROM hits) GROUP BY doc_id)
-SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
-FROM d LEFT JOIN places USING (doc_id) LEFT JOIN items USING (doc_id)"""
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids FROM (SELECT DISTINCT doc_id, item_id FROM hits) GROUP BY doc_id),
+found AS (SELECT doc_id, i, t.item_id, t.size, t.j FROM windows JOIN
+  (SELECT item_id, i AS j, least(10, len(w)) AS size, array_to_string(w[i : i + 9], ' ') AS words FROM (SELECT item_id, w, unnest(range(1, greatest(1, len(w) - 9) + 1)) AS i FROM b WHERE len(w) > 0)) t USING (size, words)),
+runs AS (SELECT doc_id, item_id, min(i) - 1 AS longest_at, count(*) - 1 + max(size) AS longest_words
+  FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, item_id, size, i - j ORDER BY i) AS run FROM found) GROUP BY doc_id, item_id, size, i - j, run),
+best AS (SELECT * FROM runs QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY longest_words DESC, longest_at, CAST(item_id AS VARCHAR)) = 1)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated,
+  coalesce(longest_words, 0) AS longest_words, longest_at, CAST(best.item_id AS VARCHAR) AS longest_item
+FROM d LEFT JOIN places USING (doc_id) LEFT JOIN items USING (doc_id) LEFT JOIN best USING (doc_id)"""
 
 OP5 = r"""
 WITH d AS (SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
