@@ -19,6 +19,10 @@ SMALL = "/root/testdata/sf0.001"
 ODD = [None, "", " ", "a  b", " x", "x ", "\n\n a\nb  \n c", "a\tb", "é ñ  ü²  x¾", "don't I'll  's", "日本 語 a", "<|endoftext|> x", "a\xa0 b", "\x1c a", "ab a1b. x_y's ...", "w " * 30_000]
 
 
+#: Names that the operators might use themselves.
+CLASHES = ("s", "b", "n", "h", "tie", "name", "doc", "block", "slot", "place", "mix_n", "mix_bucket", "mix_p", "mix_s", "mix_b", "mix_large", "_gone", "_again", "_n", "_nth", "k", "g", "row", "hi", "lo", "component")
+
+
 def docs_of(spark, rows, extra=True):
     """Rows (doc_id, text), with further columns whose names operators might use themselves."""
     df = spark.createDataFrame(rows, "doc_id long, text string")
@@ -91,12 +95,16 @@ def test_op3_brute_force(spark, monkeypatch, block_bytes):
     words = ["ab", "C", "d1", "é", "Zz"]
     text = lambda n: " ".join(rng.choice(words) + rng.choice(["", ",", "."]) for _ in range(n))
     items = [(1, text(2)), (10, text(4)), (2, text(9)), (3, None), (4, ""), (5, "..."), (6, "ab"), (2, text(6)), (None, text(3))]
-    rows = [(i, text(rng.randrange(40))) for i in range(60)] + [(100, None), (101, ""), (102, "Ab " * 300)]
+    items += [(20 + i, "yes") for i in range(30)] + [(60, "ab " * 90)]
+    rows = [(i, text(rng.randrange(40))) for i in range(60)] + [(100, None), (101, ""), (102, "Ab " * 300), (103, "Yes yes no " * 40), (104, "e " * 60)]
     bench = spark.createDataFrame(items, "item_id long, text string").withColumn("doc_id", F.lit(1))
     got = op3_decontaminate.digest(op3_decontaminate.verbatim_matches(docs_of(spark, rows), bench, 4))
-    got = {r["doc_id"]: tuple(r)[:6] for r in got.collect()}
+    got = {r["doc_id"]: tuple(r) for r in got.collect()}
     want = op3_decontaminate.reference(rows, items, 4)
     assert [got[x[0]] for x in want] == want
+    twice = [(7, rows[3][1]), (7, rows[4][1]), (7, rows[4][1]), (None, rows[3][1]), (None, None)]
+    got = op3_decontaminate.digest(op3_decontaminate.verbatim_matches(docs_of(spark, twice), bench, 4))
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, op3_decontaminate.reference(twice, items, 4)))
     clean = op3_decontaminate.decontaminate(docs_of(spark, rows), bench, 4)
     assert sorted(r["doc_id"] for r in clean.collect()) == sorted(x[0] for x in want if not x[5])
     assert op3_decontaminate.verbatim_matches(docs_of(spark, []), bench).count() == 0
@@ -108,6 +116,15 @@ def test_op3_longest_match(spark):
     assert (r["longest"], r["longest_at"], r["longest_item"], r["n_hit"]) == (6, 1, "2", 10)
 
 
+def test_op3_repetitive_texts_stay_small():
+    """A word that is an item and fills a text, and an item of one word over and over, are noted once a place."""
+    suffixes = op3_decontaminate.TestSuffixes([(i, b"yes") for i in range(1000)] + [(5000, b"a " * 300)], 10)
+    start, window = suffixes.search(np.full(20_000, suffixes.vocabulary[b"yes"], np.int64))
+    assert len(start) == 20_000 and len(set(window.tolist())) == 1
+    (row,) = op3_decontaminate.shard_rows(suffixes, [1], [1], [[b"a"] * 20_000])
+    assert row[3] == 20_000 and row[4] == ["5000"] and row[6:] == (300, 0, "5000")
+
+
 def test_op4_frame_is_earliest_deadline_first(spark):
     for weights in ({"a": 0.5, "b": 0.3, "c": 0.2}, {"a": 7, "b": 1, "c": 1, "d": 1, "e": 13}, {"x": 1}):
         slots = op4_mixing.shares(weights, 40)
@@ -124,7 +141,7 @@ def test_op4_frame_is_earliest_deadline_first(spark):
 def test_op4_places_every_row(spark):
     rng = random.Random(1)
     rows = [(i, "t", rng.choice(["big"] * 6 + ["b", "c", None])) for i in range(2000)] + [(3, "t", "b"), (None, "t", "b")]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumns({"s": F.lit(1), "b": F.lit(2), "slot": F.lit(3)})
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumns({c: F.lit(i) for i, c in enumerate(CLASHES)} | {"a.b `c": F.lit("dotted")})
     out = op4_mixing.mix(docs, {"big": 1, "b": 1, "c": 1}, block=4, frame=20)
     got = out.collect()
     assert out.columns[: len(docs.columns)] == docs.columns and len(got) == len(rows)
@@ -138,7 +155,21 @@ def test_op4_places_every_row(spark):
         for s, n in slots.items():
             assert abs(order[:t].count(s) - t * n / 20) < 1
     assert op4_mixing.mix(docs.limit(0)).count() == 0
-    assert op4_mixing.in_mixed_order(docs).count() == len(rows)
+    ordered = op4_mixing.in_mixed_order(docs)
+    assert ordered.dtypes == docs.dtypes and sorted(map(str, ordered.collect())) == sorted(map(str, docs.collect()))
+    taken = docs.withColumn("mix_slot", F.lit("kept"))
+    out = op4_mixing.mix(taken, block=4)
+    assert out.columns[-4:] == ["mix_source", "mix_block", "mix_slot_", "mix_index"] and out.filter("mix_slot = 'kept'").count() == len(rows)
+
+
+def test_op4_equal_ids_are_dealt_by_their_texts(spark, monkeypatch):
+    monkeypatch.setattr(op4_mixing, "BUCKET", 20)
+    monkeypatch.setattr(op4_mixing, "MOST_BLOCKS", 50)
+    docs = spark.range(2000).select(F.lit(None).cast("long").alias("doc_id"), F.concat(F.lit("text "), "id").alias("text"), F.lit("s").alias("source"))
+    assert op4_mixing.block_size(2000) == 64
+    first = {r["text"]: (r["mix_slot"], r["mix_index"]) for r in op4_mixing.mix(docs).collect()}
+    assert len(set(first.values())) == 2000
+    assert first == {r["text"]: (r["mix_slot"], r["mix_index"]) for r in op4_mixing.mix(docs.repartition(7, "text")).collect()}
 
 
 def test_op4_stays_at_its_targets_over_many_slots(spark):

@@ -15,14 +15,16 @@ Weights are exact fractions: windows are computed in whole numbers of any size.
 Scale: documents are numbered within (source, bucket) groups of bounded size,
 then shifted by the buckets' running counts: no source, however large, is
 sorted in one task. The driver plans the slots, one step a block in the time of
-a heap's operation, and holds 8 bytes a block (of ``BLOCK`` documents) and a
-row a source and a bucket; a bucket's slots travel with its row in the table
+a heap's operation; it holds 8 bytes a block and a row a source and a bucket. A
+block has ``BLOCK`` documents, and more where that would be over ``MOST_BLOCKS``
+blocks, so the plan stays at some 30 MB and seconds whatever the corpus; a bucket's slots travel with its row in the table
 that is joined. There may be any number of sources: only those of more than
 ``BUCKET`` documents, at most one in so many documents, are sent to every task.
 
 Edge cases: a null source is a source of its own; a source without a weight
 gets its share of the documents; repeated rows each get a place; an empty
-table gives no rows; no column is lost or renamed; null ids are placed too.
+table gives no rows; no column is lost, renamed or overwritten, whatever its
+name; rows with null or equal ids are told apart by their texts.
 """
 
 from __future__ import annotations
@@ -40,8 +42,8 @@ from pyspark.sql.window import Window
 
 from .common import shared_path
 
-#: Documents of a block.
-BLOCK = 16
+#: Documents of a block, at least, and blocks that the driver plans at most.
+BLOCK, MOST_BLOCKS = 16, 1 << 22
 #: Documents of a numbering bucket, about: each source has as many buckets as its size asks for.
 BUCKET = 2_000
 #: Slots and buckets of the plan in one write, about.
@@ -145,50 +147,77 @@ def _rows(df: DataFrame) -> list[tuple]:
     return list(zip(*df.toArrow().to_pydict().values(), strict=True))
 
 
-def mix(docs: DataFrame, weights: dict[str, float] | None = None, block: int = BLOCK, frame: int | None = None) -> DataFrame:
-    """The documents with ``mix_source``, ``mix_block`` (of its source), ``mix_slot`` and ``mix_index`` (in its block).
+def block_size(rows: int) -> int:
+    """Documents of a block: ``BLOCK``, doubled until the driver plans at most ``MOST_BLOCKS``."""
+    block = BLOCK
+    while rows > block * MOST_BLOCKS:
+        block *= 2
+    return block
 
-    The mixed order is that of (mix_slot, mix_index); within a source documents
-    are in hashed order. ``weights``: a positive target for each source; those
-    not named get their share of the documents. Unset: the square root of each
-    source's number of documents, which flattens the sizes. ``frame``: weights
-    are first rounded to whole slots of so many (unset: they are exact).
+
+def placed(docs: DataFrame, carry: list[str], weights: dict[str, float] | None = None, block: int | None = None, frame: int | None = None) -> DataFrame:
+    """``doc`` (a struct of the carried columns), source, block, slot and place of every row.
+
+    The documents' columns travel inside the struct, so none meets a name of this operator's own.
     """
     spark = docs.sparkSession
-    name = F.coalesce(docs["source"].cast("string"), F.lit(NULL_SOURCE))
+    col = lambda c: F.col("`" + c.replace("`", "``") + "`")
+    plain = [c for c, kind in docs.dtypes if c in carry and "map<" not in kind and kind != "variant"]
+    name = F.coalesce(F.col("source").cast("string"), F.lit(NULL_SOURCE))
+    content = F.xxhash64("doc_id", *(["text"] if "text" in docs.columns else []))
     counts = dict(_rows(docs.groupBy(name.alias("s")).agg(F.count(F.lit(1)).alias("n"))))
     total = sum(counts.values())
+    block = block or block_size(total)
+    rows = docs.select(F.struct(*[col(c) for c in carry]).alias("doc"), name.alias("source"), content.alias("h"), F.xxhash64(*[col(c) for c in plain]).alias("tie"), F.col("doc_id").cast("string").alias("name"))
+    if not total:
+        none = F.lit(None).cast("long")
+        return rows.select("doc", "source", none.alias("block"), none.alias("slot"), none.alias("place"))
     given = {s: n**0.5 for s, n in counts.items()} if weights is None else {s: weights.get(s, n / total) for s, n in counts.items()}
     large = [(s, -(-n // BUCKET)) for s, n in counts.items() if n > BUCKET]
     kinds = pa.schema([("mix_large", pa.string()), ("mix_buckets", pa.int32())])
     large = F.broadcast(spark.createDataFrame(pa.Table.from_pylist([dict(zip(kinds.names, x, strict=True)) for x in large], kinds)))
-    bucket = F.pmod(F.xxhash64("doc_id"), F.coalesce("mix_buckets", F.lit(1))).cast("int")
-    dealt = lambda df: df.withColumn("mix_source", name).join(large, F.col("mix_source") == F.col("mix_large"), "left").withColumn("mix_bucket", bucket).drop("mix_large", "mix_buckets")
-    inside = F.row_number().over(Window.partitionBy("mix_source", "mix_bucket").orderBy(F.xxhash64("doc_id", F.lit("mix")), "doc_id")) - 1
-    rows = dealt(docs).withColumn("mix_n", inside)
-    if not total:
-        none = F.lit(None).cast("long")
-        return rows.drop("mix_bucket", "mix_n").withColumns({"mix_block": none, "mix_slot": none, "mix_index": none})
-    sizes = _rows(dealt(docs.select("doc_id", "source")).groupBy("mix_source", "mix_bucket").agg(F.count(F.lit(1)).alias("n")))
+    bucket = F.pmod("h", F.coalesce("mix_buckets", F.lit(1))).cast("int").alias("b")
+    dealt = lambda df: df.join(large, F.col("source") == F.col("mix_large"), "left").select(*df.columns, bucket)
+    sizes = _rows(dealt(docs.select(name.alias("source"), content.alias("h"))).groupBy("source", "b").agg(F.count(F.lit(1)).alias("n")))
     slots = slots_of({s: -(-n // block) for s, n in counts.items()}, shares(given, frame) if frame else given)
     plan = bucket_plan(spark, sizes, slots, block)
-    rows = rows.join(plan, (F.col("mix_source") == F.col("mix_s")) & (F.col("mix_bucket") == F.col("mix_b")))
-    rows = rows.withColumn("mix_n", F.col("mix_n") + F.col("mix_before")).withColumns({"mix_block": F.floor(F.col("mix_n") / block), "mix_index": F.col("mix_n") % block})
-    slot = F.element_at("mix_slots", (F.col("mix_block") - F.floor(F.col("mix_before") / block) + 1).cast("int"))
-    return rows.withColumn("mix_slot", slot).drop("mix_s", "mix_b", "mix_before", "mix_bucket", "mix_n", "mix_slots")
+    # every order key is the row's own content, so a task that runs again numbers its rows as before
+    inside = F.row_number().over(Window.partitionBy("source", "b").orderBy(F.xxhash64("h", F.lit("mix")), "name", "tie")) - 1
+    rows = dealt(rows).withColumn("n", inside).join(plan, (F.col("source") == F.col("mix_s")) & (F.col("b") == F.col("mix_b")))
+    rows = rows.withColumn("n", F.col("n") + F.col("mix_before")).withColumn("block", F.floor(F.col("n") / block))
+    slot = F.element_at("mix_slots", (F.col("block") - F.floor(F.col("mix_before") / block) + 1).cast("int"))
+    return rows.select("doc", "source", "block", slot.alias("slot"), (F.col("n") % block).alias("place"))
+
+
+def mix(docs: DataFrame, weights: dict[str, float] | None = None, block: int | None = None, frame: int | None = None) -> DataFrame:
+    """The documents with ``mix_source``, ``mix_block`` (of its source), ``mix_slot`` and ``mix_index`` (in its block).
+
+    The mixed order is that of (mix_slot, mix_index); within a source documents
+    are in hashed order. ``weights``: a positive target for each source; those
+    not named get their share of the documents. Unset: the square root of each
+    source's number of documents, which flattens the sizes. ``frame``: weights
+    are first rounded to whole slots of so many (unset: they are exact). Where the
+    documents have a column of such a name, the new one gets underscores added.
+    """
+    def free(name: str) -> str:
+        return name if name.lower() not in {c.lower() for c in docs.columns} else free(name + "_")
+
+    own = {"source": "mix_source", "block": "mix_block", "slot": "mix_slot", "place": "mix_index"}
+    return placed(docs, docs.columns, weights, block, frame).select("doc.*", *[F.col(k).alias(free(v)) for k, v in own.items()])
 
 
 def schedule(docs: DataFrame, weights: dict[str, float] | None = None) -> DataFrame:
-    """doc_id, source, block, slot and index of each document, without its text."""
-    narrow = mix(docs.select("doc_id", "source"), weights)
-    return narrow.select("doc_id", F.col("mix_source").alias("source"), F.col("mix_block").alias("block"), F.col("mix_slot").alias("slot"), F.col("mix_index").alias("place"))
+    """doc_id, source, block, slot and place of each document, without its text."""
+    return placed(docs, ["doc_id"], weights).select("doc.doc_id", "source", "block", "slot", "place")
 
 
 def in_mixed_order(docs: DataFrame, weights: dict[str, float] | None = None) -> DataFrame:
-    """All documents, in their columns, as sorted ranges of the mixed order: files written from it keep that order."""
-    names = docs.columns
+    """All documents, in their columns, as sorted ranges of the mixed order: files written from it keep that order.
+
+    Rows with null or repeated ids, null sources and empty texts all get a place; an empty table stays empty.
+    """
     parts = max(2, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return mix(docs, weights).repartitionByRange(parts, "mix_slot", "mix_index").sortWithinPartitions("mix_slot", "mix_index").select(*names)
+    return placed(docs, docs.columns, weights).repartitionByRange(parts, "slot", "place").sortWithinPartitions("slot", "place").select("doc.*")
 
 
 def simulate(slots: dict[str, int]) -> list[str]:
