@@ -1,26 +1,35 @@
 """Secret scans, in DataFrame functions only.
 
-Three kinds of base spans come from fixed patterns. The method adds spans:
-two Markov models of characters, one of random strings and one of ordinary
-identifiers, give every long unbroken string a log-likelihood ratio a
-character; strings nearer to the random model are spans of kind ``markov``.
+Three kinds of base spans come from fixed patterns. The method adds spans: two
+Markov models of characters, one of random strings and one of ordinary
+identifiers, give each character pair of a long unbroken string a
+log-likelihood ratio. The pairs' ratios, less a fixed ``DRIFT``, are added up
+from left to right and start anew at zero; a string in which the sum reaches
+``EVIDENCE`` somewhere is a span of kind ``markov``. So a key inside a path or
+after a long name counts as much as one that stands alone. Strings in the form
+of a UUID are identifiers by definition and are not judged.
 
 Training: the models count character pairs of labelled strings. Random ones
-are made from hashes of numbers (hexadecimal and base 64), ordinary ones are
-identifier-like words of a bounded sample of the documents (``SAMPLE`` rows in
-expectation, by a hash of the text). The table of ratios has a fixed size.
+are made from hashes of numbers (hexadecimal, base 64, letters and digits);
+ordinary ones are words of a bounded sample of the documents (``SAMPLE`` texts
+in expectation, by a hash of the text, equal texts once), alone and put together
+as paths, names and slugs, and numbers, dates and versions from rules. A fourth of the
+labelled strings, by hash, is never trained on: ``held_out_quality`` judges it.
 
-Scale: spans are found row by row without a shuffle; the model is one small
-aggregate, sent as a literal array of ``SIZE`` squared numbers.
+Scale: spans are found row by row without a shuffle, in time in proportion to
+the text's length: strings are split into characters once, and running sums go
+in two levels. The model is one small aggregate, sent as a literal array of
+``SIZE`` squared numbers.
 
 Edge cases: a null text is empty and has no spans; offsets count code points;
-repeated rows give equal rows; an empty table trains on the random strings
-alone and gives no rows; other columns are ignored.
+repeated rows give equal rows; null ids stay; an empty table trains on the
+labelled strings from rules alone and gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,39 +42,127 @@ LEAST = {"assign": 6, "access": 20, "hex": 24}
 
 #: Strings that the models judge: unbroken, of at least this length.
 CANDIDATE = "[A-Za-z0-9+/_=-]{20,}"
-#: Ratio (natural logarithm, a pair of characters) from which a string counts as random.
-THRESHOLD = 0.3
-#: Documents that ordinary identifiers are taken from, about.
+#: Fixed form of a UUID.
+UUID = "^[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}$"
+#: What a pair's ratio (natural logarithm) must exceed to count for randomness.
+DRIFT = 0.2
+#: Sum of ratios above the drift from which a string counts as random.
+EVIDENCE = 12.0
+#: Texts that ordinary words are taken from, about.
 SAMPLE = 3000
-#: Random strings of each sort that the random model is trained on.
-RANDOM = 4000
+#: Labelled strings of each sort that comes from a rule.
+RULES = 4000
+#: Words that paths, packages and settings are often made of.
+COMMON = (
+    "usr local lib share bin etc var log tmp home user opt src main test java python3 scala resources org com net io github apache example service client server model "
+    "controller util common core api v1 v2 internal config settings default cache index static assets images site-packages node_modules docs build target release debug "
+    "data input output train schema table column value number string list array map set queue stream reader writer handler factory manager builder context session "
+    "request response message event process thread worker task job status error warning info wiki history of the united states category article page list new old"
+)
 #: Characters of the models; any other is one more class.
 LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 SIZE = len(LETTERS) + 1
+#: Values of one part of a running fold.
+PART = 256
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def running(values: Column, zero: Column, add: Callable[[Column, Column], Column]) -> Column:
+    """The fold of an array up to each of its places, by an operation with ``zero`` as its identity.
+
+    Parts of ``PART`` values are folded by themselves, then moved by the fold of
+    the parts before them: no list is copied more often than a part has values.
+    """
+    kind = "array<bigint>"
+    start = F.struct(zero.alias("sum"), F.array().cast(kind).alias("out"))
+    after = lambda a, v: F.struct(add(a["sum"], v).alias("sum"), F.concat(a["out"], F.array(add(a["sum"], v))).alias("out"))
+    before = lambda a, p: F.struct(add(a["sum"], p["sum"]).alias("sum"), F.concat(a["out"], F.array(a["sum"])).alias("out"))
+
+    def parts(v: Column) -> Column:
+        cut = F.transform(F.sequence(F.lit(0), F.floor((F.size(v) - 1) / PART)), lambda k: F.slice(v, (k * PART + 1).cast("int"), PART))
+        return let(F.transform(cut, lambda p: F.aggregate(p, start, after)), moved)
+
+    def moved(ps: Column) -> Column:
+        return F.flatten(F.zip_with(ps, F.aggregate(ps, start, before, lambda a: a["out"]), lambda p, by: F.transform(p["out"], lambda x: add(by, x))))
+
+    return let(values, lambda v: F.when(F.size(v) > 0, parts(v)).otherwise(F.array().cast(kind)))
 
 
 def code(c: Column) -> Column:
     """1 to 67 for the models' characters, 0 for others."""
-    return F.instr(F.lit(LETTERS), c)
+    table = F.lit([LETTERS.find(chr(b)) + 1 for b in range(128)])
+    return F.coalesce(F.get(table, F.ascii(c)), F.lit(0))
 
 
-def labelled_samples(docs: DataFrame) -> DataFrame:
-    """(sample, random): labelled strings for both models."""
-    spark = docs.sparkSession
-    n = spark.range(RANDOM)
-    hexes = n.select(F.substring(F.sha2(F.concat(F.lit("hex"), F.col("id")), 256), 1, 40).alias("sample"))
-    keys = n.select(F.base64(F.unhex(F.sha2(F.concat(F.lit("key"), F.col("id")), 256))).alias("sample"))
-    upper = n.select(F.upper(F.translate(F.base64(F.unhex(F.sha2(F.concat(F.lit("up"), F.col("id")), 256))), "+/=", "")).alias("sample"))
-    random = hexes.unionAll(keys).unionAll(upper).withColumn("random", F.lit(True))
+def _random(spark) -> DataFrame:
+    n = spark.range(RULES)
+    digest = lambda tag: F.sha2(F.concat(F.lit(tag), F.col("id")), 256)
+    keys = lambda tag: F.base64(F.unhex(digest(tag)))
+    size = F.pmod(F.xxhash64("id"), F.lit(22)).cast("int") + 20
+    sorts = [F.substring(digest("hex"), F.lit(1), size), keys("key"), F.upper(F.translate(keys("up"), "+/=", "")), F.substring(F.translate(keys("plain"), "+/=", ""), F.lit(1), size), F.translate(keys("url"), "+/=", "-_")]
+    return n.select(F.explode(F.array(*sorts)).alias("sample"))
+
+
+def _by_rule(spark) -> DataFrame:
+    """Numbers, dates, versions and counters, as they stand in ordinary texts."""
+    n = F.col("id")
+    day = F.date_add(F.lit("2001-01-01").cast("date"), (n * 37 % 12_000).cast("int"))
+    stamp = F.concat(F.date_format(day, "yyyyMMdd"), F.lpad((n * 7919 % 240_000).cast("string"), 6, "0"))
+    words = F.lit(COMMON.split())
+    word = lambda step: F.element_at(words, (F.pmod(F.xxhash64(n, F.lit(step)), F.size(words)) + 1).cast("int"))
+    parts = [word(i) for i in range(5)]
+    sorts = [
+        F.concat(F.lit("/"), F.concat_ws("/", *parts), F.lit("/")), F.concat_ws("/", *parts[:4]), F.concat_ws("_", *parts), F.concat_ws("-", *parts), F.concat_ws("", *map(F.initcap, parts)),
+        F.upper(F.concat_ws("_", *parts[:4])), F.concat(F.concat_ws("/", *parts[:3]), F.lit("/"), F.concat_ws("_", *map(F.initcap, parts[2:]))), F.concat(F.concat_ws("_", *parts[:4]), F.lit("_"), n % 3000),
+        F.repeat((n % 10).cast("string"), (20 + n % 30).cast("int")),
+        F.repeat(F.element_at(F.array(*map(F.lit, ("-", "=", "_", "abc", "ha", "xy-", "=-"))), (n % 7 + 1).cast("int")), (12 + n % 30).cast("int")),
+        F.concat(F.date_format(day, "yyyy-MM-dd"), F.lit("-"), stamp),
+        F.concat(F.lit("/"), F.date_format(day, "yyyy/MM/dd"), F.lit("/img_"), F.lpad(n.cast("string"), 5, "0")),
+        F.concat(F.lit("release-"), n % 20, F.lit("-"), n % 7, F.lit("-build-"), stamp),
+        F.lpad(n.cast("string"), 24, "0"),
+        F.concat(F.lit("00491512"), F.lpad((n * 104_729 % 10_000_000).cast("string"), 7, "0"), F.lit("-"), stamp),
+    ]
+    return spark.range(RULES // 4).select(F.explode(F.array(*sorts)).alias("sample"))
+
+
+def _from_words(docs: DataFrame) -> DataFrame:
+    """Words of a bounded sample of texts, alone and as parts of longer names."""
     total = max(1, docs.filter(docs["text"].isNotNull()).count())
     share = min(1.0, SAMPLE / total)
-    some = docs.select(docs["text"]).filter(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < share * 1_000_000)
-    words = some.select(F.explode(F.regexp_extract_all("text", F.lit("[A-Za-z_-]{8,}"), 0)).alias("sample"))
-    return random.unionAll(words.withColumn("random", F.lit(False)))
+    some = docs.select(docs["text"], F.xxhash64(docs["text"]).alias("h")).filter((F.col("text").isNotNull()) & (F.pmod("h", F.lit(1_000_000)) < share * 1_000_000))
+    some = some.groupBy("h").agg(F.first("text").alias("text"))
+    words = some.select("h", F.regexp_extract_all("text", F.lit("[A-Za-z_-]{2,}"), 0).alias("w"))
+    piece = lambda first, n: F.slice(F.col("w"), first, n)
+    number = F.pmod("h", F.lit(997)).cast("string")
+    joined = [
+        F.concat(F.lit("/"), F.concat_ws("/", piece(1, 6))), F.concat_ws("_", piece(7, 4)), F.concat_ws("-", piece(11, 5)),
+        F.concat_ws("", F.transform(piece(16, 5), F.initcap)), F.concat(F.concat_ws("/", piece(21, 4)), number, F.lit("/"), F.concat_ws("_", piece(25, 3)), number),
+        F.upper(F.concat_ws("_", piece(28, 4))), F.concat(F.lit("wiki/"), F.concat_ws("_", F.transform(piece(32, 5), F.initcap))),
+        F.concat(F.lit("/"), F.lower(F.concat_ws("/", piece(37, 3))), F.lit("/v"), F.pmod("h", F.lit(9)).cast("string"), F.lit("/"), number, F.lit("/"), F.lower(F.concat_ws("-", piece(40, 4)))),
+    ]
+    long = F.filter("w", lambda x: F.char_length(x) >= 8)
+    return words.select(F.explode(F.concat(long, F.array(*joined))).alias("sample")).filter(F.char_length("sample") >= 8)
+
+
+def labelled_samples(docs: DataFrame) -> DataFrame:
+    """(sample, random, held_out): labelled strings for both models, and whether they are kept from training."""
+    spark = docs.sparkSession
+    ordinary = _by_rule(spark).unionAll(_from_words(docs))
+    both = _random(spark).withColumn("random", F.lit(True)).unionAll(ordinary.withColumn("random", F.lit(False)))
+    return both.withColumn("held_out", F.pmod(F.xxhash64("sample"), F.lit(4)) == 0)
 
 
 def train(samples: DataFrame) -> list[float]:
-    """Log ratios of the models' transition probabilities (add-one smoothing), by SIZE * first + second."""
+    """Log ratios of the models' transition probabilities (add-one smoothing), by SIZE * first + second.
+
+    Samples with a true ``held_out`` are left out.
+    """
+    if "held_out" in samples.columns:
+        samples = samples.filter(~F.col("held_out"))
     chars = samples.select("random", F.split("sample", "").alias("c")).filter(F.size("c") > 1)
     pairs = chars.select("random", F.explode(F.arrays_zip(F.slice("c", 1, F.size("c") - 1).alias("a"), F.slice("c", 2, F.size("c") - 1).alias("b"))).alias("p"))
     counts = pairs.groupBy("random", code(F.col("p.a")).alias("a"), code(F.col("p.b")).alias("b")).agg(F.count(F.lit(1)).alias("n"))
@@ -79,15 +176,31 @@ def train(samples: DataFrame) -> list[float]:
     return out
 
 
-def ratio(s: Column, model: list[float]) -> Column:
-    """Mean log-likelihood ratio of a string's character pairs."""
+def evidence(s: Column, model: list[float], drift: float = DRIFT) -> Column:
+    """The greatest sum of ratios less the drift over a run of the string's character pairs."""
     table = F.lit(model)
-    total = F.aggregate(
-        F.sequence(F.lit(1), F.char_length(s) - 1),
-        F.lit(0.0),
-        lambda acc, i: acc + F.element_at(table, code(F.substring(s, i, F.lit(1))) * SIZE + code(F.substring(s, i + 1, F.lit(1))) + 1),
-    )
-    return total / (F.char_length(s) - 1)
+
+    def step(acc: Column, c: Column) -> Column:
+        ratio = F.when(acc["last"] < 0, F.lit(0.0)).otherwise(F.element_at(table, acc["last"] * SIZE + c + 1) - F.lit(drift))
+        now = F.greatest(F.lit(0.0), acc["now"] + ratio)
+        return F.struct(c.alias("last"), now.alias("now"), F.greatest(acc["most"], now).alias("most"))
+
+    zero = F.struct(F.lit(-1).alias("last"), F.lit(0.0).alias("now"), F.lit(0.0).alias("most"))
+    return F.aggregate(F.transform(F.split(s, ""), code), zero, step, lambda a: a["most"])
+
+
+def is_random(s: Column, model: list[float], least: float = EVIDENCE) -> Column:
+    return ~s.rlike(UUID) & (evidence(s, model) >= least)
+
+
+def held_out_quality(samples: DataFrame, model: list[float], least: float = EVIDENCE) -> DataFrame:
+    """One row: strings found and missed of the held-out random ones, and wrongly flagged of the ordinary ones (of those long enough to be judged)."""
+    judged = samples.filter("held_out").filter(F.col("sample").rlike(f"^{CANDIDATE}$")).select("random", is_random(F.col("sample"), model, least).alias("flagged"))
+    counts = judged.agg(*[F.count_if((F.col("random") == r) & (F.col("flagged") == f)).alias(k) for k, r, f in (("found", True, True), ("missed", True, False), ("wrong", False, True), ("right", False, False))])
+    return counts.withColumns({"precision": F.try_divide("found", F.col("found") + F.col("wrong")), "recall": F.try_divide("found", F.col("found") + F.col("missed"))})
+
+
+NO_SPANS = "array<struct<start:bigint,rank:int,kind:string,stop:bigint,value:string>>"
 
 
 def spans(text: Column, kind: str, rank: int, pattern: str) -> Column:
@@ -95,26 +208,33 @@ def spans(text: Column, kind: str, rank: int, pattern: str) -> Column:
 
     The text between matches and the matches alternate, so their lengths give the places.
     """
-    hits = F.regexp_extract_all(text, F.lit(pattern), 0)
     gaps = F.split(text, pattern, -1)
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,rank:int,kind:string,stop:int,value:string>>").alias("out"))
-
-    def step(acc: Column, x: Column) -> Column:
-        start = acc["at"] + F.char_length(x["gap"])
-        stop = start + F.char_length(x["hit"])
-        row = F.struct(start.alias("start"), F.lit(rank).alias("rank"), F.lit(kind).alias("kind"), stop.alias("stop"), x["hit"].alias("value"))
-        return F.struct(stop.alias("at"), F.concat(acc["out"], F.array(row)).alias("out"))
-
-    pairs = F.zip_with(F.slice(gaps, 1, F.size(hits)), hits, lambda g, h: F.struct(g.alias("gap"), h.alias("hit")))
-    none = F.array().cast("array<struct<start:int,rank:int,kind:string,stop:int,value:string>>")
-    return F.when(text.rlike(pattern), F.aggregate(pairs, zero, step, lambda a: a["out"])).otherwise(none)
+    sizes = lambda hits: F.zip_with(F.slice(gaps, 1, F.size(hits)), hits, lambda g, h: (F.char_length(g) + F.char_length(h)).cast("bigint"))
+    row = lambda stop, h: F.struct((stop - F.char_length(h)).alias("start"), F.lit(rank).alias("rank"), F.lit(kind).alias("kind"), stop.alias("stop"), h.alias("value"))
+    every = let(F.regexp_extract_all(text, F.lit(pattern), 0), lambda hits: F.zip_with(running(sizes(hits), F.lit(0).cast("bigint"), lambda a, b: a + b), hits, row))
+    return F.when(text.rlike(pattern), every).otherwise(F.array().cast(NO_SPANS))
 
 
 def joined(found: Column) -> Column:
     return F.array_join(F.transform(found, lambda x: F.concat_ws(":", x["kind"], x["start"], x["stop"])), ",")
 
 
-def scan(docs: DataFrame, model: list[float], threshold: float = THRESHOLD) -> DataFrame:
+def apart(candidates: Column, base: Column) -> Column:
+    """The candidates that no base span meets: none before them reaches into them, none begins inside."""
+    most = F.lit(2**62)
+    is_base = lambda x: x["kind"] != "markov"
+
+    def checked(every: Column) -> Column:
+        reach = running(F.transform(every, lambda x: F.when(is_base(x), x["stop"]).otherwise(F.lit(0))), F.lit(0).cast("bigint"), F.greatest)
+        ahead = F.reverse(running(F.reverse(F.transform(every, lambda x: F.when(is_base(x), x["start"]).otherwise(most))), most, F.least))
+        free = F.filter(F.arrays_zip(every.alias("x"), reach.alias("reach"), ahead.alias("ahead")), lambda z: (z["x"]["kind"] == "markov") & (z["reach"] <= z["x"]["start"]) & (z["ahead"] >= z["x"]["stop"]))
+        return F.transform(free, lambda z: z["x"])
+
+    both = let(F.array_sort(F.concat(candidates, base)), checked)
+    return F.when(F.size(candidates) == 0, candidates).when(F.size(base) == 0, candidates).otherwise(both)
+
+
+def scan(docs: DataFrame, model: list[float], least: float = EVIDENCE) -> DataFrame:
     """doc_id, base spans of each kind, and those that the models add outside them."""
     rows = docs.select(docs["doc_id"], F.coalesce(docs["text"], F.lit("")).alias("text"))
     text = F.col("text")
@@ -124,11 +244,10 @@ def scan(docs: DataFrame, model: list[float], threshold: float = THRESHOLD) -> D
         F.filter(spans(text, "assign", 0, ASSIGN), lambda x: F.char_length(value(x)) >= LEAST["assign"]).alias("assign"),
         F.filter(spans(text, "access", 1, ACCESS), lambda x: F.char_length(x["value"]) >= LEAST["access"]).alias("access"),
         spans(text, "hex", 2, HEX).alias("hex"),
-        spans(text, "markov", 3, CANDIDATE).alias("long"),
+        F.filter(spans(text, "markov", 3, CANDIDATE), lambda x: is_random(x["value"], model, least)).alias("long"),
     )
     rows = rows.withColumn("base", F.array_sort(F.concat("assign", "access", "hex")))
-    outside = F.filter("long", lambda x: ~F.exists("base", lambda y: (y["start"] < x["stop"]) & (x["start"] < y["stop"])))
-    rows = rows.withColumn("markov", F.filter(outside, lambda x: ratio(x["value"], model) >= threshold))
+    rows = rows.withColumn("markov", apart(F.col("long"), F.col("base")))
     return rows.select("doc_id", "assign", "access", "hex", "base", "markov")
 
 
@@ -146,3 +265,10 @@ def digest(found: DataFrame) -> DataFrame:
 def find_secrets(docs: DataFrame, samples: DataFrame | None = None) -> DataFrame:
     """Train on labelled samples (``sample``, ``random``), or on the default ones, and scan every text."""
     return scan(docs, train(samples if samples is not None else labelled_samples(docs)))
+
+
+def reference_evidence(s: str, model: list[float], drift: float = DRIFT) -> float:
+    """Brute force, for tests: every run of pairs is added up."""
+    codes = [LETTERS.find(c) + 1 for c in s]
+    pairs = [model[a * SIZE + b] - drift for a, b in zip(codes, codes[1:])]
+    return max([0.0, *(math.fsum(pairs[i:j]) for i in range(len(pairs)) for j in range(i + 1, len(pairs) + 1))])
