@@ -6,9 +6,9 @@ it in the corpus has the same word before it and the same word after it, and
 there are several. A path through inner nodes does not branch, and neither
 begins nor ends inside for any document, so it compacts into one piece: where
 one of its edges occurs, the whole piece occurs. A join of the pieces on their
-content (two independent hashes of all their words) finds each piece's first
-source coordinate (doc_id, place); in every later occurrence its words are
-removed.
+content (a 128-bit hash of all their bytes) finds each piece's first source
+coordinate (doc_id, place). The words that stand there are fetched and compared
+with every later occurrence: only where they are the same, they are removed.
 
 Steps, all over groups of whole documents (a group is a hash of the row):
 
@@ -18,12 +18,17 @@ Steps, all over groups of whole documents (a group is a hash of the row):
 3. Each group walks its documents, cuts runs of repeated nodes at those that
    are not inner, and gives pieces with their coordinates. Of the same piece
    within a group only the first coordinates go on; the others are decided.
-4. Pieces meet by content; the first coordinate of each stays.
-5. Each group takes the removed spans and writes the result.
+4. Pieces meet by content: an aggregate finds the first coordinate of each, a join
+   tells it to the later ones.
+5. The group of each first coordinate sends the words there to the groups that ask.
+6. Each group compares them with its spans, and writes the result.
 
 Scale: texts move once (the shuffle into groups is reused by all steps);
 hashes move packed, one entry a group however often they occur; pieces of hot
-passages come once from each group. No pair of documents is ever formed.
+passages come once from each group, and their words go once to each. No pair of
+documents is ever formed. Groups have some ``GROUP_BYTES`` of text: a bucket gets
+an entry from each group for a hash that all hold, so larger executors do well
+with larger groups.
 
 Edge cases: null and empty texts have no words; documents shorter than a
 window lose nothing; a document's own repetition loses its later windows; of
@@ -39,16 +44,18 @@ from itertools import compress
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from . import packing
 from .common import GROUP_BYTES, byte_texts, partitions, text_size
 from .packing import Rolling, Words
 
-SPAN_SCHEMA = pa.schema([("g", pa.int32()), ("k", pa.int64()), ("o", pa.int64()), ("at", pa.int32()), ("n", pa.int32()), ("hi", pa.int64()), ("lo", pa.int64())])
-SPANS = "g int, k long, o long, at int, n int, hi long, lo long"
+SPAN_SCHEMA = pa.schema([("g", pa.int32()), ("k", pa.int64()), ("o", pa.int64()), ("at", pa.int32()), ("n", pa.int32()), ("hi", pa.int64()), ("lo", pa.int64()), ("done", pa.bool_())])
+SPANS = "g int, k long, o long, at int, n int, hi long, lo long, done boolean"
+SOURCE_SCHEMA = pa.schema([("g", pa.int32()), ("hi", pa.int64()), ("lo", pa.int64()), ("body", pa.binary())])
+SOURCES = "g int, hi long, lo long, body binary"
 RESULT_SCHEMA = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string()), ("kept", pa.string())])
 
 
@@ -78,13 +85,13 @@ class Nodes:
         return self.roll.spans(at, at + self.size)
 
     def contexts(self, at: np.ndarray) -> np.ndarray:
-        """A 31-bit hash of the words before and after each node; 0 if the document begins or ends there."""
+        """A 63-bit hash of the words before and after each node; 0 if the document begins or ends there."""
         w = self.words
         doc = w.text_of[at]
         whole = (at > w.starts[doc]) & (at + self.size < w.ends[doc])
         before, after = w.hashes[np.maximum(at - 1, 0)], w.hashes[np.minimum(at + self.size, len(w) - 1)]
-        out = packing.mixed(before * np.uint64(0x9FB21C651E98DF25) + after) >> np.uint64(33)
-        return np.where(whole, np.maximum(out, np.uint64(1)), np.uint64(0)).astype(np.uint32)
+        out = packing.mixed(packing.mixed(before) * np.uint64(0x9FB21C651E98DF25) + after) >> np.uint64(1)
+        return np.where(whole, np.maximum(out, np.uint64(1)), np.uint64(0))
 
 
 def _minimizer_rows(table: pa.Table, window: int, buckets: int) -> pa.Table:
@@ -120,15 +127,15 @@ def _node_rows(docs: pa.Table, answers: pa.Table, window: int, buckets: int) ->
     first = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]]))
     low, high = np.minimum.reduceat(contexts, first), np.maximum.reduceat(contexts, first)
     many = np.diff(np.append(first, len(hashes))) > 1
-    notes = np.where(low == high, low, 0).astype(np.uint32) << np.uint32(1) | many.astype(np.uint32)
+    notes = np.where(low == high, low, np.uint64(0)) << np.uint64(1) | many.astype(np.uint64)
     return packing.sent_rows(docs.column("g")[0].as_py(), hashes[first], notes, buckets)
 
 
 def _inner(first: np.ndarray, notes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Which nodes repeat; note 2 if inner, 1 if a piece ends there."""
     count = np.diff(np.append(first, len(notes)))
-    many = (count > 1) | (notes[first] & np.uint32(1) > 0)
-    context = notes >> np.uint32(1)
+    many = (count > 1) | (notes[first] & np.uint64(1) > 0)
+    context = notes >> np.uint64(1)
     low, high = np.minimum.reduceat(context, first), np.maximum.reduceat(context, first)
     return many, np.where((low == high) & (low > 0), 2, 1).astype(np.uint32)
 
@@ -155,10 +162,13 @@ def _piece_rows(docs: pa.Table, answers: pa.Table, window: int) -> pa.Table:
     doc = w.text_of[at]
     ids = docs.column("o").to_numpy()[doc]
     place = at - w.starts[doc]
-    hi = nodes.roll.spans(at, last).view(np.int64)
-    lo = Rolling(w.hashes, 1).spans(at, last).view(np.int64)
+    text, begins = w.joined()
+    bodies = [text[i:j] for i, j in zip(begins[at].tolist(), begins[last].tolist(), strict=True)]
+    digest = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, bodies)), "<i8").reshape(-1, 2)
+    hi, lo = digest[:, 0], digest[:, 1]
     order = np.lexsort((place, ids, lo, hi))
-    same = np.concatenate([[False], (hi[order][1:] == hi[order][:-1]) & (lo[order][1:] == lo[order][:-1])])
+    # the same piece: the same words, compared as they stand
+    same = np.array([False, *(bodies[i] == bodies[j] for i, j in zip(order[1:].tolist(), order[:-1].tolist(), strict=True))])
     # of a piece's occurrences in this group only the first go on; those after them are decided
     lead = order[np.maximum.accumulate(np.where(same, 0, np.arange(len(order))))]
     later = np.zeros(len(at), bool)
@@ -168,7 +178,6 @@ def _piece_rows(docs: pa.Table, answers: pa.Table, window: int) -> pa.Table:
     a, n2, k2, o2 = _joined(at[later], last[later], k[later], ids[later], w.starts[doc[later]])
     g = docs.column("g")[0].as_py()
     both = lambda x, y, t: pa.array(np.concatenate([x, y]), t)
-    nothing = pa.nulls(len(a), pa.int64())
     return pa.table(
         [
             pa.array(np.full(len(first) + len(a), g), pa.int32()),
@@ -176,8 +185,9 @@ def _piece_rows(docs: pa.Table, answers: pa.Table, window: int) -> pa.Table:
             both(ids[first], o2, pa.int64()),
             both(place[first], a, pa.int32()),
             both((last - at)[first], n2, pa.int32()),
-            pa.concat_arrays([pa.array(hi[first]), nothing]),
-            pa.concat_arrays([pa.array(lo[first]), nothing]),
+            both(hi[first], k2, pa.int64()),  # decided spans have no content to meet by: their document's key deals them out
+            both(lo[first], a, pa.int64()),
+            both(np.zeros(len(first), bool), np.ones(len(a), bool), pa.bool_()),
         ],
         schema=SPAN_SCHEMA,
     )
@@ -195,18 +205,32 @@ def _joined(first, last, k, ids, start):
     return first[lead] - start[lead], np.maximum.reduceat(last, lead) - first[lead], k[lead], ids[lead]
 
 
-def _result(docs: pa.Table, spans: pa.Table, keep_text: bool) -> pa.Table:
-    removed: dict[int, list[tuple[int, int]]] = {}
-    for k, at, n in zip(*(spans.column(c).to_pylist() for c in ("k", "at", "n")), strict=True):
-        removed.setdefault(k, []).append((at, n))
+def _source_rows(docs: pa.Table, asked: pa.Table) -> pa.Table:
+    """The words at the asked coordinates of this group's documents, for the groups that asked."""
+    wanted = set(asked.column("k").to_pylist())
+    lists = {k: text.split() for k, text in zip(docs.column("k").to_pylist(), byte_texts(docs), strict=True) if k in wanted and text}
+    rows = [(to, hi, lo, b" ".join(lists[k][at : at + n]) + b" ") for k, at, n, to, hi, lo in zip(*(asked.column(c).to_pylist() for c in ("k", "at", "n", "to", "hi", "lo")), strict=True)]
+    return pa.table([pa.array(list(c), f.type) for c, f in zip(zip(*rows, strict=True), SOURCE_SCHEMA, strict=True)], schema=SOURCE_SCHEMA) if rows else SOURCE_SCHEMA.empty_table()
+
+
+def _result(docs: pa.Table, side: pa.Table, keep_text: bool) -> pa.Table:
+    sources: dict[tuple[int, int], set[bytes]] = {}
+    removed: dict[int, list[tuple[int, int, tuple[int, int] | None]]] = {}
+    for k, at, n, hi, lo, done, body in zip(*(side.column(c).to_pylist() for c in ("k", "at", "n", "hi", "lo", "done", "body")), strict=True):
+        if body is not None:
+            sources.setdefault((hi, lo), set()).add(body)
+        else:
+            removed.setdefault(k, []).append((at, n, None if done else (hi, lo)))
     rows = []
     for doc_id, k, text in zip(docs.column("doc_id").to_pylist(), docs.column("k").to_pylist(), byte_texts(docs), strict=True):
         words = text.split() if text else []
         total, gone = len(words), 0
         if k in removed:
             keep = np.ones(total, bool)
-            for at, n in removed[k]:
-                keep[at : at + n] = False
+            for at, n, key in removed[k]:
+                # verified: the same words stand at the source's coordinate
+                if key is None or b" ".join(words[at : at + n]) + b" " in sources.get(key, ()):
+                    keep[at : at + n] = False
             gone = total - int(keep.sum())
             words = list(compress(words, keep.tolist()))
         kept = b" ".join(words)
@@ -230,13 +254,17 @@ def dedup_substrings(docs: DataFrame, window: int = 20, keep_text: bool = True)
     sent = grouped.applyInArrow(lambda t: _minimizer_rows(t, window, buckets), packing.SENT)
     answers = packing.answered(sent, _repeated, out_kind=np.uint8)
     sent = grouped.cogroup(answers.groupBy("g")).applyInArrow(lambda d, a: _node_rows(d, a, window, buckets), packing.SENT)
-    answers = packing.answered(sent, _inner, out_kind=np.uint8)
+    answers = packing.answered(sent, _inner, np.uint64, np.uint8)
     pieces = grouped.cogroup(answers.groupBy("g")).applyInArrow(lambda d, a: _piece_rows(d, a, window), SPANS)
-    same = Window.partitionBy("hi", "lo", F.when(F.col("hi").isNull(), F.col("k")))
-    first = F.min(F.struct("o", "at")).over(same)
-    spans = pieces.withColumn("first", first).filter(F.col("hi").isNull() | (F.struct("o", "at") > F.col("first"))).select("g", "k", "at", "n")
+    first = F.min(F.struct("o", "at", "g", "k")).alias("first")
+    firsts = pieces.filter("NOT done").groupBy("hi", "lo").agg(first).select(F.col("hi").alias("hi1"), F.col("lo").alias("lo1"), "first")
+    met = pieces.join(firsts, (F.col("hi") == F.col("hi1")) & (F.col("lo") == F.col("lo1")) & ~F.col("done"), "left")
+    spans = met.filter(F.col("done") | (F.struct("o", "at") > F.struct("first.o", "first.at"))).select("g", "k", "at", "n", "hi", "lo", "done", "first")
+    asked = spans.filter("NOT done").select(F.col("first.g").alias("g"), F.col("first.k").alias("k"), F.col("first.at").alias("at"), "n", F.col("g").alias("to"), "hi", "lo")
+    sources = grouped.cogroup(asked.groupBy("g")).applyInArrow(_source_rows, SOURCES)
+    side = spans.drop("first").withColumn("body", F.lit(None).cast("binary")).unionByName(sources, allowMissingColumns=True)
     names = "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string"
-    return grouped.cogroup(spans.groupBy("g")).applyInArrow(lambda d, s: _result(d, s, keep_text), names)
+    return grouped.cogroup(side.groupBy("g")).applyInArrow(lambda d, s: _result(d, s, keep_text), names)
 
 
 def reference(docs: list[tuple], window: int = 20) -> list[tuple]:

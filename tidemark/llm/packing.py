@@ -70,6 +70,7 @@ class Words:
             real = codes != names.index(b"")
             ends = np.concatenate([[0], np.cumsum(real)])[ends]
             codes = codes[real]
+        self.names, self.codes = names, codes
         self.hashes = table[codes] if len(names) else np.zeros(0, np.uint64)
         self.starts, self.ends = ends[:-1], ends[1:]
         self.text_of = np.repeat(np.arange(len(self.starts)), self.ends - self.starts)
@@ -77,6 +78,11 @@ class Words:
     def __len__(self) -> int:
         return len(self.hashes)
 
+    def joined(self) -> tuple[bytes, np.ndarray]:
+        """All words with a space after each, and where each begins (and the last one's end)."""
+        size = np.fromiter(map(len, self.names), np.int64, len(self.names))[self.codes] + 1 if len(self.names) else np.zeros(0, np.int64)
+        return b" ".join([*map(self.names.__getitem__, self.codes.tolist()), b""]), np.concatenate([[0], np.cumsum(size)])
+
 
 class Rolling:
     """Hashes of any spans of a row of words: sums of powers of an odd base, modulo 2^64."""
