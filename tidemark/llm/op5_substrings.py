@@ -18,14 +18,15 @@ Steps, all over groups of whole documents (a group is a hash of the row):
 3. Each group walks its documents, cuts runs of repeated nodes at those that
    are not inner, and gives pieces with their coordinates. Of the same piece
    within a group only the first coordinates go on; the others are decided.
-4. Pieces meet by content: an aggregate finds the first coordinate of each, a join
-   tells it to the later ones.
-5. The group of each first coordinate sends the words there to the groups that ask.
-6. Each group compares them with its spans, and writes the result.
+4. Pieces meet by content: an aggregate finds the first coordinate of each.
+5. The group of each first coordinate fetches the words there, once.
+6. A join brings them to the later occurrences.
+7. Each group compares them with its spans, and writes the result.
 
 Scale: texts move once (the shuffle into groups is reused by all steps);
 hashes move packed, one entry a group however often they occur; pieces of hot
-passages come once from each group, and their words go once to each. No pair of
+passages come once from each group, and their words go once to each; a source is
+asked once, however many groups hold its passage. No pair of
 documents is ever formed. Groups have some ``GROUP_BYTES`` of text: a bucket gets
 an entry from each group for a hash that all hold, so larger executors do well
 with larger groups.
@@ -54,8 +55,8 @@ from .packing import Rolling, Words
 
 SPAN_SCHEMA = pa.schema([("g", pa.int32()), ("k", pa.int64()), ("o", pa.int64()), ("at", pa.int32()), ("n", pa.int32()), ("hi", pa.int64()), ("lo", pa.int64()), ("done", pa.bool_())])
 SPANS = "g int, k long, o long, at int, n int, hi long, lo long, done boolean"
-SOURCE_SCHEMA = pa.schema([("g", pa.int32()), ("hi", pa.int64()), ("lo", pa.int64()), ("body", pa.binary())])
-SOURCES = "g int, hi long, lo long, body binary"
+SOURCE_SCHEMA = pa.schema([("hi1", pa.int64()), ("lo1", pa.int64()), ("o1", pa.int64()), ("at1", pa.int32()), ("body", pa.binary())])
+SOURCES = "hi1 long, lo1 long, o1 long, at1 int, body binary"
 RESULT_SCHEMA = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string()), ("kept", pa.string())])
 
 
@@ -206,30 +207,26 @@ def _joined(first, last, k, ids, start):
 
 
 def _source_rows(docs: pa.Table, asked: pa.Table) -> pa.Table:
-    """The words at the asked coordinates of this group's documents, for the groups that asked."""
+    """The words at the asked coordinates of this group's documents."""
     wanted = set(asked.column("k").to_pylist())
     lists = {k: text.split() for k, text in zip(docs.column("k").to_pylist(), byte_texts(docs), strict=True) if k in wanted and text}
-    rows = [(to, hi, lo, b" ".join(lists[k][at : at + n]) + b" ") for k, at, n, to, hi, lo in zip(*(asked.column(c).to_pylist() for c in ("k", "at", "n", "to", "hi", "lo")), strict=True)]
+    rows = [(hi, lo, o, at, b" ".join(lists[k][at : at + n])) for k, o, at, n, hi, lo in zip(*(asked.column(c).to_pylist() for c in ("k", "o", "at", "n", "hi", "lo")), strict=True)]
     return pa.table([pa.array(list(c), f.type) for c, f in zip(zip(*rows, strict=True), SOURCE_SCHEMA, strict=True)], schema=SOURCE_SCHEMA) if rows else SOURCE_SCHEMA.empty_table()
 
 
-def _result(docs: pa.Table, side: pa.Table, keep_text: bool) -> pa.Table:
-    sources: dict[tuple[int, int], set[bytes]] = {}
-    removed: dict[int, list[tuple[int, int, tuple[int, int] | None]]] = {}
-    for k, at, n, hi, lo, done, body in zip(*(side.column(c).to_pylist() for c in ("k", "at", "n", "hi", "lo", "done", "body")), strict=True):
-        if body is not None:
-            sources.setdefault((hi, lo), set()).add(body)
-        else:
-            removed.setdefault(k, []).append((at, n, None if done else (hi, lo)))
+def _result(docs: pa.Table, spans: pa.Table, keep_text: bool) -> pa.Table:
+    removed: dict[int, list[tuple[int, int, bytes | None]]] = {}
+    for k, at, n, body in zip(*(spans.column(c).to_pylist() for c in ("k", "at", "n", "body")), strict=True):
+        removed.setdefault(k, []).append((at, n, body))
     rows = []
     for doc_id, k, text in zip(docs.column("doc_id").to_pylist(), docs.column("k").to_pylist(), byte_texts(docs), strict=True):
         words = text.split() if text else []
         total, gone = len(words), 0
         if k in removed:
             keep = np.ones(total, bool)
-            for at, n, key in removed[k]:
-                # verified: the same words stand at the source's coordinate
-                if key is None or b" ".join(words[at : at + n]) + b" " in sources.get(key, ()):
+            for at, n, body in removed[k]:
+                # verified: the same words stand at the source's coordinate (those decided in their group were compared there)
+                if body is None or b" ".join(words[at : at + n]) == body:
                     keep[at : at + n] = False
             gone = total - int(keep.sum())
             words = list(compress(words, keep.tolist()))
@@ -256,15 +253,15 @@ def dedup_substrings(docs: DataFrame, window: int = 20, keep_text: bool = True)
     sent = grouped.cogroup(answers.groupBy("g")).applyInArrow(lambda d, a: _node_rows(d, a, window, buckets), packing.SENT)
     answers = packing.answered(sent, _inner, np.uint64, np.uint8)
     pieces = grouped.cogroup(answers.groupBy("g")).applyInArrow(lambda d, a: _piece_rows(d, a, window), SPANS)
-    first = F.min(F.struct("o", "at", "g", "k")).alias("first")
-    firsts = pieces.filter("NOT done").groupBy("hi", "lo").agg(first).select(F.col("hi").alias("hi1"), F.col("lo").alias("lo1"), "first")
-    met = pieces.join(firsts, (F.col("hi") == F.col("hi1")) & (F.col("lo") == F.col("lo1")) & ~F.col("done"), "left")
-    spans = met.filter(F.col("done") | (F.struct("o", "at") > F.struct("first.o", "first.at"))).select("g", "k", "at", "n", "hi", "lo", "done", "first")
-    asked = spans.filter("NOT done").select(F.col("first.g").alias("g"), F.col("first.k").alias("k"), F.col("first.at").alias("at"), "n", F.col("g").alias("to"), "hi", "lo")
+    pieces = pieces.repartition(partitions(spark, groups), "hi", "lo")  # one exchange, which the aggregate and the join both read
+    first = F.min(F.struct("o", "at", "n", "g", "k")).alias("first")
+    firsts = pieces.filter("NOT done").groupBy("hi", "lo").agg(first, F.count(F.lit(1)).alias("met")).filter("met > 1")
+    asked = firsts.select("first.g", "first.k", "first.o", "first.at", "first.n", "hi", "lo")
     sources = grouped.cogroup(asked.groupBy("g")).applyInArrow(_source_rows, SOURCES)
-    side = spans.drop("first").withColumn("body", F.lit(None).cast("binary")).unionByName(sources, allowMissingColumns=True)
+    met = pieces.join(sources, (F.col("hi") == F.col("hi1")) & (F.col("lo") == F.col("lo1")) & ~F.col("done"), "left")
+    spans = met.filter(F.col("done") | (F.col("body").isNotNull() & (F.struct("o", "at") > F.struct("o1", "at1")))).select("g", "k", "at", "n", "body")
     names = "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string"
-    return grouped.cogroup(side.groupBy("g")).applyInArrow(lambda d, s: _result(d, s, keep_text), names)
+    return grouped.cogroup(spans.groupBy("g")).applyInArrow(lambda d, s: _result(d, s, keep_text), names)
 
 
 def reference(docs: list[tuple], window: int = 20) -> list[tuple]:
