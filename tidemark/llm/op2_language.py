@@ -6,11 +6,13 @@ n-grams are compared with each profile by the out-of-place distance: the sum
 of the differences in rank, with a fixed most for n-grams that a profile
 lacks. The nearest profile names the language.
 
-Profiles are fitted on a bounded sample of the labelled rows (``SAMPLE`` a
-language, by a hash of the row, so the same at every partitioning).
+Profiles are fitted on a bounded sample of the labelled texts (``SAMPLE`` a
+language, by a hash of the text, so the same at every partitioning; equal texts
+count once, so a large group of copies weighs no more than one).
 Prediction reads every whole text once and nothing but the text; no shuffle.
 
 Edge cases: a text that is null or without letters is ``und`` with score 0;
+letters of any script, any number of different ones, have n-grams; null ids stay;
 ties go to the language that sorts first; with no labelled rows every
 document is ``und``; an empty table gives no rows; other columns are ignored.
 """
@@ -38,42 +40,53 @@ LONGEST = 3
 LEAST_SCORE = 0.02
 
 
+#: Bits of a letter: every code point plus one fits, and three of them fit into 63 bits. The blank is 1.
+BITS, BLANK = 21, 1
+
+
 class Alphabet:
-    """Code points to small numbers: 0 is the blank, letters from 1 in order of first use."""
+    """Which code points are letters, asked once for each that occurs."""
 
     def __init__(self):
-        self.table = np.zeros(0x110000, np.uint16)
-        self.known = np.zeros(0x110000, bool)
-        self.letters = [" "]
+        self.known = np.zeros(0x110000, np.int8)  # 0 not asked yet, 1 a letter, 2 none
 
     def codes(self, text: str) -> np.ndarray:
+        """A number for each character: the code point plus one for letters, the blank for all others."""
         points = np.frombuffer(text.lower().encode("utf-32-le", "replace"), np.uint32)
-        known = self.known[points]
-        if not known.all():
-            for p in np.unique(points[~known]).tolist():
-                self.known[p] = True
-                if chr(p).isalpha():
-                    self.table[p] = len(self.letters)
-                    self.letters.append(chr(p))
-        return self.table[points]
+        kind = self.known[points]
+        if not kind.all():
+            new = np.unique(points[kind == 0])
+            self.known[new] = [1 if chr(p).isalpha() else 2 for p in new.tolist()]
+            kind = self.known[points]
+        return np.where(kind == 1, points.astype(np.uint64) + np.uint64(1), np.uint64(BLANK))
 
 
 def grams(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """N-grams as numbers (three 16-bit letters) and how often each occurs; blanks alone don't count."""
-    if not codes.any():
+    """N-grams as numbers (one to three letters, the first in the highest bits) and how often each occurs; blanks alone don't count."""
+    letter = codes != BLANK
+    if not letter.any():
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    c = np.concatenate([[0], codes, [0]]).astype(np.uint64)
-    c = c[np.concatenate([[True], (c[1:] > 0) | (c[:-1] > 0)])]  # one blank between words
-    s = np.uint64(16)
-    one = c[c > 0]
-    two = (c[:-1] << s | c[1:]) | np.uint64(1 << 62)
-    three = (c[:-2] << np.uint64(32) | c[1:-1] << s | c[2:])[c[1:-1] > 0] | np.uint64(1 << 63)
-    return np.unique(np.concatenate([one, two, three]), return_counts=True)
+    end = np.array([BLANK], np.uint64)
+    c = np.concatenate([end, codes, end])
+    is_letter = c != BLANK
+    keep = np.concatenate([[True], is_letter[1:] | is_letter[:-1]])
+    c, is_letter = c[keep], is_letter[keep]  # one blank between words
+    s = np.uint64(BITS)
+    two = c[:-1] << s | c[1:]
+    three = (two[:-1] << s | c[2:])[is_letter[1:-1]]
+    return np.unique(np.concatenate([c[is_letter], two, three]), return_counts=True)
+
+
+def gram_text(number: int) -> str:
+    parts = [number >> BITS * k & (1 << BITS) - 1 for k in reversed(range(3))]
+    return "".join(" " if x == BLANK else chr(x - 1) for x in parts if x)
 
 
-def gram_text(number: int, letters: list[str]) -> str:
-    size = 3 if number >> 63 else 2 if number >> 62 else 1
-    return "".join(letters[number >> 16 * k & 0xFFFF] for k in reversed(range(size)))
+def gram_number(gram: str) -> int:
+    out = 0
+    for c in gram:
+        out = out << BITS | (BLANK if c == " " else ord(c) + 1)
+    return out
 
 
 def fit(labelled: DataFrame, sample: int = SAMPLE, ranks: int = RANKS) -> dict[str, list[str]]:
@@ -82,7 +95,8 @@ def fit(labelled: DataFrame, sample: int = SAMPLE, ranks: int = RANKS) -> dict[s
     small_batches(spark)
     rows = pick(labelled, "text", "lang").filter("text IS NOT NULL AND lang IS NOT NULL")
     share = rows.groupBy("lang").agg(F.least(F.lit(1.0), F.lit(float(sample)) / F.count(F.lit(1))).alias("share"))
-    taken = rows.join(F.broadcast(share), "lang").filter(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < F.col("share") * 1_000_000)
+    taken = rows.withColumn("h", F.xxhash64("text")).join(F.broadcast(share), "lang").filter(F.pmod("h", F.lit(1_000_000)) < F.col("share") * 1_000_000)
+    taken = taken.groupBy("lang", "h").agg(F.first("text").alias("text"))  # of copies, one
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         alphabet, sums = Alphabet(), {}
@@ -92,7 +106,7 @@ def fit(labelled: DataFrame, sample: int = SAMPLE, ranks: int = RANKS) -> dict[s
                     sums.setdefault(lang, Counter())[k] += n
         for lang, found in sums.items():
             yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(found)), pa.array([gram_text(k, alphabet.letters) for k in found]), pa.array(list(found.values()), pa.int64())], ["lang", "gram", "n"]
+                [pa.array([lang] * len(found)), pa.array([gram_text(k) for k in found]), pa.array(list(found.values()), pa.int64())], ["lang", "gram", "n"]
             )
 
     sums = taken.select("text", "lang").mapInArrow(count, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
@@ -106,14 +120,14 @@ def fit(labelled: DataFrame, sample: int = SAMPLE, ranks: int = RANKS) -> dict[s
 
 
 class Model:
-    """Profiles as rank tables, over an alphabet that grows with what is read."""
+    """Profiles as rank tables."""
 
     def __init__(self, profiles: dict[str, list[str]], ranks: int = RANKS):
         self.ranks, self.langs, self.alphabet = ranks, sorted(profiles), Alphabet()
         numbers = {}
         for lang in self.langs:
             for g in profiles[lang]:
-                numbers.setdefault(g, self._number(g))
+                numbers.setdefault(g, gram_number(g))
         self.grams = np.array(sorted(numbers.values()), np.uint64)
         where = {g: int(np.searchsorted(self.grams, np.uint64(n))) for g, n in numbers.items()}
         self.rank = np.full((len(self.langs), len(self.grams) + 1), -1, np.int64)
@@ -121,13 +135,6 @@ class Model:
             for r, g in enumerate(profiles[lang]):
                 self.rank[k, where[g]] = r
 
-    def _number(self, gram: str) -> int:
-        out = 0
-        for c in gram:
-            code = self.alphabet.codes(c)
-            out = out << 16 | int(code[0])
-        return out | (1 << 63 if len(gram) == 3 else 1 << 62 if len(gram) == 2 else 0)
-
     def predict(self, text: str | None) -> tuple[str, float]:
         found, n = grams(self.alphabet.codes(text or ""))
         if not len(found) or not self.langs:
@@ -164,7 +171,10 @@ def predict(docs: DataFrame, profiles: dict[str, list[str]]) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame, profiles: dict[str, list[str]], least_score: float = LEAST_SCORE) -> DataFrame:
-    """The documents, in their columns, in which some language is recognised: not ``und``, and not below ``least_score``."""
+    """The documents, in their columns, in which some language is recognised: not ``und``, and not below ``least_score``.
+
+    Null and empty texts go; repeated rows and null ids stay; columns of any name pass through; an empty table stays empty.
+    """
     spark = docs.sparkSession
     small_batches(spark)
     sent = spark.sparkContext.broadcast(profiles)
@@ -187,3 +197,13 @@ def identify(docs: DataFrame) -> DataFrame:
     """Fit on the rows that are not held out; predict all."""
     profiles = fit(docs.filter(~held_out()))
     return predict(docs, profiles).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
+def reference(text: str, profiles: dict[str, list[str]], ranks: int = RANKS) -> dict[str, int]:
+    """Brute force, for tests: the out-of-place distance of a text to each profile, with its n-grams as strings."""
+    padded = " ".join("".join(c if c.isalpha() else " " for c in text.lower()).split())
+    padded = f" {padded} "
+    counts = Counter(padded[i : i + n] for n in range(1, LONGEST + 1) for i in range(len(padded) - n + 1) if (padded[i : i + n] if n < 3 else padded[i + 1 : i + 2]).strip())
+    order = {g: i for i, g in enumerate(sorted({g for p in profiles.values() for g in p}, key=gram_number))}
+    top = sorted(counts, key=lambda g: (-counts[g], order.get(g, len(order))))[:ranks]
+    return {lang: sum(abs(profile.index(g) - i) if g in profile else ranks for i, g in enumerate(top)) for lang, profile in profiles.items()}
