@@ -77,6 +77,29 @@ def test_op2_held_out_accuracy(spark, corpus):
     assert all(0 <= r["score"] <= 1 for r in got)
 
 
+def test_op2_distance_brute_force(texts, spark, corpus):
+    profiles = op2_language.fit(corpus)
+    model, rng = op2_language.Model(profiles), random.Random(2)
+    strange = "".join(chr(c) for c in range(0x3400, 0x2FFFF) if chr(c).isalpha())  # more letters than 16 bits can tell apart
+    some = [t for _, t in rng.sample(texts, 60)] + [t for t in ODD[:-1] if t and any(c.isalpha() for c in t)] + ["ÀÉ Straße İstanbul", "日本語 テキスト"]
+    for t in some:
+        away = op2_language.reference(t, profiles)
+        lang, score = model.predict(t)
+        padded = " ".join("".join(c if c.isalpha() else " " for c in t.lower()).split())
+        assert away[lang] == min(away.values()), t[:60]
+        assert lang == min(k for k in away if away[k] == away[lang]) and 0 <= score <= 1 and padded
+    assert len(set(strange)) > 65_536 and model.predict(strange)[0] in profiles
+    assert model.predict(some[0])[0] == op2_language.Model(profiles).predict(some[0])[0]
+    for g in (" a", "ab ", "x", "語 ", "\U00020000"):
+        assert op2_language.gram_text(op2_language.gram_number(g)) == g
+
+
+def test_op2_copies_weigh_as_one(spark):
+    rows = [("a b c d", "x")] * 50 + [("the cat", "x"), ("zz zz", "y")]
+    got = op2_language.fit(spark.createDataFrame(rows, "text string, lang string"))
+    assert got == op2_language.fit(spark.createDataFrame(sorted(set(rows)), "text string, lang string")) and "th" in got["x"]
+
+
 def test_op2_edges(spark):
     rows = [(i, t) for i, t in enumerate(ODD)] + [(None, "the cat"), (7, "123 !!")]
     profiles = {"a": ["t", "h", "th", " t"], "b": ["z"]}
@@ -286,8 +309,39 @@ def test_op7_matches(spark):
     m = got[1]["matches"][0]
     assert rows[0][1][m["start"] : m["stop"]] == gpl.rstrip(".") and m["coverage"] == 1
     assert got[7]["matches"][0]["start"] == 40_000
-    with pytest.raises(ValueError):
-        op7_licenses.Index({"x": "w " * 3_000_000})
+    assert op7_licenses.scan(docs_of(spark, [])).count() == 0
+    assert [r["n_matches"] for r in op7_licenses.scan(docs_of(spark, [(None, gpl), (None, None)])).orderBy(F.desc("n_matches")).collect()] == [1, 0]
+
+
+def test_op7_recall_against_whole_alignment():
+    """Texts with up to ``slack`` edits anywhere: each whose drift stays in the band is found; the rest is measured."""
+    rng, found, close, near = random.Random(7), 0, 0, 0
+    texts = {k: op7_licenses.TEMPLATES[k] for k in ("MIT text", "ISC text", "BSD-2-Clause text", "GPL-3.0 header", "MPL-2.0 header", "MPL-2.0", "GPL-3.0", "CC-BY-4.0")}
+    for _ in range(240):
+        name = rng.choice(sorted(texts))
+        index, words = op7_licenses.Index({name: texts[name]}), [w for w, _, _ in op7_licenses.cut(texts[name])]
+        slack, drift, most = index.templates[0].slack, 0, 0
+        for _ in range(rng.randrange(slack + 1)):
+            at, kind = rng.randrange(len(words)), rng.choice(["out", "in", "change"])
+            words[at : at + (kind != "in")] = [] if kind == "out" else [f"zz{rng.randrange(9)}"]
+            drift += (kind == "in") - (kind == "out")
+            most = max(most, abs(drift))
+        text = "some words before " + " ".join(words) + " and after"
+        assert op7_licenses.whole_alignment(texts[name], text) >= index.templates[0].least
+        hit = bool(index.matches(text))
+        found, near, close = found + hit, near + (most <= op7_licenses.BAND // 2), close + (hit and most <= op7_licenses.BAND // 2)
+    assert close == near > 100 and found >= 0.97 * 240, (close, near, found)
+
+
+def test_op7_many_notices_take_linear_time():
+    index, lines = op7_licenses.Index(op7_licenses.TEMPLATES), [op7_licenses.TEMPLATES[k] for k in ("MIT", "GPL-3.0", "GPL-2.0 header", "Apache-2.0", "MPL-2.0 header")]
+    times = []
+    for n in (500, 2000):
+        text = "\n".join(lines[i % len(lines)] for i in range(n))
+        began = time.time()
+        assert len(index.matches(text)) == n
+        times.append(time.time() - began)
+    assert times[1] < 10 * times[0] + 1, times
 
 
 def test_op7_repeated_notices(spark):

@@ -1,26 +1,32 @@
-"""License scans: rarest words as anchors, then banded alignment.
+"""License scans: winnowed fingerprints in an inverted index, then banded alignment.
 
 Templates are cut into words. A match has at least ``COVERAGE`` of a template's
-words in order, so it misses ``slack`` words at most. Of any slack + q places of
-the template it therefore holds q: the places of the template's rarest words
-are its anchors, and wherever q of them agree on a diagonal (within ``BAND``
-words), the document's words there are aligned. Nothing that reaches the
-coverage within the band is passed over, however short the template is.
-
-Templates of up to ``SHORT`` words are aligned through each anchor by itself,
-so notices side by side are told apart; longer ones on each diagonal. Of
-matches that overlap the one of most words stays (then of the greatest
+words in order. If it comes about by at most ``slack`` edits (words left out,
+put in or exchanged; slack: the words that may be missing), it falls into at
+most slack + 1 runs, so some run has ``least / (slack + 1)`` words or more. From
+that each template gets its size of grams and its winnowing window, such that a
+run of this length always holds a fingerprint that the template has too: every
+such match within ``BAND`` words of a diagonal has a seed, however short the
+template is. A match of more edits is found if it shares any fingerprint.
+
+The index maps a fingerprint to its places in the templates. The document's
+fingerprints give seeds; where enough of them agree on a diagonal (as many as
+any such match must have), and enough of the template's words stand there at
+all, the band round the diagonal is aligned. Templates of up to ``SHORT`` words
+are aligned through each seed by itself, so notices side by side are told apart.
+Of matches that overlap the one of most words stays (then of the greatest
 coverage, then the tightest), and the others are aligned again in what is left.
 
-Scale: row by row over whole texts, no shuffle; a template is only looked for
-in documents that have enough of its words in any order. The templates are a
-parameter of at most ``MOST_BYTES`` and are sent to the workers once.
+Scale: row by row over whole texts, no shuffle. Seeds are looked up in sorted
+arrays; a seed inside a match that its diagonal has already given is not aligned
+again, so a text of many notices takes time in proportion to its length. The
+templates are a parameter; all are sent to every task, some 30 bytes a word.
 
-Edge cases: null and empty texts have no matches; repeated rows give equal
-rows; repeated notices are all reported; a very long text is scanned in full,
-each alignment reads only a band; an empty table gives no rows; other columns
-are ignored; templates of one word match that word, templates without a word
-are refused. Offsets count words and code points.
+Edge cases: null and empty texts have no matches; null ids stay; repeated rows
+give equal rows; repeated notices are all reported; a very long text is scanned
+in full, each alignment reads only a band; an empty table gives no rows; other
+columns are ignored; templates of one word match that word, templates without a
+word are refused. Offsets count words and code points.
 """
 
 from __future__ import annotations
@@ -33,19 +39,21 @@ from heapq import heapify, heappop, heappush
 from importlib.resources import files
 from math import ceil
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import pick, small_batches
+from .packing import mixed
 
 BAND = 6
 #: Words of a template whose neighbouring matches a band could mix up.
 SHORT = 16
 #: Least share of a template's words that must match.
 COVERAGE = 0.8
-#: Bytes of all templates, at most.
-MOST_BYTES = 4_000_000
+#: Longest gram of a fingerprint.
+GRAM = 3
 WORD = re.compile("[0-9a-z]+")
 
 #: Notices that name a license: short, fixed public wordings.
@@ -74,31 +82,46 @@ def cut(text: str) -> list[tuple[str, int, int]]:
     return [(m.group(), m.start(), m.end()) for m in WORD.finditer(text.lower() if text.isascii() else "".join(c.lower() if c.isascii() else c for c in text))]
 
 
+def fingerprints(ids: np.ndarray, gram: int, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and places of the winnowed grams: of each ``window`` grams in a row the least (the last of equal ones).
+
+    Words without a number (0) are in no template, so grams and windows with one are left out.
+    """
+    n = len(ids) - gram + 1
+    if n < window:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    h, whole = np.zeros(n, np.uint64), np.ones(n, bool)
+    for k in range(gram):
+        h = mixed(h * np.uint64(0x9E3779B97F4A7C15) + ids[k : k + n].astype(np.uint64))
+        whole &= ids[k : k + n] > 0
+    at = np.arange(n - window + 1)
+    known = whole[at]
+    for k in range(1, window):
+        other = np.arange(k, n - window + 1 + k)
+        known &= whole[other]
+        at = np.where(h[other] <= h[at], other, at)
+    at = np.unique(at[known])
+    return h[at], at
+
+
 class Template:
-    """A template's words, and the anchors that any match must have ``votes`` of."""
-
-    def __init__(self, words: list[str], common: Counter):
-        self.words, self.known = words, set(words)
-        self.least = ceil(COVERAGE * len(words))
-        self.slack = len(words) - self.least
-        self.short = len(words) <= SHORT
-        self.votes = 1 if self.short else max(1, len(words) // 4)
-        counts = Counter(words)
-        self.counts = sorted(counts.items(), key=lambda x: (common[x[0]], x[0]))
-        places, held = defaultdict(list), 0
-        for i, w in enumerate(words):
-            places[w].append(i)
-        self.anchors: list[tuple[str, list[int]]] = []
-        for w, n in self.counts:
-            if held >= self.slack + self.votes:
-                break
-            self.anchors.append((w, places[w]))
-            held += n
+    """A template's words as numbers, and what its matches must hold."""
+
+    def __init__(self, ids: list[int]):
+        self.words, self.counts = ids, Counter(ids)
+        self.least = ceil(COVERAGE * len(ids))
+        self.slack = len(ids) - self.least
+        self.short = len(ids) <= SHORT
+        run = -(-self.least // (self.slack + 1))
+        self.gram = min(GRAM, run)
+        self.window = run - self.gram + 1
+        # a run of L words has L - run + 1 windows; two windows in a row may have the same least gram, and so on up to their size
+        self.votes = 1 if self.short else max(1, ceil((self.least - (run - 1) * (self.slack + 1)) / self.window))
 
     def possible(self, counts: Counter) -> bool:
         """Whether a document has enough of the words, in any order."""
         missing = 0
-        for w, n in self.counts:
+        for w, n in self.counts.items():
             have = counts[w]
             if have < n:
                 missing += n - have
@@ -106,91 +129,105 @@ class Template:
                     return False
         return True
 
-    def hits(self, where: dict[str, list[int]], low: int, high: int) -> list[tuple[int, int, int]]:
-        """(diagonal, place in the template, place in the document) of the anchors."""
-        return sorted((j - p, p, j) for w, places in self.anchors for j in where.get(w, ()) if low <= j < high for p in places)
-
-    def align(self, names: list[str], p: int, j: int, low: int, high: int) -> tuple[int, int, int] | None:
+    def align(self, doc: Document, p: int, j: int, low: int, high: int) -> tuple[int, int, int] | None:
         """The match on the diagonal of (p, j), of a short template through it: words in common, first, last."""
         a, b = max(low, j - p - BAND), min(high, j - p + len(self.words) + BAND)
-        if sum(w in self.known for w in names[a:b]) < self.least:
+        names = doc.ids[a:b]
+        if b - a < self.least or sum(map(self.counts.__contains__, names)) < self.least:
             return None
-        same, first, last = through(self.words, names[a:b], p, j - a) if self.short else align(self.words, names[a:b], j - p - a)
+        same, first, last = through(self.words, names, p, j - a) if self.short else align(self.words, names, j - p - a)
         return (same, a + first, a + last) if same >= self.least else None
 
-    def find(self, names: list[str], where: dict[str, list[int]]) -> Iterator[tuple[int, int, tuple[int, int, int]]]:
-        """(p, j, match) of anchors."""
-        hits = self.hits(where, 0, len(names))
+    def find(self, doc: Document, places: np.ndarray, at: np.ndarray) -> Iterator[tuple[int, int, tuple[int, int, int]]]:
+        """(p, j, match) of the seeds at these places of the template and of the document."""
+        diagonal = at - places
+        order = np.lexsort((at, diagonal))
+        d, p, j = diagonal[order], places[order], at[order]
         if self.short:
-            for _, p, j in hits:
-                if m := self.align(names, p, j, 0, len(names)):
-                    yield p, j, m
-            return
-        done: list[tuple[int, int]] = []
-        asked: set[tuple[int, int]] = set()
-        while ranked := [x for x in self.ranked(hits) if x[1:] not in asked]:
-            for _, d, (low, high) in ranked:
-                asked.add((d, (low, high)))
-                p, j = next((p, j) for e, p, j in hits if e == d and low <= j < high)
-                a, b = gap(done, j, len(names))
-                if m := self.align(names, p, j, a, b):
-                    yield p, j, m
-                    insort(done, m[1:])
-                    hits = [x for x in hits if not m[1] <= x[2] < m[2]]
-                    break
-            else:
-                return
-
-    def ranked(self, hits: list[tuple[int, int, int]]) -> list[tuple[int, int, tuple[int, int]]]:
-        """Diagonals that enough anchors agree on, within the band, those of most first."""
-        out, low, high = [], 0, 0
-        for d in sorted({d for d, _, _ in hits}):
-            while hits[low][0] < d - BAND:
-                low += 1
-            while high < len(hits) and hits[high][0] <= d + BAND:
-                high += 1
-            n = high - low >= self.votes and len({p for _, p, _ in hits[low:high]})
-            if n and n >= self.votes:
-                own = [j for e, _, j in hits[low:high] if e == d]
-                out.append((n, d, (min(own), max(own) + 1)))
-        return sorted(out, key=lambda x: (-x[0], x[1]))
+            enough = np.ones(len(d), bool)
+        else:
+            enough = np.searchsorted(d, d + BAND, "right") - np.searchsorted(d, d - BAND) >= self.votes
+        done: dict[int, int] = {}  # where the last match of each diagonal ends
+        tried = None
+        for x, y, z in zip(d[enough].tolist(), p[enough].tolist(), j[enough].tolist(), strict=True):
+            if z < done.get(x, -1) or (not self.short and x == tried):
+                continue
+            tried = x
+            if m := self.align(doc, y, z, 0, len(doc.ids)):
+                yield y, z, m
+                if self.short:
+                    done[x] = m[2]
+                else:  # what the band has seen
+                    for k in range(x - BAND, x + BAND + 1):
+                        done[k] = max(done.get(k, -1), m[2])
+
+
+class Document:
+    """A text's words, as numbers of the templates' vocabulary."""
+
+    def __init__(self, text: str, vocabulary: dict[str, int]):
+        self.places = cut(text)
+        self.ids = [vocabulary.get(w, 0) for w, _, _ in self.places]
 
 
 class Index:
-    """All templates, with the rarest words of each as its anchors."""
+    """All templates, and an inverted index of their fingerprints for each size of grams and window."""
 
     def __init__(self, templates: dict[str, str]):
-        if sum(len(t.encode()) for t in templates.values()) > MOST_BYTES:
-            raise ValueError(f"templates of more than {MOST_BYTES} bytes")
         self.names = sorted(templates)
-        words = [[w for w, _, _ in cut(templates[n])] for n in self.names]
-        if not all(words):
-            raise ValueError("a template without words")
-        common = Counter(w for ws in words for w in ws)
-        self.templates = [Template(ws, common) for ws in words]
+        self.vocabulary: dict[str, int] = {}
+        self.templates = [Template([self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w, _, _ in cut(templates[n])] or self._refuse(n)) for n in self.names]
+        rows = defaultdict(list)
+        for t, x in enumerate(self.templates):
+            h, at = fingerprints(np.array(x.words), x.gram, x.window)
+            rows[x.gram, x.window].append((h, np.full(len(h), t), at))
+        self.index = {}
+        for kind, parts in rows.items():
+            h, t, at = (np.concatenate(c) for c in zip(*parts, strict=True))
+            order = np.argsort(h, kind="stable")
+            self.index[kind] = h[order], t[order], at[order]
+
+    @staticmethod
+    def _refuse(name: str):
+        raise ValueError(f"{name}: a template without words")
+
+    def seeds(self, ids: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """Template, places in it and places in the document of all fingerprints in common."""
+        for (gram, window), (known, templates, places) in self.index.items():
+            h, at = fingerprints(ids, gram, window)
+            low, high = np.searchsorted(known, h), np.searchsorted(known, h, "right")
+            n = high - low
+            if not n.any():
+                continue
+            row = np.repeat(low - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+            own, where = templates[row], np.repeat(at, n)
+            order = np.argsort(own, kind="stable")
+            own, row, where = own[order], row[order], where[order]
+            for part in np.split(np.arange(len(own)), np.flatnonzero(np.diff(own)) + 1):
+                yield int(own[part[0]]), places[row[part]], where[part]
 
     def matches(self, text: str | None) -> list[dict]:
-        words = cut(text) if text else []
-        names = [w for w, _, _ in words]
-        counts = Counter(names)
-        asked = [t for t, x in enumerate(self.templates) if x.least <= len(names) and x.possible(counts)]
-        if not asked:
+        if not text:
             return []
-        where: dict[str, list[int]] = defaultdict(list)
-        for j, w in enumerate(names):
-            where[w].append(j)
+        doc = Document(text, self.vocabulary)
+        heap, counts = [], None
         key = lambda m, t, p, j: (-m[0], -m[0] / len(self.templates[t].words), m[2] - m[1], m[1], m[2], t, p, j)
-        heap = [key(m, t, p, j) for t in asked for p, j, m in self.templates[t].find(names, where)]
+        for t, places, at in self.seeds(np.array(doc.ids, np.int64)):
+            template = self.templates[t]
+            if len(at) >= template.votes and len(doc.ids) >= template.least:
+                counts = counts or Counter(doc.ids)
+                if template.possible(counts):
+                    heap += [key(m, t, p, j) for p, j, m in template.find(doc, places, at)]
         heapify(heap)
         taken: list[tuple[int, int]] = []
         out = []
         while heap:  # of matches that overlap, the one of most words stays
             same, share, _, first, last, t, p, j = heappop(heap)
-            low, high = gap(taken, j, len(names))
+            low, high = gap(taken, j, len(doc.ids))
             if low <= first and last <= high:
                 insort(taken, (first, last))
-                out.append({"license": self.names[t], "coverage": -share, "matched": -same, "first_word": first, "last_word": last, "start": words[first][1], "stop": words[last - 1][2]})
-            elif low < high and (m := self.templates[t].align(names, p, j, low, high)):
+                out.append({"license": self.names[t], "coverage": -share, "matched": -same, "first_word": first, "last_word": last, "start": doc.places[first][1], "stop": doc.places[last - 1][2]})
+            elif low < high and (m := self.templates[t].align(doc, p, j, low, high)):
                 heappush(heap, key(m, t, p, j))
         return sorted(out, key=lambda m: m["start"])
 
@@ -202,7 +239,7 @@ def gap(taken: list[tuple[int, int]], j: int, n: int) -> tuple[int, int]:
     return (low, high) if low <= j else (j, j)
 
 
-def extend(template: list[str], words: list[str], band: int = BAND) -> tuple[int, int]:
+def extend(template: list[int], words: list[int], band: int = BAND) -> tuple[int, int]:
     """Longest common subsequence of a template and the words, within a band of the diagonal: words in common, and the fewest words that hold them."""
     none = (0, 0)
     above = [none] * (2 * band + 2)
@@ -220,14 +257,14 @@ def extend(template: list[str], words: list[str], band: int = BAND) -> tuple[int
     return best[0], -best[1]
 
 
-def through(template: list[str], words: list[str], p: int, j: int) -> tuple[int, int, int]:
+def through(template: list[int], words: list[int], p: int, j: int) -> tuple[int, int, int]:
     """The best alignment that has template word p at word j: words in common, first, last."""
     left, before = extend(template[:p][::-1], words[:j][::-1])
     right, after = extend(template[p + 1 :], words[j + 1 :])
     return left + 1 + right, j - before, j + 1 + after
 
 
-def align(template: list[str], words: list[str], start: int, band: int = BAND) -> tuple[int, int, int]:
+def align(template: list[int], words: list[int], start: int, band: int = BAND) -> tuple[int, int, int]:
     """Longest common subsequence of a template and the words from ``start`` on, within a band of the diagonal.
 
     Returns the words in common and the span (first, last) of the document's words that they cover.
@@ -240,12 +277,15 @@ def align(template: list[str], words: list[str], start: int, band: int = BAND) -
         for d in range(2 * band + 1):
             j = start + i + d - band
             up, left, diagonal = above[d + 1], row[d - 1] if d else none, above[d]
-            here = max(up, left, key=lambda c: (c[0], c[1]))
+            here = up if up[:2] >= left[:2] else left
             if 0 <= j < len(words) and words[j] == w:
                 n, first, _ = diagonal
-                here = max(here, (n + 1, first if n else j, j + 1), key=lambda c: (c[0], c[1]))
+                found = (n + 1, first if n else j, j + 1)
+                if found[:2] > here[:2]:
+                    here = found
             row[d] = here
-            best = max(best, here, key=lambda c: (c[0], c[1]))
+            if here[:2] > best[:2]:
+                best = here
         above = row
     return best
 
@@ -268,3 +308,14 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None) -> DataFrame:
     found = pick(docs, "doc_id", "text").mapInArrow(read, f"doc_id long, matches {MATCHES}")
     best = F.element_at(F.array_sort(F.transform("matches", lambda m: F.struct((-m["matched"]).alias("c"), m["start"].alias("s"), m["license"].alias("l")))), 1)["l"]
     return found.select("doc_id", F.size("matches").cast("long").alias("n_matches"), F.when(F.size("matches") > 0, best).alias("license"), "matches")
+
+
+def whole_alignment(template: str, text: str) -> int:
+    """Words in common of the longest common subsequence, without a band: for tests of recall."""
+    a, b = ([w for w, _, _ in cut(x)] for x in (template, text))
+    row = [0] * (len(b) + 1)
+    for w in a:
+        last = 0
+        for j, v in enumerate(b):
+            last, row[j + 1] = row[j + 1], last + 1 if v == w else max(row[j + 1], row[j])
+    return row[-1]
