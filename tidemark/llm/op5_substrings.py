@@ -254,8 +254,9 @@ def dedup_substrings(docs: DataFrame, window: int = 20, keep_text: bool = True)
     answers = packing.answered(sent, _inner, np.uint64, np.uint8)
     pieces = grouped.cogroup(answers.groupBy("g")).applyInArrow(lambda d, a: _piece_rows(d, a, window), SPANS)
     pieces = pieces.repartition(partitions(spark, groups), "hi", "lo")  # one exchange, which the aggregate and the join both read
-    first = F.min(F.struct("o", "at", "n", "g", "k")).alias("first")
-    firsts = pieces.filter("NOT done").groupBy("hi", "lo").agg(first, F.count(F.lit(1)).alias("met")).filter("met > 1")
+    # no filter below it and the same columns on both sides, or the planner would make the pieces twice
+    first = F.min(F.when(~F.col("done"), F.struct("o", "at", "n", "g", "k"))).alias("first")
+    firsts = pieces.groupBy("hi", "lo").agg(first, F.count_if(~F.col("done")).alias("met")).filter("met > 1")
     asked = firsts.select("first.g", "first.k", "first.o", "first.at", "first.n", "hi", "lo")
     sources = grouped.cogroup(asked.groupBy("g")).applyInArrow(_source_rows, SOURCES)
     met = pieces.join(sources, (F.col("hi") == F.col("hi1")) & (F.col("lo") == F.col("lo1")) & ~F.col("done"), "left")
