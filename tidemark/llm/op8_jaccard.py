@@ -342,6 +342,25 @@ def _family_rows(members: pa.Table, threshold: int) -> pa.Table:
     return pa.table([pa.array(x, pa.int64()), pa.array(y, pa.int64())], names=["a", "b"])
 
 
+def family_pairs(held: DataFrame) -> DataFrame:
+    """(pivot, x, y, id, component): the documents of each pair of blocks x and y that is compared."""
+    sizes = held.groupBy("pivot", "component").agg(F.count(F.lit(1)).alias("size"))
+    own = F.col("size") >= FAMILY // 2
+    sizes = sizes.select("pivot", "component", "size", own.alias("own"), F.when(own, F.col("component")).otherwise(F.lit(0).cast("long")).alias("part"))
+    kinds = sizes.groupBy("pivot", "own", "part").agg(F.ceil(F.sum("size") / FAMILY).cast("int").alias("blocks"), F.sum("size").alias("size"))
+    name = lambda i: F.concat_ws(":", F.col("own").cast("string"), F.col("part").cast("string"), i.cast("string"))
+    rows = held.join(sizes.drop("size"), ["pivot", "component"]).join(kinds.drop("size"), ["pivot", "own", "part"])
+    rows = rows.select("pivot", name(F.pmod(F.xxhash64("id", "pivot"), "blocks")).alias("block"), "id", "component")
+    # the largest component with blocks of its own meets the other blocks; its blocks begin no pair
+    main = kinds.filter("own").groupBy("pivot").agg(F.max_by("part", F.struct("size", "part")).alias("main"))
+    blocks = kinds.join(main, "pivot", "left").withColumn("i", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    blocks = blocks.select("pivot", name(F.col("i")).alias("x"), F.when(F.col("own"), F.col("part")).alias("of"), (F.col("own") & (F.col("part") == F.col("main"))).alias("is_main"))
+    others = blocks.select(F.col("pivot").alias("q"), F.col("x").alias("y"), F.col("of").alias("other"), F.col("is_main").alias("main"))
+    meets = (F.col("pivot") == F.col("q")) & (F.col("main") | (F.col("x") <= F.col("y"))) & ~F.coalesce(F.col("of") == F.col("other"), F.lit(False))
+    pairs = blocks.filter(~F.coalesce("is_main", F.lit(False))).join(others.withColumn("main", F.coalesce("main", F.lit(False))), meets).select("pivot", "x", "y")
+    return pairs.withColumn("block", F.explode(F.array_distinct(F.array("x", "y")))).join(rows, ["pivot", "block"]).select("pivot", "x", "y", "id", "component")
+
+
 class Join:
     """The sets that may link, in groups, and what is verified on them."""
 
@@ -367,7 +386,8 @@ class Join:
     def verify(self, pairs: DataFrame, name: str) -> DataFrame:
         """(a, b, same, total): the sizes of both sets' intersection and union."""
         asked = pairs.select("a", "b").withColumn("g", group_of(self.groups, "a"))
-        sent = asked.select("g", "b").distinct().join(self.sets.select(F.col("id").alias("b"), "n", "shared"), "b")
+        # by as many partitions as the sets ask for, not as the session has
+        sent = asked.select("g", "b").distinct().repartition(self.count, "b").join(self.sets.select(F.col("id").alias("b"), "n", "shared").repartition(self.count, "b"), "b")
         side = asked.select("g", "a", "b", F.lit(None).cast("int").alias("n"), F.lit(None).cast("binary").alias("shared")).unionByName(sent.select("g", F.lit(None).cast("long").alias("a"), "b", "n", "shared"))
         sets = self.sets.select("g", "id", "n", "shared").repartition(self.count, "g").groupBy("g")
         return written(sets.cogroup(side.groupBy("g")).applyInArrow(_verified_rows, "a long, b long, same long, total long"), name)
@@ -385,15 +405,15 @@ class Join:
     def family_links(self, held: DataFrame, threshold: int) -> DataFrame:
         """Links (a, b) between different components among the documents of one pivot.
 
-        A family is cut into blocks of bounded size; each task takes two blocks and
-        gives links alone, at most one less than it has documents.
+        A family is cut into blocks of bounded size: large components have blocks of
+        their own, small ones share some. Each task takes two blocks that hold
+        different components and gives links alone, at most one less than it has
+        documents. Blocks of one component never meet, so a family that is one
+        component but for a few documents is read once for each block of those few.
         """
-        sizes = held.groupBy("pivot").agg(F.ceil(F.count(F.lit(1)) / FAMILY).cast("int").alias("blocks"))
-        rows = held.join(sizes, "pivot").withColumn("i", F.pmod(F.xxhash64("id", "pivot"), "blocks").cast("int"))
-        other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("j")
-        rows = rows.select("pivot", "id", "component", "i", other).select("pivot", "id", "component", F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j"))
-        rows = rows.join(self.sets.select("id", "n", "shared"), "id")
-        return rows.groupBy("pivot", "i", "j").applyInArrow(lambda t: _family_rows(t, threshold), "a long, b long")
+        sets = self.sets.select("id", "n", "shared").repartition(self.count, "id")
+        rows = family_pairs(held).join(sets, "id")
+        return rows.groupBy("pivot", "x", "y").applyInArrow(lambda t: _family_rows(t, threshold), "a long, b long")
 
 
 def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -464,17 +484,21 @@ def keep_one(docs: DataFrame, size: int = 5, threshold: int = 75) -> DataFrame:
 
     Of rows repeated with the same doc_id (or none) and the same text one stays. A
     row without an id is no node: it is not held against other texts, nor are rows
-    that share an id but not a text, which are one node.
+    that share an id but not a text, which are one node. Null and empty texts stay;
+    columns of any name pass through; an empty table stays empty.
     """
-    gone = similar(docs, size, threshold).filter("component_id <> doc_id").select(F.col("doc_id").alias("_gone")).distinct()
-    kept = docs.join(gone, docs["doc_id"] == F.col("_gone"), "left_anti")
-    again = docs.groupBy(docs["doc_id"].alias("_again")).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("_again")
-    if again.isEmpty():
-        return kept
-    same = kept["doc_id"].eqNullSafe(F.col("_again"))
-    plain = [c for c, kind in docs.dtypes if "map<" not in kind and kind != "variant"]
-    nth = F.row_number().over(Window.partitionBy("doc_id", "text").orderBy(F.xxhash64(*plain)))
-    return kept.join(again, same, "left_anti").unionByName(kept.join(again, same, "left_semi").withColumn("_nth", nth).filter("_nth = 1").drop("_nth"))
+    col = lambda c: F.col("`" + c.replace("`", "``") + "`")
+    plain = [col(c) for c, kind in docs.dtypes if "map<" not in kind and kind != "variant"]
+    # the columns travel in a struct, so none meets a name of this operator's own
+    rows = docs.select(F.struct(*map(col, docs.columns)).alias("doc"), F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("h"), F.xxhash64(*plain).alias("tie"))
+    gone = similar(docs, size, threshold).filter("component_id <> doc_id").select(F.col("doc_id").alias("gone")).distinct()
+    kept = rows.join(gone, F.col("id") == F.col("gone"), "left_anti")
+    again = docs.groupBy(F.col("doc_id").cast("long").alias("again")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("again")
+    if not again.isEmpty():
+        same = F.col("id").eqNullSafe(F.col("again"))
+        nth = F.row_number().over(Window.partitionBy("id", "h", F.col("doc.text")).orderBy("tie"))
+        kept = kept.join(again, same, "left_anti").unionByName(kept.join(again, same, "left_semi").withColumn("nth", nth).filter("nth = 1").drop("nth"))
+    return kept.select("doc.*")
 
 
 def reference(docs: list[tuple], size: int = 5, threshold: int = 75) -> list[tuple]:
