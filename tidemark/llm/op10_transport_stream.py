@@ -3,11 +3,14 @@
 A payload is multiplexed into 188-byte packets: program association and map
 tables, then packetized elementary packets with time stamps, each of which
 begins at a random-access point. The demultiplexer parses the program tables
-(with their CRC), checks continuity counters, reassembles the elementary
-packets and lists time stamps and random-access points.
+(over any number of packets, with their CRC), checks continuity counters (a
+packet that is sent twice counts once), reassembles the elementary packets and
+lists time stamps, clock references and random-access points.
 
 Scale: row by row in Arrow batches; the stored streams are a compressed binary
-column in the shared folder, read back for the features. No shuffle.
+column in the shared folder, with their time stamps and random-access points in
+columns beside them, so a reader can seek without the stream. Both are read back
+for the features. No shuffle.
 
 Edge cases: a null or empty text is a payload of 64 zero bytes; repeated rows
 give equal values; a broken stream (lost or damaged packets) is demultiplexed
@@ -124,7 +127,7 @@ def _stuffed(packet: np.ndarray, data: np.ndarray, start: int) -> None:
 
 def demux(stream: bytes) -> dict:
     """Program tables, elementary data, time stamps and random-access points; errors are counted."""
-    out = {"packets": len(stream) // PACKET, "sync_errors": 0, "crc_errors": 0, "programs": 0, "streams": 0, "continuity_errors": 0, "units": 0, "pts": [], "access": [], "payload": b""}
+    out = {"packets": len(stream) // PACKET, "sync_errors": 0, "crc_errors": 0, "programs": 0, "streams": 0, "continuity_errors": 0, "repeated": 0, "units": 0, "pts": [], "pcr": [], "access": [], "payload": b""}
     rows = np.frombuffer(stream, np.uint8)[: out["packets"] * PACKET].reshape(-1, PACKET)
     good = rows[:, 0] == SYNC
     out["sync_errors"] = int((~good).sum()) + bool(len(stream) % PACKET)
@@ -133,13 +136,11 @@ def demux(stream: bytes) -> dict:
     control = rows[:, 3] >> 4 & 3
     begin = np.where(control & 2, 5 + rows[:, 4].astype(np.int32), 4)
     maps = set()
-    for k in np.flatnonzero((pid == PAT_PID) & (rows[:, 1] & 0x40 > 0)):
-        body = _section(rows[k], int(begin[k]), 0, out)
+    for body in _sections(rows[pid == PAT_PID], begin[pid == PAT_PID], 0, out):
         maps |= {int.from_bytes(body[i + 2 : i + 4], "big") & 0x1FFF for i in range(0, len(body) - 3, 4) if body[i : i + 2] != b"\0\0"}
     out["programs"] = len(maps)
     wanted = set()
-    for k in np.flatnonzero(np.isin(pid, [*maps]) & (rows[:, 1] & 0x40 > 0)):
-        body = _section(rows[k], int(begin[k]), 2, out)
+    for body in (x for m in sorted(maps) for x in _sections(rows[pid == m], begin[pid == m], 2, out)):
         i = 4 + (int.from_bytes(body[2:4], "big") & 0xFFF) if len(body) >= 4 else len(body)
         while i + 5 <= len(body):
             wanted.add(int.from_bytes(body[i + 1 : i + 3], "big") & 0x1FFF)
@@ -148,16 +149,23 @@ def demux(stream: bytes) -> dict:
     data = []
     for p in sorted(wanted):
         own = np.flatnonzero((pid == p) & (control & 1 > 0) & (begin < PACKET))
+        # the same packet twice in a row is a repetition, which the format allows
+        twice = np.concatenate([[False], (rows[own[1:]] == rows[own[:-1]]).all(1)]) if len(own) else np.zeros(0, bool)
+        out["repeated"] += int(twice.sum())
+        own = own[~twice]
         counters = (rows[own, 3] & 15).astype(np.int32)
         out["continuity_errors"] += int(((np.diff(counters) & 15) != 1).sum())
         mine, at = rows[own], begin[own]
         flags = np.where((control[own] & 2 > 0) & (mine[:, 4] > 0), mine[:, 5], 0)
         out["access"] += [int(x) for x in place[own[flags & 0x40 > 0]]]
+        for r in mine[(flags & 0x10 > 0) & (mine[:, 4] >= 7)]:
+            raw = int.from_bytes(r[6:12].tobytes(), "big")
+            out["pcr"].append((raw >> 15) * 300 + (raw & 0x1FF))
         size = PACKET - at
         flat = mine[np.arange(PACKET)[None, :] >= at[:, None]].tobytes()
         ends = np.cumsum(size)
         starts = (ends - size)[mine[:, 1] & 0x40 > 0].tolist()
-        for i, j in zip(starts, [*starts[1:], len(flat)], strict=True):
+        for i, j in zip(starts, [*starts[1:], len(flat)]):
             if flat[i : i + 3] != b"\0\0\1" or j - i < 9:
                 continue
             length = int.from_bytes(flat[i + 4 : i + 6], "big")
@@ -171,21 +179,55 @@ def demux(stream: bytes) -> dict:
     return out
 
 
-def _section(packet: np.ndarray, begin: int, table: int, out: dict) -> bytes:
-    """A table's body, or nothing if it is damaged or another."""
-    raw = packet.tobytes()[begin:]
-    raw = raw[1 + raw[0] :] if raw else b""
-    size = 3 + (int.from_bytes(raw[1:3], "big") & 0xFFF) if len(raw) >= 3 else 0
-    if size < 12 or size > len(raw) or raw[0] != table:
-        return b""
-    if section_crc(raw[: size - 4]) != int.from_bytes(raw[size - 4 : size], "big"):
-        out["crc_errors"] += 1
-        return b""
-    return raw[8 : size - 4]
+def _sections(rows: np.ndarray, begin: np.ndarray, table: int, out: dict) -> Iterator[bytes]:
+    """The bodies of a table's sections on one stream, put together from its packets; damaged ones are counted."""
+    held, last = None, None
+    for row, at in zip(rows, begin.tolist(), strict=True):
+        if at >= PACKET or not row[3] & 0x10:
+            continue
+        data, start, counter = row.tobytes()[at:], row[1] & 0x40, int(row[3] & 15)
+        if held is not None and counter != (last + 1) & 15:
+            held = None  # what is missing in between is not made up
+        last = counter
+        if start:
+            if held is not None:
+                yield from _finished(held + data[1 : 1 + data[0]], table, out)
+            held = data[1 + data[0] :]
+        elif held is not None:
+            held += data
+        if held is not None and len(held) >= 3 and len(held) >= 3 + (int.from_bytes(held[1:3], "big") & 0xFFF):
+            yield from _finished(held, table, out)
+            held = None
+
+
+def _finished(raw: bytes, table: int, out: dict) -> Iterator[bytes]:
+    while len(raw) >= 3 and raw[0] != 0xFF:
+        size = 3 + (int.from_bytes(raw[1:3], "big") & 0xFFF)
+        if size < 12 or size > len(raw):
+            return
+        if raw[0] == table:
+            if section_crc(raw[: size - 4]) == int.from_bytes(raw[size - 4 : size], "big"):
+                yield raw[8 : size - 4]
+            else:
+                out["crc_errors"] += 1
+        raw = raw[size:]
+
+
+def index_of(payload_bytes: int) -> tuple[list[int], list[int]]:
+    """Time stamps of a payload's elementary packets, and the transport packets at which they begin."""
+    pts, access, at = [], [], len(table_packets())
+    for unit, begin in enumerate(range(0, payload_bytes, UNIT)):
+        pts.append(unit * TICKS & (1 << 33) - 1)
+        access.append(at)
+        at += max(1, 1 + -(-(min(UNIT, payload_bytes - begin) + HEADER - FIRST) // 184))
+    return pts, access
+
+
+STORED = "doc_id long, n_bytes long, media binary, pts array<long>, access_points array<int>"
 
 
 def stored_streams(docs: DataFrame) -> DataFrame:
-    """doc_id, n_bytes and the transport stream of each whole text."""
+    """doc_id, n_bytes and the transport stream of each whole text, with its time stamps and random-access points."""
     small_batches(docs.sparkSession)
 
     def streams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -193,27 +235,32 @@ def stored_streams(docs: DataFrame) -> DataFrame:
             texts = [t or b"" for t in byte_texts(b)]
             for k in range(0, len(texts), 100):
                 own = texts[k : k + 100]
-                yield pa.RecordBatch.from_arrays([b.column("doc_id").slice(k, 100).cast(pa.int64()), pa.array([len(t) for t in own], pa.int64()), pa.array([mux(padded(t)) for t in own], pa.binary())], ["doc_id", "n_bytes", "media"])
+                pts, access = zip(*[index_of(len(padded(t))) for t in own], strict=True)
+                yield pa.RecordBatch.from_arrays(
+                    [b.column("doc_id").slice(k, 100).cast(pa.int64()), pa.array([len(t) for t in own], pa.int64()), pa.array([mux(padded(t)) for t in own], pa.binary()), pa.array(pts, pa.list_(pa.int64())), pa.array(access, pa.list_(pa.int32()))],
+                    ["doc_id", "n_bytes", "media", "pts", "access_points"],
+                )
 
-    return pick(docs, "doc_id", "text").mapInArrow(streams, "doc_id long, n_bytes long, media binary")
+    return pick(docs, "doc_id", "text").mapInArrow(streams, STORED)
 
 
 FEATURES = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, pts array<long>, access_points array<int>"
 
 
 def features(media: DataFrame) -> DataFrame:
-    """Demultiplexes each stored stream."""
+    """Demultiplexes each stored stream, and holds the stored time stamps and random-access points against it."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [x.rsplit(" ", 1)[0] for x in FEATURES.split(", ")]
         kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.list_(pa.int64()), pa.list_(pa.int32())]
         for b in batches:
             out = []
-            for doc_id, n, raw in zip(b.column("doc_id").to_pylist(), b.column("n_bytes").to_pylist(), b.column("media").to_pylist(), strict=True):
+            for doc_id, n, raw, pts, access in zip(*(b.column(c).to_pylist() for c in ("doc_id", "n_bytes", "media", "pts", "access_points")), strict=True):
                 x = demux(raw)
+                index = "same" if (pts, access) == (x["pts"], x["access"]) else "other"
                 p = x["payload"]
-                told = f"packets={x['packets']};programs={x['programs']};streams={x['streams']};units={x['units']};access={len(x['access'])};pts={x['pts'][0] if x['pts'] else ''}-{x['pts'][-1] if x['pts'] else ''};errors={x['sync_errors']},{x['crc_errors']},{x['continuity_errors']}"
-                out.append((doc_id, n, len(p), hashlib.sha256(p).hexdigest(), zlib.crc32(p[-ALIGN:]), len(raw), hashlib.sha256(raw).hexdigest(), told, x["pts"], x["access"]))
+                told = f"packets={x['packets']};programs={x['programs']};streams={x['streams']};units={x['units']};access={len(x['access'])};pts={x['pts'][0] if x['pts'] else ''}-{x['pts'][-1] if x['pts'] else ''};index={index};errors={x['sync_errors']},{x['crc_errors']},{x['continuity_errors']}"
+                out.append((doc_id, n, len(p), hashlib.sha256(p).hexdigest(), zlib.crc32(p[-ALIGN:]), len(raw), hashlib.sha256(raw).hexdigest(), told, pts, access))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names)
 
