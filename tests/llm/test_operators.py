@@ -49,6 +49,16 @@ def test_encoder_is_the_library(texts):
         assert flat[at[i] : at[i + 1]].astype("<u4").tobytes() == (e.whole(t) if t else b""), repr(t)[:80]
 
 
+def test_encoder_of_another_vocabulary(texts):
+    path = vocabulary_path("word_bpe_49k.json")
+    e, sample = Encoder(path), [t for _, t in texts[:20]] + ODD[:-1]
+    flat, n = e.encode_many(pa.array(sample, pa.string()))
+    at = np.concatenate([[0], np.cumsum(n)])
+    for i, t in enumerate(sample):
+        assert flat[at[i] : at[i + 1]].astype("<u4").tobytes() == (e.whole(t) if t else b"")
+    assert Encoder(vocabulary_path()).plain
+
+
 def test_op1_histogram(spark):
     rows = [(i, t) for i, t in enumerate(ODD)] + [(1, "a b c"), (1, "a b c")]
     e = Encoder(vocabulary_path())
@@ -296,6 +306,23 @@ def test_op6_round_trip(spark, texts, tmp_path):
     meta = op6_token_files.read_metadata(spark, path)
     assert meta.agg(F.sum("n_tokens")).first()[0] == start
     assert "tokens:array" not in meta._jdf.queryExecution().executedPlan().toString().split("ReadSchema")[1]
+    # what the files say of themselves: delta encodings beside the dictionary of ids, bounded row groups, page indexes
+    import glob
+
+    import pyarrow.parquet as pq
+
+    used = [f for f in glob.glob(f"{path}/*.parquet") if pq.ParquetFile(f).metadata.num_rows]
+    for f in used:
+        group = pq.ParquetFile(f).metadata.row_group(0)
+        columns = {group.column(i).path_in_schema.split(".")[0]: group.column(i) for i in range(group.num_columns)}
+        assert "DELTA_BINARY_PACKED" in columns["doc_id"].encodings and "DELTA_BINARY_PACKED" in columns["n_tokens"].encodings
+        assert "RLE_DICTIONARY" in columns["tokens"].encodings or "PLAIN_DICTIONARY" in columns["tokens"].encodings
+        assert all(c.has_column_index and c.has_offset_index for c in columns.values()) and columns["doc_id"].statistics.has_min_max
+        assert group.total_byte_size <= 2 * (16 << 20)
+    scan = op6_token_files.read_tokens(spark, path, 1000, 1003)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(doc_id,1000)" in scan  # row groups and pages are skipped by it
+    op6_token_files.write_tokens(docs_of(spark, [(None, "a b"), (None, None), (3, "c")]), f"{tmp_path}/nulls")
+    assert sorted(str(r["doc_id"]) for r in op6_token_files.describe(spark, f"{tmp_path}/nulls").collect()) == ["3", "None", "None"]
     op6_token_files.write_tokens(docs_of(spark, []), f"{tmp_path}/none")
     assert op6_token_files.describe(spark, f"{tmp_path}/none").count() == 0
 
@@ -411,6 +438,28 @@ def test_op8_brute_force(spark, monkeypatch, rare):
     assert [got[x[0]] for x in want] == want and any(x[0] != x[2] for x in want)
 
 
+def test_op8_families_compare_blocks_of_different_components(spark):
+    """A family of 20,000 with one outsider: the outsider's block meets each other block once, and no others meet."""
+    one = spark.range(20_000).select(F.lit(7).cast("long").alias("pivot"), "id", F.when(F.col("id") == 0, 0).otherwise(1).cast("long").alias("component"))
+    pairs = op8_jaccard.family_pairs(one)
+    assert pairs.count() < 21_000 and pairs.filter("id = 0").count() <= 81
+    assert pairs.select("id").distinct().count() == 20_000  # everyone meets the outsider
+    several = spark.range(3000).select(F.lit(7).cast("long").alias("pivot"), "id", F.when(F.col("id") < 1000, 1).when(F.col("id") < 2000, 2).when(F.col("id") < 2300, 3).otherwise(F.col("id")).cast("long").alias("component"))
+    blocks = {}
+    for r in op8_jaccard.family_pairs(several).collect():
+        blocks.setdefault((r["x"], r["y"]), []).append((r["id"], r["component"]))
+    met = {(i, j) for own in blocks.values() for i, c in own for j, d in own if i < j and c != d}
+    label = {r["id"]: r["component"] for r in several.collect()}
+    assert len(met) == sum(1 for i in range(3000) for j in range(i + 1, 3000) if label[i] != label[j])
+    assert all(len({c for _, c in own}) > 1 for own in blocks.values())
+
+
+def test_op8_keep_one_passes_any_column(spark):
+    docs = docs_of(spark, [(4, "p q r s t u v"), (2, "p q r  s t u v"), (9, "other"), (9, "other")]).withColumns({c: F.lit(i) for i, c in enumerate(CLASHES)} | {"a.b `c": F.lit("dotted"), "m": F.create_map(F.lit("x"), F.lit(1))})
+    kept = op8_jaccard.keep_one(docs)
+    assert kept.dtypes == docs.dtypes and sorted(r["doc_id"] for r in kept.collect()) == [2, 9]
+
+
 def test_op8_keep_one_and_edges(spark):
     rows = [(4, "p q r s t u v"), (2, "p q r  s t u v"), (9, "other words stand here now"), (None, "p q r s t u v"), (5, None)]
     kept = op8_jaccard.keep_one(docs_of(spark, rows))
@@ -545,7 +594,10 @@ def test_op10_round_trip(spark, texts):
         media = op10_transport_stream.mux(payload)
         assert (r["media_bytes"], r["media_sha256"]) == (len(media), hashlib.sha256(media).hexdigest()) and r["feature"].endswith("errors=0,0,0")
         assert r["pts"] == [3600 * k for k in range(-(-len(payload) // 16384))] and len(r["access_points"]) == len(r["pts"])
+        assert "index=same" in r["feature"]
     assert got[2000][1:] == got[2001][1:]
+    assert op10_transport_stream.transport_streams(docs_of(spark, [])).count() == 0
+    assert [r["n_bytes"] for r in op10_transport_stream.transport_streams(docs_of(spark, [(None, "ab")])).collect()] == [2]
 
 
 def test_op10_every_length_and_damage():
@@ -553,6 +605,18 @@ def test_op10_every_length_and_damage():
         payload = bytes((7 * i) % 251 for i in range(n))
         assert op10_transport_stream.demux(op10_transport_stream.mux(payload))["payload"] == payload
     stream = op10_transport_stream.mux(bytes(20_000))
+    whole = op10_transport_stream.demux(stream)
+    assert whole["pcr"] == [300 * t for t in whole["pts"]]  # each unit's clock reference is its time stamp
+    twice = op10_transport_stream.demux(stream[: 188 * 10] + stream[188 * 9 : 188 * 10] + stream[188 * 10 :])
+    assert (twice["repeated"], twice["continuity_errors"], twice["payload"]) == (1, 0, bytes(20_000))
+    # a program map of several packets: a hundred streams besides the one with data
+    others = b"".join(bytes([6]) + (0xE200 + i).to_bytes(2, "big") + b"\xf0\x00" for i in range(100))
+    body = b"\xe1\x01\xf0\x00" + others + bytes([6]) + (0xE101).to_bytes(2, "big") + b"\xf0\x00"
+    table, packets = b"\x00" + op10_transport_stream.section(2, 1, body), b""
+    for k, at in enumerate(range(0, len(table), 184)):
+        packets += bytes([0x47, 0x41 if k == 0 else 0x01, 0x00, 0x10 | k]) + table[at : at + 184].ljust(184, b"\xff")
+    long = op10_transport_stream.demux(stream[:188] + packets + stream[376:])
+    assert len(packets) == 3 * 188 and long["streams"] == 101 and long["payload"] == bytes(20_000) and long["crc_errors"] == 0
     lost = op10_transport_stream.demux(stream[: 188 * 9] + stream[188 * 10 :])
     assert lost["continuity_errors"] == 1
     bad = bytearray(stream)

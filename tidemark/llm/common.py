@@ -7,6 +7,7 @@ import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -32,7 +33,30 @@ def shared_path(spark: SparkSession, name: str) -> str:
         atexit.register(shutil.rmtree, base, True)
         spark.conf.set("spark.checkpoint.dir", base)
         spark.sparkContext.setCheckpointDir(base)
-    return f"{base}/tidemark-{name}-{uuid.uuid4().hex}"
+    path = f"{base}/tidemark-{name}-{uuid.uuid4().hex}"
+    for made in _noted:
+        made.append(path)
+    return path
+
+
+_noted: list[list[str]] = []
+
+
+@contextmanager
+def noted() -> Iterator[list[str]]:
+    """The paths that are made in the shared folder meanwhile."""
+    made: list[str] = []
+    _noted.append(made)
+    try:
+        yield made
+    finally:
+        _noted.remove(made)
+
+
+def deleted(spark: SparkSession, paths: list[str]) -> None:
+    """Delete intermediate tables that nothing reads any more."""
+    for p in map(spark._jvm.org.apache.hadoop.fs.Path, paths):
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def written(df: DataFrame, name: str, **options: str) -> DataFrame:

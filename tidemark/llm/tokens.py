@@ -3,12 +3,15 @@
 The pre-tokenizer of a byte-level BPE cuts a text into pieces that are encoded
 apart from one another, so the ids of a text are those of its pieces. Pieces
 repeat far more often than texts do: caching their ids saves most of the work.
-Every id comes from the library.
+Every id comes from the library. A vocabulary file of another kind (another
+pre-tokenizer, a normalizer, added tokens in another form) is encoded by the
+library alone.
 """
 
 from __future__ import annotations
 
 import functools
+import json
 import re
 from array import array
 from collections.abc import Iterator
@@ -77,6 +80,13 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.pieces = _Pieces(self.tokenizer.model)
+        told = json.loads(self.tokenizer.to_str())
+        cutter = told.get("pre_tokenizer") or {}
+        #: Whether texts may be cut by PIECE: what the file says of itself is what that pattern stands for.
+        self.plain = (
+            told["model"]["type"] == "BPE" and not told["model"].get("ignore_merges") and told.get("normalizer") is None and cutter.get("type") == "ByteLevel"
+            and not cutter.get("add_prefix_space") and cutter.get("use_regex", True) and all(t["content"].startswith("<|") for t in told.get("added_tokens") or [])
+        )
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -96,6 +106,9 @@ class Encoder:
         Words are looked up once for all texts of the call; ids are then gathered by word.
         """
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        if not self.plain:
+            own = [np.frombuffer(self.whole(t), "<u4") for t in listed(texts)]
+            return np.concatenate([np.zeros(0, np.uint32), *own]), np.array([len(x) for x in own], np.int64)
         uneven = pc.match_substring_regex(texts, pattern=UNEVEN).to_numpy(zero_copy_only=False)
         if uneven.any():
             flat, counts = self._even(texts.filter(pa.array(~uneven)))
