@@ -3,6 +3,12 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written
 as Parquet and read again as the next stage's documents. All but the last
 return the columns of ``documents``.
+
+Edge cases, the same for all stages: an empty table stays empty; further columns
+of any name and type pass through to the last stage; repeated rows are judged
+alike, and of those with the same id and text near_duplicates leaves one. A null
+or empty text goes at language_id (no language); a null id is kept by all stages
+and comes first in the token files' metadata; a null source is a source.
 """
 
 from __future__ import annotations
@@ -10,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import op2_language, op3_decontaminate, op4_mixing, op6_token_files, op8_jaccard
-from tidemark.llm.common import written
+from tidemark.llm.common import deleted, noted, written
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,8 +58,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages, one after the other, over ``documents``."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """The stages, one after the other, over ``documents``. What a stage leaves behind in the shared folder is deleted
+    as soon as the next stage's input is written."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), []
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), name)
+        with noted() as made:
+            docs = written(stage(spark, docs, sf_dir), name)
+        deleted(spark, before + made[:-1])  # the last path is the stage's output
+        before = made[-1:]
     return STAGES[-1][1](spark, docs, sf_dir)
