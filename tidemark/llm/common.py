@@ -6,7 +6,7 @@ import atexit
 import shutil
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 import pyarrow as pa
@@ -83,6 +83,15 @@ def byte_texts(batch: pa.RecordBatch | pa.Table, name: str = "text") -> list[byt
     return batch.column(name).cast(pa.binary()).to_pylist()
 
 
+def passed(docs: DataFrame, read: Callable[[str], Callable]) -> DataFrame:
+    """``docs`` through a function of Arrow batches that keeps their columns; ``read`` is given the name of the text column there.
+
+    The columns go by number meanwhile, as Spark takes no name with a dot into such a function.
+    """
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    return plain.mapInArrow(read(f"c{docs.columns.index('text')}"), plain.schema).toDF(*docs.columns)
+
+
 def pick(df: DataFrame, *names: str) -> DataFrame:
     """The named columns only: extra columns of any name never meet the operators' own."""
     return df.select(*[df[n] for n in names])

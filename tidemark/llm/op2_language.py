@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import pick, small_batches
+from .common import passed, pick, small_batches
 
 #: Labelled rows of each language that its profile is fitted on, about; a bound in expectation.
 SAMPLE = 1500
@@ -179,13 +179,16 @@ def keep_identified(docs: DataFrame, profiles: dict[str, list[str]], least_score
     small_batches(spark)
     sent = spark.sparkContext.broadcast(profiles)
 
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = Model(sent.value)
-        for b in batches:
-            found = [model.predict(t) for t in b.column("text").to_pylist()]
-            yield b.filter(pa.array([lang != "und" and score >= least_score for lang, score in found], pa.bool_()))
+    def read(text: str):
+        def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            model = Model(sent.value)
+            for b in batches:
+                found = [model.predict(t) for t in b.column(text).to_pylist()]
+                yield b.filter(pa.array([lang != "und" and score >= least_score for lang, score in found], pa.bool_()))
+
+        return kept
 
-    return docs.mapInArrow(read, docs.schema)
+    return passed(docs, read)
 
 
 def held_out(doc_id: str = "doc_id"):

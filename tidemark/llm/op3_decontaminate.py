@@ -26,6 +26,7 @@ item's text is searched as a whole by each task, so it has to fit in memory.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
@@ -36,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import byte_texts, pick, small_batches, text_size, written
+from .common import byte_texts, passed, pick, small_batches, text_size, written
 
 #: Bytes of item texts that are sent to the workers at once, about.
 BLOCK_BYTES = 16_000_000
@@ -326,34 +327,35 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> Da
     spark = docs.sparkSession
     small_batches(spark)
     for suffixes in test_blocks(benchmark, window):
-        docs = docs.mapInArrow(_cleaner(spark.sparkContext.broadcast(suffixes)), docs.schema)
+        docs = passed(docs, _cleaner(spark.sparkContext.broadcast(suffixes)))
     return docs
 
 
 def _cleaner(sent):
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, lists, count, size = [], [], 0, 0
-
-        def clean():
-            blank = [None] * len(lists)
-            found = shard_rows(sent.value, blank, blank, lists, details=False)
-            at = 0
-            for b in held:
-                yield b.filter(pa.array([x[3] == 0 for x in found[at : at + b.num_rows]], pa.bool_()))
-                at += b.num_rows
-
-        for b in batches:
-            own = [words(t) for t in byte_texts(b)]
-            held.append(b)
-            lists += own
-            count, size = count + sum(map(len, own)), size + b.nbytes
-            if count >= SHARD_WORDS or len(lists) >= SHARD_ROWS or size >= SHARD_BYTES:
-                yield from clean()
-                held, lists, count, size = [], [], 0, 0
-        if held:
+    return lambda text: functools.partial(_clean_rows, sent, text)
+
+
+def _clean_rows(sent, text: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held, lists, count, size = [], [], 0, 0
+
+    def clean():
+        blank = [None] * len(lists)
+        found = shard_rows(sent.value, blank, blank, lists, details=False)
+        at = 0
+        for b in held:
+            yield b.filter(pa.array([x[3] == 0 for x in found[at : at + b.num_rows]], pa.bool_()))
+            at += b.num_rows
+
+    for b in batches:
+        own = [words(t) for t in byte_texts(b, text)]
+        held.append(b)
+        lists += own
+        count, size = count + sum(map(len, own)), size + b.nbytes
+        if count >= SHARD_WORDS or len(lists) >= SHARD_ROWS or size >= SHARD_BYTES:
             yield from clean()
-
-    return rows
+            held, lists, count, size = [], [], 0, 0
+    if held:
+        yield from clean()
 
 
 def reference(docs: list[tuple], items: list[tuple], window: int = 10) -> list[tuple]:
