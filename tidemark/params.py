@@ -7,6 +7,7 @@ from dataclasses import dataclass
 LABELS = ("on_time", "upload_fault", "delivery_fault", "timing_gap", "unattributed")
 
 
+# Fixed values of the contract: the defaults that published results rest on.
 @dataclass(frozen=True)
 class Params:
     skew_max_min: int = 5
