@@ -200,7 +200,8 @@ def test_op4_equal_ids_are_dealt_by_their_texts(spark, monkeypatch):
     monkeypatch.setattr(op4_mixing, "BUCKET", 20)
     monkeypatch.setattr(op4_mixing, "MOST_BLOCKS", 50)
     docs = spark.range(2000).select(F.lit(None).cast("long").alias("doc_id"), F.concat(F.lit("text "), "id").alias("text"), F.lit("s").alias("source"))
-    assert op4_mixing.block_size(2000) == 64
+    monkeypatch.setattr(op4_mixing, "MOST_BUCKETS", 30)
+    assert op4_mixing.block_size(2000) == 64 and op4_mixing.bucket_size(2000) == 80
     first = {r["text"]: (r["mix_slot"], r["mix_index"]) for r in op4_mixing.mix(docs).collect()}
     assert len(set(first.values())) == 2000
     assert first == {r["text"]: (r["mix_slot"], r["mix_index"]) for r in op4_mixing.mix(docs.repartition(7, "text")).collect()}

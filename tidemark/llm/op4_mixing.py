@@ -16,9 +16,10 @@ Scale: documents are numbered within (source, bucket) groups of bounded size,
 then shifted by the buckets' running counts: no source, however large, is
 sorted in one task. The driver plans the slots, one step a block in the time of
 a heap's operation; it holds 8 bytes a block and a row a source and a bucket. A
-block has ``BLOCK`` documents, and more where that would be over ``MOST_BLOCKS``
-blocks, so the plan stays at some 30 MB and seconds whatever the corpus; a bucket's slots travel with its row in the table
-that is joined. There may be any number of sources: only those of more than
+block has ``BLOCK`` documents and a bucket ``BUCKET``, and more where that would
+be over ``MOST_BLOCKS`` blocks or ``MOST_BUCKETS`` buckets, so the plan stays at
+some hundred MB and a minute whatever the corpus; a bucket's slots travel with
+its row in the table that is joined. There may be any number of sources: only those of more than
 ``BUCKET`` documents, at most one in so many documents, are sent to every task.
 
 Edge cases: a null source is a source of its own; a source without a weight
@@ -44,8 +45,9 @@ from .common import shared_path
 
 #: Documents of a block, at least, and blocks that the driver plans at most.
 BLOCK, MOST_BLOCKS = 16, 1 << 22
-#: Documents of a numbering bucket, about: each source has as many buckets as its size asks for.
-BUCKET = 2_000
+#: Documents of a numbering bucket, about, at least, and buckets whose sizes the driver holds beside one a source:
+#: each source has as many buckets as its size asks for.
+BUCKET, MOST_BUCKETS = 2_000, 1 << 20
 #: Slots and buckets of the plan in one write, about.
 PIECE = 250_000
 #: The name under which a null source is mixed.
@@ -149,10 +151,18 @@ def _rows(df: DataFrame) -> list[tuple]:
 
 def block_size(rows: int) -> int:
     """Documents of a block: ``BLOCK``, doubled until the driver plans at most ``MOST_BLOCKS``."""
-    block = BLOCK
-    while rows > block * MOST_BLOCKS:
-        block *= 2
-    return block
+    return _doubled(BLOCK, rows, MOST_BLOCKS)
+
+
+def bucket_size(rows: int) -> int:
+    """Documents of a numbering bucket: ``BUCKET``, doubled until there are at most ``MOST_BUCKETS`` and one a source."""
+    return _doubled(BUCKET, rows, MOST_BUCKETS)
+
+
+def _doubled(size: int, rows: int, most: int) -> int:
+    while rows > size * most:
+        size *= 2
+    return size
 
 
 def placed(docs: DataFrame, carry: list[str], weights: dict[str, float] | None = None, block: int | None = None, frame: int | None = None) -> DataFrame:
@@ -173,7 +183,8 @@ def placed(docs: DataFrame, carry: list[str], weights: dict[str, float] | None =
         none = F.lit(None).cast("long")
         return rows.select("doc", "source", none.alias("block"), none.alias("slot"), none.alias("place"))
     given = {s: n**0.5 for s, n in counts.items()} if weights is None else {s: weights.get(s, n / total) for s, n in counts.items()}
-    large = [(s, -(-n // BUCKET)) for s, n in counts.items() if n > BUCKET]
+    bucket_rows = bucket_size(total)
+    large = [(s, -(-n // bucket_rows)) for s, n in counts.items() if n > bucket_rows]
     kinds = pa.schema([("mix_large", pa.string()), ("mix_buckets", pa.int32())])
     large = F.broadcast(spark.createDataFrame(pa.Table.from_pylist([dict(zip(kinds.names, x, strict=True)) for x in large], kinds)))
     bucket = F.pmod("h", F.coalesce("mix_buckets", F.lit(1))).cast("int").alias("b")
