@@ -171,6 +171,12 @@ def test_evaluation(spark):
     assert [evaluate.sample_size(0.609756, d / 100) for d in (1, 2, 5)] == [37174, 9245, 1452]
     assert [evaluate.sample_size(0.461143, d / 100) for d in (1, 2, 5)] == [39061, 9775, 1565]
     assert evaluate.days_to_power(1000, 100, 0.8) == 13
+    made = spark.range(100).select(F.concat(F.lit("u"), F.col("id") % 20).alias("user_id"), F.when(F.col("id") < 30, "on_time").otherwise("timing_gap").alias("label"), (F.col("id") < 80).alias("delivered_in_grace"), F.lit("c").alias("c"))
+    made = made.unionByName(spark.range(1).select(F.lit("u").alias("user_id"), F.lit("delivery_fault").alias("label"), F.lit(False).alias("delivered_in_grace"), F.lit("none").alias("c")))
+    got = {(r["c"], r["effect"]): (r["users"], r["n_per_arm"], r["days"]) for r in evaluate.power_table(made, "c").collect()}
+    for e in evaluate.EFFECTS:
+        n = evaluate.sample_size(30 / 80, e)
+        assert got["c", e] == (20, n, evaluate.days_to_power(n, 10, 0.8)) and got["none", e] == (1, None, None)
     a = spark.createDataFrame([(1, "x"), (2, None), (3, "z")], "k int, v string")
     b = spark.createDataFrame([(1, "y"), (2, None), (4, "z")], "k int, v string")
     assert {r["k"]: r["difference"] for r in evaluate.table_diff(a, b, "k").collect()} == {1: "changed", 3: "missing", 4: "extra"}

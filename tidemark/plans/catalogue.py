@@ -206,6 +206,10 @@ def label_accuracy(spark, d):
     return evaluate.label_accuracy(truth, t.attribution).select(F.round("label_accuracy", 6).alias("label_accuracy"))
 
 
+def power_table(spark, d):
+    return evaluate.power_table(_tables(spark, d).attribution, "cohort_id")
+
+
 def checks_partition(spark, d):
     daily = _tables(spark, d).ontime_rate_daily
     return checks.cohort_day_partition(daily.withColumn("on_time", F.when(F.dayofmonth("prompt_date") % 7 == 0, F.col("on_time") + 1).otherwise(F.col("on_time"))))
@@ -510,6 +514,13 @@ UNION ALL SELECT 'not_null', 'insert_id', count(*) AS n FROM stg WHERE insert_id
 UNION ALL SELECT 'accepted', event_type, count(*) FROM stg WHERE event_type NOT IN ('app_opened', 'prompt_sent', 'prompt_delivered') GROUP BY event_type
 UNION ALL SELECT 'unique', user_id, count(*) AS n FROM stg WHERE event_type = 'prompt_sent' GROUP BY user_id HAVING n > 1""")),
     "q_checks_freshness": (checks_freshness, _sql(f"SELECT last_upload FROM (SELECT max(server_upload_time) AS last_upload FROM raw) WHERE last_upload IS NULL OR last_upload < TIMESTAMP '{NOW}' - INTERVAL 36 HOURS", base="")),
+    # 1.959964 and 0.841621 are the normal quantiles of 0.975 and 0.8
+    "q_power_table": (power_table, _sql(
+        """SELECT cohort_id, users, round(p, 6) AS ontime_rate, effect, n_per_arm, CAST(ceil(n_per_arm / nullif((users // 2) * share, 0)) AS BIGINT) AS days FROM (
+SELECT *, CAST(ceil(power(1.959963984540054::DOUBLE + 0.8416212335729143::DOUBLE, 2) * (p * (1 - p) + (p + effect) * (1 - p - effect)) / power(effect, 2)) AS BIGINT) AS n_per_arm
+FROM (SELECT prompt_cohort_id AS cohort_id, count(DISTINCT user_id) AS users, CAST(sum(CAST(label = 'on_time' AS INTEGER)) AS DOUBLE) / nullif(sum(CAST(delivered_in_grace AS INTEGER)), 0) AS p,
+  CAST(sum(CAST(delivered_in_grace AS INTEGER)) AS DOUBLE) / count(*) AS share FROM labelled GROUP BY 1),
+(SELECT unnest([0.01::DOUBLE, 0.02::DOUBLE, 0.05::DOUBLE]) AS effect))""")),
     "q_content_hash": (content_hashes, _sql("SELECT count(*) AS n_rows, true AS same FROM daily")),
     "q_landed_files": (landed_files, _sql(
         f"SELECT CAST(server_upload_time AS DATE) AS upload_date, count(*) AS n_events, count(DISTINCT insert_id) AS n_ids, count(json_extract_string(event_properties, '$.prompt_id')) AS n_with_prompt, CAST(sum(epoch(server_upload_time) - epoch(client_event_time)) AS BIGINT) AS delay_seconds FROM raw WHERE CAST(server_upload_time AS DATE) <= DATE '{CUT}' GROUP BY 1", base="")),

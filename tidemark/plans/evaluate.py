@@ -14,6 +14,8 @@ from tidemark.functions.columns import circular_distance, open_probability, rati
 from tidemark.params import LABELS
 
 ARMS = ("baseline", "cohort", "recommended")
+#: Differences of the on-time rate that an experiment may be planned for.
+EFFECTS = (0.01, 0.02, 0.05)
 #: Prompts that one seeded stream may be drawn for: its numbers pass through the driver.
 MOST_SEEDED = 1_000_000
 
@@ -123,6 +125,24 @@ def days_to_power(n: int, users_per_arm: int, delivered_share: float) -> int:
     return math.ceil(n / (users_per_arm * delivered_share))
 
 
+def power_table(labelled: DataFrame, *by: str, effects: tuple[float, ...] = EFFECTS, alpha: float = 0.05, power: float = 0.8) -> DataFrame:
+    """For each group and effect: delivered prompts that an arm needs, and days until half of the group's users, one prompt a day, have them.
+
+    One aggregate, whatever the number of groups. Where nothing was delivered, or an arm has no user, the days are NULL.
+    """
+    z = NormalDist().inv_cdf(1 - alpha / 2) + NormalDist().inv_cdf(power)
+    delivered = F.col("delivered_in_grace")
+    groups = labelled.groupBy(*by).agg(
+        F.countDistinct("user_id").alias("users"),
+        ratio(F.count_if(F.col("label") == "on_time"), F.count_if(delivered)).alias("p"),
+        ratio(F.count_if(delivered), F.count(F.lit(1))).alias("share"),
+    )
+    rows = groups.withColumn("effect", F.explode(F.array(*[F.lit(float(e)) for e in effects])))
+    q = F.col("p") + F.col("effect")
+    n = F.ceil(F.lit(z * z) * (F.col("p") * (1 - F.col("p")) + q * (1 - q)) / (F.col("effect") * F.col("effect")))
+    return rows.withColumn("n_per_arm", n).select(*by, "users", F.round("p", 6).alias("ontime_rate"), "effect", "n_per_arm", F.ceil(ratio(F.col("n_per_arm"), F.floor(F.col("users") / 2) * F.col("share"))).alias("days"))
+
+
 def table_diff(expected: DataFrame, actual: DataFrame, *keys: str) -> DataFrame:
     """Keys that are missing, extra or changed (NULLs compare equal)."""
     rest = [c for c in expected.columns if c not in keys]
