@@ -10,6 +10,7 @@ def spark(tmp_path_factory):
         .config("spark.sql.shuffle.partitions", "3")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.sql.maxMetadataStringLength", "1000")  # paths in plans are read whole
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "3g")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
