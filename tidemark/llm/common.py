@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 BATCH_ROWS = 1000
 #: Bytes of text which one group of documents holds in a Python worker, about.
 GROUP_BYTES = 6_000_000
+#: Groups of rows that look a key up.
+LOOKUP_GROUPS = 1024
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
@@ -112,6 +114,17 @@ def partitions(spark: SparkSession, groups: int) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-groups // 4))
 
 
+def looked_up(rows: DataFrame, name: str, key: str, table: DataFrame) -> DataFrame:
+    """``rows`` left-joined with ``table`` on ``key`` (unique there), where many rows may hold one key.
+
+    The rows of a group of names ask once for each key, so a key that a third of all
+    rows hold is asked for by ``LOOKUP_GROUPS`` rows at most and answered to each group.
+    """
+    rows = rows.withColumn("lookup_g", group_of(LOOKUP_GROUPS, name))
+    asked = rows.select("lookup_g", key).distinct().join(table, key)
+    return rows.join(asked, ["lookup_g", key], "left").drop("lookup_g")
+
+
 def rows_of(batches: Iterator[pa.RecordBatch], *names: str) -> Iterator[tuple]:
     for b in batches:
         yield from zip(*(column(b, n) for n in names), strict=True)
