@@ -43,4 +43,23 @@ reach(a, b) AS (SELECT doc_id, doc_id FROM d UNION SELECT reach.a, links.b FROM
 components AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY 1)
 SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id FROM d LEFT JOIN sizes USING (doc_id) JOIN components USING (doc_id)"""
 
-SQL = {"op3_decontamination": OP3, "op5_substring_dedup": OP5, "op8_jaccard_join": OP8}
+OP12 = r"""
+WITH RECURSIVE steps AS (SELECT list(list_reduce(list_prepend(CAST(b AS BIGINT), range(8)), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY b) AS t FROM range(256) r(b)),
+runs AS (SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\x{C0}-\x{FF}]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS w FROM documents),
+named AS (SELECT doc_id, w, count(*) AS n, coalesce(CAST(doc_id AS VARCHAR), '') || ':' || w AS name FROM runs GROUP BY doc_id, w),
+summed AS (SELECT w, n, xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT),
+    flatten(list_transform(string_split(name, ''), lambda c: CASE WHEN ord(c) < 128 THEN [CAST(ord(c) AS BIGINT)] ELSE [195, CAST(ord(c) - 64 AS BIGINT)] END))),
+    lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1]))) AS h FROM named, steps),
+damaged AS (SELECT n, CASE WHEN h % 97 = 0 THEN w[: h % length(w)] || w[h % length(w) + 2 :] ELSE w END AS word FROM summed),
+words AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM damaged WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+holes AS (SELECT word, n, i, word[: i - 1] AS a, word[i + 1 :] AS b, length(word) AS size FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)),
+pairs AS (SELECT x.word, y.word AS other, y.n AS m FROM holes x JOIN holes y ON x.a = y.a AND x.b = y.b AND x.size = y.size AND x.i = y.i AND x.word <> y.word
+  UNION SELECT x.word, y.word, y.n FROM holes x JOIN words y ON x.a || x.b = y.word
+  UNION SELECT y.word, x.word, x.n FROM holes x JOIN words y ON x.a || x.b = y.word),
+best AS (SELECT word, count(*) AS n_near, arg_min({'form': other, 'm': m}, {'less': -m, 'form': other}) AS b FROM pairs GROUP BY word),
+forms AS (SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN b.m >= 2 * n THEN b.form END AS form, CASE WHEN b.m >= 2 * n THEN b.m END AS form_n FROM words LEFT JOIN best USING (word)),
+way AS (SELECT word, form, 1 AS steps FROM forms WHERE form IS NOT NULL UNION ALL SELECT way.word, forms.form, steps + 1 FROM way JOIN forms ON forms.word = way.form WHERE forms.form IS NOT NULL),
+ends AS (SELECT word, arg_max(form, steps) AS root FROM way GROUP BY word)
+SELECT word, form, coalesce(root, word) AS root, n, n_near, form_n FROM forms LEFT JOIN ends USING (word)"""
+
+SQL = {"op12_spelling_variants": OP12, "op3_decontamination": OP3, "op5_substring_dedup": OP5, "op8_jaccard_join": OP8}
