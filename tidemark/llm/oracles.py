@@ -62,4 +62,24 @@ way AS (SELECT word, form, 1 AS steps FROM forms WHERE form IS NOT NULL UNION AL
 ends AS (SELECT word, arg_max(form, steps) AS root FROM way GROUP BY word)
 SELECT word, form, coalesce(root, word) AS root, n, n_near, form_n FROM forms LEFT JOIN ends USING (word)"""
 
-SQL = {"op12_spelling_variants": OP12, "op3_decontamination": OP3, "op5_substring_dedup": OP5, "op8_jaccard_join": OP8}
+OP13 = rf"""
+WITH d AS (SELECT doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, regexp_extract_all({LOWER.replace("text", "coalesce(text, '')")}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w,
+  row_number() OVER () AS row FROM documents),
+listed AS (SELECT row, lang, source, unnest(w) AS term FROM d),
+kept AS (SELECT lang, term FROM listed GROUP BY lang, term HAVING count(DISTINCT row) >= 30),
+counts AS (SELECT lang, source, term, count(*) AS n FROM listed SEMI JOIN kept USING (lang, term) GROUP BY lang, source, term),
+sized AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+groups AS (SELECT DISTINCT lang, source FROM d),
+totals AS (SELECT lang, source, sum(n) AS total FROM counts GROUP BY lang, source),
+of_group AS (SELECT lang, source, term, coalesce(n, 0) AS n, 1 + (1000000000 * CAST(coalesce(n, 0) + 5 AS HUGEINT)) // (coalesce(total, 0) + 5 * v) AS p
+  FROM groups JOIN kept USING (lang) JOIN sized USING (lang) LEFT JOIN totals USING (lang, source) LEFT JOIN counts USING (lang, source, term)),
+of_lang AS (SELECT lang, term, 1 + (1000000000 * CAST(sum(n) + 5 AS HUGEINT)) // ((SELECT sum(n) FROM counts c WHERE c.lang = counts.lang) + 5 * v) AS q
+  FROM counts JOIN sized USING (lang) GROUP BY lang, term, v),
+sums AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value FROM of_group a JOIN of_group b USING (lang, term) WHERE a.source <> b.source GROUP BY 1, 2, 3),
+pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN sums ON sums.lang = a.lang AND sums.source = a.source AND sums.item = b.source),
+terms AS (SELECT lang, source, 'term' AS part, term AS item, p - q AS value FROM of_group JOIN of_lang USING (lang, term) WHERE n > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms))
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM ranked WHERE part = 'pair' OR rank <= 50"""
+
+SQL = {"op13_source_divergence": OP13, "op12_spelling_variants": OP12, "op3_decontamination": OP3, "op5_substring_dedup": OP5, "op8_jaccard_join": OP8}

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import op1_lengths, op2_language, op3_decontaminate, op4_mixing, op5_substrings, op6_token_files, op7_licenses, op8_jaccard, op9_secrets, op10_transport_stream, op11_simhash, op12_spelling, oracles
+from . import op1_lengths, op2_language, op3_decontaminate, op4_mixing, op5_substrings, op6_token_files, op7_licenses, op8_jaccard, op9_secrets, op10_transport_stream, op11_simhash, op12_spelling, op13_divergence, oracles
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,6 +62,10 @@ def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op12_spelling.variants(_docs(spark, sf_dir))
 
 
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op13_divergence.divergence(_docs(spark, sf_dir))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_counts": op1_token_counts,
@@ -76,6 +80,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_media_columns": op10_media_columns,
         "op11_simhash_dedup": op11_simhash_dedup,
         "op12_spelling_variants": op12_spelling_variants,
+        "op13_source_divergence": op13_source_divergence,
     }
 
 
