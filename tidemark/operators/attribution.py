@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -47,7 +49,7 @@ def label_of(params: Params):
     )
 
 
-def attribution(prompts: DataFrame, stg: DataFrame, params: Params | None = None, incremental: bool = False) -> DataFrame:
+def attribution(prompts: DataFrame, stg: DataFrame, params: Params | None = None, incremental: bool = False, watch: Callable[[str, DataFrame], DataFrame] | None = None) -> DataFrame:
     """One label a prompt, under the prompt's own cohort; final once its date is ``lookback_days`` behind the uploads.
 
     Incremental: dates inside the lookback, from events dated at most
@@ -65,9 +67,11 @@ def attribution(prompts: DataFrame, stg: DataFrame, params: Params | None = None
         "prompt_id", "user_id", F.col("prompt_cohort_id").alias("cohort_id"), "tz", "window_minutes", "sent_at", "sent_at_local",
         "prompt_date", "delivered_at", F.coalesce(grace, F.lit(False)).alias("delivered_in_grace"),
     )
-    out = p.join(evidence(stg, prompts), "prompt_id", "left")
+    found = evidence(stg, prompts)
+    out = p.join(watch("evidence", found) if watch else found, "prompt_id", "left")
     out = out.withColumns({"min_upload_delay_seconds": F.coalesce("min_upload_delay_seconds", F.lit(0).cast("long"))} | {k: F.coalesce(k, F.lit(False)) for k in FLAGS})
     out = out.withColumn("label", label_of(params))
     out = out.withColumn("horizon", F.lit(known)) if known else out.crossJoin(F.broadcast(upload_horizon(stg)))
     status = F.when(F.datediff("horizon", "prompt_date") >= params.lookback_days, "final").otherwise("provisional")
-    return out.withColumn("status", status).drop("horizon")
+    out = out.withColumn("status", status).drop("horizon")
+    return watch("attribution", out) if watch else out

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import ratio, short_arc
@@ -29,9 +29,13 @@ def cohort_day_unique(daily: DataFrame) -> DataFrame:
     return duplicate_keys(daily, "cohort_id", "prompt_date").drop("n")
 
 
-def cohort_day_partition(daily: DataFrame) -> DataFrame:
+def parts_missed() -> Column:
     parts = F.col("on_time") + F.col("upload_fault") + F.col("timing_gap") + F.col("unattributed")
-    return daily.filter((parts != F.col("prompts_delivered")) | (F.col("prompts_delivered") + F.col("delivery_fault") != F.col("prompts_sent"))).select("cohort_id", "prompt_date")
+    return (parts != F.col("prompts_delivered")) | (F.col("prompts_delivered") + F.col("delivery_fault") != F.col("prompts_sent"))
+
+
+def cohort_day_partition(daily: DataFrame) -> DataFrame:
+    return daily.filter(parts_missed()).select("cohort_id", "prompt_date")
 
 
 def one_dim_row_per_event(stg: DataFrame) -> DataFrame:
@@ -43,10 +47,13 @@ def dim_key_unique(dim: DataFrame) -> DataFrame:
     return duplicate_keys(dim, "user_id", "valid_from")
 
 
-def error_code_only_on_failure(stg: DataFrame) -> DataFrame:
+def error_code_misplaced() -> Column:
     missing = (F.col("event_type") == "upload_failed") & F.col("error_code").isNull()
-    extra = F.col("event_type").isin("upload_started", "upload_completed") & F.col("error_code").isNotNull()
-    return stg.filter(missing | extra).select("insert_id", "event_type", "error_code")
+    return missing | F.col("event_type").isin("upload_started", "upload_completed") & F.col("error_code").isNotNull()
+
+
+def error_code_only_on_failure(stg: DataFrame) -> DataFrame:
+    return stg.filter(error_code_misplaced()).select("insert_id", "event_type", "error_code")
 
 
 def one_label_per_prompt(prompts: DataFrame, labelled: DataFrame) -> DataFrame:
@@ -59,10 +66,13 @@ def prompt_cohort_matches_dim(prompts: DataFrame) -> DataFrame:
     return prompts.filter("prompt_cohort_id IS NULL OR prompt_cohort_id <> cohort_id").select("prompt_id", "cohort_id", "prompt_cohort_id")
 
 
-def send_time_in_band(scores: DataFrame, params: Params | None = None) -> DataFrame:
+def out_of_band(params: Params | None = None) -> Column:
     away = F.abs(short_arc(F.col("send_hour_local") + F.col("send_minute_local") / F.lit(60.0) - F.col("cohort_hour_local")))
-    bad = (away > (params or Params()).max_user_shift_min / 60.0 + 1e-9) | ~F.col("send_hour_local").between(0, 23) | ~F.col("send_minute_local").between(0, 59)
-    return scores.filter(bad).select("user_id")
+    return (away > (params or Params()).max_user_shift_min / 60.0 + 1e-9) | ~F.col("send_hour_local").between(0, 23) | ~F.col("send_minute_local").between(0, 59)
+
+
+def send_time_in_band(scores: DataFrame, params: Params | None = None) -> DataFrame:
+    return scores.filter(out_of_band(params)).select("user_id")
 
 
 def unattributed_share(labelled: DataFrame, params: Params | None = None) -> DataFrame:

@@ -5,13 +5,16 @@ from __future__ import annotations
 import os
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from tidemark.functions.columns import version_number
 from tidemark.sources.schemas import SEND_SCHEDULE
 
 VERSION = r"^v\d+$"
+#: Buckets of a served table, at most: the driver lists and counts them.
+MOST_BUCKETS = 4096
 
 
 def candidates(scores: DataFrame, current: DataFrame) -> DataFrame:
@@ -107,3 +110,74 @@ class Schedule:
         finally:
             new.unpersist()
             self.fs.delete(self.at("lock"), False)
+
+
+class BucketedSchedule:
+    """The served table in buckets of users: a write-back rewrites only buckets with a winner.
+
+    A row lies in the folder of its bucket, a hash of its user; the number of
+    buckets is fixed when the table is made. Winners are found by one join, on
+    which candidates, winners and touched buckets are counted; then the touched
+    buckets are read, merged and replaced by a dynamic overwrite: Spark writes
+    them beside the table and moves each into place when all are written. A
+    write-back that dies between two moves is completed by the next one with the
+    same candidates, as an upsert leaves its own rows alone. One write-back at a time.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, buckets: int = 64):
+        if not 0 < buckets <= MOST_BUCKETS:
+            raise ValueError(f"buckets must be 1 to {MOST_BUCKETS}")
+        self.spark, self.path, self.buckets = spark, path, buckets
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+        made = [s.getPath().getName() for s in fs.listStatus(folder)] if fs.exists(folder) else []
+        other = [n for n in made if n.startswith("by-") and n != f"by-{buckets}"]
+        if other:
+            raise ValueError(f"{path} is in {other[0].removeprefix('by-')} buckets")
+        self.table = f"{path}/by-{buckets}"
+        self.made = f"by-{buckets}" in made
+
+    def bucket(self, user: str = "user_id") -> Column:
+        return F.pmod(F.xxhash64(user), F.lit(self.buckets)).cast("int")
+
+    def _stored(self) -> DataFrame:
+        fields = [*SEND_SCHEDULE, StructField("bucket", IntegerType())]
+        return self.spark.read.schema(StructType(fields)).parquet(self.table) if self.made else self.spark.createDataFrame([], StructType(fields))
+
+    def read(self, *users: str) -> DataFrame:
+        """All rows, or those of some users, for which only their buckets are scanned."""
+        rows = self._stored()
+        if users:
+            named = self.spark.createDataFrame([(u,) for u in users], "user_id string").select(self.bucket().alias("b"))
+            rows = rows.filter(F.col("bucket").isin(*sorted({r["b"] for r in named.collect()})) & F.col("user_id").isin(*users))
+        return rows.select(*SEND_SCHEDULE.names)
+
+    def write_back(self, new: DataFrame) -> tuple[int, int]:
+        """(candidates, written)."""
+        refuse_malformed(self.read())
+        new = new.select(*SEND_SCHEDULE.names).withColumn("bucket", self.bucket()).persist()
+        winners = None
+        try:
+            refuse_malformed(new)
+            winners = self._winners(new).persist()
+            touched = {r["bucket"]: r["n"] for r in winners.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row a bucket
+            n = new.count()
+            if touched or not self.made:
+                kept = self._stored().filter(F.col("bucket").isin(*touched)) if touched else self._stored()
+                rows = kept.join(winners.select("user_id"), "user_id", "left_anti").unionByName(winners)
+                write = rows.hint("rebalance", "bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                write.partitionBy("bucket").parquet(self.table)
+                self.made = True
+            return n, sum(touched.values())
+        finally:
+            new.unpersist()
+            if winners is not None:
+                winners.unpersist()
+
+    def _winners(self, new: DataFrame) -> DataFrame:
+        """Candidates of new users, or strictly above the stored (version number, computed_as_of)."""
+        rank = lambda *c: F.struct(version_number(F.col(c[0])), F.col(c[1]))
+        old = self._stored().select(F.col("user_id").alias("of"), F.col("bucket").alias("in"), F.col("model_version").alias("old_version"), F.col("computed_as_of").alias("old_as_of"))
+        both = new.join(old, (F.col("user_id") == F.col("of")) & (F.col("bucket") == F.col("in")), "left")
+        won = F.when(F.col("of").isNull(), True).otherwise(rank("model_version", "computed_as_of") > rank("old_version", "old_as_of"))
+        return both.filter(won).select(*new.columns)

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date, timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidemark.functions.columns import json_value, seconds_between, to_local
+from tidemark.sources.landing import payload
 from tidemark.params import Params
 
 
@@ -28,10 +31,24 @@ def since(df: DataFrame, day: str, horizon: date | None, days: int) -> DataFrame
     return df if horizon is None else df.filter(F.col(day) >= F.lit(horizon - timedelta(days=days)))
 
 
-def dedupe_earliest(raw: DataFrame) -> DataFrame:
-    """Of the copies of an event the one that was uploaded, received, made first."""
-    w = Window.partitionBy("insert_id").orderBy("server_upload_time", "server_received_time", "client_event_time")
-    return raw.withColumn("_copy", F.row_number().over(w)).filter("_copy = 1").drop("_copy")
+def dedupe_earliest(raw: DataFrame, watch: Callable[[str, DataFrame], DataFrame] | None = None) -> DataFrame:
+    """Of the copies of an event the one that was uploaded, received, made first.
+
+    Watched, each copy is compared with the one before it in the same window: a
+    conflict has its clocks and another payload.
+    """
+    clocks = ("server_upload_time", "server_received_time", "client_event_time")
+    w = Window.partitionBy("insert_id").orderBy(*clocks)
+    rows = raw.withColumn("_copy", F.row_number().over(w))
+    if watch is None:
+        return rows.filter("_copy = 1").drop("_copy")
+    rows = rows.withColumn("_before", F.lag(F.struct(*clocks, "event_properties")).over(w))
+    same = reduce(lambda a, b: a & b, [F.col(f"_before.{c}").eqNullSafe(F.col(c)) for c in clocks])
+    text, before = F.col("event_properties"), F.col("_before.event_properties")
+    # a payload is parsed only where the texts of two such copies differ
+    differs = F.when(F.col("_before").isNotNull() & same & ~text.eqNullSafe(before), payload(text) != payload(before))
+    rows = watch("raw", rows.withColumn("_conflict", F.coalesce(differs, F.lit(False))))
+    return watch("deduped", rows.filter("_copy = 1").drop("_copy", "_before", "_conflict"))
 
 
 def as_of(events: DataFrame, dim: DataFrame, at: str = "client_event_time") -> DataFrame:
@@ -45,7 +62,7 @@ def as_of(events: DataFrame, dim: DataFrame, at: str = "client_event_time") -> D
     return events.join(d, (events["user_id"] == d["_u"]) & valid, "left").drop("_u", "valid_from", "valid_to")
 
 
-def stg_events(raw: DataFrame, dim: DataFrame, params: Params | None = None, incremental: bool = False) -> DataFrame:
+def stg_events(raw: DataFrame, dim: DataFrame, params: Params | None = None, incremental: bool = False, watch: Callable[[str, DataFrame], DataFrame] | None = None) -> DataFrame:
     """One row an event. Incremental: only local dates inside the lookback.
 
     The earliest copy is chosen before the lookback cuts; only whole upload days
@@ -55,7 +72,7 @@ def stg_events(raw: DataFrame, dim: DataFrame, params: Params | None = None, inc
     horizon = last_upload(raw) if incremental else None
     if incremental and "upload_date" in raw.columns:
         raw = since(raw, "upload_date", horizon, params.lookback_days + params.source_prune_margin_days)
-    rows = as_of(dedupe_earliest(raw), dim)
+    rows = as_of(dedupe_earliest(raw, watch), dim)
     local = to_local("client_event_time", "tz")
     prop = lambda k: json_value("event_properties", k)
     out = rows.select(
@@ -70,6 +87,7 @@ def stg_events(raw: DataFrame, dim: DataFrame, params: Params | None = None, inc
         prop("error_code").alias("error_code"),
         prop("response_id").alias("response_id"),
     )
+    out = watch("stg_events", out) if watch else out
     return since(out, "event_date", horizon, params.lookback_days) if incremental else out
 
 

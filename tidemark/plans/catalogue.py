@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.columns import circular_distance, json_value, open_probability, seconds_between, to_local
 from tidemark.operators import attribution as att
 from tidemark.operators import checks, marts, scores, serving, staging
+from tidemark.operators.metrics import Watch
 from tidemark.params import LABELS, Params
 from tidemark.plans import evaluate
 from tidemark.plans.pipeline import Tables, build, refresh
@@ -149,7 +150,8 @@ def scores_send_time(spark, d):
     return _tables(spark, d).scores_send_time
 
 
-def send_schedule_upsert(spark, d):
+def _offers(spark, d):
+    """A stored schedule and candidates, of which some are above their stored row, some below and some new."""
     t = _tables(spark, d)
     new = serving.candidates(t.scores_send_time.withColumn("model_version", F.lit("v2")), t.dim_user_current)
     stored = new.filter(_number() % 5 != 0).withColumns(
@@ -160,7 +162,20 @@ def send_schedule_upsert(spark, d):
             "send_hour_local": F.lit(0),
         }
     )
-    return serving.upsert(stored, new)
+    return stored, new
+
+
+def send_schedule_upsert(spark, d):
+    return serving.upsert(*_offers(spark, d))
+
+
+def send_schedule_buckets(spark, d):
+    """The same through the table in buckets: made from the stored rows, then written back."""
+    stored, new = _offers(spark, d)
+    served = serving.BucketedSchedule(spark, scratch_path(spark, "served"), 16)
+    served.write_back(stored)
+    served.write_back(new)
+    return served.read()
 
 
 def lookback_partitions(spark, d):
@@ -306,6 +321,40 @@ def landed_files(spark, d):
     )
 
 
+def landing_rejects(spark, d):
+    """Records of the event files, some of them damaged in one of six ways, landed strictly: how many are accepted, and refused for what."""
+    folder = scratch_path(spark, "rejects")
+    export.write_events(_raw(spark, d)[0], f"{folder}/good")
+    n = F.regexp_extract("value", '"insert_id":"[ed]-([0-9]+)"', 1).cast("long")
+    hurt = lambda pattern, put: F.regexp_replace("value", pattern, put)
+    planted = (
+        F.when(n % 11 == 0, hurt('"insert_id":"[^"]*",', ""))
+        .when(n % 13 == 0, hurt(r"^\{", '{"source":"x",'))
+        .when((n % 17 == 0) & F.col("value").endswith("{}}"), hurt(r"\{\}\}$", '{"attempt_no":1}}'))
+        .when(n % 17 == 0, hurt(r"\}\}$", ',"attempt_no":1}}'))
+        .when(n % 19 == 0, F.substring("value", 1, 30))
+        .when(n % 23 == 0, hurt('"server_received_time":"[^"]*"', '"server_received_time":"soon"'))
+        .when(n % 29 == 0, hurt('"event_type":"[^"]*"', '"event_type":"unheard_of"'))
+        .otherwise(F.col("value"))
+    )
+    spark.read.text(f"{folder}/good").select(planted.alias("value")).write.text(f"{folder}/raw")
+    landed, refused = landing.land_screened(spark, [f"{folder}/raw"], f"{folder}/events", f"{folder}/refused")
+    reasons = refused.select(F.explode("reasons").alias("reason")).unionByName(landed.select(F.lit("accepted").alias("reason")))
+    return reasons.groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+def checks_observed(spark, d):
+    """How far events with planted faults are from each check, by the metrics that are observed while the tables are written."""
+    raw, dim = _raw(spark, d)
+    raw = raw.withColumn("event_type", F.when(F.substring("insert_id", 3, 20).cast("long") % 31 == 0, "unheard_of").otherwise(F.col("event_type")))
+    late = raw.filter(F.col("insert_id").endswith("7")).withColumn("server_upload_time", F.col("server_upload_time") + F.expr("INTERVAL 1 DAY"))
+    raw = raw.unionByName(late).unionByName(late.withColumn("event_properties", F.lit("{}")))
+    dim = dim.withColumn("cohort_id", F.when(_number() % 7 == 0, "c-9").otherwise(F.col("cohort_id"))).unionByName(dim.filter(_number() % 10 == 3))
+    watch = Watch()
+    refresh(spark, raw, dim, scratch_path(spark, "observed"), watch=watch)
+    return spark.createDataFrame(list(watch.broken().items()), "check string, n long")
+
+
 def dim_file(spark, d):
     """The dimension through its CSV file."""
     folder = scratch_path(spark, "dim")
@@ -448,6 +497,11 @@ near AS (SELECT arm, user_id, {d} AS d FROM opens o JOIN served s USING (user_id
     )
 
 
+UPSERT_SQL = _sql(
+        "SELECT * EXCLUDE (take) FROM (SELECT n.*, s.user_id IS NULL OR s.model_version = 'v1' AS take FROM new_rows n LEFT JOIN stored s USING (user_id)) WHERE take UNION ALL SELECT * FROM stored WHERE model_version = 'v10'",
+        f"""new_rows AS (SELECT s.user_id, send_hour_local, send_minute_local, cohort_hour_local, c.tz, confidence, 'v2' AS model_version, computed_as_of, computed_as_of AS written_at FROM scores s JOIN current c USING (user_id)),
+stored AS (SELECT * REPLACE (CASE WHEN {NUM} % 3 = 0 THEN 'v10' ELSE 'v1' END AS model_version, computed_as_of - INTERVAL 1 DAY AS computed_as_of, computed_as_of - INTERVAL 1 DAY AS written_at, CAST(0 AS INTEGER) AS send_hour_local) FROM new_rows WHERE {NUM} % 5 <> 0)""")
+
 CATALOGUE: dict[str, tuple[Callable, str]] = {
     "q_dedupe_earliest": (dedupe_earliest, _sql("SELECT insert_id, event_type, server_upload_time FROM deduped")),
     "q_conflicting_duplicates": (conflicts, _sql(
@@ -479,10 +533,8 @@ LEFT JOIN (SELECT user_id, max(CAST(client_event_time_local AS DATE)) AS last_op
     "q_cohort_window_mass": (cohort_window_mass, _sql("SELECT * FROM mass")),
     "q_cohort_moment": (cohort_moment, _sql("SELECT * FROM moment")),
     "q_scores_send_time": (scores_send_time, _sql("SELECT * FROM scores")),
-    "q_send_schedule_upsert": (send_schedule_upsert, _sql(
-        "SELECT * EXCLUDE (take) FROM (SELECT n.*, s.user_id IS NULL OR s.model_version = 'v1' AS take FROM new_rows n LEFT JOIN stored s USING (user_id)) WHERE take UNION ALL SELECT * FROM stored WHERE model_version = 'v10'",
-        f"""new_rows AS (SELECT s.user_id, send_hour_local, send_minute_local, cohort_hour_local, c.tz, confidence, 'v2' AS model_version, computed_as_of, computed_as_of AS written_at FROM scores s JOIN current c USING (user_id)),
-stored AS (SELECT * REPLACE (CASE WHEN {NUM} % 3 = 0 THEN 'v10' ELSE 'v1' END AS model_version, computed_as_of - INTERVAL 1 DAY AS computed_as_of, computed_as_of - INTERVAL 1 DAY AS written_at, CAST(0 AS INTEGER) AS send_hour_local) FROM new_rows WHERE {NUM} % 5 <> 0)""")),
+    "q_send_schedule_upsert": (send_schedule_upsert, UPSERT_SQL),
+    "q_send_schedule_buckets": (send_schedule_buckets, UPSERT_SQL),
     "q_lookback_partitions": (lookback_partitions, _sql("SELECT event_date, count(*) AS n_events, count(DISTINCT insert_id) AS n_ids FROM stg WHERE date_diff('day', event_date, (SELECT CAST(max(server_upload_time) AS DATE) FROM raw)) <= 5 GROUP BY 1")),
     "q_through_cut": (through_cut, _sql(f"SELECT CAST(server_upload_time AS DATE) AS upload_date, count(*) AS n_events FROM raw WHERE CAST(server_upload_time AS DATE) <= DATE '{CUT}' GROUP BY 1", base="")),
     "q_holdout": (holdout, _holdout_sql()),
@@ -524,6 +576,23 @@ FROM (SELECT prompt_cohort_id AS cohort_id, count(DISTINCT user_id) AS users, CA
     "q_content_hash": (content_hashes, _sql("SELECT count(*) AS n_rows, true AS same FROM daily")),
     "q_landed_files": (landed_files, _sql(
         f"SELECT CAST(server_upload_time AS DATE) AS upload_date, count(*) AS n_events, count(DISTINCT insert_id) AS n_ids, count(json_extract_string(event_properties, '$.prompt_id')) AS n_with_prompt, CAST(sum(epoch(server_upload_time) - epoch(client_event_time)) AS BIGINT) AS delay_seconds FROM raw WHERE CAST(server_upload_time AS DATE) <= DATE '{CUT}' GROUP BY 1", base="")),
+    "q_landing_rejects": (landing_rejects, _sql(
+        """SELECT CASE WHEN n % 11 = 0 THEN 'missing:insert_id' WHEN n % 13 = 0 THEN 'unknown_field:source' WHEN n % 17 = 0 THEN 'unknown_property:attempt_no' WHEN n % 19 = 0 THEN 'not_json'
+WHEN n % 23 = 0 THEN 'bad_time:server_received_time' WHEN n % 29 = 0 THEN 'unknown_type' ELSE 'accepted' END AS reason, count(*) AS n FROM (SELECT CAST(substr(insert_id, 3) AS BIGINT) AS n FROM raw) GROUP BY 1""", base="")),
+    "q_checks_observed": (checks_observed, _sql(
+        """SELECT 'raw_not_null' AS "check", CAST(0 AS BIGINT) AS n UNION ALL SELECT 'raw_event_type', count(*) FROM odd_raw WHERE event_type = 'unheard_of'
+UNION ALL SELECT 'no_conflicting_duplicates', count(*) FROM (SELECT 1 FROM odd_raw GROUP BY insert_id, client_event_time, server_received_time, server_upload_time HAVING count(DISTINCT event_properties) > 1)
+UNION ALL SELECT 'one_dim_row_per_event', (SELECT count(*) + count(*) FILTER (tz IS NULL) FROM t_stg) - (SELECT count(*) FROM t_deduped)
+UNION ALL SELECT 'stg_not_null', 0 UNION ALL SELECT 'error_code_only_on_failure', count(*) FROM t_stg WHERE event_type = 'upload_failed'
+UNION ALL SELECT 'prompt_cohort_matches_dim', count(*) FROM t_prompts WHERE prompt_cohort_id IS NULL OR prompt_cohort_id <> cohort_id
+UNION ALL SELECT 'prompt_unique', count(*) - count(DISTINCT prompt_id) FROM t_prompts UNION ALL SELECT 'one_label_per_prompt', 0 UNION ALL SELECT 'label_accepted', 0 UNION ALL SELECT 'status_accepted', 0
+UNION ALL SELECT 'cohort_day_partition', 0 UNION ALL SELECT 'unattributed_share', CASE WHEN count(*) FILTER (label = 'unattributed') > 0.1 * count(*) THEN count(*) FILTER (label = 'unattributed') ELSE 0 END FROM t_labelled
+UNION ALL SELECT 'send_time_in_band', 0""",
+        f"""odd AS (SELECT * REPLACE (CASE WHEN CAST(substr(insert_id, 3) AS BIGINT) % 31 = 0 THEN 'unheard_of' ELSE event_type END AS event_type) FROM raw),
+late AS (SELECT * REPLACE (server_upload_time + INTERVAL 1 DAY AS server_upload_time) FROM odd WHERE insert_id LIKE '%7'),
+odd_raw AS (SELECT * FROM odd UNION ALL SELECT * FROM late UNION ALL SELECT * REPLACE ('{{}}' AS event_properties) FROM late),
+odd_dim AS (SELECT * REPLACE (CASE WHEN {NUM} % 7 = 0 THEN 'c-9' ELSE cohort_id END AS cohort_id) FROM dim UNION ALL SELECT * FROM dim WHERE {NUM} % 10 = 3),
+{chain('odd_raw', 'odd_dim', 't_').strip()}""", base="")),
     "q_dim_file": (dim_file, _sql("SELECT user_id, tz, cohort_id, valid_from, valid_to FROM dim", base="")),
     "q_incremental_tables": (incremental_tables, _sql("SELECT prompt_date, label, status, count(*) AS n FROM labelled GROUP BY 1, 2, 3")),
     "q_local_days": (local_round_trip, _sql("SELECT CAST((client_event_time AT TIME ZONE 'UTC') AT TIME ZONE 'Asia/Tokyo' AS DATE) AS day, count(*) AS n FROM (SELECT DISTINCT insert_id, client_event_time FROM raw) GROUP BY 1", base="")),

@@ -7,14 +7,17 @@ import re
 from datetime import date
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.columns import json_value, marked
 
-from .schemas import DIM_USER, EVENTS, PROPERTIES, TIME_FORMAT
+from .schemas import DIM_USER, EVENTS, PROPERTIES, PROPERTY_KEYS, TIME_FORMAT
+from .scratch import scratch_path
 
+#: ``TIME_FORMAT`` as a pattern.
+TIME = r"^\d{4}-\d\d-\d\d \d\d:\d\d:\d\d\.\d{6}$"
 NAME = re.compile(r"events_(\d{4}-\d{2}-\d{2})(?:_\d+)*\.jsonl(?:\.gz)?")
 
 
@@ -47,10 +50,65 @@ def read_events(spark: SparkSession, paths: list[str]) -> DataFrame:
     return spark.read.schema(EVENTS).option("timestampNTZFormat", TIME_FORMAT).option("mode", "FAILFAST").json(paths)
 
 
+def _events_of(value: Column) -> Column:
+    loose = T.StructType([T.StructField(f.name, T.StringType(), True) for f in EVENTS])
+    return F.from_json(value, loose)
+
+
+def screened_events(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Every record of the files: the contract's columns, its text, its file, and why it is refused (empty: accepted).
+
+    Reasons: ``not_json``; ``missing:<field>`` (absent, null or, but for the
+    properties, empty); ``unknown_field:<field>``; ``bad_time:<field>``;
+    ``unknown_type``; ``bad_properties`` (no JSON object); ``unknown_property:<key>``
+    (outside the keys of the event's type). Blank lines are no records.
+    """
+    lines = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("file")) if paths else spark.createDataFrame([], "value string, file string")
+    rows = lines.filter(F.trim("value") != "").select("value", "file", _events_of(F.col("value")).alias("e"), F.json_object_keys("value").alias("fields"))
+    rows = rows.withColumn("keys", F.json_object_keys("e.event_properties"))
+    e = lambda c: F.col(f"e.{c}")
+    when = lambda test, reason: F.when(test, reason if isinstance(reason, Column) else F.lit(reason))
+    times = [f.name for f in EVENTS if isinstance(f.dataType, T.TimestampNTZType)]
+    # no zone is asked: a naive time that a session's zone skips is a time
+    time = {c: F.when(e(c).rlike(TIME), e(c).try_cast("timestamp_ntz")) for c in times}
+    allowed = F.create_map(*[x for kind, keys in PROPERTY_KEYS.items() for x in (F.lit(kind), F.array(*map(F.lit, keys)).cast("array<string>"))])
+    known = allowed[e("event_type")]
+    named = lambda keys, kind: F.transform(keys, lambda k: F.concat(F.lit(kind), k))
+    one_each = [when(F.coalesce(e(c), F.lit("")) == "", f"missing:{c}") for c in EVENTS.names]
+    one_each += [when((e(c) != "") & time[c].isNull(), f"bad_time:{c}") for c in times]
+    one_each += [when((e("event_type") != "") & known.isNull(), "unknown_type"), when((e("event_properties") != "") & F.col("keys").isNull(), "bad_properties")]
+    several = [named(F.array_except("fields", F.array(*map(F.lit, EVENTS.names))), "unknown_field:"), named(F.array_except("keys", known), "unknown_property:")]
+    none = F.array().cast("array<string>")
+    found = F.concat(F.array_compact(F.array(*one_each)), *[F.coalesce(x, none) for x in several])
+    reasons = F.when(F.col("fields").isNull(), F.array(F.lit("not_json"))).otherwise(found)
+    columns = [time.get(c, e(c)).alias(c) for c in EVENTS.names]
+    return rows.select(*columns, "value", "file", reasons.alias("reasons"))
+
+
+def land_screened(spark: SparkSession, paths: list[str], path: str, rejects: str) -> tuple[DataFrame, DataFrame]:
+    """Land the accepted records of the files; the refused ones go beside them, with their reasons. Returns both tables.
+
+    The files are parsed once, into a scratch table of accepted and refused rows.
+    A run with the same files replaces its own rejects: they lie in a folder for
+    each set of files (a hash of their names). Nothing is landed where accepted
+    copies conflict.
+    """
+    scratch = scratch_path(spark, "screened")
+    rows = screened_events(spark, paths)
+    rows.withColumn("refused", F.size("reasons") > 0).write.partitionBy("refused").parquet(scratch)
+    rows = spark.read.schema(T.StructType([*rows.schema, T.StructField("refused", T.BooleanType())])).parquet(scratch)
+    refused = rows.filter("refused").select("value", "file", "reasons").withColumn("batch", F.lit(hashlib.sha256("\n".join(sorted(paths)).encode()).hexdigest()[:16]))
+    landed = land(spark, rows.filter("NOT refused").select(*EVENTS.names), path)
+    refused.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(rejects)
+    drop(spark, scratch, confirm=True)
+    return landed, spark.read.schema(refused.schema).parquet(rejects)
+
+
 def read_dim_user(spark: SparkSession, path: str) -> DataFrame:
-    """Headed CSV; an empty cell is NULL, and NULL only where the contract allows it."""
+    """Headed CSV whose header is the contract's; an empty cell is NULL, and NULL only where the contract allows it."""
     loose = T.StructType([T.StructField(f.name, f.dataType, True) for f in DIM_USER])
-    df = spark.read.schema(loose).option("header", True).option("nullValue", "").option("emptyValue", "").option("mode", "FAILFAST").option("timestampNTZFormat", TIME_FORMAT).csv(path)
+    # the header is held against the contract: columns in another order, or of other names, are refused
+    df = spark.read.schema(loose).option("header", True).option("enforceSchema", False).option("nullValue", "").option("emptyValue", "").option("mode", "FAILFAST").option("timestampNTZFormat", TIME_FORMAT).csv(path)
     checked = [c if f.nullable else F.when(F.col(f.name).isNotNull(), F.col(f.name)).otherwise(F.raise_error(F.lit(f"dim_user: {f.name} is empty"))).alias(f.name) for f, c in zip(DIM_USER, DIM_USER.names, strict=True)]
     return df.select(*checked)
 
@@ -60,11 +118,15 @@ def read_dim(spark: SparkSession, source: str, jdbc: dict[str, str] | None = Non
     return spark.read.format("jdbc").options(dbtable=source, **jdbc).load() if jdbc else spark.table(source)
 
 
+def payload(text: Column | str) -> Column:
+    """What an event's properties say, as one text."""
+    return marked(*[json_value(text, k) for k in PROPERTIES])
+
+
 def conflicting_duplicates(events: DataFrame) -> DataFrame:
     """insert_ids that carry one set of clocks and several payloads."""
-    payload = marked(*[json_value("event_properties", k) for k in PROPERTIES])
     clocks = ["insert_id", "client_event_time", "server_received_time", "server_upload_time"]
-    return events.groupBy(*clocks).agg(F.countDistinct(payload).alias("n_payloads")).filter("n_payloads > 1").select("insert_id", "n_payloads")
+    return events.groupBy(*clocks).agg(F.countDistinct(payload("event_properties")).alias("n_payloads")).filter("n_payloads > 1").select("insert_id", "n_payloads")
 
 
 def with_upload_date(events: DataFrame) -> DataFrame:
