@@ -15,6 +15,7 @@ NOTHING = {
     "op8_jaccard_join": {"n_shingles": 0},
     "op9_secret_scan": {"n_assign": 0, "n_access": 0, "n_hex": 0, "spans": ""},
     "op10_media_columns": {"n_bytes": 0, "payload_bytes": 64},
+    "op11_simhash_dedup": {"fingerprint": "0" * 16, "component_id": 1},
 }
 
 
