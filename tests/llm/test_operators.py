@@ -361,6 +361,27 @@ def test_op7_recall_against_whole_alignment():
     assert close == near > 100 and found >= 0.97 * 240, (close, near, found)
 
 
+def test_op7_block_edits():
+    """Whole texts with words put in or left out at one place: found wherever the whole alignment is a match."""
+    rng, index, found, tried = random.Random(3), op7_licenses.Index(op7_licenses.TEMPLATES), 0, 0
+    for name in sorted(n for n in op7_licenses.TEXTS if n.endswith("text")):
+        template = index.templates[index.names.index(name)]
+        words = [w for w, _, _ in op7_licenses.cut(op7_licenses.TEXTS[name])]
+        for n in (7, 10, 15, 25, 40):
+            at = rng.randrange(len(words))
+            for edited in (words[:at] + [f"zz{rng.randrange(99)}" for _ in range(n)] + words[at:], words[:at] + words[at + n :]):
+                text = " ".join(edited)
+                if len(edited) < template.least or (len(words) < 700 and op7_licenses.whole_alignment(op7_licenses.TEXTS[name], text) < template.least):
+                    continue
+                tried += 1
+                found += any(m["license"] == name and m["matched"] >= template.least for m in index.matches(f"words before {text} and after"))
+    assert tried > 150 and found >= 0.95 * tried, (found, tried)
+    mit = op7_licenses.TEXTS["MIT text"].split()
+    for edited, coverage in ((mit[:60] + ["zz"] * 10 + mit[60:], 1.0), (mit[:60] + mit[80:], 0.87)):
+        (m,) = index.matches(" ".join(edited))
+        assert m["license"] == "MIT text" and abs(m["coverage"] - coverage) < 0.01 and (m["first_word"], m["last_word"]) == (0, len(edited))
+
+
 def test_op7_many_notices_take_linear_time():
     index, lines = op7_licenses.Index(op7_licenses.TEMPLATES), [op7_licenses.TEMPLATES[k] for k in ("MIT", "GPL-3.0", "GPL-2.0 header", "Apache-2.0", "MPL-2.0 header")]
     times = []

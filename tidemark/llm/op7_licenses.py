@@ -6,25 +6,29 @@ put in or exchanged; slack: the words that may be missing), it falls into at
 most slack + 1 runs, so some run has ``least / (slack + 1)`` words or more. From
 that each template gets its size of grams and its winnowing window, such that a
 run of this length always holds a fingerprint that the template has too: every
-such match within ``BAND`` words of a diagonal has a seed, however short the
-template is. A match of more edits is found if it shares any fingerprint.
+such match has a seed, however short the template is.
 
 The index maps a fingerprint to its places in the templates. The document's
-fingerprints give seeds; where enough of them agree on a diagonal (as many as
-any such match must have), and enough of the template's words stand there at
-all, the band round the diagonal is aligned. Templates of up to ``SHORT`` words
-are aligned through each seed by itself, so notices side by side are told apart.
+fingerprints give seeds, and seeds near each other on one diagonal a segment.
+Segments of a template are chained over diagonals, in the order of both texts:
+between two of them at most ``slack`` words of the template are missing and at
+most ``EXTRA`` more words stand in the document, so a paragraph may be put in or
+left out at one place. Where the words round a chain can hold a match at all, it
+is aligned: along its segments, and between and beside them in bands as wide as
+the gap, by bit-parallel longest common subsequence. Templates of up to ``SHORT``
+words are aligned through each seed by itself, within ``BAND`` words of its
+diagonal, so notices side by side are told apart.
 Of matches that overlap the one of most words stays (then of the greatest
 coverage, then the tightest), and the others are aligned again in what is left.
 
 Scale: row by row over whole texts, no shuffle. Seeds are looked up in sorted
-arrays; a seed inside a match that its diagonal has already given is not aligned
-again, so a text of many notices takes time in proportion to its length. The
-templates are a parameter; all are sent to every task, some 30 bytes a word.
+arrays; a chain inside a match of its template is not aligned again, so a text
+of many notices takes time in proportion to its length. The templates are a
+parameter; all are sent to every task, some 30 bytes a word.
 
 Edge cases: null and empty texts have no matches; null ids stay; repeated rows
 give equal rows; repeated notices are all reported; a very long text is scanned
-in full, each alignment reads only a band; an empty table gives no rows; other
+in full, each alignment reads only what is near its chain; an empty table gives no rows; other
 columns are ignored; templates of one word match that word, templates without a
 word are refused. Offsets count words and code points.
 """
@@ -38,6 +42,7 @@ from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
 from importlib.resources import files
 from math import ceil
+from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -47,9 +52,12 @@ from pyspark.sql import functions as F
 from .common import pick, small_batches
 from .packing import mixed
 
+#: Words that a short template's match may leave its seed's diagonal by.
 BAND = 6
-#: Words of a template whose neighbouring matches a band could mix up.
+#: Words of a template whose neighbouring matches a chain could mix up.
 SHORT = 16
+#: Words that may be put into a match at one place, and places between two seeds of a segment.
+EXTRA, STEP = 64, 8
 #: Least share of a template's words that must match.
 COVERAGE = 0.8
 #: Longest gram of a fingerprint.
@@ -129,37 +137,136 @@ class Template:
                     return False
         return True
 
-    def align(self, doc: Document, p: int, j: int, low: int, high: int) -> tuple[int, int, int] | None:
-        """The match on the diagonal of (p, j), of a short template through it: words in common, first, last."""
-        a, b = max(low, j - p - BAND), min(high, j - p + len(self.words) + BAND)
-        names = doc.ids[a:b]
-        if b - a < self.least or sum(map(self.counts.__contains__, names)) < self.least:
-            return None
-        same, first, last = through(self.words, names, p, j - a) if self.short else align(self.words, names, j - p - a)
-        return (same, a + first, a + last) if same >= self.least else None
-
-    def find(self, doc: Document, places: np.ndarray, at: np.ndarray) -> Iterator[tuple[int, int, tuple[int, int, int]]]:
-        """(p, j, match) of the seeds at these places of the template and of the document."""
+    def align(self, doc: Document, chain: Chain, low: int, high: int) -> tuple[int, int, int] | None:
+        """The match along a chain inside these words of the document: words in common, first, last."""
+        _, p, j, _, _ = chain[0]
+        if self.short:
+            a, b = max(low, j - p - BAND), min(high, j - p + len(self.words) + BAND)
+            names = doc.ids[a:b]
+            if b - a < self.least or sum(map(self.counts.__contains__, names)) < self.least:
+                return None
+            same, first, last = through(self.words, names, p, j - a)
+            first, last = a + first, a + last
+        else:
+            chain = trimmed(chain, low, high)
+            if not chain:
+                return None
+            (_, p, j, _, _), (_, q, k, size, _) = chain[0], chain[-1]
+            head, tail = self.beside(p), self.beside(len(self.words) - q - size)
+            around = doc.ids[max(low, j - head) : min(high, k + size + tail)]
+            if len(around) < self.least or not self.possible(Counter(around)):
+                return None
+            before, used = reach(self.words[:p][::-1], doc.ids[max(low, j - head) : j][::-1])
+            after, more = reach(self.words[q + size :], doc.ids[k + size : min(high, k + size + tail)])
+            same, first, last = before + after, j - used, k + size + more
+            for n, (_, p, j, size, _) in enumerate(chain):
+                same += sum(map(eq, self.words[p : p + size], doc.ids[j : j + size]))
+                if n + 1 < len(chain):
+                    _, q, k, _, _ = chain[n + 1]
+                    same += common(self.words[p + size : q], doc.ids[j + size : k])
+        return (same, first, last) if same >= self.least else None
+
+    def dense(self, segments: np.ndarray, seeds: np.ndarray) -> np.ndarray:
+        """Segments with enough places of the document that have a seed (``seeds``, ascending) for a match within its length of them."""
+        size = len(self.words) + self.slack + EXTRA
+        return np.searchsorted(seeds, segments[:, 2] + size, "right") - np.searchsorted(seeds, segments[:, 2] - size) >= self.votes
+
+    def beside(self, missing: int) -> int:
+        """Words of the document beside a chain in which so many words of the template are looked for."""
+        return missing + (EXTRA if missing > STEP else BAND) if missing else 0
+
+    def find(self, doc: Document, places: np.ndarray, at: np.ndarray) -> Iterator[tuple[Chain, tuple[int, int, int]]]:
+        """(chain, match) of the seeds at these places of the template and of the document."""
         diagonal = at - places
         order = np.lexsort((at, diagonal))
         d, p, j = diagonal[order], places[order], at[order]
         if self.short:
-            enough = np.ones(len(d), bool)
-        else:
-            enough = np.searchsorted(d, d + BAND, "right") - np.searchsorted(d, d - BAND) >= self.votes
-        done: dict[int, int] = {}  # where the last match of each diagonal ends
-        tried = None
-        for x, y, z in zip(d[enough].tolist(), p[enough].tolist(), j[enough].tolist(), strict=True):
-            if z < done.get(x, -1) or (not self.short and x == tried):
-                continue
-            tried = x
-            if m := self.align(doc, y, z, 0, len(doc.ids)):
-                yield y, z, m
-                if self.short:
+            done: dict[int, int] = {}  # where the last match of each diagonal ends
+            for x, y, z in zip(d.tolist(), p.tolist(), j.tolist(), strict=True):
+                if z >= done.get(x, -1) and (m := self.align(doc, [(x, y, z, self.gram, 1)], 0, len(doc.ids))):
+                    yield [(x, y, z, self.gram, 1)], m
                     done[x] = m[2]
-                else:  # what the band has seen
-                    for k in range(x - BAND, x + BAND + 1):
-                        done[k] = max(done.get(k, -1), m[2])
+            return
+        new = np.flatnonzero(np.concatenate([[True], (d[1:] != d[:-1]) | (j[1:] - j[:-1] > STEP)]))
+        last = np.append(new[1:], len(d)) - 1
+        segments = np.stack([d[new], p[new], j[new], j[last] - j[new] + self.gram, last - new + 1], 1)
+        segments = segments[np.lexsort((segments[:, 1], segments[:, 2]))]
+        found: list[tuple[int, int]] = []  # spans of matches, in order
+        seeds = np.unique(j)
+        # first the segments of several seeds; then all that no match of those covers
+        for least in (3, 1):
+            some = segments[(segments[:, 4] >= least) & ~covered(segments, found)]
+            for chain in chains(some[self.dense(some, seeds)], self.slack + STEP):
+                if sum(x[4] for x in chain) < self.votes:  # any match by at most ``slack`` edits has as many seeds
+                    continue
+                first, end = chain[0][2], chain[-1][2] + chain[-1][3]
+                at = bisect_right(found, (first, len(doc.ids) + 1))
+                if at and found[at - 1][1] >= end:
+                    continue
+                if m := self.align(doc, chain, 0, len(doc.ids)):
+                    yield chain, m
+                    insort(found, m[1:])
+
+
+#: Segments (diagonal, place in the template, place in the document, words, seeds) in the order of both texts.
+Chain = list[tuple[int, int, int, int, int]]
+
+
+def covered(segments: np.ndarray, spans: list[tuple[int, int]]) -> np.ndarray:
+    """Whether each segment lies inside one of these spans of the document."""
+    if not spans:
+        return np.zeros(len(segments), bool)
+    first, last = np.array(spans).T
+    at = np.searchsorted(first, segments[:, 2], "right") - 1
+    return (at >= 0) & (np.maximum.accumulate(last)[np.maximum(at, 0)] >= segments[:, 2] + segments[:, 3])
+
+
+def chains(segments: np.ndarray, slack: int) -> list[Chain]:
+    """The segments (in order of the document) in chains, each in one: the heaviest chains first.
+
+    A segment follows one that begins before it in both texts, at most ``slack`` words
+    of the template and so many and ``EXTRA`` of the document after its end. Leaving a diagonal
+    costs a little, so a chain keeps to it where it can.
+    """
+    d, p, j, size, _ = segments.T
+    p_end, j_end = p + size, j + size
+    score, before = size.astype(np.float64), np.full(len(d), -1)
+    low = np.searchsorted(np.maximum.accumulate(j_end), j - slack - EXTRA)
+    for i in range(len(d)):
+        k = slice(low[i], i)
+        missing, more = p[i] - p_end[k], j[i] - j_end[k]
+        follows = (p[k] < p[i]) & (j[k] < j[i]) & (p_end[k] < p_end[i]) & (j_end[k] < j_end[i]) & (missing <= slack) & (more <= np.maximum(missing, 0) + EXTRA)
+        if follows.any():
+            value = np.where(follows, score[k] - np.maximum(0, np.maximum(-missing, -more)) - 0.05 * np.abs(d[k] - d[i]), 0.0)
+            best = int(value.argmax())
+            if value[best] > 0:
+                score[i] += value[best]
+                before[i] = low[i] + best
+    rows, before = list(map(tuple, segments.tolist())), before.tolist()
+    used, out = [False] * len(rows), []
+    for i in np.lexsort((np.arange(len(rows)), -score)).tolist():
+        chain = []
+        while i >= 0 and not used[i]:
+            used[i] = True
+            chain.append(rows[i])
+            i = before[i]
+        if chain:
+            out.append(chain[::-1])
+    return out
+
+
+def trimmed(chain: Chain, low: int, high: int) -> Chain:
+    """The chain's segments inside these words, each beginning where the one before has ended in both texts."""
+    out: Chain = []
+    for d, p, j, size, seeds in chain:
+        cut_off = max(0, low - j)
+        if out:
+            _, q, r, length, _ = out[-1]
+            cut_off = max(cut_off, q + length - p, r + length - j)
+        p, j, size = p + cut_off, j + cut_off, min(size - cut_off, high - j - cut_off)
+        if size > 0:
+            out.append((d, p, j, size, seeds))
+    return out
 
 
 class Document:
@@ -210,25 +317,28 @@ class Index:
         if not text:
             return []
         doc = Document(text, self.vocabulary)
-        heap, counts = [], None
-        key = lambda m, t, p, j: (-m[0], -m[0] / len(self.templates[t].words), m[2] - m[1], m[1], m[2], t, p, j)
+        heap, counts, kept = [], None, []
+        key = lambda m, t, c: (-m[0], -m[0] / len(self.templates[t].words), m[2] - m[1], m[1], m[2], t, c)
         for t, places, at in self.seeds(np.array(doc.ids, np.int64)):
             template = self.templates[t]
             if len(at) >= template.votes and len(doc.ids) >= template.least:
                 counts = counts or Counter(doc.ids)
                 if template.possible(counts):
-                    heap += [key(m, t, p, j) for p, j, m in template.find(doc, places, at)]
+                    for chain, m in template.find(doc, places, at):
+                        kept.append((max(chain, key=lambda x: x[3])[2], chain))
+                        heap.append(key(m, t, len(kept) - 1))
         heapify(heap)
         taken: list[tuple[int, int]] = []
         out = []
         while heap:  # of matches that overlap, the one of most words stays
-            same, share, _, first, last, t, p, j = heappop(heap)
+            same, share, _, first, last, t, c = heappop(heap)
+            j, chain = kept[c]
             low, high = gap(taken, j, len(doc.ids))
             if low <= first and last <= high:
                 insort(taken, (first, last))
                 out.append({"license": self.names[t], "coverage": -share, "matched": -same, "first_word": first, "last_word": last, "start": doc.places[first][1], "stop": doc.places[last - 1][2]})
-            elif low < high and (m := self.templates[t].align(doc, p, j, low, high)):
-                heappush(heap, key(m, t, p, j))
+            elif low < high and (m := self.templates[t].align(doc, chain, low, high)):
+                heappush(heap, key(m, t, c))
         return sorted(out, key=lambda m: m["start"])
 
 
@@ -264,30 +374,42 @@ def through(template: list[int], words: list[int], p: int, j: int) -> tuple[int,
     return left + 1 + right, j - before, j + 1 + after
 
 
-def align(template: list[int], words: list[int], start: int, band: int = BAND) -> tuple[int, int, int]:
-    """Longest common subsequence of a template and the words from ``start`` on, within a band of the diagonal.
-
-    Returns the words in common and the span (first, last) of the document's words that they cover.
-    """
-    none = (0, 0, 0)
-    above = [none] * (2 * band + 2)
-    best = none
-    for i, w in enumerate(template):
-        row = [none] * (2 * band + 2)
-        for d in range(2 * band + 1):
-            j = start + i + d - band
-            up, left, diagonal = above[d + 1], row[d - 1] if d else none, above[d]
-            here = up if up[:2] >= left[:2] else left
-            if 0 <= j < len(words) and words[j] == w:
-                n, first, _ = diagonal
-                found = (n + 1, first if n else j, j + 1)
-                if found[:2] > here[:2]:
-                    here = found
-            row[d] = here
-            if here[:2] > best[:2]:
-                best = here
-        above = row
-    return best
+def masks_of(words: list[int]) -> dict[int, int]:
+    out: dict[int, int] = {}
+    for i, w in enumerate(words):
+        out[w] = out.get(w, 0) | 1 << i
+    return out
+
+
+def common(template: list[int], words: list[int]) -> int:
+    """Length of the longest common subsequence: a bit for each word of the template, all updated at once by each word."""
+    if not template or not words:
+        return 0
+    masks, full = masks_of(template), (1 << len(template)) - 1
+    row = full
+    for w in words:
+        if m := masks.get(w):
+            both = row & m
+            row = ((row + both) | (row - both)) & full
+    return len(template) - row.bit_count()
+
+
+def reach(template: list[int], words: list[int]) -> tuple[int, int]:
+    """Length of the longest common subsequence, and the fewest words from the first on that hold it."""
+    if not template or not words:
+        return 0, 0
+    masks, full = masks_of(template), (1 << len(template)) - 1
+    row, best, used = full, 0, 0
+    for k, w in enumerate(words, 1):
+        if m := masks.get(w):
+            both = row & m
+            row = ((row + both) | (row - both)) & full
+            n = len(template) - row.bit_count()
+            if n > best:
+                best, used = n, k
+                if n == len(template):
+                    break
+    return best, used
 
 
 MATCHES = "array<struct<license:string,coverage:double,matched:int,first_word:int,last_word:int,start:int,stop:int>>"
