@@ -8,7 +8,8 @@ lacks. The nearest profile names the language.
 
 Profiles are fitted on a bounded sample of the labelled texts (``SAMPLE`` a
 language, by a hash of the text, so the same at every partitioning; equal texts
-count once, so a large group of copies weighs no more than one).
+count once, so a large group of copies weighs no more than one, and a language
+with fewer different texts than that keeps them all).
 Prediction reads every whole text once and nothing but the text; no shuffle.
 
 Edge cases: a text that is null or without letters is ``und`` with score 0;
@@ -94,8 +95,10 @@ def fit(labelled: DataFrame, sample: int = SAMPLE, ranks: int = RANKS) -> dict[s
     spark = labelled.sparkSession
     small_batches(spark)
     rows = pick(labelled, "text", "lang").filter("text IS NOT NULL AND lang IS NOT NULL")
-    share = rows.groupBy("lang").agg(F.least(F.lit(1.0), F.lit(float(sample)) / F.count(F.lit(1))).alias("share"))
-    taken = rows.withColumn("h", F.xxhash64("text")).join(F.broadcast(share), "lang").filter(F.pmod("h", F.lit(1_000_000)) < F.col("share") * 1_000_000)
+    rows = rows.withColumn("h", F.xxhash64("text"))
+    # of the language's different texts: a language of many copies keeps all it has up to the sample
+    share = rows.groupBy("lang").agg(F.least(F.lit(1.0), F.lit(float(sample)) / F.approx_count_distinct("h", 0.02)).alias("share"))
+    taken = rows.join(F.broadcast(share), "lang").filter(F.pmod("h", F.lit(1_000_000)) < F.col("share") * 1_000_000)
     taken = taken.groupBy("lang", "h").agg(F.first("text").alias("text"))  # of copies, one
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
