@@ -31,7 +31,8 @@ name; rows with null or equal ids are told apart by their texts.
 from __future__ import annotations
 
 from array import array
-from bisect import bisect_right
+from bisect import bisect_left
+from collections import Counter
 from fractions import Fraction
 from heapq import heappop, heappush
 from math import lcm
@@ -48,25 +49,14 @@ BLOCK, MOST_BLOCKS = 16, 1 << 22
 #: Documents of a numbering bucket, about, at least, and buckets whose sizes the driver holds beside one a source:
 #: each source has as many buckets as its size asks for.
 BUCKET, MOST_BUCKETS = 2_000, 1 << 20
+#: Times of the fluid mix that are remembered, by weight and block: sources of one size ask for the same.
+KNOWN = 1 << 16
 #: Slots and buckets of the plan in one write, about.
 PIECE = 250_000
 #: The name under which a null source is mixed.
 NULL_SOURCE = "(null)"
 
 
-def shares(weights: dict[str, float], frame: int) -> dict[str, int]:
-    """Whole slots of a frame for each source, by largest remainder, at least one."""
-    frame = max(frame, len(weights))
-    total = sum(Fraction(w) for w in weights.values())
-    exact = {s: Fraction(w) / total * frame for s, w in weights.items()}
-    out = {s: max(1, int(x)) for s, x in exact.items()}
-    while sum(out.values()) != frame:
-        up = sum(out.values()) < frame
-        pool = [s for s in out if up or out[s] > 1]
-        out[max(pool, key=lambda s: ((exact[s] - out[s]) * (1 if up else -1), s))] += 1 if up else -1
-    return out
-
-
 class Fluid:
     """When the fluid mix has passed k blocks of a source.
 
@@ -76,24 +66,34 @@ class Fluid:
     """
 
     def __init__(self, blocks: list[int], weights: list[int]):
-        self.blocks, self.weights = blocks, weights
-        self.order = sorted(range(len(blocks)), key=lambda i: Fraction(blocks[i], weights[i]))
-        self.levels = [blocks[i] / weights[i] for i in self.order]
+        ends: dict[Fraction, list[int]] = {}  # blocks and weights of all sources that run out at a level
+        for (n, w), many in Counter(zip(blocks, weights, strict=True)).items():
+            own = ends.setdefault(Fraction(n, w), [0, 0])
+            own[0] += n * many
+            own[1] += w * many
+        self.exact = sorted(ends)
+        self.levels = [float(x) for x in self.exact]
         self.done, self.rate = [0], [sum(weights)]
-        for i in self.order:
-            self.done.append(self.done[-1] + blocks[i])
-            self.rate.append(self.rate[-1] - weights[i])
-
-    def at(self, i: int, k: int) -> tuple[int, int]:
-        """The slots passed at block k of source i, rounded down and up."""
-        w = self.weights[i]
-        j = bisect_right(self.levels, k / w)  # nearly: the levels are compared exactly from there
-        while j < len(self.order) and self.blocks[self.order[j]] * w < k * self.weights[self.order[j]]:
-            j += 1
-        while j and self.blocks[self.order[j - 1]] * w >= k * self.weights[self.order[j - 1]]:
-            j -= 1
-        slots, part = divmod(self.rate[j] * k, w)
-        return self.done[j] + slots, self.done[j] + slots + (part > 0)
+        for level in self.exact:
+            n, w = ends[level]
+            self.done.append(self.done[-1] + n)
+            self.rate.append(self.rate[-1] - w)
+        self.known: dict[tuple[int, int], tuple[int, int]] = {}
+
+    def at(self, w: int, k: int) -> tuple[int, int]:
+        """The slots passed at block k of a source of this weight, rounded down and up."""
+        if (w, k) not in self.known:
+            if len(self.known) >= KNOWN:
+                self.known.clear()
+            level = Fraction(k, w)
+            j = bisect_left(self.levels, float(level))  # nearly: the levels are compared exactly from there
+            while j < len(self.exact) and self.exact[j] < level:
+                j += 1
+            while j and self.exact[j - 1] >= level:
+                j -= 1
+            slots, part = divmod(self.rate[j] * k, w)
+            self.known[w, k] = self.done[j] + slots, self.done[j] + slots + (part > 0)
+        return self.known[w, k]
 
 
 def slots_of(blocks: dict[str, int], weights: dict[str, float | Fraction]) -> dict[str, array]:
@@ -104,12 +104,13 @@ def slots_of(blocks: dict[str, int], weights: dict[str, float | Fraction]) -> di
         raise ValueError("weights must be positive")
     unit = lcm(*[w.denominator for w in exact])
     count = [blocks[s] for s in names]
-    fluid = Fluid(count, [w.numerator * (unit // w.denominator) for w in exact])
+    whole = [w.numerator * (unit // w.denominator) for w in exact]
+    fluid = Fluid(count, whole)
     out = [array("q") for _ in names]
     ready: list[tuple[int, int]] = []
     waiting: list[tuple[int, int, int]] = []
     for i in range(len(names)):
-        heappush(ready, (fluid.at(i, 1)[1], i))
+        heappush(ready, (fluid.at(whole[i], 1)[1], i))
     for t in range(sum(count)):
         while waiting and waiting[0][0] <= t:
             heappush(ready, heappop(waiting)[1:])
@@ -117,16 +118,10 @@ def slots_of(blocks: dict[str, int], weights: dict[str, float | Fraction]) -> di
         out[i].append(t)
         k = len(out[i])
         if k < count[i]:
-            heappush(waiting, (fluid.at(i, k)[0], fluid.at(i, k + 1)[1], i))
+            heappush(waiting, (fluid.at(whole[i], k)[0], fluid.at(whole[i], k + 1)[1], i))
     return dict(zip(names, out, strict=True))
 
 
-def slot_table(spark: SparkSession, plan: list[tuple[dict[str, int], dict[str, int]]], names: list[str]) -> DataFrame:
-    """(mix_to_source, mix_to_phase, mix_to_nth, mix_to_slot): the slot of each source's nth block, for mixes of (weights, blocks)."""
-    rows = [(s, phase, nth, slot) for phase, (weights, blocks) in enumerate(plan) for s, own in slots_of(blocks, weights).items() for nth, slot in enumerate(own) if s in names]
-    return spark.createDataFrame(rows, "mix_to_source string, mix_to_phase int, mix_to_nth long, mix_to_slot long")
-
-
 def bucket_plan(spark: SparkSession, sizes: list[tuple[str, int, int]], slots: dict[str, array], block: int) -> DataFrame:
     """(mix_s, mix_b, mix_before, mix_slots): documents of the source before each bucket, and the slots of the blocks that it meets."""
     kinds = pa.schema([("mix_s", pa.string()), ("mix_b", pa.int32()), ("mix_before", pa.int64()), ("mix_slots", pa.list_(pa.int64()))])
@@ -165,7 +160,7 @@ def _doubled(size: int, rows: int, most: int) -> int:
     return size
 
 
-def placed(docs: DataFrame, carry: list[str], weights: dict[str, float] | None = None, block: int | None = None, frame: int | None = None) -> DataFrame:
+def placed(docs: DataFrame, carry: list[str], weights: dict[str, float] | None = None, block: int | None = None) -> DataFrame:
     """``doc`` (a struct of the carried columns), source, block, slot and place of every row.
 
     The documents' columns travel inside the struct, so none meets a name of this operator's own.
@@ -190,7 +185,7 @@ def placed(docs: DataFrame, carry: list[str], weights: dict[str, float] | None =
     bucket = F.pmod("h", F.coalesce("mix_buckets", F.lit(1))).cast("int").alias("b")
     dealt = lambda df: df.join(large, F.col("source") == F.col("mix_large"), "left").select(*df.columns, bucket)
     sizes = _rows(dealt(docs.select(name.alias("source"), content.alias("h"))).groupBy("source", "b").agg(F.count(F.lit(1)).alias("n")))
-    slots = slots_of({s: -(-n // block) for s, n in counts.items()}, shares(given, frame) if frame else given)
+    slots = slots_of({s: -(-n // block) for s, n in counts.items()}, given)
     plan = bucket_plan(spark, sizes, slots, block)
     # every order key is the row's own content, so a task that runs again numbers its rows as before
     inside = F.row_number().over(Window.partitionBy("source", "b").orderBy(F.xxhash64("h", F.lit("mix")), "name", "tie")) - 1
@@ -200,43 +195,53 @@ def placed(docs: DataFrame, carry: list[str], weights: dict[str, float] | None =
     return rows.select("doc", "source", "block", slot.alias("slot"), (F.col("n") % block).alias("place"))
 
 
-def mix(docs: DataFrame, weights: dict[str, float] | None = None, block: int | None = None, frame: int | None = None) -> DataFrame:
+def mix(docs: DataFrame, weights: dict[str, float] | None = None, block: int | None = None) -> DataFrame:
     """The documents with ``mix_source``, ``mix_block`` (of its source), ``mix_slot`` and ``mix_index`` (in its block).
 
     The mixed order is that of (mix_slot, mix_index); within a source documents
     are in hashed order. ``weights``: a positive target for each source; those
     not named get their share of the documents. Unset: the square root of each
-    source's number of documents, which flattens the sizes. ``frame``: weights
-    are first rounded to whole slots of so many (unset: they are exact). Where the
-    documents have a column of such a name, the new one gets underscores added.
+    source's number of documents, which flattens the sizes. ``block``: documents of a block,
+    the same at every size of the corpus. Where the documents have a column of such a name, the new one gets underscores added.
     """
     def free(name: str) -> str:
         return name if name.lower() not in {c.lower() for c in docs.columns} else free(name + "_")
 
     own = {"source": "mix_source", "block": "mix_block", "slot": "mix_slot", "place": "mix_index"}
-    return placed(docs, docs.columns, weights, block, frame).select("doc.*", *[F.col(k).alias(free(v)) for k, v in own.items()])
+    return placed(docs, docs.columns, weights, block).select("doc.*", *[F.col(k).alias(free(v)) for k, v in own.items()])
 
 
-def schedule(docs: DataFrame, weights: dict[str, float] | None = None) -> DataFrame:
+def schedule(docs: DataFrame, weights: dict[str, float] | None = None, block: int | None = None) -> DataFrame:
     """doc_id, source, block, slot and place of each document, without its text."""
-    return placed(docs, ["doc_id"], weights).select("doc.doc_id", "source", "block", "slot", "place")
+    return placed(docs, ["doc_id"], weights, block).select("doc.doc_id", "source", "block", "slot", "place")
 
 
-def in_mixed_order(docs: DataFrame, weights: dict[str, float] | None = None) -> DataFrame:
+def in_mixed_order(docs: DataFrame, weights: dict[str, float] | None = None, block: int | None = None) -> DataFrame:
     """All documents, in their columns, as sorted ranges of the mixed order: files written from it keep that order.
 
     Rows with null or repeated ids, null sources and empty texts all get a place; an empty table stays empty.
     """
     parts = max(2, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return placed(docs, docs.columns, weights).repartitionByRange(parts, "slot", "place").sortWithinPartitions("slot", "place").select("doc.*")
-
-
-def simulate(slots: dict[str, int]) -> list[str]:
-    """One frame by brute force, for tests."""
-    frame, done, out = sum(slots.values()), dict.fromkeys(slots, 0), []
-    for t in range(frame):
-        ready = [(-(-(done[s] + 1) * frame // w), s) for s, w in slots.items() if done[s] < w and done[s] * frame // w <= t]
+    return placed(docs, docs.columns, weights, block).repartitionByRange(parts, "slot", "place").sortWithinPartitions("slot", "place").select("doc.*")
+
+
+def reference(blocks: dict[str, int], weights: dict[str, Fraction]) -> list[str]:
+    """The source of each slot by brute force, for tests: the fluid mix is followed from one source's end to the next."""
+    names = sorted(blocks)
+    passed: dict[str, list[Fraction]] = {s: [Fraction(0)] for s in names}  # the time at which the mix has passed each block
+    done, now = dict.fromkeys(names, Fraction(0)), Fraction(0)
+    while left := [s for s in names if done[s] < blocks[s]]:
+        rate = sum(weights[s] for s in left)
+        step = min((blocks[s] - done[s]) * rate / weights[s] for s in left)
+        for s in left:
+            upto = done[s] + step * weights[s] / rate
+            passed[s] += [now + (k - done[s]) * rate / weights[s] for k in range(len(passed[s]), int(upto) + 1)]
+            done[s] = upto
+        now += step
+    ran, out = dict.fromkeys(names, 0), []
+    for t in range(sum(blocks.values())):
+        ready = [(-(-passed[s][ran[s] + 1] // 1), s) for s in names if ran[s] < blocks[s] and passed[s][ran[s]] // 1 <= t]
         _, s = min(ready)
-        done[s] += 1
+        ran[s] += 1
         out.append(s)
     return out
