@@ -155,6 +155,19 @@ def test_op3_brute_force(spark, monkeypatch, block_bytes):
     assert op3_decontaminate.verbatim_matches(docs_of(spark, []), bench).count() == 0
 
 
+def test_op3_stage_of_several_blocks(spark, monkeypatch):
+    """Each block of items takes one pass of its own: a plan holds one worker, and the stage keeps what no block finds."""
+    words = [f"w{i}" for i in range(400)]
+    items = spark.createDataFrame([(i, " ".join(words[20 * i : 20 * i + 12])) for i in range(20)], "item_id long, text string")
+    rows = [(i, " ".join(["before", *words[20 * i + (i % 2) : 20 * i + 11], "after"])) for i in range(20)] + [(100, None), (101, ""), (None, "clean words"), (None, "clean words")]
+    want = sorted(str(r[0]) for r in op3_decontaminate.reference(rows, [tuple(r) for r in items.collect()]) if not r[5])
+    monkeypatch.setattr(op3_decontaminate, "BLOCK_BYTES", 300)
+    assert len(list(op3_decontaminate.test_blocks(items, 10))) > 2
+    kept = op3_decontaminate.decontaminate(docs_of(spark, rows).withColumn("a.b", F.lit(1)), items)
+    assert sorted(str(r["doc_id"]) for r in kept.collect()) == want and kept.columns == [*docs_of(spark, []).columns, "a.b"]
+    assert kept._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+
+
 def test_op3_longest_match(spark):
     bench = spark.createDataFrame([(1, "a b c d e f"), (2, "c d e f g h i j")], "item_id long, text string")
     r = op3_decontaminate.verbatim_matches(docs_of(spark, [(5, "x c d e f g h y a b c d")]), bench, 3).first()

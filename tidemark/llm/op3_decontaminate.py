@@ -12,8 +12,8 @@ Scale: one pass over the documents, no shuffle of texts and no group of
 documents anywhere. A test suffix is searched once, however many items and
 places share it, and a place in a document is noted once for each length of
 window. The items travel in blocks of about ``BLOCK_BYTES``; if there are
-several, each block takes a pass of its own, and what they find meets by the
-document's id and a hash of its text.
+several, each block takes a pass of its own, written before the next, so a
+worker holds one block; what they find meets by the document's id and a hash of its text.
 
 Edge cases: null and empty texts have no words and never match; an item
 without words is ignored; an item of fewer words than a window is one window;
@@ -37,10 +37,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import byte_texts, passed, pick, small_batches, text_size, written
+from .common import byte_texts, deleted, noted, passed, pick, small_batches, text_size, written
 
-#: Bytes of item texts that are sent to the workers at once, about.
-BLOCK_BYTES = 16_000_000
+#: Bytes of item texts that are sent to the workers at once, about: some 50 MB sent, and 170 MB in a worker.
+BLOCK_BYTES = 4_000_000
 #: Words of one suffix array (a longer document has one of its own).
 SHARD_WORDS = 250_000
 #: Documents and bytes of rows that wait for a shard to fill, at most.
@@ -322,11 +322,19 @@ def digest(matches: DataFrame) -> DataFrame:
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
     """The documents, whole and in their columns, that hold no window of any item. Nothing is shuffled.
 
+    Of several blocks of items each takes the documents that those before have
+    left, which are written between them: no task runs more than one block's worker.
     Rows without text or words stay, null ids too; an empty table stays empty; columns of any name pass through.
     """
     spark = docs.sparkSession
     small_batches(spark)
-    for suffixes in test_blocks(benchmark, window):
+    before: list[str] = []
+    for n, suffixes in enumerate(test_blocks(benchmark, window)):
+        if n:
+            with noted() as made:
+                docs = written(docs, "cleaned")
+            deleted(spark, before)
+            before = made
         docs = passed(docs, _cleaner(spark.sparkContext.broadcast(suffixes)))
     return docs
 
