@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 from tidemark.operators import checks, serving
 from tidemark.params import Params
-from tidemark.plans import catalogue, evaluate, pipeline
+from tidemark.plans import catalogue, evaluate, experiment, pipeline
 from tidemark.sources import export, generator, landing, star_adapter
 from tidemark.sources.schemas import EVENTS, SEND_SCHEDULE
 from tidemark.streaming import micro_batch
@@ -326,10 +326,10 @@ def test_generated_files_round_trip(spark, tmp_path):
 
 def test_experiment_arms(spark):
     users = spark.range(20_000).select(F.format_string("u-%06d", "id").alias("user_id"), F.lit(T0.date()).alias("prompt_date"))
-    arms = generator.jittered(generator.assigned(users, "s"), "s")
+    arms = experiment.jittered(experiment.assigned(users, "s"), "s")
     n = {r["arm"]: r["count"] for r in arms.groupBy("arm").count().collect()}
     assert abs(n["treatment"] - 9500) < 300 and abs(n["control"] - 9500) < 300 and abs(n["holdout"] - 1000) < 150
     moved = arms.filter("jitter_min <> 0")
     assert moved.filter("arm <> 'treatment' OR abs(jitter_min) > 15").isEmpty() and 700 < moved.count() < 1100
     with pytest.raises(ValueError):
-        generator.assigned(users, "s", {"treatment": 1})
+        experiment.assigned(users, "s", {"treatment": 1})

@@ -13,7 +13,7 @@ from tidemark.operators import attribution as att
 from tidemark.operators import checks, marts, scores, serving, staging
 from tidemark.operators.metrics import Watch
 from tidemark.params import LABELS, Params
-from tidemark.plans import evaluate
+from tidemark.plans import evaluate, experiment
 from tidemark.plans.pipeline import Tables, build, refresh
 from tidemark.session import configure
 from tidemark.sources import export, landing, star_adapter
@@ -225,6 +225,14 @@ def power_table(spark, d):
     return evaluate.power_table(_tables(spark, d).attribution, "cohort_id")
 
 
+def experiment_readout(spark, d):
+    """Two arms by the user's number, with a holdout that is left out."""
+    t = _tables(spark, d)
+    arms = t.dim_user_current.select("user_id", F.when(_number() % 19 == 0, "holdout").when(_number() % 2 == 0, "treatment").otherwise("control").alias("arm"))
+    out = experiment.readout(t.attribution, arms)
+    return out.select("metric", *[F.col(c).cast("long").alias(c) for c in ("treatment_users", "control_users")], *[F.round(c, 6).alias(c) for c in ("treatment_rate", "control_rate", "difference", "std_error")])
+
+
 def checks_partition(spark, d):
     daily = _tables(spark, d).ontime_rate_daily
     return checks.cohort_day_partition(daily.withColumn("on_time", F.when(F.dayofmonth("prompt_date") % 7 == 0, F.col("on_time") + 1).otherwise(F.col("on_time"))))
@@ -497,6 +505,10 @@ near AS (SELECT arm, user_id, {d} AS d FROM opens o JOIN served s USING (user_id
     )
 
 
+RATIOS = (
+    ("ontime_rate", "label = 'on_time'", "delivered_in_grace"), ("response_rate", "label IN ('on_time', 'upload_fault')", "delivered_in_grace"),
+    ("delivery_fault_share", "label = 'delivery_fault'", "true"), ("unattributed_share", "label = 'unattributed'", "delivered_in_grace"),
+)
 UPSERT_SQL = _sql(
         "SELECT * EXCLUDE (take) FROM (SELECT n.*, s.user_id IS NULL OR s.model_version = 'v1' AS take FROM new_rows n LEFT JOIN stored s USING (user_id)) WHERE take UNION ALL SELECT * FROM stored WHERE model_version = 'v10'",
         f"""new_rows AS (SELECT s.user_id, send_hour_local, send_minute_local, cohort_hour_local, c.tz, confidence, 'v2' AS model_version, computed_as_of, computed_as_of AS written_at FROM scores s JOIN current c USING (user_id)),
@@ -573,6 +585,15 @@ SELECT *, CAST(ceil(power(1.959963984540054::DOUBLE + 0.8416212335729143::DOUBLE
 FROM (SELECT prompt_cohort_id AS cohort_id, count(DISTINCT user_id) AS users, CAST(sum(CAST(label = 'on_time' AS INTEGER)) AS DOUBLE) / nullif(sum(CAST(delivered_in_grace AS INTEGER)), 0) AS p,
   CAST(sum(CAST(delivered_in_grace AS INTEGER)) AS DOUBLE) / count(*) AS share FROM labelled GROUP BY 1),
 (SELECT unnest([0.01::DOUBLE, 0.02::DOUBLE, 0.05::DOUBLE]) AS effect))""")),
+    "q_experiment_readout": (experiment_readout, _sql(
+        """SELECT metric, CAST(max(users) FILTER (arm = 'treatment') AS BIGINT) AS treatment_users, CAST(max(users) FILTER (arm = 'control') AS BIGINT) AS control_users,
+round(max(r) FILTER (arm = 'treatment'), 6) AS treatment_rate, round(max(r) FILTER (arm = 'control'), 6) AS control_rate,
+round(max(r) FILTER (arm = 'treatment') - max(r) FILTER (arm = 'control'), 6) AS difference, round(sqrt(sum(v)), 6) AS std_error
+FROM (SELECT metric, arm, users, r, CAST(users AS DOUBLE) / (users - 1) * (xx - 2 * r * xn + r * r * nn) / (sn * sn) AS v FROM
+  (SELECT metric, arm, count(*) AS users, sum(x) / sum(n) AS r, sum(n) AS sn, sum(x * x) AS xx, sum(x * n) AS xn, sum(n * n) AS nn FROM per_user GROUP BY metric, arm)) GROUP BY metric""",
+        f"""per_user AS (SELECT metric, user_id, CASE WHEN {NUM} % 2 = 0 THEN 'treatment' ELSE 'control' END AS arm, CAST(count(*) FILTER (a AND b) AS DOUBLE) AS x, CAST(count(*) FILTER (b) AS DOUBLE) AS n FROM ("""
+        + " UNION ALL ".join(f"SELECT '{m}' AS metric, user_id, {a} AS a, {b} AS b FROM labelled" for m, a, b in RATIOS)
+        + f""") WHERE {NUM} % 19 <> 0 GROUP BY metric, user_id)""")),
     "q_content_hash": (content_hashes, _sql("SELECT count(*) AS n_rows, true AS same FROM daily")),
     "q_landed_files": (landed_files, _sql(
         f"SELECT CAST(server_upload_time AS DATE) AS upload_date, count(*) AS n_events, count(DISTINCT insert_id) AS n_ids, count(json_extract_string(event_properties, '$.prompt_id')) AS n_with_prompt, CAST(sum(epoch(server_upload_time) - epoch(client_event_time)) AS BIGINT) AS delay_seconds FROM raw WHERE CAST(server_upload_time AS DATE) <= DATE '{CUT}' GROUP BY 1", base="")),

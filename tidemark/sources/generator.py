@@ -242,25 +242,3 @@ class Generator:
             at(F.col("client")).alias("client_event_time"), at(F.col("received")).alias("server_received_time"), at(upload).alias("server_upload_time"),
             F.col("props").alias("event_properties"),
         ).select(*EVENTS.names)
-
-
-#: Parts in a thousand of the users that an experiment's arms take.
-SPLIT = {"treatment": 475, "control": 475, "holdout": 50}
-
-
-def assigned(users: DataFrame, salt: str, split: dict[str, int] | None = None) -> DataFrame:
-    """The users with their ``arm``: by a salted hash of the id, so never drawn anew and even within every cohort."""
-    part, upto, arm = F.pmod(F.xxhash64(F.lit(salt), F.col("user_id")), F.lit(1000)), 0, None
-    for name, share in (split or SPLIT).items():
-        upto += share
-        arm = F.when(part < upto, name) if arm is None else arm.when(part < upto, name)
-    if upto != 1000:
-        raise ValueError("the arms' parts must add up to 1000")
-    return users.withColumn("arm", arm)
-
-
-def jittered(sends: DataFrame, salt: str, share: float = 0.1, minutes: int = 15) -> DataFrame:
-    """``jitter_min`` of each treated (user_id, prompt_date): a tenth of the sends move by up to a quarter of an hour."""
-    u = lambda tag: F.pmod(F.xxhash64(F.lit(f"{salt} {tag}"), F.col("user_id"), F.col("prompt_date")), F.lit(1 << 52)) / F.lit(float(1 << 52))
-    by = F.floor(u("by") * (2 * minutes + 1)).cast("int") - minutes
-    return sends.withColumn("jitter_min", F.when((F.col("arm") == "treatment") & (u("whether") < share), by).otherwise(F.lit(0)))
