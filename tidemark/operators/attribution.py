@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -49,15 +50,16 @@ def label_of(params: Params):
     )
 
 
-def attribution(prompts: DataFrame, stg: DataFrame, params: Params | None = None, incremental: bool = False, watch: Callable[[str, DataFrame], DataFrame] | None = None) -> DataFrame:
+def attribution(prompts: DataFrame, stg: DataFrame, params: Params | None = None, incremental: bool = False, watch: Callable[[str, DataFrame], DataFrame] | None = None, horizon: date | None = None) -> DataFrame:
     """One label a prompt, under the prompt's own cohort; final once its date is ``lookback_days`` behind the uploads.
 
     Incremental: dates inside the lookback, from events dated at most
     ``source_prune_margin_days`` before it. The day just at its end is final and
-    written once more, so every partition is stamped final.
+    written once more, so every partition is stamped final. ``horizon``: the last
+    upload date, where ``stg`` does not hold all events.
     """
     params = params or Params()
-    known = None
+    known = horizon
     if incremental:
         known = last_upload(stg)
         prompts = since(prompts, "prompt_date", known, params.lookback_days)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import datetime
 
@@ -13,7 +14,7 @@ from tidemark.operators import attribution as att
 from tidemark.operators import checks, marts, scores, serving, staging
 from tidemark.operators.metrics import Watch
 from tidemark.params import LABELS, Params
-from tidemark.plans import evaluate, experiment
+from tidemark.plans import evaluate, experiment, targets
 from tidemark.plans.pipeline import Tables, build, refresh
 from tidemark.session import configure
 from tidemark.sources import export, landing, star_adapter
@@ -98,6 +99,13 @@ def attribution(spark, d):
     return _tables(spark, d).attribution.select("prompt_id", "user_id", "cohort_id", "prompt_date", "label")
 
 
+def attribution_by_prompt(spark, d):
+    """The labels from tables in buckets of prompt_id, which need no exchange on it."""
+    t, name = _tables(spark, d), f"by_prompt_{uuid.uuid4().hex[:12]}"
+    held = targets.ByPrompt(spark, name, scratch_path(spark, "by-prompt"), 8).write(t.stg_prompts, t.stg_events)
+    return held.attribution().select("prompt_id", "user_id", "cohort_id", "prompt_date", "label", "status")
+
+
 def status_final(spark, d):
     return _tables(spark, d).attribution.groupBy("prompt_date", "status").agg(F.count(F.lit(1)).alias("n"))
 
@@ -528,6 +536,7 @@ count(json_extract_string(event_properties, '$.error_code')) AS n_errors FROM ra
     "q_first_receipt": (first_receipt, _sql("SELECT prompt_id, prompt_date, delivered_insert_id, delivered_at FROM prompts")),
     "q_evidence_flags": (evidence_flags, _sql(f"SELECT {_names} FROM labelled")),
     "q_attribution": (attribution, _sql("SELECT prompt_id, user_id, prompt_cohort_id AS cohort_id, prompt_date, label FROM labelled")),
+    "q_attribution_by_prompt": (attribution_by_prompt, _sql("SELECT prompt_id, user_id, prompt_cohort_id AS cohort_id, prompt_date, label, status FROM labelled")),
     "q_status_final": (status_final, _sql("SELECT prompt_date, status, count(*) AS n FROM labelled GROUP BY 1, 2")),
     "q_ontime_rate_daily": (ontime_rate_daily, _sql("SELECT * FROM daily")),
     "q_overall_rate": (overall_rate, _sql("SELECT CAST(sum(prompts_sent) AS BIGINT) AS prompts_sent, CAST(sum(prompts_delivered) AS BIGINT) AS prompts_delivered, CAST(sum(on_time) AS BIGINT) AS on_time, round(CAST(sum(on_time) AS DOUBLE) / nullif(sum(prompts_delivered), 0), 6) AS ontime_rate FROM daily")),
@@ -625,6 +634,7 @@ DATES = {
     "q_local_date_hour": ["event_date"],
     "q_first_receipt": ["prompt_date"],
     "q_attribution": ["prompt_date"],
+    "q_attribution_by_prompt": ["prompt_date"],
     "q_status_final": ["prompt_date"],
     "q_ontime_rate_daily": ["prompt_date"],
     "q_retention": ["anchor_date", "observed_through"],
