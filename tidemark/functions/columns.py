@@ -13,6 +13,11 @@ def json_value(text: Column | str, key: str) -> Column:
     return F.get_json_object(text, f"$.{key}")
 
 
+def json_values(text: Column | str, *keys: str) -> Column:
+    """Top-level scalars as a struct of strings, from one parse of the text; a JSON null, a missing key and what is no JSON object are NULL."""
+    return F.from_json(text, ", ".join(f"`{k}` string" for k in keys))
+
+
 def seconds_between(start: Column | str, end: Column | str) -> Column:
     """Whole-second boundaries crossed from start to end (negative if end is earlier), whatever the session's zone."""
     return naive_seconds(end) - naive_seconds(start)

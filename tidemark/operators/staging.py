@@ -10,8 +10,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidemark.functions.columns import json_value, seconds_between, to_local
+from tidemark.functions.columns import json_values, seconds_between, to_local
 from tidemark.sources.landing import payload
+from tidemark.sources.schemas import PROPERTIES
 from tidemark.params import Params
 
 
@@ -74,7 +75,9 @@ def stg_events(raw: DataFrame, dim: DataFrame, params: Params | None = None, inc
         raw = since(raw, "upload_date", horizon, params.lookback_days + params.source_prune_margin_days)
     rows = as_of(dedupe_earliest(raw, watch), dim)
     local = to_local("client_event_time", "tz")
-    prop = lambda k: json_value("event_properties", k)
+    # parsed once for all keys: a step of its own, which the optimizer keeps as one expression
+    rows = rows.withColumn("_properties", json_values("event_properties", *PROPERTIES))
+    prop = lambda k: F.col(f"_properties.{k}")
     out = rows.select(
         "insert_id", "event_type", "user_id", "device_id", "client_event_time", "server_received_time", "server_upload_time", "tz", "cohort_id",
         local.alias("client_event_time_local"),

@@ -359,6 +359,30 @@ def landing_rejects(spark, d):
     return reasons.groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
 
 
+def manifest_drift(spark, d):
+    """Event files against the manifest of what was exported: each seventh day's are gone, each fifth's rewritten, one is new."""
+    folder = scratch_path(spark, "manifest")
+    files = export.write_events(_raw(spark, d)[0], f"{folder}/raw")
+    manifest = landing.file_hashes(spark, f"{folder}/raw")
+    manifest.write.parquet(f"{folder}/manifest")
+    fs, at = export.store(spark, f"{folder}/raw")
+
+    def put(name):
+        out = fs.create(at(name), True)
+        out.writeBytes("other")
+        out.close()
+
+    for name in (f.rsplit("/", 1)[1] for f in files):
+        day = landing.file_date(name).day
+        if day % 7 == 0:
+            fs.delete(at(name), False)
+        elif day % 5 == 0:
+            put(name)
+    put("events_2030-01-01_000.jsonl.gz")
+    drift = landing.manifest_drift(spark.read.parquet(f"{folder}/manifest"), landing.file_hashes(spark, f"{folder}/raw"))
+    return drift.select(F.regexp_extract("name", "[0-9]{4}-[0-9]{2}-[0-9]{2}", 0).alias("day"), "drift").distinct()
+
+
 def checks_observed(spark, d):
     """How far events with planted faults are from each check, by the metrics that are observed while the tables are written."""
     raw, dim = _raw(spark, d)
@@ -623,6 +647,9 @@ late AS (SELECT * REPLACE (server_upload_time + INTERVAL 1 DAY AS server_upload_
 odd_raw AS (SELECT * FROM odd UNION ALL SELECT * FROM late UNION ALL SELECT * REPLACE ('{{}}' AS event_properties) FROM late),
 odd_dim AS (SELECT * REPLACE (CASE WHEN {NUM} % 7 = 0 THEN 'c-9' ELSE cohort_id END AS cohort_id) FROM dim UNION ALL SELECT * FROM dim WHERE {NUM} % 10 = 3),
 {chain('odd_raw', 'odd_dim', 't_').strip()}""", base="")),
+    "q_manifest_drift": (manifest_drift, _sql(
+        """SELECT CAST(d AS VARCHAR) AS day, CASE WHEN day(d) % 7 = 0 THEN 'missing' ELSE 'changed' END AS drift FROM (SELECT DISTINCT CAST(server_upload_time AS DATE) AS d FROM raw) WHERE day(d) % 7 = 0 OR day(d) % 5 = 0
+UNION ALL SELECT '2030-01-01', 'extra'""", base="")),
     "q_dim_file": (dim_file, _sql("SELECT user_id, tz, cohort_id, valid_from, valid_to FROM dim", base="")),
     "q_incremental_tables": (incremental_tables, _sql("SELECT prompt_date, label, status, count(*) AS n FROM labelled GROUP BY 1, 2, 3")),
     "q_local_days": (local_round_trip, _sql("SELECT CAST((client_event_time AT TIME ZONE 'UTC') AT TIME ZONE 'Asia/Tokyo' AS DATE) AS day, count(*) AS n FROM (SELECT DISTINCT insert_id, client_event_time FROM raw) GROUP BY 1", base="")),

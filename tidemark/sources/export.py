@@ -29,7 +29,7 @@ def write_events(events: DataFrame, folder: str) -> list[str]:
     record = F.concat(F.regexp_replace(F.to_json(F.struct(*plain, *[time(c).alias(c) for c in clocks])), r"\}$", ""), F.lit(',"event_properties":'), props, F.lit("}"))
     days = events.select(F.to_date("server_upload_time").alias("upload_date"), record.alias("value"))
     days.hint("rebalance", "upload_date").write.mode("error").partitionBy("upload_date").option("compression", "gzip").text(f"{folder}/.parts")
-    fs, at = _store(spark, folder)
+    fs, at = store(spark, folder)
     out = []
     for day in sorted(s.getPath().getName() for s in fs.listStatus(at(".parts")) if s.isDirectory()):
         files = sorted(s.getPath().getName() for s in fs.listStatus(at(f".parts/{day}")) if s.getPath().getName().startswith("part-"))
@@ -83,6 +83,7 @@ def replaced_block(text: str, name: str, body: str) -> str:
     return f"{text[: text.index(begin)]}{begin}\n{body.strip()}\n{text[text.index(end) :]}"
 
 
-def _store(spark: SparkSession, folder: str):
+def store(spark: SparkSession, folder: str):
+    """The file system of a folder, and the paths of names in it."""
     path = spark._jvm.org.apache.hadoop.fs.Path
     return path(folder).getFileSystem(spark._jsc.hadoopConfiguration()), lambda name: path(f"{folder}/{name}")

@@ -5,9 +5,10 @@ from __future__ import annotations
 import hashlib
 import re
 from datetime import date
+from functools import reduce
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -123,6 +124,47 @@ def payload(text: Column | str) -> Column:
     return marked(*[json_value(text, k) for k in PROPERTIES])
 
 
+def read_dim_jdbc(spark: SparkSession, url: str, table: str, cuts: tuple[str, ...] = (), **options: str) -> DataFrame:
+    """The dimension from a database by JDBC: one partition for each range of user_id between the cuts.
+
+    Filters and columns are pushed into the ranges' queries. A cell that the
+    contract requires and the database does not have is refused when it is read.
+    """
+    quoted = [c.replace("'", "''") for c in sorted(cuts)]
+    low, high = [None, *quoted], [*quoted, None]
+    ranges = [" AND ".join([f"\"user_id\" >= '{a}'"] * (a is not None) + [f"\"user_id\" < '{b}'"] * (b is not None)) or "1 = 1" for a, b in zip(low, high, strict=True)]
+    if quoted:
+        ranges[0] += ' OR "user_id" IS NULL'
+    texts = ", ".join(f"{f.name} STRING" for f in DIM_USER if isinstance(f.dataType, T.StringType))
+    df = spark.read.jdbc(url, table, predicates=ranges, properties={"preferTimestampNTZ": "true", "customSchema": texts, **options})
+    missing = [c for c in DIM_USER.names if c not in df.columns]
+    if missing:
+        raise ValueError(f"{table} lacks {missing}")
+    # a condition beside the columns, so that filters on these still reach the database
+    empty = reduce(lambda a, f: a.when(F.col(f.name).isNull(), F.raise_error(F.lit(f"dim_user: {f.name} is empty")).cast("boolean")), [f for f in DIM_USER if not f.nullable], F)
+    return df.filter(empty.otherwise(True)).select(*[F.col(f.name) if isinstance(f.dataType, T.StringType) else F.col(f.name).cast(f.dataType).alias(f.name) for f in DIM_USER])
+
+
+def write_dim_jdbc(dim: DataFrame, url: str, table: str, partitions: int = 8, **options: str) -> int:
+    """Replace the database's table by the dimension, and check what it then holds; returns its rows.
+
+    The table is emptied and filled by ``partitions`` connections, each in one
+    transaction. A task that ran twice, or a write that died, shows as rows more or
+    fewer than were sent: that raises, and writing again puts it right.
+    """
+    spark = dim.sparkSession
+    dim = dim.select(*DIM_USER.names)
+    texts = ", ".join(f"{f.name} VARCHAR(255)" for f in DIM_USER if isinstance(f.dataType, T.StringType))
+    sent = Observation()
+    rows = dim.coalesce(partitions).observe(sent, F.count(F.lit(1)).alias("n"))
+    rows.write.option("truncate", True).option("createTableColumnTypes", texts).jdbc(url, table, mode="overwrite", properties=options)
+    held = spark.read.jdbc(url, table, properties=options).select("user_id", "valid_from")
+    n, keys = held.count(), held.distinct().count()
+    if not n == keys == sent.get["n"]:
+        raise RuntimeError(f"{table} holds {n} rows of {keys} keys, {sent.get['n']} were sent: write again")
+    return n
+
+
 def conflicting_duplicates(events: DataFrame) -> DataFrame:
     """insert_ids that carry one set of clocks and several payloads."""
     clocks = ["insert_id", "client_event_time", "server_received_time", "server_upload_time"]
@@ -150,6 +192,28 @@ def land(spark: SparkSession, events: DataFrame, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def file_hashes(spark: SparkSession, *folders: str) -> DataFrame:
+    """(name, bytes, sha256) of every file below the folders, by any file system that Spark reads; names are relative to their folder.
+
+    Files are hashed where they are read, one at a time; only names and hashes
+    travel. Spark's scans do not show empty files, so these are as good as missing.
+    """
+    parts = []
+    for folder in folders:
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
+        root = spark._jvm.org.apache.hadoop.fs.Path(folder).toUri().getPath().rstrip("/") + "/"
+        path = F.regexp_replace("path", "^[a-z0-9]+:/*(?=/)", "")
+        parts.append(files.select(F.substring_index(path, root, -1).alias("name"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def manifest_drift(manifest: DataFrame, files: DataFrame) -> DataFrame:
+    """(name, drift) of files that are missing, extra or changed against a manifest table of (name, sha256)."""
+    want, have = manifest.select("name", F.col("sha256").alias("want")), files.select("name", F.col("sha256").alias("have"))
+    drift = F.when(F.col("have").isNull(), "missing").when(F.col("want").isNull(), "extra").when(F.col("want") != F.col("have"), "changed")
+    return want.join(have, "name", "full_outer").select("name", drift.alias("drift")).filter("drift IS NOT NULL")
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
