@@ -582,6 +582,29 @@ def test_op9_held_out_precision_and_recall(secret_model):
     assert q["found"] > 3000 and q["right"] > 500 and q["precision"] > 0.995 and q["recall"] > 0.99, q
 
 
+def test_op9_quality_by_kind(spark, secret_model):
+    """Held-out strings of every kind are judged rightly; strings of other sources, too; numbers are never keys."""
+    samples, model = secret_model
+    kinds = {(r["kind"], r["random"]): r["right"] for r in op9_secrets.quality_by_kind(samples.filter("held_out"), model).collect()}
+    assert {k for k, random_ in kinds if not random_} >= set(op9_secrets.ORDINARY) and min(kinds.values()) >= 0.95, kinds
+    rng = random.Random(8)
+    ordinary = [
+        "".join(rng.choice("ACGT") for _ in range(40)), "MKTAYIAKQRQISFVKSHFSRQLEERLGLIEVQAPILSRVGDGT", "Donaudampfschifffahrtsgesellschaft", "PQRSTUVWXYZABCDEFGHIJKLMNO", "qwertyuiopasdfghjklzxcvbnm",
+        "shop/products/blue-cotton-shirt-184726", "numpy-1_26_4-cp311-cp311-manylinux_2_17_x86_64", "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ", "20240115123000", "00000000000000000000000000000042",
+    ]
+    keys = ["".join(rng.choice(op9_secrets.LETTERS[:62]) for _ in range(28)) for _ in range(10)]
+    flagged = {r["s"]: r["f"] for r in spark.createDataFrame([(s,) for s in ordinary + keys], "s string").select("s", op9_secrets.is_random(F.col("s"), model).alias("f")).collect()}
+    assert sum(flagged[s] for s in ordinary) <= 1 and all(flagged[s] for s in keys), flagged
+    digits = ["".join(rng.choice("0123456789") for _ in range(20)) for _ in range(20)]
+    assert sum(r["f"] for r in spark.createDataFrame([(s,) for s in digits], "s string").select(op9_secrets.is_random(F.col("s"), model).alias("f")).collect()) <= 2
+
+
+def test_op9_unseen_kinds_are_measured(secret_model):
+    """Models that have seen no string of a kind: most kinds are judged rightly, sequences and alphabets are not."""
+    right = {r["kind"]: r["right"] for r in op9_secrets.quality_of_unseen_kinds(secret_model[0].sample(0.2, 1)).collect()}
+    assert sum(v >= 0.95 for v in right.values()) >= 18 and all(right[k] > 0.9 for k in ("hex", "alnum", "base64"))
+
+
 def test_op9_markov_spans_brute_force(spark, secret_model):
     """Every candidate outside the base spans whose evidence, added up over all runs, is enough."""
     model, rng = secret_model[1], random.Random(11)

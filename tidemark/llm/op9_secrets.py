@@ -30,6 +30,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -59,6 +60,11 @@ COMMON = (
     "data input output train schema table column value number string list array map set queue stream reader writer handler factory manager builder context session "
     "request response message event process thread worker task job status error warning info wiki history of the united states category article page list new old"
 )
+#: The kinds of ordinary strings that come from rules, in the order of their rules.
+ORDINARY = (
+    "bases", "upper bases", "residues", "upper alphabet", "alphabet", "keyboard", "character set", "compound", "capital compound", "wheel", "package", "product url", "folder", "path", "snake", "kebab",
+    "camel", "constant", "class path", "numbered", "digit run", "rule line", "date stamp", "dated image", "release", "padded number", "phone stamp",
+)
 #: Characters of the models; any other is one more class.
 LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 SIZE = len(LETTERS) + 1
@@ -103,19 +109,38 @@ def _random(spark) -> DataFrame:
     digest = lambda tag: F.sha2(F.concat(F.lit(tag), F.col("id")), 256)
     keys = lambda tag: F.base64(F.unhex(digest(tag)))
     size = F.pmod(F.xxhash64("id"), F.lit(22)).cast("int") + 20
-    sorts = [F.substring(digest("hex"), F.lit(1), size), keys("key"), F.upper(F.translate(keys("up"), "+/=", "")), F.substring(F.translate(keys("plain"), "+/=", ""), F.lit(1), size), F.translate(keys("url"), "+/=", "-_")]
-    return n.select(F.explode(F.array(*sorts)).alias("sample"))
+    sorts = {
+        "hex": F.substring(digest("hex"), F.lit(1), size), "base64": keys("key"), "upper": F.upper(F.translate(keys("up"), "+/=", "")),
+        "alnum": F.substring(F.translate(keys("plain"), "+/=", ""), F.lit(1), size), "url key": F.translate(keys("url"), "+/=", "-_"),
+    }
+    return _kinds(n, sorts)
+
+
+def _kinds(rows: DataFrame, sorts: dict[str, Column]) -> DataFrame:
+    """(kind, sample): one sample of each kind for each row."""
+    return rows.select(F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), c.alias("sample")) for k, c in sorts.items()])).alias("x")).select("x.*")
 
 
 def _by_rule(spark) -> DataFrame:
-    """Numbers, dates, versions and counters, as they stand in ordinary texts."""
+    """Paths, names, numbers, dates, versions, counters, sequences and alphabets, as they stand in ordinary texts."""
     n = F.col("id")
     day = F.date_add(F.lit("2001-01-01").cast("date"), (n * 37 % 12_000).cast("int"))
     stamp = F.concat(F.date_format(day, "yyyyMMdd"), F.lpad((n * 7919 % 240_000).cast("string"), 6, "0"))
     words = F.lit(COMMON.split())
     word = lambda step: F.element_at(words, (F.pmod(F.xxhash64(n, F.lit(step)), F.size(words)) + 1).cast("int"))
     parts = [word(i) for i in range(5)]
+    digest = F.sha2(F.concat(F.lit("ordinary"), n), 256)
+    size = (20 + n % 40).cast("int")
+    cut = lambda text: F.substring(F.repeat(F.lit(text), 4), (n % len(text) + 1).cast("int"), size)
+    bases = F.translate(F.concat(digest, digest), "0123456789abcdef", "acgtacgtacgtacgt")
+    # the residues' own frequencies are uneven; here each of 64 characters stands for one of 20
+    residues = F.translate(F.base64(F.unhex(digest)), LETTERS[:64] + "=", ("LAGVESIKRDTPNQFYMHCW" * 4)[:64])
+    wheels = F.concat(F.lit("cp3"), n % 14, F.lit("-cp3"), n % 14, F.lit("-"), F.element_at(F.array(*map(F.lit, ("manylinux_2_17_x86_64", "macosx_11_0_arm64", "musllinux_1_1_aarch64"))), (n % 3 + 1).cast("int")))
     sorts = [
+        F.substring(bases, F.lit(1), size), F.upper(F.substring(bases, F.lit(3), size)), F.substring(residues, F.lit(1), size),
+        cut("ABCDEFGHIJKLMNOPQRSTUVWXYZ"), cut("abcdefghijklmnopqrstuvwxyz"), cut("qwertyuiopasdfghjklzxcvbnm"), cut("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"),
+        F.concat_ws("", *parts), F.initcap(F.concat_ws("", *parts[1:])), wheels, F.concat(word(6), F.lit("-"), n % 9, F.lit("_"), n % 30, F.lit("_"), n % 7, F.lit("-"), word(7), F.lit("-py3-none-any")),
+        F.concat(F.lit("/"), word(8), F.lit("/"), F.concat_ws("-", *parts[:3]), F.lit("-"), n * 7919 % 1_000_000, F.lit("/"), word(9), F.lit("-"), n % 1000),
         F.concat(F.lit("/"), F.concat_ws("/", *parts), F.lit("/")), F.concat_ws("/", *parts[:4]), F.concat_ws("_", *parts), F.concat_ws("-", *parts), F.concat_ws("", *map(F.initcap, parts)),
         F.upper(F.concat_ws("_", *parts[:4])), F.concat(F.concat_ws("/", *parts[:3]), F.lit("/"), F.concat_ws("_", *map(F.initcap, parts[2:]))), F.concat(F.concat_ws("_", *parts[:4]), F.lit("_"), n % 3000),
         F.repeat((n % 10).cast("string"), (20 + n % 30).cast("int")),
@@ -126,7 +151,7 @@ def _by_rule(spark) -> DataFrame:
         F.lpad(n.cast("string"), 24, "0"),
         F.concat(F.lit("00491512"), F.lpad((n * 104_729 % 10_000_000).cast("string"), 7, "0"), F.lit("-"), stamp),
     ]
-    return spark.range(RULES // 4).select(F.explode(F.array(*sorts)).alias("sample"))
+    return _kinds(spark.range(RULES // 4), dict(zip(ORDINARY, sorts, strict=True)))
 
 
 def _from_words(docs: DataFrame) -> DataFrame:
@@ -145,11 +170,14 @@ def _from_words(docs: DataFrame) -> DataFrame:
         F.concat(F.lit("/"), F.lower(F.concat_ws("/", piece(37, 3))), F.lit("/v"), F.pmod("h", F.lit(9)).cast("string"), F.lit("/"), number, F.lit("/"), F.lower(F.concat_ws("-", piece(40, 4)))),
     ]
     long = F.filter("w", lambda x: F.char_length(x) >= 8)
-    return words.select(F.explode(F.concat(long, F.array(*joined))).alias("sample")).filter(F.char_length("sample") >= 8)
+    compound = F.concat_ws("", F.transform(piece(44, 5), F.lower))
+    named = lambda c, k: F.struct(F.lit(k).alias("kind"), c.alias("sample"))
+    every = F.concat(F.transform(long, lambda x: named(x, "word")), F.array(*[named(c, "text name") for c in joined], named(compound, "text compound"), named(F.initcap(compound), "text compound")))
+    return words.select(F.explode(every).alias("x")).select("x.*").filter(F.char_length("sample") >= 8)
 
 
 def labelled_samples(docs: DataFrame) -> DataFrame:
-    """(sample, random, held_out): labelled strings for both models, and whether they are kept from training."""
+    """(kind, sample, random, held_out): labelled strings for both models, and whether they are kept from training."""
     spark = docs.sparkSession
     ordinary = _by_rule(spark).unionAll(_from_words(docs))
     both = _random(spark).withColumn("random", F.lit(True)).unionAll(ordinary.withColumn("random", F.lit(False)))
@@ -200,6 +228,19 @@ def held_out_quality(samples: DataFrame, model: list[float], least: float = EVID
     return counts.withColumns({"precision": F.try_divide("found", F.col("found") + F.col("wrong")), "recall": F.try_divide("found", F.col("found") + F.col("missed"))})
 
 
+def quality_by_kind(samples: DataFrame, model: list[float], least: float = EVIDENCE) -> DataFrame:
+    """Of each kind of strings (long enough to be judged): whether they are random, their number, and the share that is judged rightly."""
+    judged = samples.filter(F.col("sample").rlike(f"^{CANDIDATE}$")).select("kind", "random", is_random(F.col("sample"), model, least).alias("flagged"))
+    return judged.groupBy("kind", "random").agg(F.count(F.lit(1)).alias("n"), F.avg((F.col("flagged") == F.col("random")).cast("double")).alias("right"))
+
+
+def quality_of_unseen_kinds(samples: DataFrame, folds: int = 4, least: float = EVIDENCE) -> DataFrame:
+    """``quality_by_kind`` by models that have seen no string of the kind: the kinds are dealt into folds, each left out once."""
+    fold = F.pmod(F.xxhash64("kind"), F.lit(folds))
+    parts = [quality_by_kind(samples.filter(fold == k), train(samples.drop("held_out").filter(fold != k)), least) for k in range(folds)]
+    return reduce(DataFrame.unionByName, parts)
+
+
 NO_SPANS = "array<struct<start:bigint,rank:int,kind:string,stop:bigint,value:string>>"
 
 
