@@ -218,7 +218,7 @@ def test_catalogue_against_duckdb(spark):
 
     con = duckdb.connect()
     con.execute(f"CREATE VIEW events AS SELECT * FROM '{SMALL}/events.parquet'")
-    new = ("q_checks_cohort_day", "q_checks_error_code", "q_checks_one_label", "q_checks_prompt_cohort", "q_checks_columns", "q_checks_freshness", "q_content_hash", "q_landed_files", "q_dim_file", "q_incremental_tables")
+    new = ("q_checks_cohort_day", "q_checks_error_code", "q_checks_one_label", "q_checks_prompt_cohort", "q_checks_columns", "q_checks_freshness", "q_content_hash", "q_landed_files", "q_dim_file", "q_incremental_tables", "q_send_schedule_buckets", "q_landing_rejects", "q_checks_observed", "q_experiment_readout", "q_attribution_by_prompt", "q_manifest_drift")
     for name in ("q_ontime_rate_daily", "q_scores_send_time", "q_retention", "q_send_schedule_upsert", "q_holdout", "q_dedupe_earliest", *new):
         df = catalogue.queries()[name](spark, SMALL)
         names = sorted(df.columns)

@@ -392,7 +392,7 @@ def checks_observed(spark, d):
     dim = dim.withColumn("cohort_id", F.when(_number() % 7 == 0, "c-9").otherwise(F.col("cohort_id"))).unionByName(dim.filter(_number() % 10 == 3))
     watch = Watch()
     refresh(spark, raw, dim, scratch_path(spark, "observed"), watch=watch)
-    return spark.createDataFrame(list(watch.broken().items()), "check string, n long")
+    return spark.createDataFrame(list(watch.broken().items()), "check_name string, n long")
 
 
 def dim_file(spark, d):
@@ -634,7 +634,7 @@ FROM (SELECT metric, arm, users, r, CAST(users AS DOUBLE) / (users - 1) * (xx -
         """SELECT CASE WHEN n % 11 = 0 THEN 'missing:insert_id' WHEN n % 13 = 0 THEN 'unknown_field:source' WHEN n % 17 = 0 THEN 'unknown_property:attempt_no' WHEN n % 19 = 0 THEN 'not_json'
 WHEN n % 23 = 0 THEN 'bad_time:server_received_time' WHEN n % 29 = 0 THEN 'unknown_type' ELSE 'accepted' END AS reason, count(*) AS n FROM (SELECT CAST(substr(insert_id, 3) AS BIGINT) AS n FROM raw) GROUP BY 1""", base="")),
     "q_checks_observed": (checks_observed, _sql(
-        """SELECT 'raw_not_null' AS "check", CAST(0 AS BIGINT) AS n UNION ALL SELECT 'raw_event_type', count(*) FROM odd_raw WHERE event_type = 'unheard_of'
+        """SELECT 'raw_not_null' AS check_name, CAST(0 AS BIGINT) AS n UNION ALL SELECT 'raw_event_type', count(*) FROM odd_raw WHERE event_type = 'unheard_of'
 UNION ALL SELECT 'no_conflicting_duplicates', count(*) FROM (SELECT 1 FROM odd_raw GROUP BY insert_id, client_event_time, server_received_time, server_upload_time HAVING count(DISTINCT event_properties) > 1)
 UNION ALL SELECT 'one_dim_row_per_event', (SELECT count(*) + count(*) FILTER (tz IS NULL) FROM t_stg) - (SELECT count(*) FROM t_deduped)
 UNION ALL SELECT 'stg_not_null', 0 UNION ALL SELECT 'error_code_only_on_failure', count(*) FROM t_stg WHERE event_type = 'upload_failed'
