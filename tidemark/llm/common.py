@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 BATCH_ROWS = 1000
 #: Bytes of text which one group of documents holds in a Python worker, about.
 GROUP_BYTES = 6_000_000
+#: Copies of one row that a task gives at once.
+COPIES = 10_000
 #: Groups of rows that look a key up.
 LOOKUP_GROUPS = 1024
 
@@ -114,6 +116,23 @@ def partitions(spark: SparkSession, groups: int) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-groups // 4))
 
 
+def repeats(rows: DataFrame, key: str) -> bool:
+    """Whether any value of ``key`` is there twice."""
+    return not rows.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty()
+
+
+def repeated(rows: DataFrame, copies: str, *keys: str) -> DataFrame:
+    """Each row as often as its column ``copies`` says, with ``nth`` (from 0) in that column's place.
+
+    A row with millions of copies is dealt out in parts of ``COPIES``, by the row's ``keys``, so no task gives them all.
+    """
+    most = F.lit(COPIES)
+    parts = rows.withColumn("repeated_part", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col(copies) - 1) / most))))
+    parts = parts.repartition(*keys, "repeated_part")
+    first = F.col("repeated_part") * most
+    return parts.withColumn("nth", F.explode(F.sequence(first, F.least(first + most, F.col(copies)) - 1))).drop(copies, "repeated_part")
+
+
 def looked_up(rows: DataFrame, name: str, key: str, table: DataFrame) -> DataFrame:
     """``rows`` left-joined with ``table`` on ``key`` (unique there), where many rows may hold one key.
 

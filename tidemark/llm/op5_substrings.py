@@ -26,8 +26,9 @@ Steps, all over groups of whole documents (a group is a hash of the row):
 Scale: texts move once (the shuffle into groups is reused by all steps);
 hashes move packed, one entry a group however often they occur; pieces of hot
 passages come once from each group, and their words go once to each; a source is
-asked once, however many groups hold its passage. No pair of
-documents is ever formed. Groups have some ``GROUP_BYTES`` of text: a bucket gets
+asked once, however many groups hold its passage. Rows that are equal in id and text
+are counted before they are grouped, and go through as one (where there are any,
+for one more exchange of the texts). No pair of documents is ever formed. Groups have some ``GROUP_BYTES`` of text: a bucket gets
 an entry from each group for a hash that all hold, so larger executors do well
 with larger groups.
 
@@ -50,14 +51,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import packing
-from .common import GROUP_BYTES, byte_texts, partitions, text_size
+from .common import GROUP_BYTES, byte_texts, partitions, repeated, repeats, text_size
 from .packing import Rolling, Words
 
 SPAN_SCHEMA = pa.schema([("g", pa.int32()), ("k", pa.int64()), ("o", pa.int64()), ("at", pa.int32()), ("n", pa.int32()), ("hi", pa.int64()), ("lo", pa.int64()), ("done", pa.bool_())])
 SPANS = "g int, k long, o long, at int, n int, hi long, lo long, done boolean"
 SOURCE_SCHEMA = pa.schema([("hi1", pa.int64()), ("lo1", pa.int64()), ("o1", pa.int64()), ("at1", pa.int32()), ("body", pa.binary())])
 SOURCES = "hi1 long, lo1 long, o1 long, at1 int, body binary"
-RESULT_SCHEMA = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string()), ("kept", pa.string())])
+RESULT_SCHEMA = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string()), ("kept", pa.string()), ("copies", pa.int64())])
 
 
 class Nodes:
@@ -219,7 +220,7 @@ def _result(docs: pa.Table, spans: pa.Table, keep_text: bool) -> pa.Table:
     for k, at, n, body in zip(*(spans.column(c).to_pylist() for c in ("k", "at", "n", "body")), strict=True):
         removed.setdefault(k, []).append((at, n, body))
     rows = []
-    for doc_id, k, text in zip(docs.column("doc_id").to_pylist(), docs.column("k").to_pylist(), byte_texts(docs), strict=True):
+    for doc_id, k, copies, text in zip(*(docs.column(c).to_pylist() for c in ("doc_id", "k", "copies")), byte_texts(docs), strict=True):
         words = text.split() if text else []
         total, gone = len(words), 0
         if k in removed:
@@ -231,7 +232,7 @@ def _result(docs: pa.Table, spans: pa.Table, keep_text: bool) -> pa.Table:
             gone = total - int(keep.sum())
             words = list(compress(words, keep.tolist()))
         kept = b" ".join(words)
-        rows.append((doc_id, total, gone, hashlib.sha256(kept).hexdigest(), kept.decode() if keep_text else None))
+        rows.append((doc_id, total, gone, hashlib.sha256(kept).hexdigest(), kept.decode() if keep_text else None, copies))
     return pa.table([pa.array(list(c), f.type) for c, f in zip(zip(*rows, strict=True), RESULT_SCHEMA, strict=True)], schema=RESULT_SCHEMA) if rows else RESULT_SCHEMA.empty_table()
 
 
@@ -244,6 +245,11 @@ def dedup_substrings(docs: DataFrame, window: int = 20, keep_text: bool = True)
     groups = max(1, -(-size // GROUP_BYTES))
     buckets = packing.buckets_for(size // 20)
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"]).withColumn("k", F.xxhash64("doc_id", "text"))
+    again = repeats(rows.select("k"), "k")
+    if again:  # rows equal in id and text have equal results: one of them goes through the groups
+        rows = rows.groupBy("doc_id", "text", "k").agg(F.count(F.lit(1)).alias("copies"))
+    else:
+        rows = rows.withColumn("copies", F.lit(1).cast("long"))
     rows = rows.withColumns({"o": F.coalesce("doc_id", F.lit(-(2**63))), "g": F.pmod("k", F.lit(groups)).cast("int")})
     rows = rows.repartition(partitions(spark, groups), "g")
 
@@ -261,8 +267,9 @@ def dedup_substrings(docs: DataFrame, window: int = 20, keep_text: bool = True)
     sources = grouped.cogroup(asked.groupBy("g")).applyInArrow(_source_rows, SOURCES)
     met = pieces.join(sources, (F.col("hi") == F.col("hi1")) & (F.col("lo") == F.col("lo1")) & ~F.col("done"), "left")
     spans = met.filter(F.col("done") | (F.col("body").isNotNull() & (F.struct("o", "at") > F.struct("o1", "at1")))).select("g", "k", "at", "n", "body")
-    names = "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string"
-    return grouped.cogroup(spans.groupBy("g")).applyInArrow(lambda d, s: _result(d, s, keep_text), names)
+    names = "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string, copies long"
+    out = grouped.cogroup(spans.groupBy("g")).applyInArrow(lambda d, s: _result(d, s, keep_text), names)
+    return repeated(out, "copies", "doc_id", "kept_sha256").drop("nth") if again else out.drop("copies")
 
 
 def reference(docs: list[tuple], window: int = 20) -> list[tuple]:
