@@ -13,7 +13,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import components, op1_lengths, op2_language, op3_decontaminate, op4_mixing, op5_substrings, op6_token_files, op7_licenses, op8_jaccard, op9_secrets, op10_transport_stream, packing
+from tidemark.llm import common, components, op1_lengths, op2_language, op3_decontaminate, op4_mixing, op5_substrings, op6_token_files, op7_licenses, op8_jaccard, op9_secrets, op10_transport_stream, packing
 from tidemark.llm.tokens import Encoder, vocabulary_path
 
 SMALL = "/root/testdata/sf0.001"
@@ -296,6 +296,16 @@ def test_op5_corpus(spark, monkeypatch, corpus, texts):
     assert op5_substrings.dedup_substrings(docs_of(spark, [])).count() == 0
 
 
+def test_op5_equal_rows_go_through_as_one(spark, monkeypatch):
+    """A third of all rows are one row, another third have no id: every row has its result, no group holds them all."""
+    monkeypatch.setattr(op5_substrings, "GROUP_BYTES", 5000)
+    monkeypatch.setattr(common, "COPIES", 100)
+    passage = " ".join(f"w{i}" for i in range(30))
+    rows = [(7, passage + " end")] * 300 + [(None, passage)] * 300 + [(i, f"{i} {passage} {i}") for i in range(10, 310)] + [(None, None)] * 50
+    got = sorted(map(str, (tuple(r)[:4] for r in op5_substrings.dedup_substrings(docs_of(spark, rows)).collect())))
+    assert got == sorted(map(str, op5_substrings.reference(rows)))
+
+
 def thue_morse(n, a, b):
     return [a if bin(i).count("1") % 2 else b for i in range(n)]
 
@@ -310,7 +320,7 @@ def test_op5_passages_that_polynomial_hashes_confuse(spark, monkeypatch):
 
 
 def test_op5_spans_are_verified_at_their_source():
-    docs = pa.table({"doc_id": [1], "k": [5], "text": ["a b c d e f"]})
+    docs = pa.table({"doc_id": [1], "k": [5], "text": ["a b c d e f"], "copies": [1]})
     spans = {"k": [5, 5, 5], "at": [0, 3, 5], "n": [2, 2, 1], "body": [b"a b", b"x y", None]}
     assert op5_substrings._result(docs, pa.table(spans), True).column("kept").to_pylist() == ["c d e"]
 
@@ -522,6 +532,16 @@ def test_op8_keep_one_of_repeated_rows(spark):
     assert sorted((str(r["doc_id"]), str(r["text"])) for r in kept.collect()) == [("2", "p q r s t u v"), ("9", ""), ("None", "None"), ("None", "x y")]
 
 
+def test_op8_equal_rows_are_one_document(spark, monkeypatch):
+    monkeypatch.setattr(op8_jaccard, "GROUP_BYTES", 5000)
+    text = " ".join(f"w{i}" for i in range(30))
+    rows = [(7, text)] * 300 + [(None, text + " y")] * 300 + [(3, text + " x"), (9, None), (9, None), (11, "alone")]
+    got = sorted(map(str, map(tuple, op8_jaccard.similar(docs_of(spark, rows)).select("doc_id", "n_shingles", "component_id").collect())))
+    assert got == sorted(map(str, [(7, 26, 3)] * 300 + [(None, 27, None)] * 300 + [(3, 27, 3), (9, 0, 9), (9, 0, 9), (11, 1, 11)]))
+    kept = op8_jaccard.keep_one(docs_of(spark, rows)).select("doc_id", "text").collect()
+    assert sorted(map(str, map(tuple, kept))) == sorted(map(str, [(3, text + " x"), (None, text + " y"), (9, None), (11, "alone")]))
+
+
 def test_op8_signatures_meet():
     """Sets that link have a signature in common, whatever the frequencies."""
     rng = np.random.default_rng(5)

@@ -43,10 +43,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from . import packing
-from .common import GROUP_BYTES, byte_texts, group_of, partitions, small_batches, text_size, written
+from .common import GROUP_BYTES, byte_texts, group_of, partitions, repeats, small_batches, text_size, written
 from .components import components
 from .packing import Rolling, Words
 
@@ -459,8 +458,10 @@ def similar(docs: DataFrame, size: int = 5, threshold: int = 75) -> DataFrame:
     keys = written(class_keys(docs, groups), "classes")
     reps = keys.filter("hi IS NOT NULL AND id IS NOT NULL").groupBy("hi", "lo").agg(F.min(F.struct("id", "k", "g")).alias("r"))
     lone = keys.filter("hi IS NOT NULL AND id IS NULL")  # a null id: counted, never linked
-    asked = reps.select("r.g", "r.k").unionByName(lone.select("g", "k"))
+    asked = reps.select("r.g", "r.k").unionByName(lone.select("g", "k").distinct())
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"]).withColumn("k", F.xxhash64("doc_id", "text")).withColumn("g", F.pmod("k", F.lit(groups)).cast("int"))
+    if repeats(keys, "k"):  # rows equal in id and text are one document, however many they are
+        rows = rows.distinct()
     grouped = rows.repartition(partitions(spark, groups), "g").groupBy("g")
     sent = grouped.cogroup(asked.groupBy("g")).applyInArrow(lambda d, r: _shingle_rows(d, r, size, buckets), packing.SENT)
     counts = packing.answered(sent, _frequency)
@@ -490,14 +491,14 @@ def keep_one(docs: DataFrame, size: int = 5, threshold: int = 75) -> DataFrame:
     col = lambda c: F.col("`" + c.replace("`", "``") + "`")
     plain = [col(c) for c, kind in docs.dtypes if "map<" not in kind and kind != "variant"]
     # the columns travel in a struct, so none meets a name of this operator's own
-    rows = docs.select(F.struct(*map(col, docs.columns)).alias("doc"), F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("h"), F.xxhash64(*plain).alias("tie"))
+    rows = docs.select(F.struct(*map(col, docs.columns)).alias("doc"), F.col("doc_id").cast("long").alias("id"), F.xxhash64(*plain).alias("tie"))
     gone = similar(docs, size, threshold).filter("component_id <> doc_id").select(F.col("doc_id").alias("gone")).distinct()
     kept = rows.join(gone, F.col("id") == F.col("gone"), "left_anti")
     again = docs.groupBy(F.col("doc_id").cast("long").alias("again")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("again")
     if not again.isEmpty():
         same = F.col("id").eqNullSafe(F.col("again"))
-        nth = F.row_number().over(Window.partitionBy("id", "h", F.col("doc.text")).orderBy("tie"))
-        kept = kept.join(again, same, "left_anti").unionByName(kept.join(again, same, "left_semi").withColumn("nth", nth).filter("nth = 1").drop("nth"))
+        one = kept.join(again, same, "left_semi").groupBy("id", F.col("doc.text").alias("text")).agg(F.min_by("doc", "tie").alias("doc"))
+        kept = kept.join(again, same, "left_anti").select("doc").unionByName(one.select("doc"))
     return kept.select("doc.*")
 
 
