@@ -153,6 +153,27 @@ def test_op3_brute_force(spark, monkeypatch, block_bytes):
     clean = op3_decontaminate.decontaminate(docs_of(spark, rows), bench, 4)
     assert sorted(r["doc_id"] for r in clean.collect()) == sorted(x[0] for x in want if not x[5])
     assert op3_decontaminate.verbatim_matches(docs_of(spark, []), bench).count() == 0
+    got = op3_decontaminate.item_matches(docs_of(spark, rows + twice), bench, 4)
+    assert sorted(map(tuple, got.collect())) == longest_of_items(rows + twice, items, 4)
+    assert op3_decontaminate.item_matches(docs_of(spark, []), bench, 4).count() == 0
+
+
+def longest_of_items(rows, items, window):
+    """The longest match of each item, from every pair of places."""
+    best = {}
+    lists = [(d, op3_decontaminate.words(None if t is None else t.encode())) for d, t in rows]
+    for name, text in items:
+        w = op3_decontaminate.words(None if text is None else text.encode())
+        for doc_id, own in lists:
+            for i in range(len(w) if name is not None else 0):
+                for j in range(len(own)):
+                    n = 0
+                    while i + n < len(w) and j + n < len(own) and w[i + n] == own[j + n]:
+                        n += 1
+                    if n and n >= min(window, len(w)):
+                        found = (-n, i, doc_id is None, doc_id or 0, j)
+                        best[str(name)] = min(best.get(str(name), found), found)
+    return sorted((name, -n, i, None if unnamed else d, j) for name, (n, i, unnamed, d, j) in best.items())
 
 
 def test_op3_stage_of_several_blocks(spark, monkeypatch):
