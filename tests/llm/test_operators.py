@@ -253,6 +253,28 @@ def test_op4_equal_ids_are_dealt_by_their_texts(spark, monkeypatch):
     assert first == {r["text"]: (r["mix_slot"], r["mix_index"]) for r in op4_mixing.mix(docs.repartition(7, "text")).collect()}
 
 
+def test_op4_equal_rows_are_numbered_as_one(spark, monkeypatch):
+    """A third of all rows equal (and with null ids, one text): the places are those of row by row, and no task holds them all."""
+    monkeypatch.setattr(op4_mixing, "BUCKET", 40)
+    monkeypatch.setattr(common, "COPIES", 100)
+    text = F.when(F.col("id") % 3 == 0, "same").otherwise(F.concat(F.lit("text "), "id"))
+    docs = spark.range(3000).select(F.when(F.col("id") % 6 == 0, F.col("id") % 2).alias("doc_id"), text.alias("text"), F.lit("s").alias("source"), F.lit("x").alias("a.b"))
+    docs = docs.union(docs.filter("text LIKE 'text 1%'").withColumn("source", F.lit("t")))
+    place = lambda df: sorted((r["mix_source"], r["mix_block"], r["mix_slot"], r["mix_index"], str(r["doc_id"]), r["text"]) for r in df.collect())
+    got = op4_mixing.mix(docs)
+    largest = got.groupBy("doc_id", "text").count().agg(F.max("count")).first()[0]
+    assert largest == 500 and got.columns[:4] == docs.columns
+    got = place(got)
+    assert len({x[2:4] for x in got}) == len(got) == docs.count()
+    monkeypatch.setattr(op4_mixing, "FULL", 1000)
+    assert got == place(op4_mixing.mix(docs))
+    monkeypatch.setattr(op4_mixing, "FULL", 2)
+    assert got == place(op4_mixing.mix(docs.withColumn("m", F.create_map(F.lit("k"), F.lit(1)))))
+    assert {(r["slot"], r["place"]) for r in op4_mixing.schedule(docs).collect()} == {x[2:4] for x in got}
+    ordered = op4_mixing.in_mixed_order(docs)
+    assert ordered.dtypes == docs.dtypes and sorted(map(str, ordered.collect())) == sorted(map(str, docs.collect()))
+
+
 def test_op4_stays_at_its_targets_over_many_slots(spark):
     """Less than one block from the exact target, however long the schedule and whatever the weights."""
     docs = spark.range(6000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 < 2, "a").otherwise("b").alias("source"))

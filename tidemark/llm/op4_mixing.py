@@ -14,7 +14,9 @@ Weights are exact fractions: windows are computed in whole numbers of any size.
 
 Scale: documents are numbered within (source, bucket) groups of bounded size,
 then shifted by the buckets' running counts: no source, however large, is
-sorted in one task. The driver plans the slots, one step a block in the time of
+sorted in one task. A bucket of more than ``FULL`` times its documents holds rows of one id and
+text: then equal rows are counted before they are numbered, go through as one, and are
+dealt out again in parts. The driver plans the slots, one step a block in the time of
 a heap's operation; it holds 8 bytes a block and a row a source and a bucket. A
 block has ``BLOCK`` documents and a bucket ``BUCKET``, and more where that would
 be over ``MOST_BLOCKS`` blocks or ``MOST_BUCKETS`` buckets, so the plan stays at
@@ -25,7 +27,8 @@ its row in the table that is joined. There may be any number of sources: only th
 Edge cases: a null source is a source of its own; a source without a weight
 gets its share of the documents; repeated rows each get a place; an empty
 table gives no rows; no column is lost, renamed or overwritten, whatever its
-name; rows with null or equal ids are told apart by their texts.
+name; rows with null or equal ids are told apart by their texts. Rows that are equal in id and text
+but differ in a further column stay in one bucket, as do equal ones of a table with maps or variants.
 """
 
 from __future__ import annotations
@@ -40,15 +43,17 @@ from math import lcm
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+from pyspark.sql.window import Window, WindowSpec
 
-from .common import shared_path
+from .common import repeated, shared_path
 
 #: Documents of a block, at least, and blocks that the driver plans at most.
 BLOCK, MOST_BLOCKS = 16, 1 << 22
 #: Documents of a numbering bucket, about, at least, and buckets whose sizes the driver holds beside one a source:
 #: each source has as many buckets as its size asks for.
 BUCKET, MOST_BUCKETS = 2_000, 1 << 20
+#: Times the documents of a bucket that different ones never reach: they are dealt by 64-bit hashes.
+FULL = 2
 #: Times of the fluid mix that are remembered, by weight and block: sources of one size ask for the same.
 KNOWN = 1 << 16
 #: Slots and buckets of the plan in one write, about.
@@ -122,21 +127,31 @@ def slots_of(blocks: dict[str, int], weights: dict[str, float | Fraction]) -> di
     return dict(zip(names, out, strict=True))
 
 
-def bucket_plan(spark: SparkSession, sizes: list[tuple[str, int, int]], slots: dict[str, array], block: int) -> DataFrame:
-    """(mix_s, mix_b, mix_before, mix_slots): documents of the source before each bucket, and the slots of the blocks that it meets."""
-    kinds = pa.schema([("mix_s", pa.string()), ("mix_b", pa.int32()), ("mix_before", pa.int64()), ("mix_slots", pa.list_(pa.int64()))])
+def bucket_plan(spark: SparkSession, sizes: list[tuple[str, int, int]], slots: dict[str, array], block: int, most: int) -> DataFrame:
+    """(mix_s, mix_b, mix_piece, mix_before, mix_slots): for each piece of at most so many documents of a bucket the
+    documents of the source before it, and the slots of the blocks that it meets."""
+    kinds = pa.schema([("mix_s", pa.string()), ("mix_b", pa.int32()), ("mix_piece", pa.int64()), ("mix_before", pa.int64()), ("mix_slots", pa.list_(pa.int64()))])
     path, rows, held, before, last = shared_path(spark, "mix"), [], 0, 0, None
-    sizes = sorted(sizes)
-    for at, (s, b, n) in enumerate(sizes):
+
+    def write() -> None:
+        columns = zip(zip(*rows, strict=True), kinds, strict=True)
+        df = spark.createDataFrame(pa.Table.from_arrays([pa.array(c, f.type) for c, f in columns], schema=kinds))
+        df.write.mode("append").parquet(path)
+
+    for s, b, n in sorted(sizes):
         before = before if s == last else 0
-        own = slots[s][before // block : (before + n - 1) // block + 1]
-        rows.append((s, b, before, own))
-        held, before, last = held + 1 + len(own), before + n, s
-        if held >= PIECE or at == len(sizes) - 1:
-            df = spark.createDataFrame(pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), kinds, strict=True)], schema=kinds))
-            df.write.mode("append").parquet(path)
-            rows, held = [], 0
-    return spark.read.schema(df.schema).parquet(path)
+        for piece, first in enumerate(range(0, n, most)):
+            begin, end = before + first, before + min(n, first + most)
+            own = slots[s][begin // block : (end - 1) // block + 1]
+            rows.append((s, b, piece, begin, own))
+            held += 1 + len(own)
+            if held >= PIECE:
+                write()
+                rows, held = [], 0
+        before, last = before + n, s
+    if rows:
+        write()
+    return spark.read.schema("mix_s string, mix_b int, mix_piece long, mix_before long, mix_slots array<long>").parquet(path)
 
 
 def _rows(df: DataFrame) -> list[tuple]:
@@ -173,7 +188,7 @@ def placed(docs: DataFrame, carry: list[str], weights: dict[str, float] | None =
     counts = dict(_rows(docs.groupBy(name.alias("s")).agg(F.count(F.lit(1)).alias("n"))))
     total = sum(counts.values())
     block = block or block_size(total)
-    rows = docs.select(F.struct(*[col(c) for c in carry]).alias("doc"), name.alias("source"), content.alias("h"), F.xxhash64(*[col(c) for c in plain]).alias("tie"), F.col("doc_id").cast("string").alias("name"))
+    rows = docs.select(F.struct(*[col(c) for c in carry]).alias("doc"), name.alias("source"), content.alias("h"), F.xxhash64(*[col(c) for c in plain], *[col(c).isNull() for c in plain]).alias("tie"), F.col("doc_id").cast("string").alias("name"))
     if not total:
         none = F.lit(None).cast("long")
         return rows.select("doc", "source", none.alias("block"), none.alias("slot"), none.alias("place"))
@@ -186,15 +201,37 @@ def placed(docs: DataFrame, carry: list[str], weights: dict[str, float] | None =
     dealt = lambda df: df.join(large, F.col("source") == F.col("mix_large"), "left").select(*df.columns, bucket)
     sizes = _rows(dealt(docs.select(name.alias("source"), content.alias("h"))).groupBy("source", "b").agg(F.count(F.lit(1)).alias("n")))
     slots = slots_of({s: -(-n // block) for s, n in counts.items()}, given)
-    plan = bucket_plan(spark, sizes, slots, block)
+    most = FULL * bucket_rows
+    plan = bucket_plan(spark, sizes, slots, block, most)
     # every order key is the row's own content, so a task that runs again numbers its rows as before
-    inside = F.row_number().over(Window.partitionBy("source", "b").orderBy(F.xxhash64("h", F.lit("mix")), "name", "tie")) - 1
-    rows = dealt(rows).withColumn("n", inside).join(plan, (F.col("source") == F.col("mix_s")) & (F.col("b") == F.col("mix_b")))
+    inside = Window.partitionBy("source", "b").orderBy(F.xxhash64("h", F.lit("mix")), "name", "tie")
+    bucket_is = (F.col("source") == F.col("mix_s")) & (F.col("b") == F.col("mix_b"))
+    if max(n for _, _, n in sizes) <= most:  # each bucket is one piece
+        rows = dealt(rows).withColumn("n", F.row_number().over(inside) - 1).join(plan, bucket_is)
+    else:
+        rows = numbered(dealt(rows), carry if len(plain) == len(carry) else None, inside)
+        rows = rows.withColumn("piece", F.floor(F.col("n") / most)).join(plan, bucket_is & (F.col("piece") == F.col("mix_piece")))
+        rows = rows.withColumn("n", F.col("n") - F.col("piece") * most)
     rows = rows.withColumn("n", F.col("n") + F.col("mix_before")).withColumn("block", F.floor(F.col("n") / block))
     slot = F.element_at("mix_slots", (F.col("block") - F.floor(F.col("mix_before") / block) + 1).cast("int"))
     return rows.select("doc", "source", "block", slot.alias("slot"), (F.col("n") % block).alias("place"))
 
 
+def numbered(rows: DataFrame, carried: list[str] | None, inside: WindowSpec) -> DataFrame:
+    """``rows`` with their number ``n`` in their bucket, where some bucket is full of equal rows: these go through as one.
+
+    Equal means in every carried column; tables with columns that Spark cannot compare (None) are numbered row by row.
+    """
+    if carried is None:
+        return rows.withColumn("n", F.row_number().over(inside) - 1)
+    keys = ["source", "b", "h", "tie", "name"]
+    fields = {f"mix_c{i}": F.col("doc").getField(c) for i, c in enumerate(carried)}
+    once = rows.select(*keys, *[c.alias(k) for k, c in fields.items()]).groupBy(*keys, *fields).agg(F.count(F.lit(1)).alias("copies"))
+    once = once.withColumn("n", F.sum("copies").over(inside.rowsBetween(Window.unboundedPreceding, 0)) - F.col("copies"))
+    doc = F.struct(*[F.col(k).alias(c) for k, c in zip(fields, carried, strict=True)]).alias("doc")
+    return repeated(once, "copies", "h").select("source", "b", doc, (F.col("n") + F.col("nth")).alias("n"))
+
+
 def mix(docs: DataFrame, weights: dict[str, float] | None = None, block: int | None = None) -> DataFrame:
     """The documents with ``mix_source``, ``mix_block`` (of its source), ``mix_slot`` and ``mix_index`` (in its block).
 
