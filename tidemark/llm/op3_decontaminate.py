@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 
 from .common import byte_texts, deleted, noted, passed, pick, small_batches, text_size, written
 
-#: Bytes of item texts that are sent to the workers at once, about: some 50 MB sent, and 170 MB in a worker.
+#: Bytes of item texts that are sent to the workers at once, about: some 40 MB sent, and 80 MB in a worker (6,000 items).
 BLOCK_BYTES = 4_000_000
 #: Words of one suffix array (a longer document has one of its own).
 SHARD_WORDS = 250_000
