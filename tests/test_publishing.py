@@ -12,7 +12,7 @@ from tidemark.params import Params
 from tidemark.plans import pipeline
 from tidemark.plans.staged import Staged
 from tidemark.sources import generator, landing
-from tidemark.sources.schemas import SEND_SCHEDULE
+from tidemark.sources.schemas import EVENTS, SEND_SCHEDULE
 
 T0 = datetime(2024, 5, 1, 12)
 LOOSE = Params(unattributed_max=0.2)
@@ -204,6 +204,35 @@ def test_refused_records_and_their_reasons(spark, tmp_path):
     assert refused.count() == 14 and landed.count() == 3
 
 
+def test_screening_reads_each_time_once(spark, tmp_path):
+    """Good records are told by plain tests with the same outcome, repeated fields too; a time is cast once a record, and accepted texts are not stored."""
+    path = tmp_path / "events_2024-05-01.jsonl"
+    again = record(1)[:-1] + ', "user_id": "v"}'
+    lacking = record(2, device_id="absent")[:-1] + ', "user_id": "v"}'
+    odd = record(3, source="x", device_id="absent")
+    key = record(4)[:-2] + ', "prompt_id": "q"}}'
+    unlisted = record(5)[:-2] + ', "attempt": 1}}'
+    path.write_text("\n".join((again, lacking, odd, key, unlisted)))
+    screened = landing.screened_events(spark, [str(path)])
+    got = {r["value"]: sorted(r["reasons"]) for r in screened.collect()}
+    assert got == {again: [], lacking: ["missing:device_id"], odd: ["missing:device_id", "unknown_field:source"], key: [], unlisted: ["unknown_property:attempt"]}
+    assert screened._jdf.queryExecution().optimizedPlan().toString().count("try_cast(") == 3
+
+
+def test_payloads_are_parsed_of_copies_alone(spark, tmp_path, monkeypatch):
+    t = lambda s: T0 + timedelta(seconds=s)
+    make = lambda *rows: spark.createDataFrame([(i, "prompt_sent", "u", "d", T0, T0, t(s), props) for i, s, props in rows], EVENTS)
+    parsed = []
+    payload = landing.payload
+    monkeypatch.setattr(landing, "payload", lambda text: parsed.append(text) or payload(text))
+    other = '{"prompt_id":"p"}'
+    assert landing.land(spark, make(("a", 0, "{}"), ("a", 1, other), ("b", 0, "{}")), f"{tmp_path}/raw").count() == 3 and not parsed
+    assert landing.land(spark, make(("a", 0, other), ("a", 0, '{ "prompt_id": "p" }'), ("b", 0, "{}")), f"{tmp_path}/raw").count() == 3 and parsed
+    with pytest.raises(landing.ConflictingDuplicates, match="^a, c$"):
+        landing.land(spark, make(("c", 0, "{}"), ("c", 0, other), ("b", 0, "{}"), ("a", 1, other), ("a", 1, "{}"), ("a", 1, "{}")), f"{tmp_path}/raw")
+    assert landing.conflicts(make(("b", 0, "{}"), ("b", 0, "{}"))) == []
+
+
 def test_dimension_of_another_header_is_refused(spark, tmp_path):
     cells = "u,UTC,c,2024-01-01,2024-01-01 00:00:00.000000,\n"
     for i, head in enumerate(("user_id,cohort_id,tz,signup_date,valid_from,valid_to", "user_id,tz,cohort_id,signup_date,valid_from", "user_id,tz,cohort_id,signup_date,valid_from,valid_to,more", "user_id,zone,cohort_id,signup_date,valid_from,valid_to")):

@@ -25,8 +25,8 @@ def write_events(events: DataFrame, folder: str) -> list[str]:
     time = lambda c: F.date_format(c, TIME_FORMAT)
     clocks = ("client_event_time", "server_received_time", "server_upload_time")
     plain = [c for c in EVENTS.names if c not in (*clocks, "event_properties")]
-    # the properties are JSON already: they go in as they are
-    record = F.concat(F.regexp_replace(F.to_json(F.struct(*plain, *[time(c).alias(c) for c in clocks])), r"\}$", ""), F.lit(',"event_properties":'), props, F.lit("}"))
+    # the properties are JSON already: they go in as they are, and the text before them ends in a quote and one brace
+    record = F.concat(F.rtrim(F.to_json(F.struct(*plain, *[time(c).alias(c) for c in clocks])), F.lit("}")), F.lit(',"event_properties":'), props, F.lit("}"))
     days = events.select(F.to_date("server_upload_time").alias("upload_date"), record.alias("value"))
     days.hint("rebalance", "upload_date").write.mode("error").partitionBy("upload_date").option("compression", "gzip").text(f"{folder}/.parts")
     fs, at = store(spark, folder)

@@ -19,6 +19,8 @@ from .scratch import scratch_path
 
 #: ``TIME_FORMAT`` as a pattern.
 TIME = r"^\d{4}-\d\d-\d\d \d\d:\d\d:\d\d\.\d{6}$"
+#: Copies of an event that agree in these must agree in their payload.
+CLOCKS = ("insert_id", "client_event_time", "server_received_time", "server_upload_time")
 NAME = re.compile(r"events_(\d{4}-\d{2}-\d{2})(?:_\d+)*\.jsonl(?:\.gz)?")
 
 
@@ -66,23 +68,25 @@ def screened_events(spark: SparkSession, paths: list[str]) -> DataFrame:
     """
     lines = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("file")) if paths else spark.createDataFrame([], "value string, file string")
     rows = lines.filter(F.trim("value") != "").select("value", "file", _events_of(F.col("value")).alias("e"), F.json_object_keys("value").alias("fields"))
-    rows = rows.withColumn("keys", F.json_object_keys("e.event_properties"))
     e = lambda c: F.col(f"e.{c}")
-    when = lambda test, reason: F.when(test, reason if isinstance(reason, Column) else F.lit(reason))
     times = [f.name for f in EVENTS if isinstance(f.dataType, T.TimestampNTZType)]
-    # no zone is asked: a naive time that a session's zone skips is a time
-    time = {c: F.when(e(c).rlike(TIME), e(c).try_cast("timestamp_ntz")) for c in times}
+    # no zone is asked: a naive time that a session's zone skips is a time; each is read once, into a column of its own
+    rows = rows.withColumns({"keys": F.json_object_keys("e.event_properties")} | {c: F.when(e(c).rlike(TIME), e(c).try_cast("timestamp_ntz")) for c in times})
     allowed = F.create_map(*[x for kind, keys in PROPERTY_KEYS.items() for x in (F.lit(kind), F.array(*map(F.lit, keys)).cast("array<string>"))])
     known = allowed[e("event_type")]
     named = lambda keys, kind: F.transform(keys, lambda k: F.concat(F.lit(kind), k))
-    one_each = [when(F.coalesce(e(c), F.lit("")) == "", f"missing:{c}") for c in EVENTS.names]
-    one_each += [when((e(c) != "") & time[c].isNull(), f"bad_time:{c}") for c in times]
-    one_each += [when((e("event_type") != "") & known.isNull(), "unknown_type"), when((e("event_properties") != "") & F.col("keys").isNull(), "bad_properties")]
-    several = [named(F.array_except("fields", F.array(*map(F.lit, EVENTS.names))), "unknown_field:"), named(F.array_except("keys", known), "unknown_property:")]
+    tests = {f"missing:{c}": F.coalesce(e(c), F.lit("")) == "" for c in EVENTS.names}
+    tests |= {f"bad_time:{c}": (e(c) != "") & F.col(c).isNull() for c in times}
+    tests |= {"unknown_type": (e("event_type") != "") & known.isNull(), "bad_properties": (e("event_properties") != "") & F.col("keys").isNull()}
+    one_each = [F.when(test, F.lit(reason)) for reason, test in tests.items()]
+    unknown = F.array_except("keys", known)
+    several = [named(F.array_except("fields", F.array(*map(F.lit, EVENTS.names))), "unknown_field:"), named(unknown, "unknown_property:")]
     none = F.array().cast("array<string>")
     found = F.concat(F.array_compact(F.array(*one_each)), *[F.coalesce(x, none) for x in several])
-    reasons = F.when(F.col("fields").isNull(), F.array(F.lit("not_json"))).otherwise(found)
-    columns = [time.get(c, e(c)).alias(c) for c in EVENTS.names]
+    # most records are good, and are told by plain tests: nothing is missing, and there are no more fields than the contract's
+    good = ~reduce(Column.__or__, [F.coalesce(test, F.lit(False)) for test in tests.values()]) & (F.size("fields") == len(EVENTS)) & (F.size(unknown) == 0)
+    reasons = F.when(good, none).when(F.col("fields").isNull(), F.array(F.lit("not_json"))).otherwise(found)
+    columns = [F.col(c) if c in times else e(c).alias(c) for c in EVENTS.names]
     return rows.select(*columns, "value", "file", reasons.alias("reasons"))
 
 
@@ -96,8 +100,11 @@ def land_screened(spark: SparkSession, paths: list[str], path: str, rejects: str
     """
     scratch = scratch_path(spark, "screened")
     rows = screened_events(spark, paths)
-    rows.withColumn("refused", F.size("reasons") > 0).write.partitionBy("refused").parquet(scratch)
-    rows = spark.read.schema(T.StructType([*rows.schema, T.StructField("refused", T.BooleanType())])).parquet(scratch)
+    # of accepted records the text is not needed again
+    text = [F.when(F.col("refused"), F.col(c)).alias(c) for c in ("value", "file")]
+    rows = rows.withColumn("refused", F.size("reasons") > 0).select(*EVENTS.names, *text, "reasons", "refused")
+    rows.write.parquet(scratch)
+    rows = spark.read.schema(rows.schema).parquet(scratch)
     refused = rows.filter("refused").select("value", "file", "reasons").withColumn("batch", F.lit(hashlib.sha256("\n".join(sorted(paths)).encode()).hexdigest()[:16]))
     landed = land(spark, rows.filter("NOT refused").select(*EVENTS.names), path)
     refused.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(rejects)
@@ -167,8 +174,16 @@ def write_dim_jdbc(dim: DataFrame, url: str, table: str, partitions: int = 8, **
 
 def conflicting_duplicates(events: DataFrame) -> DataFrame:
     """insert_ids that carry one set of clocks and several payloads."""
-    clocks = ["insert_id", "client_event_time", "server_received_time", "server_upload_time"]
-    return events.groupBy(*clocks).agg(F.countDistinct(payload("event_properties")).alias("n_payloads")).filter("n_payloads > 1").select("insert_id", "n_payloads")
+    return events.groupBy(*CLOCKS).agg(F.countDistinct(payload("event_properties")).alias("n_payloads")).filter("n_payloads > 1").select("insert_id", "n_payloads")
+
+
+def conflicts(events: DataFrame, most: int = 20) -> list[str]:
+    """Some insert_ids of ``conflicting_duplicates``; payloads are parsed of those events alone whose clocks several rows share."""
+    shared = events.groupBy(*CLOCKS).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    if shared.isEmpty():
+        return []
+    copies = events.alias("a").join(shared.alias("b"), F.expr(" AND ".join(f"a.{c} <=> b.{c}" for c in CLOCKS)), "left_semi")
+    return sorted(r[0] for r in conflicting_duplicates(copies).select("insert_id").limit(most).collect())
 
 
 def with_upload_date(events: DataFrame) -> DataFrame:
@@ -184,9 +199,9 @@ def land(spark: SparkSession, events: DataFrame, path: str) -> DataFrame:
     the batch replaces as a whole, so the days that stay need not be read.
     """
     batch = with_upload_date(events).select(*EVENTS.names, "upload_date")
-    bad = [r[0] for r in conflicting_duplicates(batch).select("insert_id").limit(20).collect()]
+    bad = conflicts(batch)
     if bad:
-        raise ConflictingDuplicates(", ".join(sorted(bad)))
+        raise ConflictingDuplicates(", ".join(bad))
     # rows of a day go together, but a large day is split by the adaptive planner
     batch.hint("rebalance", "upload_date").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("upload_date").parquet(path)
     return spark.read.parquet(path)
